@@ -168,7 +168,7 @@ def quantile_values(long_df: DataFrame, keys: list[str], x: str, probs: list[flo
         if hi == lo or vlo == vhi:
             val = vlo
         else:
-            val = (hi - pos) * vlo + (pos - lo) * vhi
+            val = vlo + (vhi - vlo) * (pos - lo)
         row = {k: s[k] for k in keys}
         row.update(p=float(p), q=val, n=s["__n"])
         out.append(row)
@@ -250,10 +250,8 @@ def top_k(df: DataFrame, part: list[str], order: list, k: int, *, salt: int = 64
     """
     key = F.col(q(tiebreak)) if tiebreak else F.lit(0)
     s = F.pmod(F.xxhash64(key), F.lit(salt))
-    w1 = Window.partitionBy(*[q(p) for p in part], s.alias("__s")).orderBy(*order)
     stage1 = df.withColumn("__s", s).withColumn("__r1", F.row_number().over(
         Window.partitionBy(*[q(p) for p in part], "__s").orderBy(*order))).where(F.col("__r1") <= k)
-    del w1
     w2 = Window.partitionBy(*[q(p) for p in part]).orderBy(*order)
     return (stage1.withColumn(rank_col, F.row_number().over(w2)).where(F.col(rank_col) <= k)
             .drop("__s", "__r1"))

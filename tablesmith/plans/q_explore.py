@@ -1 +1,179 @@
-"""Queries."""
+"""Queries: exploratory aggregates (#26-#36)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tablesmith.operators import explore as EX
+from tablesmith.operators.frequency import value_counts
+from tablesmith.plans.frames import ord_clean, sql_with
+from tablesmith.plans.q_profile import CLEAN_CAT
+from tablesmith.plans.registry import query
+from tablesmith.plans.sqlgen import r6, union_cols
+from tablesmith.sources import views as V
+
+HIST_COLS = ["l_quantity", "l_extendedprice", "l_discount", "const_one"]
+KDE_COLS = ["l_quantity", "l_discount", "l_tax"]
+CAT_MIN_FREQ = 50
+
+
+def long_sql(view: str, cols: list[str], by: list[str] | None = None) -> str:
+    by = list(by or [])
+    pre = "".join(f"{b}, " for b in by)
+    notnull = "".join(f" AND {b} IS NOT NULL" for b in by)
+    return union_cols(f"SELECT {pre}'{{c}}' AS \"column\", CAST({{c}} AS DOUBLE) AS x FROM {view} "
+                      f"WHERE {{c}} IS NOT NULL{notnull}", cols)
+
+
+def freq_sql(view: str, cols: list[str], by: list[str] | None = None) -> str:
+    by = list(by or [])
+    pre = "".join(f"{b}, " for b in by)
+    notnull = "".join(f" AND {b} IS NOT NULL" for b in by)
+    grp = ", ".join(by + ['"column"', "value"])
+    return ("SELECT " + pre + '"column", value, count(*) AS n FROM (' + union_cols(
+        f"SELECT {pre}'{{c}}' AS \"column\", CAST({{c}} AS VARCHAR) AS value FROM {view} "
+        f"WHERE {{c}} IS NOT NULL{notnull}", cols) + f") GROUP BY {grp}")
+
+
+@query("describe_numerical", sql_with(union_cols(
+    """SELECT '{c}' AS "column", CAST(count({c}) AS BIGINT) AS n, ROUND(favg({c}), 6) AS mean,
+       ROUND(stddev_samp({c}), 6) AS std, ROUND(CAST(min({c}) AS DOUBLE), 6) AS min,
+       ROUND(quantile_cont({c}, 0.25), 6) AS p25, ROUND(quantile_cont({c}, 0.5), 6) AS p50,
+       ROUND(quantile_cont({c}, 0.75), 6) AS p75, ROUND(CAST(max({c}) AS DOUBLE), 6) AS max FROM v_li""",
+    V.LI_NUMERIC), views=["v_li"]))
+def q_describe_numerical(spark, d):
+    return r6(EX.describe_numerical(V.v_li(spark, d), V.LI_NUMERIC))
+
+
+@query("describe_categorical", sql_with(f"""
+    , fr AS ({freq_sql('ord_clean', CLEAN_CAT)}),
+    rk AS (SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY n DESC, value) AS r FROM fr)
+    SELECT "column", CAST(sum(n) AS BIGINT) AS n, CAST(count(*) AS BIGINT) AS n_unique,
+           max(value) FILTER (WHERE r = 1) AS most_freq, CAST(max(n) AS BIGINT) AS freq_most_freq,
+           string_agg(value || ':' || CAST(n AS VARCHAR), '|' ORDER BY r) FILTER (WHERE r <= 10) AS top_values
+    FROM rk GROUP BY "column" """, ctes=["ord_clean"]).replace("\n    , fr", ",\n    fr"))
+def q_describe_categorical(spark, d):
+    return EX.describe_categorical(ord_clean(spark, d), CLEAN_CAT, k=10)
+
+
+@query("value_counts", sql_with("""
+    SELECT c_mktsegment AS value, CAST(count(*) AS BIGINT) AS n FROM ord_clean
+    WHERE c_mktsegment IS NOT NULL GROUP BY c_mktsegment""", ctes=["ord_clean"]))
+def q_value_counts(spark, d):
+    return value_counts(ord_clean(spark, d), "c_mktsegment")
+
+
+@query("value_counts_rel", sql_with("""
+    SELECT o_orderpriority AS value, CAST(count(*) AS BIGINT) AS n,
+           ROUND(count(*) / (SELECT count(*) FROM ord_clean), 6) AS share
+    FROM ord_clean GROUP BY o_orderpriority""", ctes=["ord_clean"]))
+def q_value_counts_rel(spark, d):
+    return r6(value_counts(ord_clean(spark, d), "o_orderpriority", normalize=True, dropna=False))
+
+
+@query("top_categories", sql_with(f"""
+    SELECT "column", CAST(r AS BIGINT) AS rank, value, CAST(n AS BIGINT) AS n FROM (
+      SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY n DESC, value) AS r
+      FROM ({freq_sql('v_doc', V.DOC_CATEGORICAL)})) WHERE r <= 10""", views=["v_doc"]))
+def q_top_categories(spark, d):
+    return EX.top_categories(V.v_doc(spark, d), V.DOC_CATEGORICAL, k=10)
+
+
+@query("histogram", sql_with(f"""
+    , lng AS ({long_sql('v_li', HIST_COLS)}),
+    rng AS (SELECT "column", min(x) AS lo, max(x) AS hi FROM lng GROUP BY "column"),
+    b AS (SELECT l."column", CAST(CASE WHEN hi > lo THEN LEAST(FLOOR((x - lo) / (hi - lo) * 10), 9) ELSE 0 END AS BIGINT)
+            AS bin FROM lng l JOIN rng r ON l."column" = r."column"),
+    cnt AS (SELECT "column", bin, count(*) AS n FROM b GROUP BY "column", bin),
+    grid AS (SELECT "column", lo, hi, t.range AS bin FROM rng, range(0, 10) t)
+    SELECT g."column", CAST(g.bin AS BIGINT) AS bin, ROUND(lo + g.bin * ((hi - lo) / 10), 6) AS bin_lo,
+           ROUND(lo + (g.bin + 1) * ((hi - lo) / 10), 6) AS bin_hi, CAST(coalesce(c.n, 0) AS BIGINT) AS n
+    FROM grid g LEFT JOIN cnt c ON g."column" = c."column" AND g.bin = c.bin""", views=["v_li"]).replace(
+    "\n    , lng", ",\n    lng"))
+def q_histogram(spark, d):
+    return r6(EX.histogram(V.v_li(spark, d), HIST_COLS, bins=10))
+
+
+@query("kde", sql_with(f"""
+    , lng AS ({long_sql('v_li', KDE_COLS)}),
+    st AS (SELECT "column", min(x) AS lo, max(x) AS hi, count(*) AS n_obs, stddev_samp(x) AS sd FROM lng
+           GROUP BY "column"),
+    st2 AS (SELECT *, sd * pow(CAST(n_obs AS DOUBLE), -0.2) AS bw FROM st WHERE sd * pow(CAST(n_obs AS DOUBLE), -0.2) > 0),
+    cells AS (SELECT l."column", CASE WHEN hi > lo THEN LEAST(FLOOR((x - lo) / (hi - lo) * 1024), 1023) ELSE 0 END AS cell,
+                     count(*) AS c FROM lng l JOIN st2 s ON l."column" = s."column" GROUP BY 1, 2),
+    centres AS (SELECT c."column", c.c, s.bw, s.n_obs, s.lo + (c.cell + 0.5) * ((s.hi - s.lo) / 1024) AS centre
+                FROM cells c JOIN st2 s ON c."column" = s."column"),
+    pts AS (SELECT "column", t.range AS point, (lo - 3.0 * bw) + t.range * ((hi - lo + 6.0 * bw) / 199) AS x
+            FROM st2, range(0, 200) t)
+    SELECT p."column", CAST(p.point AS BIGINT) AS point, ROUND(p.x, 6) AS x,
+           ROUND(sum(c.c * exp(-0.5 * ((p.x - c.centre) / c.bw) * ((p.x - c.centre) / c.bw)))
+                 / (max(c.n_obs) * max(c.bw) * sqrt(2 * pi())), 6) AS density
+    FROM pts p JOIN centres c ON p."column" = c."column" GROUP BY p."column", p.point, p.x""",
+    views=["v_li"]).replace("\n    , lng", ",\n    lng"))
+def q_kde(spark, d):
+    out = EX.kde(V.v_li(spark, d), KDE_COLS, grid=200)
+    return r6(out.withColumn("point", F.col("point").cast("bigint")))
+
+
+_BOX_SQL = """
+    , lng AS ({long}),
+    qs AS (SELECT {pre}"column", quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.5) AS median,
+                  quantile_cont(x, 0.75) AS q3 FROM lng GROUP BY {pre}"column"),
+    f AS (SELECT *, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lo_f, q3 + 1.5 * (q3 - q1) AS hi_f FROM qs)
+    SELECT {fpre}f."column", ROUND(q1, 6) AS q1, ROUND(median, 6) AS median, ROUND(q3, 6) AS q3, ROUND(iqr, 6) AS iqr,
+           ROUND(min(x) FILTER (WHERE x >= lo_f), 6) AS whisker_lo, ROUND(max(x) FILTER (WHERE x <= hi_f), 6) AS whisker_hi,
+           CAST(count(*) FILTER (WHERE x < lo_f OR x > hi_f) AS BIGINT) AS n_outliers
+    FROM lng l JOIN f ON l."column" = f."column" {join_by}
+    GROUP BY {fpre}f."column", q1, median, q3, iqr"""
+
+
+@query("box_stats", sql_with(_BOX_SQL.format(long=long_sql("v_li", V.LI_NUMERIC), pre="", fpre="", join_by=""),
+                             views=["v_li"]).replace("\n    , lng", ",\n    lng"))
+def q_box_stats(spark, d):
+    return r6(EX.box_stats(V.v_li(spark, d), V.LI_NUMERIC))
+
+
+@query("box_stats_by", sql_with(_BOX_SQL.format(long=long_sql("v_doc", V.DOC_NUMERIC, ["quality"]), pre="quality, ",
+                                                fpre="f.quality, ", join_by="AND l.quality = f.quality"),
+                                views=["v_doc"]).replace("\n    , lng", ",\n    lng"))
+def q_box_stats_by(spark, d):
+    return r6(EX.box_stats(V.v_doc(spark, d), V.DOC_NUMERIC, by=["quality"]))
+
+
+@query("category_distribution", sql_with(f"""
+    SELECT "column", CASE WHEN n < {CAT_MIN_FREQ} THEN 'Other' ELSE value END AS value, CAST(sum(n) AS BIGINT) AS n
+    FROM ({freq_sql('v_doc', V.DOC_CATEGORICAL)}) GROUP BY 1, 2""", views=["v_doc"]))
+def q_category_distribution(spark, d):
+    return EX.category_distribution(V.v_doc(spark, d), V.DOC_CATEGORICAL, min_freq=CAT_MIN_FREQ)
+
+
+@query("crosstab_normalized", sql_with(f"""
+    SELECT "column", value, quality AS label, CAST(n AS BIGINT) AS n,
+           ROUND(n / sum(n) OVER (PARTITION BY "column", value), 6) AS share
+    FROM ({freq_sql('v_doc', V.DOC_CATEGORICAL, ['quality'])})""", views=["v_doc"]))
+def q_crosstab_normalized(spark, d):
+    return r6(EX.crosstab_normalized(V.v_doc(spark, d), V.DOC_CATEGORICAL, "quality"))
+
+
+def _corr_sql(cols, where=""):
+    parts = []
+    for i, a in enumerate(cols):
+        for j, b in enumerate(cols):
+            if where == "upper" and not i < j:
+                continue
+            parts.append(f"SELECT '{a}' AS col_a, '{b}' AS col_b, corr({a}, {b}) AS r FROM v_li")
+    return "\nUNION ALL\n".join(parts)
+
+
+@query("correlation_matrix", sql_with(f"""
+    SELECT col_a, col_b, CASE WHEN isnan(r) THEN NULL ELSE ROUND(r, 6) END AS r FROM ({_corr_sql(V.LI_NUMERIC)})""",
+    views=["v_li"]))
+def q_correlation_matrix(spark, d):
+    return r6(EX.correlation_matrix(V.v_li(spark, d), V.LI_NUMERIC))
+
+
+@query("redundant_pairs", sql_with(f"""
+    SELECT col_a, col_b, ROUND(r, 6) AS r FROM ({_corr_sql(V.LI_NUMERIC, 'upper')})
+    WHERE NOT isnan(r) AND abs(r) > 0.95""", views=["v_li"]))
+def q_redundant_pairs(spark, d):
+    return r6(EX.redundant_pairs(V.v_li(spark, d), V.LI_NUMERIC, 0.95))

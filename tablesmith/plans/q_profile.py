@@ -68,7 +68,7 @@ def q_numeric_min_max(spark, d):
 
 _DESC_NUM = """SELECT '{c}' AS "column", CAST(count({c}) AS BIGINT) AS count,
     CAST(NULL AS BIGINT) AS "unique", CAST(NULL AS VARCHAR) AS top, CAST(NULL AS BIGINT) AS freq,
-    ROUND(avg({c}), 6) AS mean, ROUND(stddev_samp({c}), 6) AS std, ROUND(CAST(min({c}) AS DOUBLE), 6) AS min,
+    ROUND(favg({c}), 6) AS mean, ROUND(stddev_samp({c}), 6) AS std, ROUND(CAST(min({c}) AS DOUBLE), 6) AS min,
     ROUND(quantile_cont({c}, 0.25), 6) AS p25, ROUND(quantile_cont({c}, 0.5), 6) AS p50,
     ROUND(quantile_cont({c}, 0.75), 6) AS p75, ROUND(CAST(max({c}) AS DOUBLE), 6) AS max FROM ord_clean"""
 _DESC_CAT = """SELECT '{c}' AS "column", CAST(count({c}) AS BIGINT) AS count,
