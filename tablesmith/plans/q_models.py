@@ -1 +1,271 @@
-"""Queries."""
+"""Queries: preprocessing stages, class weights, models, search and run tables (#47, #54-#74)."""
+
+from __future__ import annotations
+
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import OneHotEncoder, StringIndexer
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from tablesmith.ml import search as S
+from tablesmith.ml.assembly import PrepConfig, build_pipeline, feature_array, score_frame
+from tablesmith.ml.stages import (CategoricalImputer, CategoryGrouper, ClassWeights, NumericImputer, NumericScaler,
+                                  Winsorizer)
+from tablesmith.operators import split as SP
+from tablesmith.plans.frames import ord_clean, sql_with
+from tablesmith.plans.q_explore import freq_sql
+from tablesmith.plans.registry import query
+from tablesmith.plans.sqlgen import r6
+from tablesmith.sources import views as V
+
+# Query parameters.
+WIN_COLS = ["l_extendedprice", "qty_n"]
+SCALE_COLS = ["l_quantity", "qty_n", "const_one"]
+GROUPS = {"lang": 130, "source": 50}
+CV_THRESHOLDS = [0.3, 0.5, 0.7]
+
+
+def _li(spark, d):
+    return V.v_li(spark, d).select("l_orderkey", "l_linenumber", *sorted(set(WIN_COLS + SCALE_COLS)))
+
+
+_LI_SEL = "SELECT l_orderkey, l_linenumber, const_one, l_extendedprice, l_quantity, qty_n FROM v_li"
+
+
+@query("winsorize", sql_with("""
+    , lim AS (SELECT quantile_cont(l_extendedprice, 0.01) AS lo1, quantile_cont(l_extendedprice, 0.99) AS hi1,
+                     quantile_cont(qty_n, 0.01) AS lo2, quantile_cont(qty_n, 0.99) AS hi2 FROM v_li)
+    SELECT l_orderkey, l_linenumber, const_one, l_quantity,
+           ROUND(CASE WHEN l_extendedprice IS NULL THEN NULL ELSE LEAST(GREATEST(l_extendedprice, lo1), hi1) END, 6)
+             AS l_extendedprice,
+           ROUND(CASE WHEN qty_n IS NULL THEN NULL ELSE LEAST(GREATEST(qty_n, lo2), hi2) END, 6) AS qty_n
+    FROM v_li, lim""", views=["v_li"]).replace("\n\n    , lim", ",\n    lim"))
+def q_winsorize(spark, d):
+    df = _li(spark, d)
+    return r6(Winsorizer(inputCols=WIN_COLS, pmin=0.01, pmax=0.99).fit(df).transform(df))
+
+
+@query("impute_numeric", sql_with("""
+    SELECT l_orderkey, l_linenumber, const_one, l_extendedprice, l_quantity,
+           coalesce(qty_n, (SELECT quantile_cont(qty_n, 0.5) FROM v_li)) AS qty_n FROM v_li""", views=["v_li"]))
+def q_impute_numeric(spark, d):
+    df = _li(spark, d)
+    return r6(NumericImputer(inputCols=["qty_n"], strategy="median").fit(df).transform(df))
+
+
+@query("impute_mean", sql_with("""
+    SELECT l_orderkey, l_linenumber, const_one, l_extendedprice, l_quantity,
+           ROUND(coalesce(qty_n, (SELECT favg(qty_n) FROM v_li)), 6) AS qty_n FROM v_li""", views=["v_li"]))
+def q_impute_mean(spark, d):
+    df = _li(spark, d)
+    return r6(NumericImputer(inputCols=["qty_n"], strategy="mean").fit(df).transform(df))
+
+
+@query("impute_mode", sql_with("""
+    SELECT o_orderkey, coalesce(o_orderpriority, (SELECT o_orderpriority FROM ord_clean WHERE o_orderpriority IS NOT NULL
+             GROUP BY o_orderpriority ORDER BY count(*) DESC, o_orderpriority LIMIT 1)) AS o_orderpriority
+    FROM ord_clean""", ctes=["ord_clean"]))
+def q_impute_mode(spark, d):
+    df = ord_clean(spark, d).select("o_orderkey", "o_orderpriority")
+    return CategoricalImputer(inputCols=["o_orderpriority"]).fit(df).transform(df)
+
+
+@query("impute_constant", sql_with("SELECT o_orderkey, coalesce(o_orderpriority, 'Missing') AS o_orderpriority "
+                                   "FROM ord_clean", ctes=["ord_clean"]))
+def q_impute_constant(spark, d):
+    df = ord_clean(spark, d).select("o_orderkey", "o_orderpriority")
+    return CategoricalImputer(inputCols=["o_orderpriority"], strategy="constant").fit(df).transform(df)
+
+
+@query("group_rare", sql_with(f"""
+    , fr AS ({freq_sql('v_doc', V.DOC_CATEGORICAL)})
+    SELECT doc_id,
+      CASE WHEN lang IN (SELECT value FROM fr WHERE "column" = 'lang' AND n >= 130) THEN lang ELSE 'Other' END AS lang,
+      CASE WHEN source IN (SELECT value FROM fr WHERE "column" = 'source' AND n >= 50) THEN source ELSE 'Other' END
+        AS source
+    FROM v_doc""", views=["v_doc"]).replace("\n\n    , fr", ",\n    fr"))
+def q_group_rare(spark, d):
+    df = V.v_doc(spark, d).select("doc_id", "lang", "source")
+    return CategoryGrouper(inputCols=["lang", "source"], minFreqs=GROUPS).fit(df).transform(df)
+
+
+def _scale_sql(expr_center, expr_scale):
+    parts = []
+    for c in SCALE_COLS:
+        parts.append(f"ROUND((CAST({c} AS DOUBLE) - (SELECT {expr_center.format(c=c)} FROM v_li)) / "
+                     f"(SELECT CASE WHEN {expr_scale.format(c=c)} IS NULL OR {expr_scale.format(c=c)} = 0 THEN 1.0 "
+                     f"ELSE {expr_scale.format(c=c)} END FROM v_li), 6) AS {c}")
+    return sql_with("SELECT l_orderkey, l_linenumber, ROUND(l_extendedprice, 6) AS l_extendedprice, " + ", ".join(parts) +
+                    " FROM v_li", views=["v_li"])
+
+
+def _scaled(spark, d, method):
+    df = _li(spark, d)
+    return r6(NumericScaler(inputCols=SCALE_COLS, method=method).fit(df).transform(df))
+
+
+@query("scale_standard", _scale_sql("favg({c})", "stddev_pop({c})"))
+def q_scale_standard(spark, d):
+    return _scaled(spark, d, "standard")
+
+
+@query("scale_minmax", _scale_sql("min({c})", "(max({c}) - min({c}))"))
+def q_scale_minmax(spark, d):
+    return _scaled(spark, d, "minmax")
+
+
+@query("scale_robust", _scale_sql("quantile_cont({c}, 0.5)", "(quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25))"))
+def q_scale_robust(spark, d):
+    return _scaled(spark, d, "robust")
+
+
+@query("one_hot", sql_with("""
+    , cats AS (SELECT DISTINCT lang FROM v_doc WHERE lang IS NOT NULL)
+    SELECT doc_id, lang, CAST(CASE WHEN lang = (SELECT min(lang) FROM cats) THEN 1.0 ELSE 0.0 END AS DOUBLE) AS oh_0,
+           CAST(CASE WHEN lang = (SELECT lang FROM cats ORDER BY lang LIMIT 1 OFFSET 1) THEN 1.0 ELSE 0.0 END AS DOUBLE)
+             AS oh_1,
+           CAST(CASE WHEN lang = (SELECT lang FROM cats ORDER BY lang LIMIT 1 OFFSET 2) THEN 1.0 ELSE 0.0 END AS DOUBLE)
+             AS oh_2,
+           CAST(CASE WHEN lang = (SELECT lang FROM cats ORDER BY lang LIMIT 1 OFFSET 3) THEN 1.0 ELSE 0.0 END AS DOUBLE)
+             AS oh_3
+    FROM v_doc""", views=["v_doc"]).replace("\n\n    , cats", ",\n    cats"))
+def q_one_hot(spark, d):
+    df = V.v_doc(spark, d).select("doc_id", "lang")
+    m = Pipeline(stages=[StringIndexer(inputCol="lang", outputCol="lang_idx", stringOrderType="alphabetAsc",
+                                       handleInvalid="keep"),
+                         OneHotEncoder(inputCol="lang_idx", outputCol="lang_oh", dropLast=True,
+                                       handleInvalid="keep")]).fit(df)
+    n = len(m.stages[0].labels)
+    out = m.transform(df).withColumn("__a", vector_to_array("lang_oh"))
+    return out.select("doc_id", "lang", *[F.col("__a")[i].alias(f"oh_{i}") for i in range(n)])
+
+
+@query("class_weights", sql_with("""
+    SELECT CAST(quality AS BIGINT) AS label, CAST(count(*) AS BIGINT) AS n,
+           ROUND((SELECT count(*) FROM v_doc WHERE quality IS NOT NULL) /
+                 ((SELECT count(DISTINCT quality) FROM v_doc) * count(*)), 6) AS weight
+    FROM v_doc WHERE quality IS NOT NULL GROUP BY quality""", views=["v_doc"]))
+def q_class_weights(spark, d):
+    df = V.v_doc(spark, d).where(F.col("quality").isNotNull()).withColumn("label", F.col("quality").cast("long"))
+    w = ClassWeights(labelCol="label", mode="balanced").fit(df).transform(df)
+    return r6(w.groupBy("label").agg(F.count(F.lit(1)).cast("bigint").alias("n"), F.first("weight").alias("weight")))
+
+
+# ---------------------------------------------------------------- models (rows-only checks)
+DOC_CFG = dict(num_cols=V.DOC_NUMERIC, cat_cols=V.DOC_CATEGORICAL, grouping={"source": 40}, label="label")
+
+
+def _doc_labelled(spark, d):
+    return (V.v_doc(spark, d).where(F.col("quality").isNotNull())
+            .withColumn("label", F.col("quality").cast("double")).drop("quality"))
+
+
+def _doc_split(spark, d):
+    out, _ = SP.stratified_split(_doc_labelled(spark, d), "label", "doc_id", test_size=0.2, seed=42)
+    return out
+
+
+def _fit_and_score(spark, d, model, params, run, scaling="standard"):
+    sp = _doc_split(spark, d)
+    train, test = sp.where(F.col("side") == "train"), sp.where(F.col("side") == "test")
+    pm = build_pipeline(PrepConfig(scaling=scaling, **DOC_CFG), model, params).fit(train)
+    return score_frame(pm, test, run, key="doc_id")
+
+
+@query("fit_logistic")
+def q_fit_logistic(spark, d):
+    return _fit_and_score(spark, d, "LogisticRegression", {"C": 0.1, "penalty": "l2"}, "log_regression", "minmax")
+
+
+@query("fit_logistic_l1")
+def q_fit_logistic_l1(spark, d):
+    return _fit_and_score(spark, d, "LogisticRegression", {"C": 0.05, "penalty": "l1"}, "log_regression_l1", "minmax")
+
+
+@query("fit_tree")
+def q_fit_tree(spark, d):
+    return _fit_and_score(spark, d, "DecisionTreeClassifier", {"max_depth": 5, "min_samples_split": 4}, "tree")
+
+
+@query("fit_forest")
+def q_fit_forest(spark, d):
+    return _fit_and_score(spark, d, "RandomForestClassifier", {"n_estimators": 50, "max_depth": 10,
+                                                              "min_samples_leaf": 2}, "forest")
+
+
+@query("score")
+def q_score(spark, d):
+    """Score every labelled row with a fitted forest pipeline (class weights balanced)."""
+    df = _doc_labelled(spark, d)
+    pm = build_pipeline(PrepConfig(class_weight="balanced", **DOC_CFG), "RandomForestClassifier",
+                        {"n_estimators": 30, "max_depth": 8}).fit(df)
+    return score_frame(pm, df, "forest_balanced", key="doc_id")
+
+
+@query("feature_matrix")
+def q_feature_matrix(spark, d):
+    df = _doc_labelled(spark, d)
+    pm = Pipeline(stages=build_pipeline(PrepConfig(**DOC_CFG)).getStages()).fit(df)
+    return feature_array(pm, df, keep=["doc_id", "label"])
+
+
+@query("nan_audit")
+def q_nan_audit(spark, d):
+    train = _doc_split(spark, d).where(F.col("side") == "train")
+    grid = {"outlier": ["clip", "none"], "scaling": ["standard", "robust"], "grouping.source": [0, 60]}
+    return S.nan_audit(train, PrepConfig(**DOC_CFG), grid)
+
+
+@query("grid_search")
+def q_grid_search(spark, d):
+    sp = _doc_split(spark, d).where(F.col("side") == "train")
+    folds = SP.stratified_folds(sp, "label", "doc_id", k=3, seed=42)
+    grid = {"C": [0.1, 1.0], "scaling": ["standard", "minmax"]}
+    cv, _, _ = S.grid_search(folds, PrepConfig(**DOC_CFG), grid, model="LogisticRegression", refit=False,
+                             experiment="log_regression")
+    return cv
+
+
+def _threshold_cv(spark, d):
+    sc = V.v_scores(spark, d).withColumn("fold", (F.col("doc_id") % 5).cast("int"))
+    return S.threshold_cv(sc, CV_THRESHOLDS)
+
+
+_CV_SQL = """
+    , sc AS (SELECT run, label, score, CAST(doc_id % 5 AS INTEGER) AS fold FROM v_scores),
+    th AS (SELECT * FROM (VALUES (0, 0.3), (1, 0.5), (2, 0.7)) t(candidate, threshold)),
+    g AS (SELECT run, candidate, threshold, fold, count(*) AS n,
+                 sum(CASE WHEN CAST(score >= threshold AS BIGINT) = label THEN 1 ELSE 0 END) AS ok
+          FROM sc, th GROUP BY run, candidate, threshold, fold),
+    g2 AS (SELECT *, sum(n) OVER (PARTITION BY run, candidate) AS tot_n, sum(ok) OVER (PARTITION BY run, candidate) AS tot_ok
+           FROM g),
+    cvl AS (SELECT run AS experiment, candidate, fold, 'test' AS split, ok / n AS score FROM g2
+            UNION ALL SELECT run, candidate, fold, 'train', (tot_ok - ok) / (tot_n - n) FROM g2),
+    res AS (SELECT experiment, candidate, avg(score) FILTER (WHERE split = 'test') AS mean_test_score,
+                   stddev_pop(score) FILTER (WHERE split = 'test') AS std_test_score,
+                   avg(score) FILTER (WHERE split = 'train') AS mean_train_score,
+                   stddev_pop(score) FILTER (WHERE split = 'train') AS std_train_score
+            FROM cvl GROUP BY experiment, candidate),
+    ranked AS (SELECT *, CAST(rank() OVER (PARTITION BY experiment ORDER BY mean_test_score DESC) AS INTEGER)
+                 AS rank_test_score FROM res)"""
+_CV_COLS = """experiment, candidate, ROUND(mean_test_score, 6) AS mean_test_score,
+    ROUND(std_test_score, 6) AS std_test_score, ROUND(mean_train_score, 6) AS mean_train_score,
+    ROUND(std_train_score, 6) AS std_train_score, rank_test_score"""
+
+
+def _cv_cols(df):
+    return r6(df.select("experiment", "candidate", "mean_test_score", "std_test_score", "mean_train_score",
+                        "std_train_score", "rank_test_score"))
+
+
+@query("cv_results", sql_with(_CV_SQL + f"\nSELECT {_CV_COLS} FROM ranked", views=["v_scores"]).replace(
+    "\n\n    , sc AS", ",\n    sc AS"))
+def q_cv_results(spark, d):
+    return _cv_cols(S.cv_results(_threshold_cv(spark, d)))
+
+
+@query("leaderboard", sql_with(_CV_SQL + f"""
+    SELECT {_CV_COLS} FROM (SELECT *, row_number() OVER (PARTITION BY experiment ORDER BY rank_test_score, candidate) AS r
+                            FROM ranked) WHERE r = 1""", views=["v_scores"]).replace("\n\n    , sc AS", ",\n    sc AS"))
+def q_leaderboard(spark, d):
+    return _cv_cols(S.leaderboard(S.cv_results(_threshold_cv(spark, d))))
