@@ -158,22 +158,55 @@ def crosstab_wide(df: DataFrame, col: str, target: str, classes: list) -> DataFr
 
 
 def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
-    """(col_a, col_b, r): Pearson on pairwise-complete rows, full symmetric matrix, in
-    one aggregate. A constant column gives NULL instead of a division error."""
-    aggs = []
+    """(col_a, col_b, r): Pearson on pairwise-complete rows, full symmetric matrix.
+
+    Two passes of plain sums: the first finds a centre and the NULL count per column,
+    the second sums centred values, squares and cross products (centring keeps the
+    one-pass formula accurate). Pairs of NULL-free columns share the per-column sums;
+    only pairs touching a NULL-bearing column carry masked sums. A constant column gives
+    NULL (zero variance), not a division error."""
+    xs = {c: F.col(q(c)).cast("double") for c in cols}
+    first = df.agg(F.count(F.lit(1)).alias("__rows"),
+                   *[F.avg(xs[c]).alias(f"m{i}") for i, c in enumerate(cols)],
+                   *[F.count_if(xs[c].isNull()).alias(f"z{i}") for i, c in enumerate(cols)]).first()
+    cen = {c: (first[f"m{i}"] if first[f"m{i}"] is not None else 0.0) for i, c in enumerate(cols)}
+    has_null = {c: first[f"z{i}"] > 0 for i, c in enumerate(cols)}
+    d = {c: xs[c] - F.lit(cen[c]) for c in cols}
+    aggs = [F.count(F.lit(1)).cast("double").alias("__n")]
+    for i, c in enumerate(cols):
+        aggs += [F.sum(d[c]).alias(f"s{i}"), F.sum(d[c] * d[c]).alias(f"ss{i}"),
+                 F.count(d[c]).cast("double").alias(f"n{i}")]
     pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
+    masked = set()
     for i, j in pairs:
-        a, b = F.col(q(cols[i])).cast("double"), F.col(q(cols[j])).cast("double")
-        a2, b2 = F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
-        aggs.append(F.try_divide(F.covar_pop(a2, b2), F.stddev_pop(a2) * F.stddev_pop(b2)).alias(f"r_{i}_{j}"))
+        a, b = d[cols[i]], d[cols[j]]
+        aggs.append(F.sum(a * b).alias(f"p{i}_{j}"))
+        if i != j and (has_null[cols[i]] or has_null[cols[j]]):
+            masked.add((i, j))
+            am, bm = F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
+            aggs += [F.count(am).cast("double").alias(f"c{i}_{j}"), F.sum(am).alias(f"sa{i}_{j}"),
+                     F.sum(bm).alias(f"sb{i}_{j}"), F.sum(am * am).alias(f"saa{i}_{j}"),
+                     F.sum(bm * bm).alias(f"sbb{i}_{j}")]
     wide = df.agg(*aggs)
+
+    def r_expr(i, j):
+        if (i, j) in masked:
+            n, sa, sb = F.col(f"c{i}_{j}"), F.col(f"sa{i}_{j}"), F.col(f"sb{i}_{j}")
+            saa, sbb = F.col(f"saa{i}_{j}"), F.col(f"sbb{i}_{j}")
+        else:
+            n, sa, sb = F.col(f"n{i}"), F.col(f"s{i}"), F.col(f"s{j}")
+            saa, sbb = F.col(f"ss{i}"), F.col(f"ss{j}")
+        cov = F.col(f"p{i}_{j}") - sa * sb / n
+        va, vb = saa - sa * sa / n, sbb - sb * sb / n
+        ok = (n > 0) & (va > 0) & (vb > 0)
+        return F.when(ok, F.least(F.lit(1.0), F.greatest(F.lit(-1.0), cov / F.sqrt(va * vb))))
+
     structs = []
     for i, j in pairs:
-        structs.append(F.struct(F.lit(cols[i]).alias("col_a"), F.lit(cols[j]).alias("col_b"),
-                                F.col(f"r_{i}_{j}").alias("r")))
+        r = r_expr(i, j)
+        structs.append(F.struct(F.lit(cols[i]).alias("col_a"), F.lit(cols[j]).alias("col_b"), r.alias("r")))
         if i != j:
-            structs.append(F.struct(F.lit(cols[j]).alias("col_a"), F.lit(cols[i]).alias("col_b"),
-                                    F.col(f"r_{i}_{j}").alias("r")))
+            structs.append(F.struct(F.lit(cols[j]).alias("col_a"), F.lit(cols[i]).alias("col_b"), r.alias("r")))
     return wide.select(F.inline(F.array(*structs)))
 
 

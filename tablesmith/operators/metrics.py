@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tablesmith.functions.columns import div_or_zero, q, safe_div
 from tablesmith.functions.ranking import running_totals
+from tablesmith.session import checkpoint_dir
 
 # The decision-threshold grid of the threshold sweep, 0.10 to 0.90 by 0.05,
 # built from integers so that no binary drift accumulates.
@@ -113,6 +114,10 @@ def score_table(df: DataFrame, label: str = "label", score: str = "score", by=("
     s = (df.where(F.col(q(score)).isNotNull() & F.col(q(label)).isNotNull())
          .groupBy(*_by(by), F.col(q(score)).cast("double").alias("score"))
          .agg(F.sum(y).alias("pos"), F.sum(1 - y).alias("neg")))
+    # the distinct-score table is read by several jobs below: materialise it once in the
+    # shared checkpoint folder (it has at most one row per distinct score)
+    checkpoint_dir(s.sparkSession)
+    s = s.checkpoint(eager=True)
     rt = running_totals(s, by, "score", ["pos", "neg"], descending=True)
     tot = s.groupBy(*_by(by)).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     return rt.join(F.broadcast(tot), by) if by else rt.crossJoin(F.broadcast(tot))

@@ -61,10 +61,8 @@ def read_csv(spark: SparkSession, path: str, *, sep: str = ",", encoding: str =
         reader = reader.schema(schema)
     else:
         reader = reader.option("inferSchema", infer)
-    df = reader.csv(path)
-    df = rename_safe(df)
-    df = null_tokens(df, tokens)
-    return nulls_for_nan(df)
+    df = nulls_for_nan(null_tokens(reader.csv(path), tokens))
+    return rename_safe(df)
 
 
 def write_table(df: DataFrame, path: str, *, fmt: str = "parquet", mode: str = "overwrite",
