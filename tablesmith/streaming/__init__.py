@@ -1 +1,9 @@
-"""streaming."""
+"""Streaming.
+
+The reference is a batch workflow over one table: it has no stream source, no windowed
+or stateful operator and no incremental sink, so this package defines no streaming
+operator. Nothing in the library depends on batch-only behaviour in its transforms: the
+fitted preprocessing models (plain column expressions) and MLlib classifiers can score a
+streaming DataFrame, and the metric aggregations can run per micro-batch inside
+``foreachBatch``. Fitting, quantiles and splits need the whole table and stay batch jobs.
+"""
