@@ -9,6 +9,8 @@ semantics (approximate median, sample std, constant -> 0.5, approximate IQR), he
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -20,10 +22,12 @@ from pyspark.sql import functions as F
 from tablesmith.functions.columns import clip_keep_null, q
 from tablesmith.functions.ranking import quantiles_long
 from tablesmith.operators.frequency import freq_table
+from tablesmith.session import checkpoint_dir
 
 # Above this many kept categories the grouper joins a broadcast table instead of
-# inlining an IN list.
+# inlining an IN list; above MAX_MODEL_VALUES the kept set lives in a table, not the model.
 INLINE_VALUES = 1000
+MAX_MODEL_VALUES = 100_000
 
 
 def _identity(x):
@@ -147,7 +151,12 @@ class CategoricalImputer(Estimator, _Base):
 # ---------------------------------------------------------------- category grouper (#58)
 class CategoryGrouper(Estimator, _Base):
     """Keep the categories seen at least ``minFreq`` times in train (per column through
-    ``minFreqs``); everything else, unseen values included, becomes ``otherLabel``."""
+    ``minFreqs``); everything else, unseen values included, becomes ``otherLabel``.
+
+    The kept set is small for the usual thresholds and is stored in the model. When it is
+    larger than ``MAX_MODEL_VALUES`` (a high-cardinality column with a low threshold) it
+    is written once to the shared checkpoint folder and the transform joins against it,
+    so no data-sized list passes through the driver."""
     minFreq = Param(Params._dummy(), "minFreq", "default threshold", typeConverter=TypeConverters.toInt)
     minFreqs = Param(Params._dummy(), "minFreqs", "threshold per column", typeConverter=_identity)
     otherLabel = Param(Params._dummy(), "otherLabel", "label of folded values", typeConverter=TypeConverters.toString)
@@ -162,21 +171,32 @@ class CategoryGrouper(Estimator, _Base):
         cols = self._cols()
         per = dict(self.getOrDefault(self.minFreqs) or {})
         default = self.getOrDefault(self.minFreq)
-        th = df.sparkSession.createDataFrame([(c, int(per.get(c, default))) for c in cols],
-                                             "column string, min_freq int")
+        spark = df.sparkSession
+        th = spark.createDataFrame([(c, int(per.get(c, default))) for c in cols], "column string, min_freq int")
         kept = (freq_table(df, cols).join(F.broadcast(th), "column").where(F.col("n") >= F.col("min_freq"))
-                .groupBy("column").agg(F.sort_array(F.collect_list("value")).alias("kept")).collect())
-        vals = {c: [] for c in cols}
-        vals.update({r["column"]: list(r["kept"]) for r in kept})
-        return CategoryGrouperModel(inputCols=cols, values=vals, otherLabel=self.getOrDefault(self.otherLabel))
+                .select("column", "value"))
+        head = kept.limit(MAX_MODEL_VALUES + 1).collect()
+        other = self.getOrDefault(self.otherLabel)
+        if len(head) <= MAX_MODEL_VALUES:
+            vals = {c: [] for c in cols}
+            for r in head:
+                vals[r["column"]].append(r["value"])
+            vals = {c: sorted(v) for c, v in vals.items()}
+            return CategoryGrouperModel(inputCols=cols, values=vals, otherLabel=other)
+        path = f"{checkpoint_dir(spark).rstrip('/')}/grouper-{uuid.uuid4().hex}"
+        kept.write.mode("overwrite").parquet(path)
+        return CategoryGrouperModel(inputCols=cols, values={c: None for c in cols}, otherLabel=other, keptPath=path)
 
 
 class CategoryGrouperModel(Model, _Base, _FittedValues):
     otherLabel = Param(Params._dummy(), "otherLabel", "label of folded values", typeConverter=TypeConverters.toString)
+    keptPath = Param(Params._dummy(), "keptPath", "table of kept values when too many for the model",
+                     typeConverter=_identity)
 
     @keyword_only
-    def __init__(self, inputCols=None, values=None, otherLabel="Other"):
+    def __init__(self, inputCols=None, values=None, otherLabel="Other", keptPath=None):
         super().__init__()
+        self._setDefault(keptPath=None)
         self._set(**self._input_kwargs)
 
     def kept(self) -> dict:
@@ -184,15 +204,21 @@ class CategoryGrouperModel(Model, _Base, _FittedValues):
 
     def _transform(self, df):
         other = F.lit(self.getOrDefault(self.otherLabel))
+        path = self.getOrDefault(self.keptPath)
         out = df
         for c, kept in self.kept().items():
             col = F.col(q(c)).cast("string")
-            if len(kept) <= INLINE_VALUES:
+            if path is None and len(kept) <= INLINE_VALUES:
                 out = out.withColumn(c, F.when(col.isin(kept), col).otherwise(other))
-            else:
+                continue
+            if path is None:
                 tab = out.sparkSession.createDataFrame([(v,) for v in kept], "__kept string")
-                out = (out.join(F.broadcast(tab), col == F.col("__kept"), "left")
-                       .withColumn(c, F.when(F.col("__kept").isNotNull(), col).otherwise(other)).drop("__kept"))
+                tab = F.broadcast(tab)
+            else:  # data-sized: a regular (shuffle) join; AQE splits a hot value's partition
+                tab = (out.sparkSession.read.parquet(path).where(F.col("column") == c)
+                       .select(F.col("value").alias("__kept")))
+            out = (out.join(tab, col == F.col("__kept"), "left")
+                   .withColumn(c, F.when(F.col("__kept").isNotNull(), col).otherwise(other)).drop("__kept"))
         return out
 
 

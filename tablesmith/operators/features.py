@@ -41,18 +41,24 @@ def feature_flags(roles: DataFrame, redundant: list[str] | None = None,
 
 def propose_groupings(df: DataFrame, cols: list[str], min_freqs: dict | None = None, default_min_freq: int = 10,
                       other_label: str = "Other") -> DataFrame:
-    """Per column the values seen fewer than ``min_freq`` times:
-    (column, rare_categories sorted array, n_rare, min_freq, other_label). Columns without
-    a rare value are omitted. One frequency shuffle for all columns."""
+    """The values to fold per column: (column, value, n, min_freq, other_label), one row
+    per value seen fewer than ``min_freq`` times; columns without a rare value have no
+    rows. Long form on purpose: a high-cardinality column can have nearly all of its
+    values rare, so they are never gathered into one array. One frequency shuffle for
+    all columns; see :func:`grouping_summary` for the per-column count."""
     spark = df.sparkSession
     min_freqs = min_freqs or {}
     th = spark.createDataFrame([(c, int(min_freqs.get(c, default_min_freq))) for c in cols],
                                "column string, min_freq int")
     rare = freq_table(df, cols).join(F.broadcast(th), "column").where(F.col("n") < F.col("min_freq"))
-    return rare.groupBy("column", "min_freq").agg(
-        F.sort_array(F.collect_list("value")).alias("rare_categories"),
-        F.count(F.lit(1)).cast("bigint").alias("n_rare")).select(
-        "column", "rare_categories", "n_rare", "min_freq", F.lit(other_label).alias("other_label"))
+    return rare.select("column", "value", F.col("n").cast("bigint").alias("n"), "min_freq",
+                       F.lit(other_label).alias("other_label"))
+
+
+def grouping_summary(proposal: DataFrame) -> DataFrame:
+    """(column, n_rare, min_freq, other_label) from :func:`propose_groupings`."""
+    return proposal.groupBy("column", "min_freq", "other_label").agg(
+        F.count(F.lit(1)).cast("bigint").alias("n_rare")).select("column", "n_rare", "min_freq", "other_label")
 
 
 def feature_issues(df: DataFrame, roles: DataFrame, max_card: int = 20) -> DataFrame:

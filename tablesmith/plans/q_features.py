@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from tablesmith.operators import features as FE
 from tablesmith.plans.frames import ord_clean, sql_with
 from tablesmith.plans.q_explore import freq_sql
@@ -46,13 +44,12 @@ def q_feature_flags(spark, d):
 
 
 @query("propose_groupings", sql_with(f"""
-    SELECT "column", string_agg(value, '|' ORDER BY value) AS rare_categories, CAST(count(*) AS BIGINT) AS n_rare,
-           CAST(CASE "column" WHEN 'lang' THEN 130 ELSE 50 END AS INTEGER) AS min_freq, 'Other' AS other_label
+    SELECT "column", value, CAST(n AS BIGINT) AS n, CAST(CASE "column" WHEN 'lang' THEN 130 ELSE 50 END AS INTEGER)
+             AS min_freq, 'Other' AS other_label
     FROM ({freq_sql('v_doc', V.DOC_CATEGORICAL)})
-    WHERE n < CASE "column" WHEN 'lang' THEN 130 ELSE 50 END GROUP BY "column" """, views=["v_doc"]))
+    WHERE n < CASE "column" WHEN 'lang' THEN 130 ELSE 50 END""", views=["v_doc"]))
 def q_propose_groupings(spark, d):
-    out = FE.propose_groupings(V.v_doc(spark, d), V.DOC_CATEGORICAL, GROUP_MIN_FREQ)
-    return out.withColumn("rare_categories", F.array_join("rare_categories", "|"))
+    return FE.propose_groupings(V.v_doc(spark, d), V.DOC_CATEGORICAL, GROUP_MIN_FREQ)
 
 
 @query("feature_issues", sql_with(_ROLES_SQL + f"""

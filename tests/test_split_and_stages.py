@@ -142,3 +142,14 @@ def test_run_table_and_roles(spark, tmpdir_path):
     P.save_roles(roles, os.path.join(tmpdir_path, "roles"))
     back = P.load_roles(spark, os.path.join(tmpdir_path, "roles"))
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, roles.collect()))
+
+
+def test_grouper_large_kept_set_uses_table(spark, monkeypatch):
+    from tablesmith.ml import stages
+    monkeypatch.setattr(stages, "MAX_MODEL_VALUES", 3)
+    df = spark.createDataFrame([(f"v{i % 6}",) for i in range(60)] + [("rare",)], "v string")
+    m = CategoryGrouper(inputCols=["v"], minFreq=2).fit(df)
+    assert m.getOrDefault(m.keptPath) is not None
+    got = sorted({r.v for r in m.transform(df).collect()})
+    assert got == ["Other", "v0", "v1", "v2", "v3", "v4", "v5"]
+    assert m.transform(df).count() == 61
