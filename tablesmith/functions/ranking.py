@@ -147,11 +147,13 @@ def _exact_finish(pending, result, window_rows, x):
         result[t] = (r["__v"], s["below"] + r["__less"])
 
 
-def quantile_values(long_df: DataFrame, keys: list[str], x: str, probs: list[float], **kw) -> list[dict]:
+def quantile_values(long_df: DataFrame, keys: list[str], x: str, probs: list[float], stats: list[dict] | None = None,
+                    **kw) -> list[dict]:
     """Exact linearly interpolated quantiles (the pandas/Spark ``percentile`` definition)
     of ``x`` per key group: position ``(n-1)*p`` between the two neighbouring order
-    statistics. Returns dict rows with the keys, ``p``, ``q`` and ``n``."""
-    stats = key_stats(long_df, keys, x)
+    statistics. Returns dict rows with the keys, ``p``, ``q`` and ``n``. ``stats`` (as
+    from :func:`key_stats`) can be passed when a profile already computed them."""
+    stats = stats if stats is not None else key_stats(long_df, keys, x)
     targets = set()
     plan = []
     for s in stats:

@@ -73,7 +73,8 @@ def _scored(model, df, label):
 
 
 def grid_search(train: DataFrame, cfg: PrepConfig, grid, *, fold_col: str = "fold", model: str = "LogisticRegression",
-                scoring: str = "accuracy", experiment: str = "experiment", refit: bool = True):
+                scoring: str = "accuracy", experiment: str = "experiment", refit: bool = True,
+                model_params: dict | None = None):
     """Cross-validate every candidate on the folds of ``fold_col``.
 
     Returns ``(cv_long, best_params, best_model)`` where ``cv_long`` is
@@ -81,7 +82,7 @@ def grid_search(train: DataFrame, cfg: PrepConfig, grid, *, fold_col: str = "fol
     'test'; invalid combinations get a NULL score."""
     if scoring not in SCORERS:
         raise ValueError(f"unknown scoring {scoring}")
-    cands = expand_grid(grid)
+    cands = [{**(model_params or {}), **c} for c in expand_grid(grid)]
     _check_names(cands)
     folds = sorted(r[0] for r in train.select(fold_col).distinct().collect())
     groups = {}

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablesmith.functions.columns import categorical_columns, is_numeric, numeric_columns, q
-from tablesmith.functions.ranking import quantiles_long
+from tablesmith.functions.ranking import quantile_values, quantiles_long, to_long_numeric
 from tablesmith.operators.frequency import freq_table
 
 NUMERIC_STATS = ["n", "n_null", "n_negative", "min", "max", "mean", "std", "std_pop"]
@@ -48,8 +48,13 @@ def numeric_profile(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
         aggs += [F.count(x).alias(f"{c}__n"), F.count_if(x.isNull()).alias(f"{c}__n_null"),
                  F.count_if(x < 0).alias(f"{c}__n_negative"), F.min(x).alias(f"{c}__min"),
                  F.max(x).alias(f"{c}__max"), F.avg(x).alias(f"{c}__mean"),
-                 F.stddev_samp(x).alias(f"{c}__std"), F.stddev_pop(x).alias(f"{c}__std_pop")]
+                 F.stddev_samp(x).alias(f"{c}__std")]
     wide = df.agg(*aggs)
+    # one central-moment aggregate per column: the population deviation follows from the
+    # sample one (std_pop = std * sqrt((n - 1) / n); n = 1 gives 0)
+    wide = wide.select("*", *[F.when(F.col(f"{c}__n") == 1, F.lit(0.0)).otherwise(
+        F.col(f"{c}__std") * F.sqrt((F.col(f"{c}__n") - 1) / F.col(f"{c}__n"))).alias(f"{c}__std_pop")
+        for c in cols])
     return _long_from_row(wide, cols, NUMERIC_STATS, {"n": "bigint", "n_null": "bigint", "n_negative": "bigint"})
 
 
@@ -117,13 +122,20 @@ def describe_all(df: DataFrame, probs=(0.25, 0.5, 0.75)) -> DataFrame:
 
 
 def describe_numerical(df: DataFrame, cols: list[str], probs=(0.25, 0.5, 0.75)) -> DataFrame:
-    """(column, n, mean, std, min, p25, p50, p75, max): exact interpolated quartiles."""
-    prof = numeric_profile(df, cols).select("column", "n", "mean", "std", "min", "max")
-    qs = quantiles_long(df, cols, list(probs))
+    """(column, n, mean, std, min, p25, p50, p75, max): exact interpolated quartiles.
+
+    The one-pass profile (one row per column, collected) also supplies the count and
+    range the quantile kernel starts from, so the kernel adds only its refinement passes."""
+    prof = numeric_profile(df, cols).select("column", "n", "mean", "std", "min", "max").collect()
+    stats = [{"column": r["column"], "__n": r["n"], "__min": r["min"], "__max": r["max"]} for r in prof if r["n"]]
+    qrows = quantile_values(to_long_numeric(df, cols), ["column"], "x", list(probs), stats=stats)
     names = {p: "p" + format(round(p * 100, 4), "g").replace(".", "_") for p in probs}
-    piv = qs.groupBy("column").agg(*[F.max(F.when(F.col("p") == p, F.col("q"))).alias(n) for p, n in names.items()])
-    out = prof.join(piv, "column", "left")
-    return out.select("column", "n", "mean", "std", "min", *names.values(), "max")
+    qmap = {(r["column"], r["p"]): r["q"] for r in qrows}
+    rows = [(r["column"], r["n"], r["mean"], r["std"], r["min"], *[qmap.get((r["column"], float(p))) for p in probs],
+             r["max"]) for r in prof]
+    schema = ("column string, n bigint, mean double, std double, min double, " +
+              ", ".join(f"{n} double" for n in names.values()) + ", max double")
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
 def describe_categorical(df: DataFrame, cols: list[str], k: int = 10) -> DataFrame:

@@ -7,6 +7,8 @@ from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from tablesmith import workflow as W
+from tablesmith.config import RunConfig
 from tablesmith.ml import search as S
 from tablesmith.ml.assembly import PrepConfig, build_pipeline, feature_array, score_frame
 from tablesmith.ml.stages import (CategoricalImputer, CategoryGrouper, ClassWeights, NumericImputer, NumericScaler,
@@ -269,3 +271,18 @@ def q_cv_results(spark, d):
                             FROM ranked) WHERE r = 1""", views=["v_scores"]).replace("\n\n    , sc AS", ",\n    sc AS"))
 def q_leaderboard(spark, d):
     return _cv_cols(S.leaderboard(S.cv_results(_threshold_cv(spark, d))))
+
+
+# ---------------------------------------------------------------- end-to-end run (rows-only check)
+ORD_RUN = RunConfig(path="", target="status", target_mapping={"F": 0, "O": 1},
+                    expected_columns=["o_orderkey", "o_totalprice", "c_acctbal", "o_orderpriority", "c_mktsegment",
+                                      "n_name", "status"],
+                    drop_features=[], grouping={"n_name": 600}, model="LogisticRegression",
+                    model_params={"C": 1.0}, folds=3, key="o_orderkey", null_tokens=("?", "4-NOT SPECIFIED"),
+                    experiment="orders")
+
+
+@query("workflow_orders")
+def q_workflow_orders(spark, d):
+    """The whole batch run on the order frame; returns the test metrics of the refit model."""
+    return W.run(V.v_ord(spark, d), ORD_RUN)["test_metrics"]
