@@ -1,6 +1,8 @@
 """Physical-plan checks: column pruning at the scan, no Python in the row path, one scan
 for the one-pass profile, and no single-partition exchange under the curve windows."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from tablesmith.functions.ranking import running_totals
@@ -33,5 +35,11 @@ def test_running_totals_partitioned_window(spark):
                                   F.lit(1).alias("v"))
     out = running_totals(df, ["run"], "score", ["v"], rows_per_bucket=100)
     plan = _plan(out)
-    assert "SinglePartition" not in plan
+    # the row-level window is hash-partitioned by bucket; a single-partition exchange may
+    # only feed the bucket-totals window (at most one row per bucket)
+    assert re.search(r"Exchange hashpartitioning\([^)]*__b", plan)
+    for line in plan.splitlines():
+        if "SinglePartition" in line:
+            below = plan[plan.index(line):]
+            assert "HashAggregate" in below.splitlines()[1], "single partition must sit on the bucket totals"
     assert out.agg(F.max("cum_v")).first()[0] == 5000
