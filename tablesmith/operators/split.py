@@ -64,9 +64,10 @@ def _class_counts(df: DataFrame, label: str) -> list[tuple]:
     return sorted(((r[label], r["n"]) for r in rows), key=lambda t: (t[0] is None, t[0]))
 
 
-def _boundaries(df: DataFrame, label: str, key: list[str], seed: int, ranks: dict) -> DataFrame:
+def _boundaries(df: DataFrame, label: str, key: list[str], seed: int, ranks: dict) -> dict:
     """Exact boundary rows: for each class and each 0-based rank in ``ranks[class]`` the
-    (h, key...) of the row at that rank. Returns (label, rank, h, key...) as a small frame."""
+    sort key (h, key...) of the row at that rank: ``{class: [(rank, (h, key...)), ...]}``
+    (at most classes x boundaries entries)."""
     spark = df.sparkSession
     h = _sort_key(df, key, seed)
     data = df.where(F.col(q(label)).isNotNull()).select(F.col(q(label)), h.alias("__h"), *[F.col(q(c)) for c in key])
@@ -85,13 +86,19 @@ def _boundaries(df: DataFrame, label: str, key: list[str], seed: int, ranks: dic
                 .withColumn("__i", F.row_number().over(w) - 1).where(F.col("__i") == F.col("__off"))
                 .select("__c", "__r", "__h", *[F.col(q(c)) for c in key]).collect())
         rows = [tuple(t) for t in ties]
-    schema = (f"{q(label)} {df.schema[label].dataType.simpleString()}, __rank long, __h long, " +
-              ", ".join(f"{q(c)} {df.schema[c].dataType.simpleString()}" for c in key))
-    return spark.createDataFrame(rows, schema)
+    out = {}
+    for r in rows:
+        out.setdefault(r[0], []).append((r[1], tuple(r[2:])))
+    return {c: sorted(v) for c, v in out.items()}
 
 
-def _row_struct(cols):
-    return F.struct(*[F.col(q(c)).alias(f"k{i}") for i, c in enumerate(cols)])
+def _threshold_frame(spark, df: DataFrame, label: str, key: list[str], rows: list[tuple], extra: str):
+    """One small broadcastable table built on the driver: (label, extra..., boundary
+    struct(s)). ``rows`` are already in that column order."""
+    st = "struct<k0: bigint, " + ", ".join(f"k{i + 1}: {df.schema[c].dataType.simpleString()}"
+                                             for i, c in enumerate(key)) + ">"
+    schema = f"{q(label)} {df.schema[label].dataType.simpleString()}, {extra.format(st=st)}"
+    return F.broadcast(spark.createDataFrame(rows, schema))
 
 
 def stratified_split(df: DataFrame, label: str, key: list[str] | str, test_size: float = 0.2, seed: int = 42,
@@ -116,14 +123,12 @@ def stratified_split(df: DataFrame, label: str, key: list[str] | str, test_size:
             ranks[c] = [t]
     bounds = _boundaries(df, label, key, seed, ranks)
     spark = df.sparkSession
-    edge = spark.createDataFrame([(c, t == 0, t == nc) for c, t, nc in zip(classes, tests, ns)],
-                                 f"{q(label)} {df.schema[label].dataType.simpleString()}, __none boolean, __all boolean")
-    th = (edge.join(bounds.select(q(label), F.struct(F.col("__h").alias("k0"), *[F.col(q(c)).alias(f"k{i + 1}")
-                                                                                 for i, c in enumerate(key)])
-                                  .alias("__th")), label, "left"))
+    rows = [(c, t == 0, t == nc, bounds[c][0][1] if c in bounds else None)
+            for c, t, nc in zip(classes, tests, ns)]
+    th = _threshold_frame(spark, df, label, key, rows, "__none boolean, __all boolean, __th {st}")
     h = _sort_key(df, key, seed)
     mine = F.struct(h.alias("k0"), *[F.col(q(c)).alias(f"k{i + 1}") for i, c in enumerate(key)])
-    out = df.where(F.col(q(label)).isNotNull()).join(F.broadcast(th), label)
+    out = df.where(F.col(q(label)).isNotNull()).join(th, label)
     is_test = F.when(F.col("__all"), True).when(F.col("__none"), False).otherwise(mine < F.col("__th"))
     out = out.withColumn(side_col, F.when(is_test, "test").otherwise("train")).drop("__none", "__all", "__th")
     report = {"n": n, "n_test": n_test, "n_null_label": None,
@@ -159,12 +164,12 @@ def stratified_folds(df: DataFrame, label: str, key: list[str] | str, k: int = 5
         if starts:
             ranks[c] = starts
     bounds = _boundaries(df, label, key, seed, ranks)
-    th = bounds.groupBy(q(label)).agg(F.collect_list(F.struct(F.col("__h").alias("k0"), *[
-        F.col(q(c)).alias(f"k{i + 1}") for i, c in enumerate(key)])).alias("__ths"))
+    rows = [(c, [b for _, b in bounds.get(c, [])]) for c in classes]
+    th = _threshold_frame(df.sparkSession, df, label, key, rows, "__ths array<{st}>")
     h = _sort_key(df, key, seed)
     mine = F.struct(h.alias("k0"), *[F.col(q(c)).alias(f"k{i + 1}") for i, c in enumerate(key)])
     ids = F.create_map(*[x for c in classes for x in (F.lit(c), F.array(*[F.lit(v) for v in fold_ids[c]]))])
-    out = df.where(F.col(q(label)).isNotNull()).join(F.broadcast(th), label, "left")
+    out = df.where(F.col(q(label)).isNotNull()).join(th, label, "left")
     pos = F.coalesce(F.size(F.filter(F.col("__ths"), lambda t: t <= mine)), F.lit(0))
     fold = F.element_at(F.element_at(ids, F.col(q(label))), (pos + 1).cast("int"))
     return out.withColumn(fold_col, fold.cast("int")).drop("__ths")

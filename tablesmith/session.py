@@ -45,14 +45,18 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins. Only when it is unset (local runs and tests)
-    a fresh scratch folder is created and registered.
+    The cluster's setting always wins. Only when it is unset on a local master (local
+    runs and tests) a fresh scratch folder is created; on a cluster an unset setting is
+    an error, since a machine-local folder would not survive an executor loss.
     """
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        master = spark.sparkContext.master or ""
+        if not master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/DBFS...) for cluster runs")
         configured = tempfile.mkdtemp(prefix="tablesmith-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(configured)
     return spark.sparkContext.getCheckpointDir() or configured
