@@ -84,6 +84,8 @@ def grid_search(train: DataFrame, cfg: PrepConfig, grid, *, fold_col: str = "fol
         raise ValueError(f"unknown scoring {scoring}")
     cands = [{**(model_params or {}), **c} for c in expand_grid(grid)]
     _check_names(cands)
+    # every fold and candidate re-reads the training frame: keep it for the loop's duration
+    train = train.persist(StorageLevel.MEMORY_AND_DISK)
     folds = sorted(r[0] for r in train.select(fold_col).distinct().collect())
     groups = {}
     for i, c in enumerate(cands):
@@ -135,6 +137,7 @@ def grid_search(train: DataFrame, cfg: PrepConfig, grid, *, fold_col: str = "fol
         best_params = cands[best]
         if refit:
             best_model = build_pipeline_for(cfg, best_params, model).fit(train)
+    train.unpersist()
     return cv, best_params, best_model
 
 
@@ -175,6 +178,7 @@ def nan_audit(train: DataFrame, cfg: PrepConfig, grid) -> DataFrame:
     spark = train.sparkSession
     cands = [{}] + expand_grid(grid)
     rows = []
+    train = train.persist(StorageLevel.MEMORY_AND_DISK)
     for i, c in enumerate(cands):
         try:
             prep = Pipeline(stages=preprocessing_stages(_prep_of(cfg, {k: v for k, v in c.items()
@@ -183,6 +187,7 @@ def nan_audit(train: DataFrame, cfg: PrepConfig, grid) -> DataFrame:
             rows.append((i, {k: json.dumps(v, default=str) for k, v in c.items()}, int(n), None))
         except Exception as e:  # noqa: BLE001
             rows.append((i, {k: json.dumps(v, default=str) for k, v in c.items()}, None, str(e)[:200]))
+    train.unpersist()
     return spark.createDataFrame(rows, "combination int, params map<string,string>, n_missing bigint, error string")
 
 

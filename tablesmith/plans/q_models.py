@@ -18,6 +18,7 @@ from tablesmith.plans.frames import ord_clean, sql_with
 from tablesmith.plans.q_explore import freq_sql
 from tablesmith.plans.registry import query
 from tablesmith.plans.sqlgen import r6
+from tablesmith.session import checkpoint_dir
 from tablesmith.sources import views as V
 
 # Query parameters.
@@ -158,8 +159,13 @@ DOC_CFG = dict(num_cols=V.DOC_NUMERIC, cat_cols=V.DOC_CATEGORICAL, grouping={"so
 
 
 def _doc_labelled(spark, d):
-    return (V.v_doc(spark, d).where(F.col("quality").isNotNull())
-            .withColumn("label", F.col("quality").cast("double")).drop("quality"))
+    """Labelled documents as a model frame. Fitting reads it many times (each stage's
+    statistics, every optimiser iteration), so it is written once to the shared
+    checkpoint folder, as training data is cached before an MLlib fit."""
+    df = (V.v_doc(spark, d).where(F.col("quality").isNotNull())
+          .withColumn("label", F.col("quality").cast("double")).drop("quality"))
+    checkpoint_dir(spark)
+    return df.checkpoint(eager=True)
 
 
 def _doc_split(spark, d):

@@ -64,8 +64,9 @@ def v_doc(spark: SparkSession, d: str) -> DataFrame:
     """documents with their (partial) quality labels: the model frame."""
     docs = read_table(spark, d, "documents")
     labels = read_table(spark, d, "labels").select("doc_id", "quality")
-    # lower-case letters = characters removed by deleting a-z (a character map, no regex)
-    n_lower = F.length("text") - F.length(F.translate("text", "abcdefghijklmnopqrstuvwxyz", ""))
+    # lower-case letters: what is left after deleting every run of other characters
+    # (runs, not single characters: measured fastest among translate/regexp_count/this)
+    n_lower = F.length(F.regexp_replace("text", "[^a-z]+", ""))
     lower = n_lower.cast("double") / F.length("text")
     return docs.join(labels, "doc_id", "left").select(
         "doc_id", "n_chars", lower.alias("lower_share"), "lang", "source", "quality")
