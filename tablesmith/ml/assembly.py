@@ -4,7 +4,8 @@
 categorical CategoricalImputer -> CategoryGrouper (configured columns) -> StringIndexer
 (alphabetical, unseen kept) -> OneHotEncoder (dropLast: an unseen value is all zeros and
 every known category keeps its slot); VectorAssembler (numeric first); class weights;
-classifier. Every stage parameter is addressable by a flat grid name (see ``PARAM_NAMES``).
+classifier. Every stage parameter is addressable by a flat grid name (``ml.search.PREP_FIELDS``,
+``ml.search.MODEL_PARAMS``, ``grouping.<column>``).
 """
 
 from __future__ import annotations
@@ -121,7 +122,9 @@ def preprocessing_stages(cfg: PrepConfig) -> list:
         idx = [f"{c}__idx" for c in cat]
         oh = [f"{c}__oh" for c in cat]
         stages += [StringIndexer(inputCols=cat, outputCols=idx, stringOrderType="alphabetAsc", handleInvalid="keep"),
-                   OneHotEncoder(inputCols=idx, outputCols=oh, dropLast=True, handleInvalid="keep")]
+                   # the indexer's metadata already counts the unknown index last, so dropLast
+                   # removes exactly that slot: an unseen value encodes as all zeros
+                   OneHotEncoder(inputCols=idx, outputCols=oh, dropLast=True, handleInvalid="error")]
     stages.append(VectorAssembler(inputCols=num + oh, outputCol="features", handleInvalid="keep"))
     stages.append(ClassWeights(labelCol=cfg.label, outputCol="weight", mode=cfg.class_weight))
     return stages

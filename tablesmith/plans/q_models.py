@@ -137,7 +137,7 @@ def q_one_hot(spark, d):
     m = Pipeline(stages=[StringIndexer(inputCol="lang", outputCol="lang_idx", stringOrderType="alphabetAsc",
                                        handleInvalid="keep"),
                          OneHotEncoder(inputCol="lang_idx", outputCol="lang_oh", dropLast=True,
-                                       handleInvalid="keep")]).fit(df)
+                                       handleInvalid="error")]).fit(df)
     n = len(m.stages[0].labels)
     out = m.transform(df).withColumn("__a", vector_to_array("lang_oh"))
     return out.select("doc_id", "lang", *[F.col("__a")[i].alias(f"oh_{i}") for i in range(n)])

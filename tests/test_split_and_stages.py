@@ -3,7 +3,7 @@
 import os
 
 import pytest
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
@@ -90,9 +90,11 @@ def test_pipeline_persistence_and_unseen_category(spark, tmpdir_path):
     b = score_frame(loaded, df, "r", key="k").orderBy("k").collect()
     assert [r.score for r in a] == [r.score for r in b]
     unseen = df.limit(3).withColumn("cat", F.lit("never"))
-    feats = Pipeline(stages=model.stages[:-1])
     assert missing_cells(model, unseen).first()[0] == 0
-    del feats
+    # numeric slot first, then the one-hot slots of 'cat': all zeros for an unseen value
+    from pyspark.ml.functions import vector_to_array
+    vecs = [r.a for r in model.transform(unseen).select(vector_to_array("features").alias("a")).collect()]
+    assert all(sum(v[1:]) == 0.0 for v in vecs) and all(len(v) == 3 for v in vecs)
 
 
 def test_auc_matches_mllib_and_symmetry(spark):
