@@ -100,7 +100,9 @@ def rank_select(data: DataFrame, keys: list[str], x: str, stats: list[dict], tar
             w = window_rows(brackets)
             xd = F.col(q(x)).cast("double")
             lo_d, hi_d = F.col("__lo").cast("double"), F.col("__hi").cast("double")
-            b = F.least(F.floor((xd - lo_d) / (hi_d - lo_d) * F.lit(float(bins))), F.lit(bins - 1))
+            # try_divide: two distinct 64-bit keys can round to the same double
+            b = F.coalesce(F.least(F.floor(F.try_divide(xd - lo_d, hi_d - lo_d) * F.lit(float(bins))),
+                                   F.lit(bins - 1)), F.lit(0))
             hist = (w.groupBy("__bid", b.alias("__bin"))
                     .agg(F.count(F.lit(1)).alias("__c"), F.min(q(x)).alias("__bmin"), F.max(q(x)).alias("__bmax"))
                     .collect())

@@ -88,12 +88,41 @@ def null_counts(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     return _long_from_row(wide, cols, ["n_null"], {"n_null": "bigint"})
 
 
-def unique_counts(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """(column, n_unique): distinct non-NULL values per column, from the frequency table
-    (one shuffle for all columns, instead of an Expand per COUNT(DISTINCT))."""
+def unique_counts(df: DataFrame, cols: list[str] | None = None, rsd: float | None = None) -> DataFrame:
+    """(column, n_unique): distinct non-NULL values per column.
+
+    Exact by default: columns are unpivoted by type family (integral as bigint,
+    fractional as double, everything else as string) and counted with one group-by per
+    family, so numbers are hashed as numbers rather than formatted as text, and partial
+    aggregation shrinks each shuffle to the distinct values per task. With ``rsd`` the
+    count is HyperLogLog (``approx_count_distinct``) in a single aggregate, no shuffle of
+    values at all."""
     cols = cols or df.columns
-    per = freq_table(df, cols).groupBy("column").agg(F.count(F.lit(1)).alias("n_unique"))
-    names = _columns_frame(df.sparkSession, df, cols).select("column")
+    spark = df.sparkSession
+    names = _columns_frame(spark, df, cols).select("column")
+    if rsd is not None:
+        wide = df.agg(*[F.approx_count_distinct(F.col(q(c)), rsd).alias(f"{c}__n_unique") for c in cols])
+        return _long_from_row(wide, cols, ["n_unique"], {"n_unique": "bigint"})
+    families = {"bigint": [], "double": [], "string": []}
+    for c in cols:
+        dt = df.schema[c].dataType
+        if isinstance(dt, T.IntegralType):
+            families["bigint"].append(c)
+        elif isinstance(dt, (T.FloatType, T.DoubleType, T.DecimalType)):
+            families["double" if not isinstance(dt, T.DecimalType) else "string"].append(c)
+        else:
+            families["string"].append(c)
+    parts = []
+    for typ, members in families.items():
+        if not members:
+            continue
+        base = df.select(*[F.col(q(c)).cast(typ).alias(c) for c in members])
+        long_df = base.unpivot([], [q(c) for c in members], "column", "value").where(F.col("value").isNotNull())
+        per = long_df.distinct().groupBy("column").agg(F.count(F.lit(1)).alias("n_unique"))
+        parts.append(per)
+    per = parts[0]
+    for p in parts[1:]:
+        per = per.unionByName(p)
     return names.join(per, "column", "left").select("column", F.coalesce("n_unique", F.lit(0)).cast("bigint")
                                                     .alias("n_unique"))
 
