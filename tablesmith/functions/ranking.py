@@ -18,7 +18,6 @@ bounded slice of the data:
 from __future__ import annotations
 
 import math
-from collections import defaultdict
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -104,23 +103,26 @@ def rank_select(data: DataFrame, keys: list[str], x: str, stats: list[dict], tar
             b = F.coalesce(F.least(F.floor(F.try_divide(xd - lo_d, hi_d - lo_d) * F.lit(float(bins))),
                                    F.lit(bins - 1)), F.lit(0))
             hist = (w.groupBy("__bid", b.alias("__bin"))
-                    .agg(F.count(F.lit(1)).alias("__c"), F.min(q(x)).alias("__bmin"), F.max(q(x)).alias("__bmax"))
-                    .collect())
-            per_bid = defaultdict(list)
-            for r in hist:
-                per_bid[r["__bid"]].append((r["__bin"], r["__c"], r["__bmin"], r["__bmax"]))
-            for (key, k), s in big.items():
-                bid = brackets[(key, s["lo"], s["hi"])]
-                rel = k - s["below"]
-                acc = 0
-                for _bin, c, bmin, bmax in sorted(per_bid[bid]):
-                    if acc + c > rel:
-                        shrunk = c < s["size"]
-                        s.update(lo=bmin, hi=bmax, below=s["below"] + acc, size=c)
-                        if not shrunk:  # floating point cannot split the bracket further
-                            s["size"] = min(c, max_window)
-                        break
-                    acc += c
+                    .agg(F.count(F.lit(1)).alias("__c"), F.min(q(x)).alias("__bmin"), F.max(q(x)).alias("__bmax")))
+            # pick each target's bin in Spark (a running count over at most ``bins`` rows per
+            # bracket), so the driver receives one row per target, not the histograms
+            wb = Window.partitionBy("__bid").orderBy("__bin").rowsBetween(Window.unboundedPreceding,
+                                                                          Window.currentRow)
+            hist = hist.withColumn("__cum", F.sum("__c").over(wb))
+            items = list(big.items())
+            tdf = spark.createDataFrame(
+                [(brackets[(key, st["lo"], st["hi"])], k - st["below"], i) for i, ((key, k), st) in enumerate(items)],
+                "__bid long, __rel long, __tid long")
+            picked = (hist.join(F.broadcast(tdf), "__bid")
+                      .where((F.col("__cum") - F.col("__c") <= F.col("__rel")) & (F.col("__rel") < F.col("__cum")))
+                      .select("__tid", "__c", "__bmin", "__bmax", (F.col("__cum") - F.col("__c")).alias("__acc"))
+                      .collect())
+            for r in picked:
+                (t, st) = items[r["__tid"]]
+                shrunk = r["__c"] < st["size"]
+                st.update(lo=r["__bmin"], hi=r["__bmax"], below=st["below"] + r["__acc"], size=r["__c"])
+                if not shrunk:  # floating point cannot split the bracket further
+                    st["size"] = min(r["__c"], max_window)
     else:
         pending = {t: s for t, s in state.items() if t not in result}
         if pending:

@@ -57,11 +57,16 @@ def _sort_key(df: DataFrame, key: list[str], seed: int):
     return F.xxhash64(F.lit(seed), *[F.col(q(c)) for c in key])
 
 
-def _class_counts(df: DataFrame, label: str) -> list[tuple]:
-    rows = df.where(F.col(q(label)).isNotNull()).groupBy(q(label)).agg(F.count(F.lit(1)).alias("n")).collect()
+def _class_counts(df: DataFrame, label: str, with_nulls: bool = False):
+    """Rows per class (sorted by class), from one aggregate; optionally also the number
+    of rows whose label is NULL (they are left out of splits and folds)."""
+    rows = df.groupBy(q(label)).agg(F.count(F.lit(1)).alias("n")).collect()
     if len(rows) > MAX_CLASSES:
         raise ValueError(f"{len(rows)} classes: stratify on a label, not on a key")
-    return sorted(((r[label], r["n"]) for r in rows), key=lambda t: (t[0] is None, t[0]))
+    counts = sorted(((r[label], r["n"]) for r in rows if r[label] is not None), key=lambda t: t[0])
+    if with_nulls:
+        return counts, sum(r["n"] for r in rows if r[label] is None)
+    return counts
 
 
 def _boundaries(df: DataFrame, label: str, key: list[str], seed: int, ranks: dict) -> dict:
@@ -110,7 +115,7 @@ def stratified_split(df: DataFrame, label: str, key: list[str] | str, test_size:
     ``key`` must identify rows uniquely (natural key, or all columns after dedup).
     Returns the frame and a small report dict."""
     key = [key] if isinstance(key, str) else list(key)
-    counts = _class_counts(df, label)
+    counts, n_null = _class_counts(df, label, with_nulls=True)
     classes = [c for c, _ in counts]
     ns = [n for _, n in counts]
     n = sum(ns)
@@ -131,7 +136,7 @@ def stratified_split(df: DataFrame, label: str, key: list[str] | str, test_size:
     out = df.where(F.col(q(label)).isNotNull()).join(th, label)
     is_test = F.when(F.col("__all"), True).when(F.col("__none"), False).otherwise(mine < F.col("__th"))
     out = out.withColumn(side_col, F.when(is_test, "test").otherwise("train")).drop("__none", "__all", "__th")
-    report = {"n": n, "n_test": n_test, "n_null_label": None,
+    report = {"n": n, "n_test": n_test, "n_null_label": n_null,
               "per_class": {c: {"n": nc, "train": t, "test": nc - t} for c, nc, t in zip(classes, ns, train)}}
     return out, report
 

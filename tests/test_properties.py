@@ -53,3 +53,20 @@ def test_shares_sum_to_one(spark):
     assert abs(sum(r.share for r in vc.collect()) - 1.0) < 1e-12
     ct = EX.crosstab_normalized(df, ["v"], "y").groupBy("value").agg(F.sum("share").alias("s")).collect()
     assert all(abs(r.s - 1.0) < 1e-12 for r in ct)
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(sizes=st.lists(st.integers(1, 40), min_size=1, max_size=4), test_size=st.sampled_from([0.1, 0.2, 0.33]))
+def test_split_sizes_property(spark, sizes, test_size):
+    import math
+
+    from tablesmith.operators.split import approximate_mode, stratified_split
+    rows = [(i, c) for c, n in enumerate(sizes) for i in range(sum(sizes[:c]), sum(sizes[:c]) + n)]
+    df = spark.createDataFrame(rows, "k long, y int")
+    out, rep = stratified_split(df, "y", "k", test_size=test_size, seed=3)
+    got = {(r.side, r.y): r["count"] for r in out.groupBy("side", "y").count().collect()}
+    n = sum(sizes)
+    train = approximate_mode(sizes, n - int(math.ceil(test_size * n)))
+    for c, nc in enumerate(sizes):
+        assert got.get(("train", c), 0) == train[c] and got.get(("test", c), 0) == nc - train[c]
+    assert out.count() == n and out.select("k").distinct().count() == n
