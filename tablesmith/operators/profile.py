@@ -156,12 +156,18 @@ def describe_numerical(df: DataFrame, cols: list[str], probs=(0.25, 0.5, 0.75))
     The one-pass profile (one row per column, collected) also supplies the count and
     range the quantile kernel starts from, so the kernel adds only its refinement passes."""
     prof = numeric_profile(df, cols).select("column", "n", "mean", "std", "min", "max").collect()
+    # second-pass correction of the mean (m + avg(x - m)): the residual sum is tiny, so the
+    # result is the mean of the doubles to about an ulp whatever the summation order
+    have = [r for r in prof if r["mean"] is not None]
+    fix = df.agg(*[F.avg(F.col(q(r["column"])).cast("double") - F.lit(r["mean"])).alias(f"c{i}")
+                   for i, r in enumerate(have)]).first() if have else None
+    means = {r["column"]: r["mean"] + (fix[f"c{i}"] or 0.0) for i, r in enumerate(have)}
     stats = [{"column": r["column"], "__n": r["n"], "__min": r["min"], "__max": r["max"]} for r in prof if r["n"]]
     qrows = quantile_values(to_long_numeric(df, cols), ["column"], "x", list(probs), stats=stats)
     names = {p: "p" + format(round(p * 100, 4), "g").replace(".", "_") for p in probs}
     qmap = {(r["column"], r["p"]): r["q"] for r in qrows}
-    rows = [(r["column"], r["n"], r["mean"], r["std"], r["min"], *[qmap.get((r["column"], float(p))) for p in probs],
-             r["max"]) for r in prof]
+    rows = [(r["column"], r["n"], means.get(r["column"]), r["std"], r["min"],
+             *[qmap.get((r["column"], float(p))) for p in probs], r["max"]) for r in prof]
     schema = ("column string, n bigint, mean double, std double, min double, " +
               ", ".join(f"{n} double" for n in names.values()) + ", max double")
     return df.sparkSession.createDataFrame(rows, schema)
