@@ -47,7 +47,8 @@ def sql_with(body: str, views=(), ctes=()) -> str:
     """Oracle SQL: the base views, then named CTEs (in order), then ``body``.
 
     ``ctes`` may contain the names 'ord_tokens', 'ord_norm', 'ord_clean' (resolved here,
-    dependencies added) or (name, sql) pairs."""
+    dependencies added) or (name, sql) pairs. A ``body`` starting with ``, name AS (...)``
+    adds further CTEs before its final SELECT."""
     known = {"ord_tokens": ORD_TOKENS_SQL, "ord_norm": ORD_NORM_SQL, "ord_clean": ORD_CLEAN_SQL}
     chain = {"ord_tokens": ["ord_tokens"], "ord_norm": ["ord_tokens", "ord_norm"],
              "ord_clean": ["ord_tokens", "ord_norm", "ord_clean"]}
@@ -68,4 +69,10 @@ def sql_with(body: str, views=(), ctes=()) -> str:
         head = base + (",\n" + ",\n".join(parts) if parts else "")
     else:
         head = ("WITH " + ",\n".join(parts)) if parts else ""
+    # a body that starts with ", name AS (...)" continues the WITH list
+    stripped = body.lstrip()
+    if stripped.startswith(","):
+        if not head:
+            raise ValueError("a continued WITH list needs views or CTEs before it")
+        return f"{head},\n{stripped[1:].lstrip()}"
     return f"{head}\n{body}"

@@ -51,7 +51,7 @@ def q_describe_numerical(spark, d):
     SELECT "column", CAST(sum(n) AS BIGINT) AS n, CAST(count(*) AS BIGINT) AS n_unique,
            max(value) FILTER (WHERE r = 1) AS most_freq, CAST(max(n) AS BIGINT) AS freq_most_freq,
            string_agg(value || ':' || CAST(n AS VARCHAR), '|' ORDER BY r) FILTER (WHERE r <= 10) AS top_values
-    FROM rk GROUP BY "column" """, ctes=["ord_clean"]).replace("\n    , fr", ",\n    fr"))
+    FROM rk GROUP BY "column" """, ctes=["ord_clean"]))
 def q_describe_categorical(spark, d):
     return EX.describe_categorical(ord_clean(spark, d), CLEAN_CAT, k=10)
 
@@ -88,8 +88,7 @@ def q_top_categories(spark, d):
     grid AS (SELECT "column", lo, hi, t.range AS bin FROM rng, range(0, 10) t)
     SELECT g."column", CAST(g.bin AS BIGINT) AS bin, ROUND(lo + g.bin * ((hi - lo) / 10), 6) AS bin_lo,
            ROUND(lo + (g.bin + 1) * ((hi - lo) / 10), 6) AS bin_hi, CAST(coalesce(c.n, 0) AS BIGINT) AS n
-    FROM grid g LEFT JOIN cnt c ON g."column" = c."column" AND g.bin = c.bin""", views=["v_li"]).replace(
-    "\n    , lng", ",\n    lng"))
+    FROM grid g LEFT JOIN cnt c ON g."column" = c."column" AND g.bin = c.bin""", views=["v_li"]))
 def q_histogram(spark, d):
     return r6(EX.histogram(V.v_li(spark, d), HIST_COLS, bins=10))
 
@@ -109,7 +108,7 @@ def q_histogram(spark, d):
            ROUND(sum(c.c * exp(-0.5 * ((p.x - c.centre) / c.bw) * ((p.x - c.centre) / c.bw)))
                  / (max(c.n_obs) * max(c.bw) * sqrt(2 * pi())), 6) AS density
     FROM pts p JOIN centres c ON p."column" = c."column" GROUP BY p."column", p.point, p.x""",
-    views=["v_li"]).replace("\n    , lng", ",\n    lng"))
+    views=["v_li"]))
 def q_kde(spark, d):
     out = EX.kde(V.v_li(spark, d), KDE_COLS, grid=200)
     return r6(out.withColumn("point", F.col("point").cast("bigint")))
@@ -128,14 +127,14 @@ _BOX_SQL = """
 
 
 @query("box_stats", sql_with(_BOX_SQL.format(long=long_sql("v_li", V.LI_NUMERIC), pre="", fpre="", join_by=""),
-                             views=["v_li"]).replace("\n    , lng", ",\n    lng"))
+                             views=["v_li"]))
 def q_box_stats(spark, d):
     return r6(EX.box_stats(V.v_li(spark, d), V.LI_NUMERIC))
 
 
 @query("box_stats_by", sql_with(_BOX_SQL.format(long=long_sql("v_doc", V.DOC_NUMERIC, ["quality"]), pre="quality, ",
                                                 fpre="f.quality, ", join_by="AND l.quality = f.quality"),
-                                views=["v_doc"]).replace("\n    , lng", ",\n    lng"))
+                                views=["v_doc"]))
 def q_box_stats_by(spark, d):
     return r6(EX.box_stats(V.v_doc(spark, d), V.DOC_NUMERIC, by=["quality"]))
 

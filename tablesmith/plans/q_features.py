@@ -29,8 +29,7 @@ def _roles(spark, d):
     return FE.feature_roles(ord_clean(spark, d), DROP, V.ORD_TARGET)
 
 
-@query("feature_roles", sql_with(_ROLES_SQL + "\nSELECT * FROM roles", ctes=["ord_clean"]).replace(
-    "\n\n    , roles", ",\n    roles"))
+@query("feature_roles", sql_with(_ROLES_SQL + "\nSELECT * FROM roles", ctes=["ord_clean"]))
 def q_feature_roles(spark, d):
     return _roles(spark, d)
 
@@ -38,7 +37,7 @@ def q_feature_roles(spark, d):
 @query("feature_flags", sql_with(_ROLES_SQL + """
     SELECT "column", role, kind, CASE WHEN "column" = 'o_totalprice' THEN 'redundant'
                                       WHEN "column" = 'o_orderkey' THEN 'irrelevant' END AS flag FROM roles""",
-    ctes=["ord_clean"]).replace("\n\n    , roles", ",\n    roles"))
+    ctes=["ord_clean"]))
 def q_feature_flags(spark, d):
     return FE.feature_flags(_roles(spark, d), REDUNDANT, IRRELEVANT)
 
@@ -61,7 +60,7 @@ def q_propose_groupings(spark, d):
            (r.kind = 'categorical' AND coalesce(nu.n_unique, 0) > 20) AS high_cardinality
     FROM roles r JOIN nn ON r."column" = nn.c LEFT JOIN nu ON r."column" = nu.c
     WHERE r.role = 'feature' AND (nn.n_null > 0 OR (r.kind = 'categorical' AND coalesce(nu.n_unique, 0) > 20))""",
-    ctes=["ord_clean"]).replace("\n\n    , roles", ",\n    roles").replace("\n    , nn", ",\n    nn"))
+    ctes=["ord_clean"]))
 def q_feature_issues(spark, d):
     df = ord_clean(spark, d)
     return FE.feature_issues(df, FE.feature_roles(df, DROP, V.ORD_TARGET), max_card=20)

@@ -17,7 +17,7 @@ _S = """
 
 
 def _sql(body):
-    return sql_with(_S + "\n" + body, views=["v_scores"]).replace("\n\n    , s AS", ",\n    s AS")
+    return sql_with(_S + "\n" + body, views=["v_scores"])
 
 
 _COUNTS = """
@@ -78,7 +78,7 @@ _REPORT = """
                      ROUND((f0 * s0 + f1 * s1) / n, 6), CAST(n AS BIGINT) FROM pf"""
 
 
-@query("classification_report", sql_with(_REPORT, views=["v_scores"]).replace("\n\n    , k AS", ",\n    k AS"))
+@query("classification_report", sql_with(_REPORT, views=["v_scores"]))
 def q_classification_report(spark, d):
     return r6(M.classification_report(V.v_scores(spark, d)))
 
@@ -127,14 +127,14 @@ _SWEEP = f"""
 
 @query("threshold_sweep", sql_with(_SWEEP + """
     SELECT run, threshold, ROUND(precision, 6) AS precision, ROUND(recall, 6) AS recall, ROUND(f1, 6) AS f1 FROM f""",
-    views=["v_scores"]).replace("\n\n    , sw AS", ",\n    sw AS"))
+    views=["v_scores"]))
 def q_threshold_sweep(spark, d):
     return r6(M.threshold_sweep(V.v_scores(spark, d)))
 
 
 @query("best_threshold", sql_with(_SWEEP + """
     SELECT run, arg_max(threshold, (ROUND(f1, 12), -threshold)) AS threshold, ROUND(max(f1), 6) AS f1
-    FROM f GROUP BY run""", views=["v_scores"]).replace("\n\n    , sw AS", ",\n    sw AS"))
+    FROM f GROUP BY run""", views=["v_scores"]))
 def q_best_threshold(spark, d):
     return r6(M.best_threshold(M.threshold_sweep(V.v_scores(spark, d))))
 
@@ -145,6 +145,6 @@ def q_best_threshold(spark, d):
               GROUP BY c.run),
     bm AS ({_BM})
     SELECT bm.*, ROUND(auc.roc_auc, 6) AS roc_auc, ROUND(auc.average_precision, 6) AS average_precision
-    FROM bm JOIN auc ON bm.run = auc.run""").replace("\n    , auc AS", ",\n    auc AS"))
+    FROM bm JOIN auc ON bm.run = auc.run"""))
 def q_compare_runs(spark, d):
     return r6(M.compare_runs(V.v_scores(spark, d)))

@@ -32,9 +32,6 @@ def _li(spark, d):
     return V.v_li(spark, d).select("l_orderkey", "l_linenumber", *sorted(set(WIN_COLS + SCALE_COLS)))
 
 
-_LI_SEL = "SELECT l_orderkey, l_linenumber, const_one, l_extendedprice, l_quantity, qty_n FROM v_li"
-
-
 @query("winsorize", sql_with("""
     , lim AS (SELECT quantile_cont(l_extendedprice, 0.01) AS lo1, quantile_cont(l_extendedprice, 0.99) AS hi1,
                      quantile_cont(qty_n, 0.01) AS lo2, quantile_cont(qty_n, 0.99) AS hi2 FROM v_li)
@@ -42,7 +39,7 @@ _LI_SEL = "SELECT l_orderkey, l_linenumber, const_one, l_extendedprice, l_quanti
            ROUND(CASE WHEN l_extendedprice IS NULL THEN NULL ELSE LEAST(GREATEST(l_extendedprice, lo1), hi1) END, 6)
              AS l_extendedprice,
            ROUND(CASE WHEN qty_n IS NULL THEN NULL ELSE LEAST(GREATEST(qty_n, lo2), hi2) END, 6) AS qty_n
-    FROM v_li, lim""", views=["v_li"]).replace("\n\n    , lim", ",\n    lim"))
+    FROM v_li, lim""", views=["v_li"]))
 def q_winsorize(spark, d):
     df = _li(spark, d)
     return r6(Winsorizer(inputCols=WIN_COLS, pmin=0.01, pmax=0.99).fit(df).transform(df))
@@ -86,7 +83,7 @@ def q_impute_constant(spark, d):
       CASE WHEN lang IN (SELECT value FROM fr WHERE "column" = 'lang' AND n >= 130) THEN lang ELSE 'Other' END AS lang,
       CASE WHEN source IN (SELECT value FROM fr WHERE "column" = 'source' AND n >= 50) THEN source ELSE 'Other' END
         AS source
-    FROM v_doc""", views=["v_doc"]).replace("\n\n    , fr", ",\n    fr"))
+    FROM v_doc""", views=["v_doc"]))
 def q_group_rare(spark, d):
     df = V.v_doc(spark, d).select("doc_id", "lang", "source")
     return CategoryGrouper(inputCols=["lang", "source"], minFreqs=GROUPS).fit(df).transform(df)
@@ -131,7 +128,7 @@ def q_scale_robust(spark, d):
              AS oh_2,
            CAST(CASE WHEN lang = (SELECT lang FROM cats ORDER BY lang LIMIT 1 OFFSET 3) THEN 1.0 ELSE 0.0 END AS DOUBLE)
              AS oh_3
-    FROM v_doc""", views=["v_doc"]).replace("\n\n    , cats", ",\n    cats"))
+    FROM v_doc""", views=["v_doc"]))
 def q_one_hot(spark, d):
     df = V.v_doc(spark, d).select("doc_id", "lang")
     m = Pipeline(stages=[StringIndexer(inputCol="lang", outputCol="lang_idx", stringOrderType="alphabetAsc",
@@ -266,15 +263,14 @@ def _cv_cols(df):
                         "std_train_score", "rank_test_score"))
 
 
-@query("cv_results", sql_with(_CV_SQL + f"\nSELECT {_CV_COLS} FROM ranked", views=["v_scores"]).replace(
-    "\n\n    , sc AS", ",\n    sc AS"))
+@query("cv_results", sql_with(_CV_SQL + f"\nSELECT {_CV_COLS} FROM ranked", views=["v_scores"]))
 def q_cv_results(spark, d):
     return _cv_cols(S.cv_results(_threshold_cv(spark, d)))
 
 
 @query("leaderboard", sql_with(_CV_SQL + f"""
     SELECT {_CV_COLS} FROM (SELECT *, row_number() OVER (PARTITION BY experiment ORDER BY rank_test_score, candidate) AS r
-                            FROM ranked) WHERE r = 1""", views=["v_scores"]).replace("\n\n    , sc AS", ",\n    sc AS"))
+                            FROM ranked) WHERE r = 1""", views=["v_scores"]))
 def q_leaderboard(spark, d):
     return _cv_cols(S.leaderboard(S.cv_results(_threshold_cv(spark, d))))
 

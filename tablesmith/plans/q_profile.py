@@ -24,8 +24,7 @@ EVT_STRINGS = ["event_type", "event_pad", "props", "value_txt"]
     exp AS (SELECT unnest({lit_list(ORD_EXPECTED)}) AS c)
     SELECT c AS "column", 'ok' AS status FROM cols WHERE c IN (SELECT c FROM exp)
     UNION ALL SELECT c, 'missing' FROM exp WHERE c NOT IN (SELECT c FROM cols)
-    UNION ALL SELECT c, 'extra' FROM cols WHERE c NOT IN (SELECT c FROM exp)""", views=["v_ord"]).replace(
-    "\n    , cols", ",\n    cols"))
+    UNION ALL SELECT c, 'extra' FROM cols WHERE c NOT IN (SELECT c FROM exp)""", views=["v_ord"]))
 def q_schema_diff(spark, d):
     return PR.schema_diff(V.v_ord(spark, d), ORD_EXPECTED)
 
@@ -116,7 +115,7 @@ def q_duplicate_count(spark, d):
                          CLEAN_ALL)})
     SELECT c AS "column", n AS n_null, CAST((SELECT sum(n) FROM nc) AS BIGINT) AS total_nulls,
            CAST((SELECT n FROM nc WHERE c = 'status') AS BIGINT) AS nulls_in_target FROM nc""",
-    ctes=["ord_clean"]).replace("\n    , nc", ",\n    nc"))
+    ctes=["ord_clean"]))
 def q_missing_summary(spark, d):
     return PR.missing_summary(ord_clean(spark, d), V.ORD_TARGET)
 
@@ -172,7 +171,7 @@ def q_gross_outliers(spark, d):
              AS n_removed,
            CAST((SELECT sum(n) FROM nc) AS BIGINT) AS total_nulls,
            CAST((SELECT n FROM nc WHERE c = 'status') AS BIGINT) AS nulls_in_target""",
-    ctes=["ord_clean"]).replace("\n    , nc", ",\n    nc"))
+    ctes=["ord_clean"]))
 def q_clean_status(spark, d):
     df = ord_clean(spark, d)
     dedup, removed = CL.drop_duplicates(df)

@@ -24,8 +24,7 @@ _ALLOC = """
 
 
 def _split_sql(body, label, src, views=(), ctes=()):
-    return sql_with(_ALLOC.format(label=label, src=src) + "\n" + body, views=views, ctes=ctes).replace(
-        "\n\n    , cc", ",\n    cc")
+    return sql_with(_ALLOC.format(label=label, src=src) + "\n" + body, views=views, ctes=ctes)
 
 
 def _doc_split(spark, d):
@@ -71,7 +70,7 @@ def q_split_quality(spark, d):
           FROM pos, range(0, 5) t)
     SELECT CAST(fold AS INTEGER) AS fold, label,
            CAST(CASE WHEN first >= start + n_c THEN 0 ELSE (start + n_c - 1 - first) // 5 + 1 END AS BIGINT) AS n
-    FROM f WHERE first < start + n_c""", views=["v_doc"]).replace("\n\n    , cc", ",\n    cc"))
+    FROM f WHERE first < start + n_c""", views=["v_doc"]))
 def q_stratified_folds(spark, d):
     folds = SP.stratified_folds(V.v_doc(spark, d), "quality", "doc_id", k=5, seed=42)
     return folds.groupBy("fold", F.col("quality").cast("int").alias("label")).agg(
