@@ -187,27 +187,33 @@ def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
             aggs += [F.count(am).cast("double").alias(f"c{i}_{j}"), F.sum(am).alias(f"sa{i}_{j}"),
                      F.sum(bm).alias(f"sb{i}_{j}"), F.sum(am * am).alias(f"saa{i}_{j}"),
                      F.sum(bm * bm).alias(f"sbb{i}_{j}")]
-    wide = df.agg(*aggs)
+    # one row of k*(k+1)/2 sums: the formula is evaluated on the driver (a few numbers per
+    # pair), so no large expression tree is built, analysed or compiled for the reshape
+    row = df.agg(*aggs).first()
 
-    def r_expr(i, j):
+    def r_of(i, j):
         if (i, j) in masked:
-            n, sa, sb = F.col(f"c{i}_{j}"), F.col(f"sa{i}_{j}"), F.col(f"sb{i}_{j}")
-            saa, sbb = F.col(f"saa{i}_{j}"), F.col(f"sbb{i}_{j}")
+            n, sa, sb = row[f"c{i}_{j}"], row[f"sa{i}_{j}"], row[f"sb{i}_{j}"]
+            saa, sbb = row[f"saa{i}_{j}"], row[f"sbb{i}_{j}"]
         else:
-            n, sa, sb = F.col(f"n{i}"), F.col(f"s{i}"), F.col(f"s{j}")
-            saa, sbb = F.col(f"ss{i}"), F.col(f"ss{j}")
-        cov = F.col(f"p{i}_{j}") - sa * sb / n
+            n, sa, sb = row[f"n{i}"], row[f"s{i}"], row[f"s{j}"]
+            saa, sbb = row[f"ss{i}"], row[f"ss{j}"]
+        sab = row[f"p{i}_{j}"]
+        if not n or sa is None or sb is None or sab is None:
+            return None
+        cov = sab - sa * sb / n
         va, vb = saa - sa * sa / n, sbb - sb * sb / n
-        ok = (n > 0) & (va > 0) & (vb > 0)
-        return F.when(ok, F.least(F.lit(1.0), F.greatest(F.lit(-1.0), cov / F.sqrt(va * vb))))
+        if not (va > 0 and vb > 0):
+            return None
+        return max(-1.0, min(1.0, cov / math.sqrt(va * vb)))
 
-    structs = []
+    out = []
     for i, j in pairs:
-        r = r_expr(i, j)
-        structs.append(F.struct(F.lit(cols[i]).alias("col_a"), F.lit(cols[j]).alias("col_b"), r.alias("r")))
+        r = r_of(i, j)
+        out.append((cols[i], cols[j], r))
         if i != j:
-            structs.append(F.struct(F.lit(cols[j]).alias("col_a"), F.lit(cols[i]).alias("col_b"), r.alias("r")))
-    return wide.select(F.inline(F.array(*structs)))
+            out.append((cols[j], cols[i], r))
+    return df.sparkSession.createDataFrame(out, "col_a string, col_b string, r double")
 
 
 def redundant_pairs(df: DataFrame, cols: list[str], threshold: float = 0.95) -> DataFrame:
