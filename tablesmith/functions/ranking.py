@@ -190,10 +190,21 @@ def quantile_frame(spark: SparkSession, rows: list[dict], key_fields: list[T.Str
 
 
 def quantiles_long(df: DataFrame, cols: list[str], probs: list[float], by: list[str] | None = None,
-                   **kw) -> DataFrame:
-    """Quantiles of several numeric columns at once: (by..., column, p, q, n)."""
+                   accuracy: int | None = None, **kw) -> DataFrame:
+    """Quantiles of several numeric columns at once: (by..., column, p, q, n).
+
+    Exact by default. With ``accuracy`` the values come from one ``percentile_approx``
+    pass instead (rank error about n / accuracy, no refinement passes), lazily."""
     by = list(by or [])
     long_df = to_long_numeric(df, cols, by)
+    if accuracy is not None:
+        keys = [q(k) for k in by] + ["column"]
+        ps = [float(p) for p in probs]
+        agg = long_df.groupBy(*keys).agg(F.percentile_approx("x", ps, accuracy).alias("__qs"),
+                                         F.count(F.lit(1)).alias("n"))
+        return agg.select(*keys, F.inline(F.arrays_zip(F.array(*[F.lit(p) for p in ps]).alias("p"),
+                                                       F.col("__qs").alias("q"))), "n").select(
+            *keys, "p", F.col("q").cast("double").alias("q"), "n")
     rows = quantile_values(long_df, by + ["column"], "x", probs, **kw)
     fields = [df.schema[b] for b in by] + [T.StructField("column", T.StringType())]
     return quantile_frame(df.sparkSession, rows, fields)

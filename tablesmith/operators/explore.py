@@ -105,14 +105,16 @@ def kde(df: DataFrame, cols: list[str], grid: int = 200, cells: int = 1024, cut:
     return dens
 
 
-def box_stats(df: DataFrame, cols: list[str], by: list[str] | None = None, whis: float = 1.5) -> DataFrame:
+def box_stats(df: DataFrame, cols: list[str], by: list[str] | None = None, whis: float = 1.5,
+              accuracy: int | None = None) -> DataFrame:
     """(by..., column, q1, median, q3, iqr, whisker_lo, whisker_hi, n_outliers): whiskers
-    are the furthest points within ``whis`` IQR of the box."""
+    are the furthest points within ``whis`` IQR of the box. Exact quartiles unless
+    ``accuracy`` is given (one ``percentile_approx`` pass)."""
     by = list(by or [])
     src = df
     for b in by:
         src = src.where(F.col(q(b)).isNotNull())
-    qs = quantiles_long(src, cols, [0.25, 0.5, 0.75], by)
+    qs = quantiles_long(src, cols, [0.25, 0.5, 0.75], by, accuracy=accuracy)
     keys = by + ["column"]
     box = qs.groupBy(*[q(k) for k in keys]).agg(
         F.max(F.when(F.col("p") == 0.25, F.col("q"))).alias("q1"),

@@ -150,11 +150,13 @@ def describe_all(df: DataFrame, probs=(0.25, 0.5, 0.75)) -> DataFrame:
     return out
 
 
-def describe_numerical(df: DataFrame, cols: list[str], probs=(0.25, 0.5, 0.75)) -> DataFrame:
+def describe_numerical(df: DataFrame, cols: list[str], probs=(0.25, 0.5, 0.75),
+                       accuracy: int | None = None) -> DataFrame:
     """(column, n, mean, std, min, p25, p50, p75, max): exact interpolated quartiles.
 
     The one-pass profile (one row per column, collected) also supplies the count and
-    range the quantile kernel starts from, so the kernel adds only its refinement passes."""
+    range the quantile kernel starts from, so the kernel adds only its refinement passes.
+    ``accuracy`` trades exactness for a single ``percentile_approx`` pass."""
     prof = numeric_profile(df, cols).select("column", "n", "mean", "std", "min", "max").collect()
     # second-pass correction of the mean (m + avg(x - m)): the residual sum is tiny, so the
     # result is the mean of the doubles to about an ulp whatever the summation order
@@ -163,7 +165,10 @@ def describe_numerical(df: DataFrame, cols: list[str], probs=(0.25, 0.5, 0.75))
                    for i, r in enumerate(have)]).first() if have else None
     means = {r["column"]: r["mean"] + (fix[f"c{i}"] or 0.0) for i, r in enumerate(have)}
     stats = [{"column": r["column"], "__n": r["n"], "__min": r["min"], "__max": r["max"]} for r in prof if r["n"]]
-    qrows = quantile_values(to_long_numeric(df, cols), ["column"], "x", list(probs), stats=stats)
+    if accuracy is not None:
+        qrows = [r.asDict() for r in quantiles_long(df, cols, list(probs), accuracy=accuracy).collect()]
+    else:
+        qrows = quantile_values(to_long_numeric(df, cols), ["column"], "x", list(probs), stats=stats)
     names = {p: "p" + format(round(p * 100, 4), "g").replace(".", "_") for p in probs}
     qmap = {(r["column"], r["p"]): r["q"] for r in qrows}
     rows = [(r["column"], r["n"], means.get(r["column"]), r["std"], r["min"],

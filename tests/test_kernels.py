@@ -81,3 +81,15 @@ def test_top_k_exact_with_salt(spark):
                                                                          ascending=[True, False, True])
     exp = pdf.groupby("column").head(10)
     assert sorted(map(tuple, out[["column", "value"]].values)) == sorted(map(tuple, exp[["column", "value"]].values))
+
+
+def test_approximate_quantiles_close(spark):
+    df = _frame(spark)
+    exact = {(r["column"], r["p"]): r["q"] for r in quantiles_long(df, ["x"], [0.1, 0.5, 0.9]).collect()}
+    approx = quantiles_long(df, ["x"], [0.1, 0.5, 0.9], accuracy=10_000).collect()
+    pdf = df.toPandas()
+    for r in approx:
+        xs = np.sort(pdf["x"].dropna().to_numpy())
+        lo = np.searchsorted(xs, exact[(r["column"], r["p"])], side="left")
+        hi = np.searchsorted(xs, r["q"], side="left")
+        assert abs(int(hi) - int(lo)) <= len(xs) / 10_000 + 2
