@@ -223,12 +223,15 @@ def running_totals(df: DataFrame, part: list[str], order: str, sums: list[str],
     """Inclusive running sums of ``sums`` ordered by ``order`` within ``part``.
 
     ``order`` must be unique within ``part`` (aggregate to distinct values first).
-    Rows are range-bucketed on exact equal-width bins of ``order``; bucket totals
-    (at most a few thousand rows per partition) give each bucket's base, and the window
-    runs inside (part, bucket) partitions only.
+    Rows are range-bucketed on equal-width bins of ``order``; a bin holding far more
+    than its share (values concentrated in a narrow range) is split again into
+    equal-width sub-bins of its own range. Bucket totals (bounded by the bucket count)
+    give each (bucket, sub-bucket) its base, and the window runs inside those partitions
+    only, so no task orders more than about ``rows_per_bucket`` rows per level of skew.
     """
     spark = df.sparkSession
     o = F.col(q(order))
+    keys = list(part)
     st = df.groupBy(*[q(p) for p in part]).agg(F.count(F.lit(1)).alias("__n"), F.min(o).alias("__lo"),
                                                 F.max(o).alias("__hi")).collect()
     nb = max(1, min(1 << 20, max((r["__n"] for r in st), default=1) // rows_per_bucket + 1))
@@ -239,24 +242,43 @@ def running_totals(df: DataFrame, part: list[str], order: str, sums: list[str],
     od = o.cast("double")
     span = F.col("__hi") - F.col("__lo")
     raw = F.when(span > 0, F.least(F.floor((od - F.col("__lo")) / span * F.lit(float(nb))), F.lit(nb - 1))).otherwise(0)
-    bucket = (F.lit(nb - 1) - raw) if descending else raw
     if part:
         with_b = df.join(F.broadcast(bounds), on=part, how="inner")
     else:
         with_b = df.crossJoin(F.broadcast(bounds))  # one bounds row: a projection, not a product
-    with_b = with_b.withColumn("__b", bucket.cast("long")).drop("__lo", "__hi")
-    totals = with_b.groupBy(*[q(p) for p in part], "__b").agg(*[F.sum(q(s)).alias("__t_" + s) for s in sums])
-    wb = Window.partitionBy(*[q(p) for p in part]).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    base = totals.select(*[q(p) for p in part], "__b",
+    with_b = with_b.withColumn("__raw", raw.cast("long"))
+    # second level for heavy bins: at most nb rows per part can be heavy (bounded)
+    heavy = (with_b.groupBy(*[q(p) for p in part], "__raw").agg(F.count(F.lit(1)).alias("__c"))
+             .where(F.col("__c") > 4 * rows_per_bucket).collect())
+    if heavy:
+        hschema = T.StructType(sf + [T.StructField("__raw", T.LongType()), T.StructField("__ns", T.LongType())])
+        hv = spark.createDataFrame([tuple(r[p] for p in part) + (r["__raw"], r["__c"] // rows_per_bucket + 1)
+                                    for r in heavy], hschema)
+        hv = F.broadcast(hv) if len(heavy) <= MAX_BROADCAST_ROWS else hv
+        with_b = with_b.join(hv, keys + ["__raw"], "left")
+        width = span / F.lit(float(nb))
+        blo = F.col("__lo") + F.col("__raw") * width
+        sub = F.greatest(F.lit(0), F.least(F.floor(F.try_divide(od - blo, width) * F.col("__ns")), F.col("__ns") - 1))
+        sub = F.when(F.col("__ns").isNotNull() & (width > 0), sub).otherwise(F.lit(0)).cast("long")
+        sub = (F.coalesce(F.col("__ns"), F.lit(1)) - 1 - sub) if descending else sub
+        with_b = with_b.withColumn("__sb", sub).drop("__ns")
+    else:
+        with_b = with_b.withColumn("__sb", F.lit(0).cast("long"))
+    bucket = (F.lit(nb - 1) - F.col("__raw")) if descending else F.col("__raw")
+    with_b = with_b.withColumn("__b", bucket.cast("long")).drop("__lo", "__hi", "__raw")
+    bk = keys + ["__b", "__sb"]
+    totals = with_b.groupBy(*[q(k) for k in bk]).agg(*[F.sum(q(s)).alias("__t_" + s) for s in sums])
+    wb = Window.partitionBy(*[q(p) for p in part]).orderBy("__b", "__sb").rowsBetween(Window.unboundedPreceding, -1)
+    base = totals.select(*[q(k) for k in bk],
                          *[F.coalesce(F.sum("__t_" + s).over(wb), F.lit(0)).alias("__base_" + s) for s in sums])
     ordered = o.desc() if descending else o.asc()
-    wi = Window.partitionBy(*[q(p) for p in part], "__b").orderBy(ordered).rowsBetween(Window.unboundedPreceding,
-                                                                                     Window.currentRow)
-    out = with_b.join(F.broadcast(base) if nb * max(1, len(st)) <= MAX_BROADCAST_ROWS else base,
-                      on=part + ["__b"], how="inner")
+    wi = Window.partitionBy(*[q(k) for k in bk]).orderBy(ordered).rowsBetween(Window.unboundedPreceding,
+                                                                             Window.currentRow)
+    n_buckets = (nb + sum(r["__c"] // rows_per_bucket + 1 for r in heavy)) * max(1, len(st))
+    out = with_b.join(F.broadcast(base) if n_buckets <= MAX_BROADCAST_ROWS else base, on=bk, how="inner")
     for s in sums:
         out = out.withColumn("cum_" + s, F.col("__base_" + s) + F.sum(q(s)).over(wi))
-    return out.drop("__b", *["__base_" + s for s in sums])
+    return out.drop("__b", "__sb", *["__base_" + s for s in sums])
 
 
 def top_k(df: DataFrame, part: list[str], order: list, k: int, *, salt: int = 64, tiebreak: str | None = None,

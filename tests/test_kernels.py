@@ -93,3 +93,15 @@ def test_approximate_quantiles_close(spark):
         lo = np.searchsorted(xs, exact[(r["column"], r["p"])], side="left")
         hi = np.searchsorted(xs, r["q"], side="left")
         assert abs(int(hi) - int(lo)) <= len(xs) / 10_000 + 2
+
+
+def test_running_totals_concentrated_values(spark):
+    # most distinct values crowd into a tiny part of the range: the second level splits them
+    rows = [("p", float(i) * 1e-6, 1) for i in range(3000)] + [("p", 1000.0 + i, 2) for i in range(5)]
+    df = spark.createDataFrame(rows, "run string, score double, v long")
+    for desc in (False, True):
+        out = running_totals(df, ["run"], "score", ["v"], descending=desc, rows_per_bucket=50).toPandas()
+        pdf = pd.DataFrame(rows, columns=["run", "score", "v"]).sort_values("score", ascending=not desc)
+        pdf["cum_v"] = pdf.v.cumsum()
+        m = out.merge(pdf, on=["run", "score"], suffixes=("", "_e"))
+        assert len(m) == len(rows) and (m.cum_v == m.cum_v_e).all()
