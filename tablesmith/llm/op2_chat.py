@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablesmith.llm.shared import table
+
 
 # The template.
 TURN, TEXT, END = "<|turn|>", "<|text|>", "<|end|>"
@@ -176,5 +176,3 @@ SELECT conv_id, count(*) AS n_turns,
 FROM e GROUP BY conv_id"""
 
 
-def op2(spark, sf_dir: str) -> DataFrame:
-    return op2_chat(table(spark, sf_dir, "conversations"))

@@ -2,20 +2,27 @@
 
 from __future__ import annotations
 
-from tablesmith.llm import op1_license, op2_chat, op8_secrets
+from tablesmith.llm import (op1_license, op2_chat, op3_decontaminate, op5_fingerprint, op6_toxicity, op7_tokens, op8_secrets,
+                            op10_language)
 from tablesmith.llm.shared import table
 
 
-def _on(fn, name="documents"):
-    return lambda spark, sf_dir: fn(table(spark, sf_dir, name))
+def _over(fn, *names):
+    return lambda spark, sf_dir: fn(*[table(spark, sf_dir, n) for n in names])
 
 
 QUERIES = {
-    "op1_license": _on(op1_license.op1_license),
-    "op2_chat": _on(op2_chat.op2_chat, "conversations"),
-    "op8_secrets": _on(op8_secrets.op8_secrets),
+    "op1_license": _over(op1_license.op1_license, "documents"),
+    "op2_chat": _over(op2_chat.op2_chat, "conversations"),
+    "op3_decontaminate": _over(op3_decontaminate.op3_decontaminate, "documents", "benchmark"),
+    "op5_fingerprint": _over(op5_fingerprint.op5_fingerprint, "documents"),
+    "op6_toxicity": _over(op6_toxicity.op6_toxicity, "documents", "labels"),
+    "op7_tokens": _over(op7_tokens.op7_tokens, "documents"),
+    "op8_secrets": _over(op8_secrets.op8_secrets, "documents"),
+    "op10_language": _over(op10_language.op10_language, "documents"),
 }
 ORACLES = {
     "op2_chat": op2_chat.ORACLE,
+    "op3_decontaminate": op3_decontaminate.ORACLE,
     "op8_secrets": op8_secrets.oracle(),
 }
