@@ -233,10 +233,17 @@ def rest_links(texts: DataFrame, clusters: DataFrame, linked_roots: DataFrame) -
     return left.unionByName(right).groupBy("cluster", "lb", "rb").applyInPandas(_block_links, "a bigint, b bigint")
 
 
+def row_key(doc_id: Column, text: Column) -> Column:
+    """A digest of a row's id and text."""
+    part = lambda c: F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit("null"))
+    return F.md5(F.concat(part(doc_id), F.lit(":"), part(text)))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row of ``docs`` (doc_id, text)."""
+    """doc_id, n_shingles, component_id and row_key of every row of ``docs`` (doc_id, text)."""
     importable(docs.sparkSession)
-    signed = saved(docs.select("doc_id", signature(F.col("text")).alias("s")).select("doc_id", "s.*"), "neardup-signatures")
+    signed = docs.select("doc_id", row_key(F.col("doc_id"), F.col("text")).alias("row_key"), signature(F.col("text")).alias("s"))
+    signed = saved(signed.select("doc_id", "row_key", "s.*"), "neardup-signatures")
     classes = saved(signed.where("content is not null").groupBy("content").agg(
         F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.first("half").alias("half"))
         .select("content", F.xxhash64("content").alias("node"), "doc_id", "copies", "half"), "neardup-classes")
@@ -263,11 +270,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     named = named.select("content", F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component"),
                          F.lit(True).alias("shared"))
     dropped(found, texts, alive, live_texts, pairs, links, stars, more)
-    out = signed.select("doc_id", "n", "content").join(named, "content", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"),
+    out = signed.select("doc_id", "row_key", "n", "content").join(named, "content", "left")
+    return out.select("doc_id", "row_key", F.col("n").alias("n_shingles"),
                       F.when(F.col("shared"), F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
 def op4_neardup(docs: DataFrame) -> DataFrame:
     found = near_duplicates(docs.select("doc_id", "text"))
-    return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """Rows of ``docs`` that name their component, repeated rows once, with all their columns.
+    Documents without an id can't be named by one: a group of such documents alone stays, each
+    text once."""
+    found = near_duplicates(docs.select("doc_id", "text"))
+    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("row_key").alias("key")).distinct()
+    rows = docs.select(row_key(F.col("doc_id"), F.col("text")).alias("key"), F.struct("*").alias("row"))
+    return rows.join(kept, "key", "left_semi").dropDuplicates(["key"]).select("row.*")

@@ -142,6 +142,16 @@ def secret_findings(docs: DataFrame, packs: tuple[Pack, ...] = PACKS) -> DataFra
     return ledger.findings(versions)
 
 
+def without_secrets(docs: DataFrame, packs: tuple[Pack, ...] = PACKS) -> DataFrame:
+    """Rows of ``docs`` in whose text nothing is found, with all their columns."""
+    spark = docs.sparkSession
+    ledger = BlobLedger(spark, scratch_path(spark, "ledger"), packs)
+    ledger.scan(ledger.address(docs))
+    hits = ledger.read().where(F.size("spans") > 0).select("blob").distinct()
+    rows = docs.select(F.sha2(F.coalesce("text", F.lit("")), 256).alias("blob"), F.struct("*").alias("row"))
+    return rows.join(hits, "blob", "left_anti").select("row.*")
+
+
 def _joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat(
         s["kind"], F.lit(":"), s["start"].cast("string"), F.lit(":"), s["end"].cast("string"))), ",")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from tablesmith.llm import (op1_license, op2_chat, op3_decontaminate, op4_neardup, op5_fingerprint, op6_toxicity, op7_tokens, op8_secrets,
                             op9_mixture, op10_language)
 from tablesmith.llm.shared import table
@@ -22,6 +23,7 @@ QUERIES = {
     "op8_secrets": _over(op8_secrets.op8_secrets, "documents"),
     "op9_mixture": _over(op9_mixture.op9_mixture, "documents"),
     "op10_language": _over(op10_language.op10_language, "documents"),
+    "pipeline": corpus_pipeline.run,
 }
 ORACLES = {
     "op2_chat": op2_chat.ORACLE,
