@@ -9,8 +9,8 @@ bounded slice of the data:
   inside a shrinking bracket, one pass per round, until the bracket holds at most
   ``max_window`` rows; only that slice is sorted (20k rows by default: one histogram
   round and a tiny sort is faster than sorting a whole column even at 600k rows).
-* :func:`running_totals` computes ordered prefix sums with range buckets: bucket totals
-  (small) give each bucket's base, and the window runs per bucket.
+* :func:`running_totals` computes ordered prefix sums over ranges sampled from the data:
+  range totals (small) give each range's base, and the window runs per range.
 * :func:`top_k` ranks inside (group, salt) partitions first, so a group with a huge
   number of distinct values is never sorted in one task.
 """
@@ -24,10 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablesmith.functions.columns import q
-
-# Upper bound for tables that are broadcast by construction (one row per requested
-# statistic): the caller must keep them below this.
-MAX_BROADCAST_ROWS = 200_000
+from tablesmith.session import checkpoint_dir
 
 
 def _schema_of(df: DataFrame, names):
@@ -55,8 +52,6 @@ def rank_select(data: DataFrame, keys: list[str], x: str, stats: list[dict], tar
     spark = data.sparkSession
     data = data.where(F.col(q(x)).isNotNull())
     by_key = {tuple(s[k] for k in keys): s for s in stats}
-    if len(targets) > MAX_BROADCAST_ROWS:
-        raise ValueError("too many order statistics requested for one call")
     # bracket: key, lo, hi (inclusive), size; targets refer to a bracket with a relative rank
     state = {}
     for key, k in targets:
@@ -75,7 +70,7 @@ def rank_select(data: DataFrame, keys: list[str], x: str, stats: list[dict], tar
         return spark.createDataFrame(rows, schema)
 
     def window_rows(brackets):
-        b = F.broadcast(bracket_frame(brackets))
+        b = bracket_frame(brackets)
         xv = F.col(q(x))
         return (data.join(b, on=keys, how="inner")
                 .where((xv >= F.col("__lo")) & (xv <= F.col("__hi"))))
@@ -113,7 +108,7 @@ def rank_select(data: DataFrame, keys: list[str], x: str, stats: list[dict], tar
             tdf = spark.createDataFrame(
                 [(brackets[(key, st["lo"], st["hi"])], k - st["below"], i) for i, ((key, k), st) in enumerate(items)],
                 "__bid long, __rel long, __tid long")
-            picked = (hist.join(F.broadcast(tdf), "__bid")
+            picked = (hist.join(tdf, "__bid")
                       .where((F.col("__cum") - F.col("__c") <= F.col("__rel")) & (F.col("__rel") < F.col("__cum")))
                       .select("__tid", "__c", "__bmin", "__bmax", (F.col("__cum") - F.col("__c")).alias("__acc"))
                       .collect())
@@ -141,7 +136,7 @@ def _exact_finish(pending, result, window_rows, x):
     spark = dist.sparkSession
     trows = [(brackets[(key, s["lo"], s["hi"])], k - s["below"], i) for i, ((key, k), s) in enumerate(pending.items())]
     tdf = spark.createDataFrame(trows, "__bid long, __rel long, __tid long")
-    hit = (dist.join(F.broadcast(tdf), on="__bid")
+    hit = (dist.join(tdf, on="__bid")
            .where((F.col("__cum") - F.col("__c") <= F.col("__rel")) & (F.col("__rel") < F.col("__cum")))
            .select("__tid", F.col(q(x)).alias("__v"), (F.col("__cum") - F.col("__c")).alias("__less"))
            .collect())
@@ -219,66 +214,37 @@ def to_long_numeric(df: DataFrame, cols: list[str], by: list[str] | None = None)
 
 
 def running_totals(df: DataFrame, part: list[str], order: str, sums: list[str], *, descending: bool = False,
-                   rows_per_bucket: int = 200_000) -> DataFrame:
-    """Inclusive running sums of ``sums`` ordered by ``order`` within ``part``.
-
-    ``order`` must be unique within ``part`` (aggregate to distinct values first).
-    Rows are range-bucketed on equal-width bins of ``order``; a bin holding far more
-    than its share (values concentrated in a narrow range) is split again into
-    equal-width sub-bins of its own range. Bucket totals (bounded by the bucket count)
-    give each (bucket, sub-bucket) its base, and the window runs inside those partitions
-    only, so no task orders more than about ``rows_per_bucket`` rows per level of skew.
-    """
-    spark = df.sparkSession
+                   ranges: int | None = None) -> DataFrame:
+    """Inclusive running sums (``cum_<name>``) of ``sums`` ordered by ``order`` within
+    ``part``, and the sums over the whole part (``tot_<name>``).
+
+    ``order`` must be unique within ``part`` (aggregate to distinct values first; NULL counts
+    as the lowest value). The rows are dealt to ``ranges`` ranges of (part, order) whose
+    boundaries are sampled from the data, so crowded values get as many ranges as they need;
+    the dealt table is written once to the checkpoint folder. Totals per range (a row for
+    each part and range) give every range its base, and the row-level window runs inside the
+    ranges only."""
+    checkpoint_dir(df.sparkSession)
+    n = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = [q(p) for p in part]
+    dealt = (df.repartitionByRange(n, *keys, q(order)).withColumn("__b", F.spark_partition_id())
+             .checkpoint(eager=True))
+    totals = dealt.groupBy(*keys, "__b").agg(*[F.sum(q(s)).alias("__t_" + s) for s in sums])
+    step = F.col("__b").desc() if descending else F.col("__b").asc()
+    before = Window.partitionBy(*keys).orderBy(step).rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*keys)
+    base = totals.select(*keys, "__b",
+                         *[F.coalesce(F.sum("__t_" + s).over(before), F.lit(0)).alias("__base_" + s) for s in sums],
+                         *[F.sum("__t_" + s).over(whole).alias("tot_" + s) for s in sums])
     o = F.col(q(order))
-    keys = list(part)
-    st = df.groupBy(*[q(p) for p in part]).agg(F.count(F.lit(1)).alias("__n"), F.min(o).alias("__lo"),
-                                                F.max(o).alias("__hi")).collect()
-    nb = max(1, min(1 << 20, max((r["__n"] for r in st), default=1) // rows_per_bucket + 1))
-    sf = [df.schema[p] for p in part]
-    bschema = T.StructType(sf + [T.StructField("__lo", T.DoubleType()), T.StructField("__hi", T.DoubleType())])
-    bounds = spark.createDataFrame([tuple(r[p] for p in part) + (float(r["__lo"]), float(r["__hi"])) for r in st],
-                                   bschema)
-    od = o.cast("double")
-    span = F.col("__hi") - F.col("__lo")
-    raw = F.when(span > 0, F.least(F.floor((od - F.col("__lo")) / span * F.lit(float(nb))), F.lit(nb - 1))).otherwise(0)
-    if part:
-        with_b = df.join(F.broadcast(bounds), on=part, how="inner")
-    else:
-        with_b = df.crossJoin(F.broadcast(bounds))  # one bounds row: a projection, not a product
-    with_b = with_b.withColumn("__raw", raw.cast("long"))
-    # second level for heavy bins: at most nb rows per part can be heavy (bounded)
-    heavy = (with_b.groupBy(*[q(p) for p in part], "__raw").agg(F.count(F.lit(1)).alias("__c"))
-             .where(F.col("__c") > 4 * rows_per_bucket).collect())
-    if heavy:
-        hschema = T.StructType(sf + [T.StructField("__raw", T.LongType()), T.StructField("__ns", T.LongType())])
-        hv = spark.createDataFrame([tuple(r[p] for p in part) + (r["__raw"], r["__c"] // rows_per_bucket + 1)
-                                    for r in heavy], hschema)
-        hv = F.broadcast(hv) if len(heavy) <= MAX_BROADCAST_ROWS else hv
-        with_b = with_b.join(hv, keys + ["__raw"], "left")
-        width = span / F.lit(float(nb))
-        blo = F.col("__lo") + F.col("__raw") * width
-        sub = F.greatest(F.lit(0), F.least(F.floor(F.try_divide(od - blo, width) * F.col("__ns")), F.col("__ns") - 1))
-        sub = F.when(F.col("__ns").isNotNull() & (width > 0), sub).otherwise(F.lit(0)).cast("long")
-        sub = (F.coalesce(F.col("__ns"), F.lit(1)) - 1 - sub) if descending else sub
-        with_b = with_b.withColumn("__sb", sub).drop("__ns")
-    else:
-        with_b = with_b.withColumn("__sb", F.lit(0).cast("long"))
-    bucket = (F.lit(nb - 1) - F.col("__raw")) if descending else F.col("__raw")
-    with_b = with_b.withColumn("__b", bucket.cast("long")).drop("__lo", "__hi", "__raw")
-    bk = keys + ["__b", "__sb"]
-    totals = with_b.groupBy(*[q(k) for k in bk]).agg(*[F.sum(q(s)).alias("__t_" + s) for s in sums])
-    wb = Window.partitionBy(*[q(p) for p in part]).orderBy("__b", "__sb").rowsBetween(Window.unboundedPreceding, -1)
-    base = totals.select(*[q(k) for k in bk],
-                         *[F.coalesce(F.sum("__t_" + s).over(wb), F.lit(0)).alias("__base_" + s) for s in sums])
-    ordered = o.desc() if descending else o.asc()
-    wi = Window.partitionBy(*[q(k) for k in bk]).orderBy(ordered).rowsBetween(Window.unboundedPreceding,
-                                                                             Window.currentRow)
-    n_buckets = (nb + sum(r["__c"] // rows_per_bucket + 1 for r in heavy)) * max(1, len(st))
-    out = with_b.join(F.broadcast(base) if n_buckets <= MAX_BROADCAST_ROWS else base, on=bk, how="inner")
+    inside = Window.partitionBy(*keys, "__b").orderBy(o.desc() if descending else o.asc()).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    out = dealt.join(base, [*part, "__b"]) if not part else dealt.alias("d").join(
+        base.alias("b"), [F.col(f"d.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys] + [F.col("d.__b") == F.col("b.__b")]
+    ).select("d.*", *[f"b.`__base_{s}`" for s in sums], *[f"b.`tot_{s}`" for s in sums])
     for s in sums:
-        out = out.withColumn("cum_" + s, F.col("__base_" + s) + F.sum(q(s)).over(wi))
-    return out.drop("__b", "__sb", *["__base_" + s for s in sums])
+        out = out.withColumn("cum_" + s, F.col("__base_" + s) + F.coalesce(F.sum(q(s)).over(inside), F.lit(0)))
+    return out.drop("__b", *["__base_" + s for s in sums])
 
 
 def top_k(df: DataFrame, part: list[str], order: list, k: int, *, salt: int = 64, tiebreak: str | None = None,

@@ -65,7 +65,7 @@ def test_running_totals_multi_bucket(spark):
     rows = [(r, float(s), rnd.randint(0, 3)) for r in ("p", "q") for s in rnd.sample(range(10_000), 700)]
     df = spark.createDataFrame(rows, "run string, score double, v long")
     for desc in (False, True):
-        out = running_totals(df, ["run"], "score", ["v"], descending=desc, rows_per_bucket=37).toPandas()
+        out = running_totals(df, ["run"], "score", ["v"], descending=desc, ranges=19).toPandas()
         pdf = pd.DataFrame(rows, columns=["run", "score", "v"]).sort_values(["run", "score"], ascending=[True, not desc])
         pdf["cum_v"] = pdf.groupby("run").v.cumsum()
         m = out.merge(pdf, on=["run", "score"], suffixes=("", "_e"))
@@ -95,13 +95,21 @@ def test_approximate_quantiles_close(spark):
         assert abs(int(hi) - int(lo)) <= len(xs) / 10_000 + 2
 
 
-def test_running_totals_concentrated_values(spark):
-    # most distinct values crowd into a tiny part of the range: the second level splits them
+def test_running_totals_balance_crowded_values(spark):
+    # most distinct values crowd into a tiny part of the range: ranges follow the data
     rows = [("p", float(i) * 1e-6, 1) for i in range(3000)] + [("p", 1000.0 + i, 2) for i in range(5)]
     df = spark.createDataFrame(rows, "run string, score double, v long")
     for desc in (False, True):
-        out = running_totals(df, ["run"], "score", ["v"], descending=desc, rows_per_bucket=50).toPandas()
+        out = running_totals(df, ["run"], "score", ["v"], descending=desc, ranges=60)
         pdf = pd.DataFrame(rows, columns=["run", "score", "v"]).sort_values("score", ascending=not desc)
         pdf["cum_v"] = pdf.v.cumsum()
-        m = out.merge(pdf, on=["run", "score"], suffixes=("", "_e"))
-        assert len(m) == len(rows) and (m.cum_v == m.cum_v_e).all()
+        m = out.toPandas().merge(pdf, on=["run", "score"], suffixes=("", "_e"))
+        assert len(m) == len(rows) and (m.cum_v == m.cum_v_e).all() and (m.tot_v == 3010).all()
+    dealt = df.repartitionByRange(60, "run", "score").groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert dealt <= 4 * len(rows) / 60
+
+
+def test_running_totals_without_a_part_and_with_null(spark):
+    df = spark.createDataFrame([(None, 5), (1.0, 1), (2.0, 2), (3.0, 4)], "x double, v long")
+    got = {r.x: (r.cum_v, r.tot_v) for r in running_totals(df, [], "x", ["v"], descending=True, ranges=3).collect()}
+    assert got == {3.0: (4, 12), 2.0: (6, 12), 1.0: (7, 12), None: (12, 12)}
