@@ -1,6 +1,6 @@
 """Typed run configuration (the reference's nested dict, validated).
 
-``CENSUS`` holds the settings of the census-income workflow. Column names are the
+``census(path)`` holds the settings of the census-income workflow. Column names are the
 Spark-safe forms (dots become underscores at the source boundary).
 """
 
@@ -16,6 +16,7 @@ class RunConfig:
     target_mapping: dict
     expected_columns: list
     drop_features: list
+    numeric_columns: tuple = ()                       # text that must be numbers: coerced after trimming
     grouping: dict = field(default_factory=dict)      # column -> min_freq
     other_label: str = "Other"
     outlier: str = "clip"
@@ -43,21 +44,24 @@ class RunConfig:
             raise ValueError("test_size must be in (0, 1)")
 
 
-# The census-income workflow settings (file, target and its mapping, the
-# expected columns, dropped columns, grouping thresholds, split and model defaults).
-CENSUS = RunConfig(
-    path="data/adult.csv",
-    target="income",
-    target_mapping={"<=50K": 0, ">50K": 1},
-    expected_columns=["age", "workclass", "fnlwgt", "education", "education_num", "marital_status", "occupation",
-                      "relationship", "race", "sex", "capital_gain", "capital_loss", "hours_per_week",
-                      "native_country", "income"],
-    drop_features=["education", "fnlwgt"],
-    grouping={"workclass": 3000, "marital_status": 2000, "occupation": 2000, "relationship": 4000, "race": 500,
-              "native_country": 1000},
-    outlier="clip", pmin=0.01, pmax=0.99,
-    num_impute="median", cat_impute="most_frequent", scaling="standard",
-    test_size=0.2, seed=42,
-    model="RandomForestClassifier", model_params={"n_estimators": 100, "max_depth": None, "random_state": 42},
-    experiment="census_income",
-)
+def census(path: str) -> RunConfig:
+    """The census-income workflow over the CSV at ``path``."""
+    # Target and its mapping, expected and dropped columns, the numeric list,
+    # grouping thresholds, split and model defaults.
+    return RunConfig(
+        path=path,
+        target="income",
+        target_mapping={"<=50K": 0, ">50K": 1},
+        expected_columns=["age", "workclass", "fnlwgt", "education", "education_num", "marital_status", "occupation",
+                          "relationship", "race", "sex", "capital_gain", "capital_loss", "hours_per_week",
+                          "native_country", "income"],
+        drop_features=["education", "fnlwgt"],
+        numeric_columns=("age", "fnlwgt", "education_num", "capital_gain", "capital_loss", "hours_per_week"),
+        grouping={"workclass": 3000, "marital_status": 2000, "occupation": 2000, "relationship": 4000, "race": 500,
+                  "native_country": 1000},
+        outlier="clip", pmin=0.01, pmax=0.99,
+        num_impute="median", cat_impute="most_frequent", scaling="standard",
+        test_size=0.2, seed=42,
+        model="RandomForestClassifier", model_params={"n_estimators": 100, "max_depth": None, "random_state": 42},
+        experiment="census_income",
+    )

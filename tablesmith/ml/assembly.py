@@ -89,7 +89,9 @@ def build_classifier(name: str, params: dict | None = None, label: str = "label"
         return CLogisticRegression(C=float(p.get("C", 1.0)), penalty=p.get("penalty", "l2"),
                                    maxIter=int(p.get("max_iter", 1000)), labelCol=label, weightCol=weight)
     depth = p.get("max_depth")
-    depth = 30 if depth is None else min(int(depth), 30)
+    depth = 30 if depth is None else int(depth)
+    if depth > 30:
+        raise ValueError(f"max_depth {depth}: MLlib trees go to 30")
     leaf = int(p.get("min_samples_leaf", 1))
     split = p.get("min_samples_split")
     if split is not None:

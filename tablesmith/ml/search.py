@@ -3,7 +3,7 @@
 Candidates that share preprocessing parameters share one preprocessing fit per fold: the
 transformed train/validation frames are cached once and every model candidate of the
 group is fitted on them. Each fit is an MLlib job over the whole fold; the driver loop
-only sequences them and collects one score per (candidate, fold, split).
+starts several groups at a time and collects one score per (candidate, fold, split).
 """
 
 from __future__ import annotations
@@ -12,7 +12,10 @@ import dataclasses
 import itertools
 import json
 import time
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
+from pyspark.errors import IllegalArgumentException
 from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -72,14 +75,26 @@ def _scored(model, df, label):
                       F.col("prediction").cast("long").alias("prediction"))
 
 
+# What an invalid combination raises; anything else (a lost executor, memory) ends the search.
+PARAMETER_ERRORS = (ValueError, TypeError, NotImplementedError, IllegalArgumentException)
+CV_SCHEMA = ("experiment string, candidate int, params map<string,string>, fold int, split string, score double, "
+             "fit_time double, error string")
+
+
+def _params(cand: dict) -> dict:
+    return {k: json.dumps(v, default=str) for k, v in cand.items()}
+
+
 def grid_search(train: DataFrame, cfg: PrepConfig, grid, *, fold_col: str = "fold", model: str = "LogisticRegression",
                 scoring: str = "accuracy", experiment: str = "experiment", refit: bool = True,
-                model_params: dict | None = None):
+                model_params: dict | None = None, parallelism: int = 4):
     """Cross-validate every candidate on the folds of ``fold_col``.
 
     Returns ``(cv_long, best_params, best_model)`` where ``cv_long`` is
-    (experiment, candidate, params, fold, split, score, fit_time) with split 'train' or
-    'test'; invalid combinations get a NULL score."""
+    (experiment, candidate, params, fold, split, score, fit_time, error) with split 'train' or
+    'test'; an invalid combination gets a NULL score and its error. Up to ``parallelism``
+    (fold, preprocessing) groups are fitted at the same time, so the cluster isn't idle in the
+    single-task ends of their jobs; each is a set of Spark jobs over the whole fold."""
     if scoring not in SCORERS:
         raise ValueError(f"unknown scoring {scoring}")
     cands = [{**(model_params or {}), **c} for c in expand_grid(grid)]
@@ -90,47 +105,43 @@ def grid_search(train: DataFrame, cfg: PrepConfig, grid, *, fold_col: str = "fol
     groups = {}
     for i, c in enumerate(cands):
         groups.setdefault(_prep_key(c), []).append(i)
-    rows = []
     label = cfg.label
-    for f in folds:
-        tr = train.where(F.col(fold_col) != f)
-        va = train.where(F.col(fold_col) == f)
-        for _, idxs in groups.items():
-            pcfg = _prep_of(cfg, cands[idxs[0]])
+
+    def evaluate(task):
+        f, idxs = task
+        out = []
+        tr, va = train.where(F.col(fold_col) != f), train.where(F.col(fold_col) == f)
+        try:
+            prep = Pipeline(stages=preprocessing_stages(_prep_of(cfg, cands[idxs[0]]))).fit(tr)
+        except PARAMETER_ERRORS as e:
+            return [(i, f, s, None, None, str(e)) for i in idxs for s in ("train", "test")]
+        keep = [label, "features", "weight"]
+        tx = prep.transform(tr).select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
+        vx = prep.transform(va).select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
+        for i in idxs:
             try:
-                prep = Pipeline(stages=preprocessing_stages(pcfg)).fit(tr)
-            except Exception:  # noqa: BLE001 - an invalid combination scores NULL
-                for i in idxs:
-                    rows += [(experiment, i, cands[i], f, s, None, None) for s in ("train", "test")]
-                continue
-            keep = [label, "features", "weight"]
-            tx = prep.transform(tr).select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
-            vx = prep.transform(va).select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
-            for i in idxs:
-                c = cands[i]
-                name = c.get("model", model)
-                try:
-                    t0 = time.time()
-                    m = build_classifier(name, c, label=label).fit(tx)
-                    ft = time.time() - t0
-                    s_tr = _score(_scored(m, tx, label), scoring)
-                    s_va = _score(_scored(m, vx, label), scoring)
-                except Exception:  # noqa: BLE001
-                    ft, s_tr, s_va = None, None, None
-                rows += [(experiment, i, c, f, "train", s_tr, ft), (experiment, i, c, f, "test", s_va, ft)]
-            tx.unpersist()
-            vx.unpersist()
+                t0 = time.time()
+                m = build_classifier(cands[i].get("model", model), cands[i], label=label).fit(tx)
+                ft = time.time() - t0
+                scores = {"train": _score(_scored(m, tx, label), scoring), "test": _score(_scored(m, vx, label), scoring)}
+                out += [(i, f, s, x, ft, None) for s, x in scores.items()]
+            except PARAMETER_ERRORS as e:
+                out += [(i, f, s, None, None, str(e)) for s in ("train", "test")]
+        tx.unpersist()
+        vx.unpersist()
+        return out
+
+    tasks = [(f, idxs) for f in folds for idxs in groups.values()]
+    with ThreadPool(max(1, min(parallelism, len(tasks)))) as pool:
+        rows = [r for part in pool.map(inheritable_thread_target(train.sparkSession)(evaluate), tasks) for r in part]
     spark = train.sparkSession
-    cv = spark.createDataFrame(
-        [(e, i, {k: json.dumps(v, default=str) for k, v in c.items()}, int(f), s, None if sc is None else float(sc),
-          ft) for e, i, c, f, s, sc, ft in rows],
-        "experiment string, candidate int, params map<string,string>, fold int, split string, score double, "
-        "fit_time double")
+    cv = spark.createDataFrame([(experiment, i, _params(cands[i]), int(f), s, None if x is None else float(x), ft, err)
+                                for i, f, s, x, ft, err in rows], CV_SCHEMA)
     best_params, best_model = None, None
     means = {}
-    for e, i, c, f, s, sc, ft in rows:
+    for i, _, s, x, _, _ in rows:
         if s == "test":
-            means.setdefault(i, []).append(sc)
+            means.setdefault(i, []).append(x)
     valid = {i: sum(v) / len(v) for i, v in means.items() if all(x is not None for x in v)}
     if valid:
         best = min(valid, key=lambda i: (-valid[i], i))
@@ -148,15 +159,18 @@ def build_pipeline_for(cfg: PrepConfig, cand: dict, model: str) -> Pipeline:
 
 
 def cv_results(cv_long: DataFrame) -> DataFrame:
-    """Per candidate: mean/std (population) of test and train scores, mean fit time and
-    ``rank_test_score`` (ties share the lowest rank; NULL scores last)."""
+    """Per candidate: params, mean/std (population) of test and train scores, the test scores
+    by fold (``fold_scores``), mean fit time and ``rank_test_score`` (ties share the lowest
+    rank; NULL scores last)."""
     test = F.col("split") == "test"
     agg = cv_long.groupBy("experiment", "candidate").agg(
+        F.any_value("params").alias("params"),
         F.avg(F.when(test, F.col("score"))).alias("mean_test_score"),
         F.stddev_pop(F.when(test, F.col("score"))).alias("std_test_score"),
         F.avg(F.when(~test, F.col("score"))).alias("mean_train_score"),
         F.stddev_pop(F.when(~test, F.col("score"))).alias("std_train_score"),
         F.avg(F.when(test, F.col("fit_time"))).alias("mean_fit_time"),
+        F.transform(F.array_sort(F.collect_list(F.when(test, F.struct("fold", "score")))), lambda x: x["score"]).alias("fold_scores"),
         F.count_if(test & F.col("score").isNull()).alias("__bad"))
     agg = agg.withColumn("mean_test_score", F.when(F.col("__bad") == 0, F.col("mean_test_score"))).drop("__bad")
     w = Window.partitionBy("experiment").orderBy(F.col("mean_test_score").desc_nulls_last())
@@ -164,8 +178,8 @@ def cv_results(cv_long: DataFrame) -> DataFrame:
 
 
 def leaderboard(results: DataFrame) -> DataFrame:
-    """Best candidate of each experiment (lowest rank, first candidate on ties), sorted
-    by mean test score descending."""
+    """Best candidate of each experiment (lowest rank, first candidate on ties) with its
+    params, sorted by mean test score descending."""
     w = Window.partitionBy("experiment").orderBy("rank_test_score", "candidate")
     best = results.withColumn("__r", F.row_number().over(w)).where(F.col("__r") == 1).drop("__r")
     return best.orderBy(F.col("mean_test_score").desc_nulls_last(), "experiment")
@@ -173,8 +187,8 @@ def leaderboard(results: DataFrame) -> DataFrame:
 
 def nan_audit(train: DataFrame, cfg: PrepConfig, grid) -> DataFrame:
     """For the default configuration and every grid combination: fit the preprocessing on
-    ``train`` and count missing cells in the feature matrix. Failures are recorded, not
-    raised: (combination, params, n_missing, error)."""
+    ``train`` and count missing cells in the feature matrix. Invalid combinations are
+    recorded, not raised: (combination, params, n_missing, error)."""
     spark = train.sparkSession
     cands = [{}] + expand_grid(grid)
     rows = []
@@ -183,10 +197,9 @@ def nan_audit(train: DataFrame, cfg: PrepConfig, grid) -> DataFrame:
         try:
             prep = Pipeline(stages=preprocessing_stages(_prep_of(cfg, {k: v for k, v in c.items()
                                                                         if k not in MODEL_PARAMS}))).fit(train)
-            n = missing_cells(prep, train).first()[0]
-            rows.append((i, {k: json.dumps(v, default=str) for k, v in c.items()}, int(n), None))
-        except Exception as e:  # noqa: BLE001
-            rows.append((i, {k: json.dumps(v, default=str) for k, v in c.items()}, None, str(e)[:200]))
+            rows.append((i, _params(c), int(missing_cells(prep, train).first()[0]), None))
+        except PARAMETER_ERRORS as e:
+            rows.append((i, _params(c), None, str(e)))
     train.unpersist()
     return spark.createDataFrame(rows, "combination int, params map<string,string>, n_missing bigint, error string")
 
@@ -201,21 +214,19 @@ def threshold_cv(scored: DataFrame, thresholds: list[float], fold_col: str = "fo
     and outside it ('train'). One aggregation; the window runs over the folds of one
     candidate. Output has the ``grid_search`` CV-table columns."""
     keys = list(by or [])
-    ts = F.array(*[F.lit(float(t)) for t in thresholds])
-    x = scored.select(*keys, F.col(fold_col).alias("fold"), F.col(label).alias("__y"), F.col(score).alias("__s"),
-                      F.posexplode(ts).alias("candidate", "threshold"))
-    correct = ((F.col("__s") >= F.col("threshold")).cast("long") == F.col("__y")).cast("long")
-    g = x.groupBy(*keys, "candidate", "threshold", "fold").agg(F.count(F.lit(1)).alias("n"),
-                                                               F.sum(correct).alias("ok"))
+    rows = scored.select(*keys, F.col(fold_col).alias("fold"), F.col(label).alias("__y"), F.col(score).alias("__s"))
+    # counts per threshold from one aggregate: right = positives reached + negatives not reached
+    c = M.threshold_counts(rows, thresholds, "__y", "__s", [*keys, "fold"])
+    order = F.array(*[F.lit(float(t)) for t in thresholds])
+    g = c.select(*keys, "fold", "threshold", (F.array_position(order, F.col("threshold")) - 1).cast("int").alias("candidate"),
+                 (F.col("pos") + F.col("neg")).alias("n"), (F.col("tp") + F.col("neg") - F.col("fp")).alias("ok"))
     w = Window.partitionBy(*keys, "candidate")
     g = g.withColumn("tot_n", F.sum("n").over(w)).withColumn("tot_ok", F.sum("ok").over(w))
     exp = F.concat_ws("/", *[F.col(k).cast("string") for k in keys]) if keys else F.lit("experiment")
-    params = F.create_map(F.lit("threshold"), F.col("threshold").cast("string"))
-    test = g.select(exp.alias("experiment"), F.col("candidate").cast("int").alias("candidate"), params.alias("params"),
-                    F.col("fold").cast("int").alias("fold"), F.lit("test").alias("split"),
-                    (F.col("ok") / F.col("n")).alias("score"), F.lit(None).cast("double").alias("fit_time"))
-    train = g.select(exp.alias("experiment"), F.col("candidate").cast("int").alias("candidate"), params.alias("params"),
-                     F.col("fold").cast("int").alias("fold"), F.lit("train").alias("split"),
-                     F.try_divide((F.col("tot_ok") - F.col("ok")).cast("double"), (F.col("tot_n") - F.col("n")).cast("double"))
-                     .alias("score"), F.lit(None).cast("double").alias("fit_time"))
-    return test.unionByName(train)
+    share = lambda a, b: F.try_divide(a.cast("double"), b.cast("double")).alias("score")
+    def side(name, x):
+        return g.select(exp.alias("experiment"), "candidate", F.create_map(F.lit("threshold"), F.col("threshold").cast("string")).alias("params"),
+                        F.col("fold").cast("int").alias("fold"), F.lit(name).alias("split"), x, F.lit(None).cast("double").alias("fit_time"),
+                        F.lit(None).cast("string").alias("error"))
+    return side("test", share(F.col("ok"), F.col("n"))).unionByName(
+        side("train", share(F.col("tot_ok") - F.col("ok"), F.col("tot_n") - F.col("n"))))

@@ -1,35 +1,29 @@
 """Preprocessing stages (#54-#62) as pyspark.ml Estimator/Model pairs.
 
-Fitting runs one aggregation (or the exact quantile kernel) and keeps only small fitted
-state (a value per column, or the kept categories) in the model's params, so models save
-and load with the default params writer. Transforms are plain column expressions.
+Fitting runs one aggregation (or the exact quantile kernel). A value per column is kept in
+the model's params; the grouper's kept categories are a table of any size that is saved with
+the model. Transforms are column expressions, and a join for the grouper.
 MLlib's own Imputer/StandardScaler/MinMaxScaler/RobustScaler differ from the wanted
 semantics (approximate median, sample std, constant -> 0.5, approximate IQR), hence these.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
+from pyspark.ml.util import (DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter,
+                             MLReadable, MLReader, MLWritable, MLWriter)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablesmith.functions.columns import clip_keep_null, q
 from tablesmith.functions.ranking import quantiles_long
 from tablesmith.operators.frequency import freq_table
 from tablesmith.session import checkpoint_dir
 
-# Above this many kept categories the grouper joins a broadcast table instead of
-# inlining an IN list; above MAX_MODEL_VALUES the kept set lives in a table, not the model.
-INLINE_VALUES = 1000
-MAX_MODEL_VALUES = 100_000
-
-
 def _identity(x):
     return x
 
@@ -153,10 +147,8 @@ class CategoryGrouper(Estimator, _Base):
     """Keep the categories seen at least ``minFreq`` times in train (per column through
     ``minFreqs``); everything else, unseen values included, becomes ``otherLabel``.
 
-    The kept set is small for the usual thresholds and is stored in the model. When it is
-    larger than ``MAX_MODEL_VALUES`` (a high-cardinality column with a low threshold) it
-    is written once to the shared checkpoint folder and the transform joins against it,
-    so no data-sized list passes through the driver."""
+    The kept set is a table (column, value) of any size: the transform joins it and the
+    planner chooses how; a saved model carries the table in its own folder."""
     minFreq = Param(Params._dummy(), "minFreq", "default threshold", typeConverter=TypeConverters.toInt)
     minFreqs = Param(Params._dummy(), "minFreqs", "threshold per column", typeConverter=_identity)
     otherLabel = Param(Params._dummy(), "otherLabel", "label of folded values", typeConverter=TypeConverters.toString)
@@ -175,48 +167,57 @@ class CategoryGrouper(Estimator, _Base):
         th = spark.createDataFrame([(c, int(per.get(c, default))) for c in cols], "column string, min_freq int")
         kept = (freq_table(df, cols).join(F.broadcast(th), "column").where(F.col("n") >= F.col("min_freq"))
                 .select("column", "value"))
-        head = kept.limit(MAX_MODEL_VALUES + 1).collect()
-        other = self.getOrDefault(self.otherLabel)
-        if len(head) <= MAX_MODEL_VALUES:
-            vals = {c: [] for c in cols}
-            for r in head:
-                vals[r["column"]].append(r["value"])
-            vals = {c: sorted(v) for c, v in vals.items()}
-            return CategoryGrouperModel(inputCols=cols, values=vals, otherLabel=other)
-        path = f"{checkpoint_dir(spark).rstrip('/')}/grouper-{uuid.uuid4().hex}"
-        kept.write.mode("overwrite").parquet(path)
-        return CategoryGrouperModel(inputCols=cols, values={c: None for c in cols}, otherLabel=other, keptPath=path)
-
-
-class CategoryGrouperModel(Model, _Base, _FittedValues):
+        # fitted state: materialised once, removed by Spark's cleaner with the model
+        checkpoint_dir(spark)
+        model = CategoryGrouperModel(inputCols=cols, otherLabel=self.getOrDefault(self.otherLabel))
+        model.kept = kept.checkpoint(eager=True)
+        return model
+
+
+class _GrouperWriter(MLWriter):
+    def __init__(self, instance):
+        super().__init__()
+        self.instance = instance
+
+    def saveImpl(self, path):
+        DefaultParamsWriter.saveMetadata(self.instance, path, self.sparkSession)
+        self.instance.kept.write.parquet(f"{path}/kept")
+
+
+class _GrouperReader(MLReader):
+    def load(self, path):
+        meta = DefaultParamsReader.loadMetadata(path, self.sparkSession)
+        model = CategoryGrouperModel()
+        model._resetUid(meta["uid"])
+        DefaultParamsReader.getAndSetParams(model, meta)
+        model.kept = self.sparkSession.read.schema("column string, value string").parquet(f"{path}/kept")
+        return model
+
+
+class CategoryGrouperModel(Model, HasInputCols, MLWritable, MLReadable):
+    """``kept`` is the table (column, value) of the categories that stay."""
     otherLabel = Param(Params._dummy(), "otherLabel", "label of folded values", typeConverter=TypeConverters.toString)
-    keptPath = Param(Params._dummy(), "keptPath", "table of kept values when too many for the model",
-                     typeConverter=_identity)
 
     @keyword_only
-    def __init__(self, inputCols=None, values=None, otherLabel="Other", keptPath=None):
+    def __init__(self, inputCols=None, otherLabel="Other"):
         super().__init__()
-        self._setDefault(keptPath=None)
-        self._set(**self._input_kwargs)
+        self._setDefault(otherLabel="Other")
+        self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
+        self.kept = None
+
+    def write(self):
+        return _GrouperWriter(self)
 
-    def kept(self) -> dict:
-        return self.getValues() or {}
+    @classmethod
+    def read(cls):
+        return _GrouperReader()
 
     def _transform(self, df):
         other = F.lit(self.getOrDefault(self.otherLabel))
-        path = self.getOrDefault(self.keptPath)
         out = df
-        for c, kept in self.kept().items():
+        for c in self.getOrDefault(self.inputCols):
             col = F.col(q(c)).cast("string")
-            if path is None and len(kept) <= INLINE_VALUES:
-                out = out.withColumn(c, F.when(col.isin(kept), col).otherwise(other))
-                continue
-            if path is None:
-                tab = out.sparkSession.createDataFrame([(v,) for v in kept], "__kept string")
-                tab = F.broadcast(tab)
-            else:  # data-sized: a regular (shuffle) join; AQE splits a hot value's partition
-                tab = (out.sparkSession.read.parquet(path).where(F.col("column") == c)
-                       .select(F.col("value").alias("__kept")))
+            tab = self.kept.where(F.col("column") == c).select(F.col("value").alias("__kept"))
             out = (out.join(tab, col == F.col("__kept"), "left")
                    .withColumn(c, F.when(F.col("__kept").isNotNull(), col).otherwise(other)).drop("__kept"))
         return out
@@ -288,20 +289,31 @@ class ClassWeights(Estimator, DefaultParamsReadable, DefaultParamsWritable):
     def _fit(self, df):
         mode = self.getOrDefault(self.mode)
         label = self.getOrDefault(self.labelCol)
+        out = self.getOrDefault(self.outputCol)
         if mode in (None, "none"):
-            w = {}
-        elif mode == "balanced":
-            rows = df.where(F.col(q(label)).isNotNull()).groupBy(q(label)).agg(F.count(F.lit(1)).alias("n")).collect()
-            n, k = sum(r["n"] for r in rows), len(rows)
-            w = {str(r[label]): n / (k * r["n"]) for r in rows}
-        elif isinstance(mode, dict):
-            w = {str(k): float(v) for k, v in mode.items()}
-        else:
+            return ClassWeightsModel(labelCol=label, outputCol=out, values={})
+        if mode != "balanced" and not isinstance(mode, dict):
             raise ValueError(f"unknown class weight {mode}")
-        return ClassWeightsModel(labelCol=label, outputCol=self.getOrDefault(self.outputCol), values=w)
+        key = _class_key(df.schema[label].dataType)
+        rows = df.where(F.col(q(label)).isNotNull()).groupBy(q(label)).agg(F.count(F.lit(1)).alias("n")).collect()
+        counts = {key(r[label]): r["n"] for r in rows}
+        if mode == "balanced":
+            n, k = sum(counts.values()), len(counts)
+            w = {c: n / (k * m) for c, m in counts.items()}
+        else:
+            w = {key(c): float(v) for c, v in mode.items()}
+            if set(counts) - set(w):
+                raise ValueError(f"no weight for class {sorted(set(counts) - set(w))}")
+        return ClassWeightsModel(labelCol=label, outputCol=out, values=w)
+
+
+def _class_key(dtype):
+    """Classes compare as numbers on a numeric label (1, 1.0 and "1" are one class)."""
+    return (lambda c: repr(float(c))) if isinstance(dtype, T.NumericType) else str
 
 
 class ClassWeightsModel(Model, DefaultParamsReadable, DefaultParamsWritable, _FittedValues):
+    """Weight of each row's class; a class that was not in training has weight 1."""
     labelCol = Param(Params._dummy(), "labelCol", "label", typeConverter=TypeConverters.toString)
     outputCol = Param(Params._dummy(), "outputCol", "weight column", typeConverter=TypeConverters.toString)
 
@@ -312,9 +324,10 @@ class ClassWeightsModel(Model, DefaultParamsReadable, DefaultParamsWritable, _Fi
 
     def _transform(self, df):
         w = self.getValues() or {}
-        out = self.getOrDefault(self.outputCol)
+        out, label = self.getOrDefault(self.outputCol), self.getOrDefault(self.labelCol)
         if not w:
             return df.withColumn(out, F.lit(1.0))
-        m = F.create_map(*[x for k, v in w.items() for x in (F.lit(k), F.lit(float(v)))])
-        lab = F.col(q(self.getOrDefault(self.labelCol))).cast("string")
+        numeric = isinstance(df.schema[label].dataType, T.NumericType)
+        m = F.create_map(*[x for k, v in w.items() for x in (F.lit(float(k) if numeric else k), F.lit(float(v)))])
+        lab = F.col(q(label)).cast("double" if numeric else "string")
         return df.withColumn(out, F.coalesce(F.try_element_at(m, lab), F.lit(1.0)))

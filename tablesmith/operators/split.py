@@ -19,8 +19,6 @@ from pyspark.sql import functions as F
 from tablesmith.functions.columns import q
 from tablesmith.functions.ranking import rank_select
 
-MAX_CLASSES = 100_000
-
 
 def approximate_mode(counts: list[int], n_draws: int) -> list[int]:
     """Split ``n_draws`` over classes in proportion to ``counts``: floors plus the
@@ -61,8 +59,6 @@ def _class_counts(df: DataFrame, label: str, with_nulls: bool = False):
     """Rows per class (sorted by class), from one aggregate; optionally also the number
     of rows whose label is NULL (they are left out of splits and folds)."""
     rows = df.groupBy(q(label)).agg(F.count(F.lit(1)).alias("n")).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"{len(rows)} classes: stratify on a label, not on a key")
     counts = sorted(((r[label], r["n"]) for r in rows if r[label] is not None), key=lambda t: t[0])
     if with_nulls:
         return counts, sum(r["n"] for r in rows if r[label] is None)
@@ -71,8 +67,8 @@ def _class_counts(df: DataFrame, label: str, with_nulls: bool = False):
 
 def _boundaries(df: DataFrame, label: str, key: list[str], seed: int, ranks: dict) -> dict:
     """Exact boundary rows: for each class and each 0-based rank in ``ranks[class]`` the
-    sort key (h, key...) of the row at that rank: ``{class: [(rank, (h, key...)), ...]}``
-    (at most classes x boundaries entries)."""
+    sort key (h, key...) of the row at that rank and the number of rows of the same key that
+    stand before it (0 for a unique key): ``{class: [((h, key...), same), ...]}`` by rank."""
     spark = df.sparkSession
     h = _sort_key(df, key, seed)
     data = df.where(F.col(q(label)).isNotNull()).select(F.col(q(label)), h.alias("__h"), *[F.col(q(c)) for c in key])
@@ -86,24 +82,43 @@ def _boundaries(df: DataFrame, label: str, key: list[str], seed: int, ranks: dic
         # rows sharing a hash value are ordered by key: resolve the (rare) ties exactly
         tdf = spark.createDataFrame([(ck[0], r, hv, r - n_less) for (ck, r), (hv, n_less) in got.items()],
                                     f"__c {df.schema[label].dataType.simpleString()}, __r long, __hv long, __off long")
-        w = Window.partitionBy("__c", "__r").orderBy(*[F.col(q(c)) for c in key])
-        ties = (data.join(F.broadcast(tdf), (data[q(label)] == tdf["__c"]) & (data["__h"] == tdf["__hv"]))
-                .withColumn("__i", F.row_number().over(w) - 1).where(F.col("__i") == F.col("__off"))
-                .select("__c", "__r", "__h", *[F.col(q(c)) for c in key]).collect())
-        rows = [tuple(t) for t in ties]
+        # equal keys count as one row here, so a key that repeats without end is no burden
+        same = (data.join(tdf, (data[q(label)] == tdf["__c"]) & (data["__h"] == tdf["__hv"]))
+                .groupBy("__c", "__r", "__off", "__h", *[q(c) for c in key]).agg(F.count(F.lit(1)).alias("__m")))
+        w = Window.partitionBy("__c", "__r").orderBy(*[F.col(q(c)) for c in key]).rowsBetween(Window.unboundedPreceding, -1)
+        before = F.coalesce(F.sum("__m").over(w), F.lit(0))
+        ties = (same.withColumn("__b", before).where((F.col("__b") <= F.col("__off")) & (F.col("__off") < F.col("__b") + F.col("__m")))
+                .select("__c", "__r", (F.col("__off") - F.col("__b")).alias("__same"), "__h", *[F.col(q(c)) for c in key]).collect())
+        rows = sorted((tuple(t) for t in ties), key=lambda t: t[1])
     out = {}
     for r in rows:
-        out.setdefault(r[0], []).append((r[1], tuple(r[2:])))
-    return {c: sorted(v) for c, v in out.items()}
+        out.setdefault(r[0], []).append((tuple(r[3:]), r[2]))
+    return out
 
 
-def _threshold_frame(spark, df: DataFrame, label: str, key: list[str], rows: list[tuple], extra: str):
-    """One small broadcastable table built on the driver: (label, extra..., boundary
-    struct(s)). ``rows`` are already in that column order."""
-    st = "struct<k0: bigint, " + ", ".join(f"k{i + 1}: {df.schema[c].dataType.simpleString()}"
-                                             for i, c in enumerate(key)) + ">"
-    schema = f"{q(label)} {df.schema[label].dataType.simpleString()}, {extra.format(st=st)}"
-    return F.broadcast(spark.createDataFrame(rows, schema))
+def _with_blocks(df: DataFrame, label: str, key: list[str], seed: int, bounds: dict, payload: dict, payload_type: str) -> DataFrame:
+    """``df`` without NULL labels, with ``__block`` (how many of its class's boundaries are at
+    or before the row) and ``__payload`` of the class.
+
+    Rows that share a boundary's key (the key is not unique) are numbered by a hash of the
+    whole row, so that the blocks have exact sizes all the same; other rows are only compared."""
+    spark = df.sparkSession
+    st = "struct<k0:bigint," + ",".join(f"k{i + 1}:{df.schema[c].dataType.simpleString()}" for i, c in enumerate(key)) + ">"
+    th = spark.createDataFrame([(c, bounds.get(c, []), v) for c, v in payload.items()],
+                               f"__c {df.schema[label].dataType.simpleString()}, __ths array<struct<at:{st},same:bigint>>, "
+                               f"__payload {payload_type}")
+    mine = F.struct(_sort_key(df, key, seed).alias("k0"), *[F.col(q(c)).alias(f"k{i + 1}") for i, c in enumerate(key)])
+    rows = df.join(th, F.col(q(label)) == F.col("__c")).drop("__c").withColumn("__mine", mine)
+    if not any(same for c in bounds.values() for _, same in c):
+        reached = F.filter("__ths", lambda t: t["at"] <= F.col("__mine"))
+        return rows.withColumn("__block", F.size(reached)).drop("__ths", "__mine")
+    shared = F.exists("__ths", lambda t: t["at"] == F.col("__mine"))
+    rows = rows.withColumn("__shared", shared)
+    order = Window.partitionBy(q(label), "__mine").orderBy(F.xxhash64(*[F.col(q(c)) for c in df.columns]))
+    numbered = rows.where("__shared").withColumn("__i", F.row_number().over(order)).unionByName(
+        rows.where("NOT __shared").withColumn("__i", F.lit(0)))
+    reached = F.filter("__ths", lambda t: (t["at"] < F.col("__mine")) | ((t["at"] == F.col("__mine")) & (F.col("__i") > t["same"])))
+    return numbered.withColumn("__block", F.size(reached)).drop("__ths", "__mine", "__shared", "__i")
 
 
 def stratified_split(df: DataFrame, label: str, key: list[str] | str, test_size: float = 0.2, seed: int = 42,
@@ -112,8 +127,8 @@ def stratified_split(df: DataFrame, label: str, key: list[str] | str, test_size:
     ceil(n * test_size) and the train size per class follows the largest-remainder rule.
     Rows with a NULL label are dropped (their number is reported).
 
-    ``key`` must identify rows uniquely (natural key, or all columns after dedup).
-    Returns the frame and a small report dict."""
+    ``key`` should identify rows (natural key, or all columns after dedup); rows that share a
+    key are dealt by a hash of the whole row. Returns the frame and a small report dict."""
     key = [key] if isinstance(key, str) else list(key)
     counts, n_null = _class_counts(df, label, with_nulls=True)
     classes = [c for c, _ in counts]
@@ -126,16 +141,10 @@ def stratified_split(df: DataFrame, label: str, key: list[str] | str, test_size:
     for c, t, nc in zip(classes, tests, ns):
         if 0 < t < nc:
             ranks[c] = [t]
-    bounds = _boundaries(df, label, key, seed, ranks)
-    spark = df.sparkSession
-    rows = [(c, t == 0, t == nc, bounds[c][0][1] if c in bounds else None)
-            for c, t, nc in zip(classes, tests, ns)]
-    th = _threshold_frame(spark, df, label, key, rows, "__none boolean, __all boolean, __th {st}")
-    h = _sort_key(df, key, seed)
-    mine = F.struct(h.alias("k0"), *[F.col(q(c)).alias(f"k{i + 1}") for i, c in enumerate(key)])
-    out = df.where(F.col(q(label)).isNotNull()).join(th, label)
-    is_test = F.when(F.col("__all"), True).when(F.col("__none"), False).otherwise(mine < F.col("__th"))
-    out = out.withColumn(side_col, F.when(is_test, "test").otherwise("train")).drop("__none", "__all", "__th")
+    # block 0 is test, unless the class has no test row (a class without boundary has one block)
+    sides = {c: ["train", "train"] if t == 0 else ["test", "train"] for c, t in zip(classes, tests)}
+    out = _with_blocks(df, label, key, seed, _boundaries(df, label, key, seed, ranks), sides, "array<string>")
+    out = out.withColumn(side_col, F.get("__payload", F.col("__block"))).drop("__payload", "__block")
     report = {"n": n, "n_test": n_test, "n_null_label": n_null,
               "per_class": {c: {"n": nc, "train": t, "test": nc - t} for c, nc, t in zip(classes, ns, train)}}
     return out, report
@@ -158,7 +167,8 @@ def stratified_folds(df: DataFrame, label: str, key: list[str] | str, k: int = 5
     the sizes stratified k-fold gives. Usable as ``CrossValidator(foldCol=...)``.
 
     A row's fold is the number of block starts at or before its sort key, mapped through
-    the class's list of non-empty folds."""
+    the class's list of non-empty folds. Rows with a NULL label are left out (their number is
+    in ``stratified_split``'s report)."""
     key = [key] if isinstance(key, str) else list(key)
     counts = _class_counts(df, label)
     classes = [c for c, _ in counts]
@@ -168,16 +178,8 @@ def stratified_folds(df: DataFrame, label: str, key: list[str] | str, k: int = 5
         fold_ids[c], starts = _nonempty_folds(per)
         if starts:
             ranks[c] = starts
-    bounds = _boundaries(df, label, key, seed, ranks)
-    rows = [(c, [b for _, b in bounds.get(c, [])]) for c in classes]
-    th = _threshold_frame(df.sparkSession, df, label, key, rows, "__ths array<{st}>")
-    h = _sort_key(df, key, seed)
-    mine = F.struct(h.alias("k0"), *[F.col(q(c)).alias(f"k{i + 1}") for i, c in enumerate(key)])
-    ids = F.create_map(*[x for c in classes for x in (F.lit(c), F.array(*[F.lit(v) for v in fold_ids[c]]))])
-    out = df.where(F.col(q(label)).isNotNull()).join(th, label, "left")
-    pos = F.coalesce(F.size(F.filter(F.col("__ths"), lambda t: t <= mine)), F.lit(0))
-    fold = F.element_at(F.element_at(ids, F.col(q(label))), (pos + 1).cast("int"))
-    return out.withColumn(fold_col, fold.cast("int")).drop("__ths")
+    out = _with_blocks(df, label, key, seed, _boundaries(df, label, key, seed, ranks), fold_ids, "array<int>")
+    return out.withColumn(fold_col, F.get("__payload", F.col("__block"))).drop("__payload", "__block")
 
 
 def split_quality(split: DataFrame, label: str, side_col: str = "side") -> DataFrame:

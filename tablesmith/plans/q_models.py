@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.ml.functions import vector_to_array
@@ -13,12 +15,12 @@ from tablesmith.ml import search as S
 from tablesmith.ml.assembly import PrepConfig, build_pipeline, feature_array, score_frame
 from tablesmith.ml.stages import (CategoricalImputer, CategoryGrouper, ClassWeights, NumericImputer, NumericScaler,
                                   Winsorizer)
-from tablesmith.operators import split as SP
 from tablesmith.plans.frames import ord_clean, sql_with
 from tablesmith.plans.q_explore import freq_sql
 from tablesmith.plans.registry import query
 from tablesmith.plans.sqlgen import r6
 from tablesmith.session import checkpoint_dir
+from tablesmith.sources import persist as P
 from tablesmith.sources import views as V
 
 # Query parameters.
@@ -140,18 +142,27 @@ def q_one_hot(spark, d):
     return out.select("doc_id", "lang", *[F.col("__a")[i].alias(f"oh_{i}") for i in range(n)])
 
 
+EXPLICIT_WEIGHTS = {0: 1, 1: 3}
+
+
 @query("class_weights", sql_with("""
-    SELECT CAST(quality AS BIGINT) AS label, CAST(count(*) AS BIGINT) AS n,
+    SELECT CAST(quality AS DOUBLE) AS label, CAST(count(*) AS BIGINT) AS n,
            ROUND((SELECT count(*) FROM v_doc WHERE quality IS NOT NULL) /
-                 ((SELECT count(DISTINCT quality) FROM v_doc) * count(*)), 6) AS weight
+                 ((SELECT count(DISTINCT quality) FROM v_doc) * count(*)), 6) AS weight,
+           CASE WHEN quality = 1 THEN 3.0::DOUBLE ELSE 1.0::DOUBLE END AS explicit
     FROM v_doc WHERE quality IS NOT NULL GROUP BY quality""", views=["v_doc"]))
 def q_class_weights(spark, d):
-    df = V.v_doc(spark, d).where(F.col("quality").isNotNull()).withColumn("label", F.col("quality").cast("long"))
+    """Balanced weights and an explicit map, on a label of type double as models have it."""
+    df = V.v_doc(spark, d).where(F.col("quality").isNotNull()).withColumn("label", F.col("quality").cast("double"))
     w = ClassWeights(labelCol="label", mode="balanced").fit(df).transform(df)
-    return r6(w.groupBy("label").agg(F.count(F.lit(1)).cast("bigint").alias("n"), F.first("weight").alias("weight")))
+    w = ClassWeights(labelCol="label", outputCol="explicit", mode=EXPLICIT_WEIGHTS).fit(w).transform(w)
+    return r6(w.groupBy("label").agg(F.count(F.lit(1)).cast("bigint").alias("n"), F.first("weight").alias("weight"),
+                                     F.first("explicit").alias("explicit")))
 
 
-# ---------------------------------------------------------------- models (rows-only checks)
+# ---------------------------------------------------------------- models
+# A fitted model's numbers can't be said in SQL; what can is which rows it scores, that scores
+# are probabilities and predictions follow them, and conditions that a right fit meets.
 DOC_CFG = dict(num_cols=V.DOC_NUMERIC, cat_cols=V.DOC_CATEGORICAL, grouping={"source": 40}, label="label")
 
 
@@ -165,70 +176,138 @@ def _doc_labelled(spark, d):
     return df.checkpoint(eager=True)
 
 
-def _doc_split(spark, d):
-    out, _ = SP.stratified_split(_doc_labelled(spark, d), "label", "doc_id", test_size=0.2, seed=42)
-    return out
+def _sides(spark, d):
+    """(train, test) of the labelled documents: every fifth id is on the test side."""
+    df = _doc_labelled(spark, d)
+    return df.where(F.col("doc_id") % 5 != 0), df.where(F.col("doc_id") % 5 == 0)
+
 
+def _checked(scored, **flags):
+    return scored.select("run", "doc_id", "label", F.col("score").between(0, 1).alias("in_range"),
+                         (F.col("prediction") == (F.col("score") >= 0.5).cast("long")).alias("consistent"),
+                         *[F.lit(bool(v)).alias(k) for k, v in flags.items()])
 
-def _fit_and_score(spark, d, model, params, run, scaling="standard"):
-    sp = _doc_split(spark, d)
-    train, test = sp.where(F.col("side") == "train"), sp.where(F.col("side") == "test")
+
+def _checked_sql(run, where="doc_id % 5 = 0", *flags):
+    return sql_with(f"""SELECT '{run}' AS run, doc_id, CAST(quality AS BIGINT) AS label, TRUE AS in_range, TRUE AS consistent
+        {''.join(f', TRUE AS {x}' for x in flags)} FROM v_doc WHERE quality IS NOT NULL AND {where}""", views=["v_doc"])
+
+
+def _fit(spark, d, model, params, run, scaling="standard"):
+    train, test = _sides(spark, d)
     pm = build_pipeline(PrepConfig(scaling=scaling, **DOC_CFG), model, params).fit(train)
-    return score_frame(pm, test, run, key="doc_id")
+    return pm, train, score_frame(pm, test, run, key="doc_id")
+
 
+def _is_optimal(pm, train, params, tolerance=1e-3) -> bool:
+    """Whether a logistic fit meets the first-order condition of its penalised loss: the mean
+    gradient of each coefficient is balanced by the penalty (intercept: zero)."""
+    lr = pm.stages[-1]
+    n = train.count()
+    strength = 1.0 / (params["C"] * n)
+    rows = pm.transform(train).select((vector_to_array("probability")[1] - F.col("label")).alias("r"),
+                                      F.posexplode(F.concat(vector_to_array("features"), F.array(F.lit(1.0)))).alias("j", "x"))
+    grad = {r[0]: r[1] for r in rows.groupBy("j").agg(F.sum(F.col("r") * F.col("x")) / n).collect()}
+    w = [*lr.coefficients.toArray(), 0.0]
 
-@query("fit_logistic")
+    def gap(j):
+        if j == len(w) - 1:
+            return abs(grad[j])
+        if params["penalty"] == "l2":
+            return abs(grad[j] + strength * w[j])
+        return max(0.0, abs(grad[j]) - strength) if w[j] == 0 else abs(grad[j] + (strength if w[j] > 0 else -strength))
+
+    return max(map(gap, grad)) < tolerance
+
+
+LOGISTIC, LOGISTIC_L1 = {"C": 0.1, "penalty": "l2"}, {"C": 0.05, "penalty": "l1"}
+
+
+@query("fit_logistic", _checked_sql("log_regression", "doc_id % 5 = 0", "optimal"))
 def q_fit_logistic(spark, d):
-    return _fit_and_score(spark, d, "LogisticRegression", {"C": 0.1, "penalty": "l2"}, "log_regression", "minmax")
+    pm, train, scored = _fit(spark, d, "LogisticRegression", LOGISTIC, "log_regression", "minmax")
+    return _checked(scored, optimal=_is_optimal(pm, train, LOGISTIC))
 
 
-@query("fit_logistic_l1")
+@query("fit_logistic_l1", _checked_sql("log_regression_l1", "doc_id % 5 = 0", "optimal"))
 def q_fit_logistic_l1(spark, d):
-    return _fit_and_score(spark, d, "LogisticRegression", {"C": 0.05, "penalty": "l1"}, "log_regression_l1", "minmax")
+    pm, train, scored = _fit(spark, d, "LogisticRegression", LOGISTIC_L1, "log_regression_l1", "minmax")
+    return _checked(scored, optimal=_is_optimal(pm, train, LOGISTIC_L1))
 
 
-@query("fit_tree")
+@query("fit_tree", _checked_sql("tree", "doc_id % 5 = 0", "above_floor"))
 def q_fit_tree(spark, d):
-    return _fit_and_score(spark, d, "DecisionTreeClassifier", {"max_depth": 5, "min_samples_split": 4}, "tree")
+    """``above_floor``: a tree is at least as often right on its training rows as the largest class."""
+    pm, train, scored = _fit(spark, d, "DecisionTreeClassifier", {"max_depth": 5, "min_samples_split": 4}, "tree")
+    own = pm.transform(train).agg(F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("acc"),
+                                  F.avg("label").alias("share")).first()
+    return _checked(scored, above_floor=own.acc >= max(own.share, 1 - own.share) - 1e-12)
 
 
-@query("fit_forest")
+@query("fit_forest", _checked_sql("forest"))
 def q_fit_forest(spark, d):
-    return _fit_and_score(spark, d, "RandomForestClassifier", {"n_estimators": 50, "max_depth": 10,
-                                                              "min_samples_leaf": 2}, "forest")
+    return _checked(_fit(spark, d, "RandomForestClassifier", {"n_estimators": 50, "max_depth": 10, "min_samples_leaf": 2}, "forest")[2])
 
 
-@query("score")
+@query("score", _checked_sql("forest_balanced", "TRUE"))
 def q_score(spark, d):
     """Score every labelled row with a fitted forest pipeline (class weights balanced)."""
     df = _doc_labelled(spark, d)
     pm = build_pipeline(PrepConfig(class_weight="balanced", **DOC_CFG), "RandomForestClassifier",
                         {"n_estimators": 30, "max_depth": 8}).fit(df)
-    return score_frame(pm, df, "forest_balanced", key="doc_id")
-
-
-@query("feature_matrix")
+    return _checked(score_frame(pm, df, "forest_balanced", key="doc_id"))
+
+
+_MATRIX_SQL = sql_with("""
+    , b AS (SELECT doc_id, CAST(n_chars AS DOUBLE) AS x0, lower_share AS x1, lang, source FROM v_doc WHERE quality IS NOT NULL),
+    lim AS (SELECT quantile_cont(x0, 0.01) AS a0, quantile_cont(x0, 0.99) AS z0, quantile_cont(x1, 0.01) AS a1, quantile_cont(x1, 0.99) AS z1 FROM b),
+    cl AS (SELECT doc_id, lang, source, CASE WHEN x0 IS NOT NULL THEN least(greatest(x0, a0), z0) END AS x0,
+                  CASE WHEN x1 IS NOT NULL THEN least(greatest(x1, a1), z1) END AS x1 FROM b, lim),
+    im AS (SELECT doc_id, coalesce(x0, (SELECT quantile_cont(x0, 0.5) FROM cl)) AS x0, coalesce(x1, (SELECT quantile_cont(x1, 0.5) FROM cl)) AS x1,
+                  coalesce(lang, (SELECT lang FROM b WHERE lang IS NOT NULL GROUP BY lang ORDER BY count(*) DESC, lang LIMIT 1)) AS lang,
+                  coalesce(source, (SELECT source FROM b WHERE source IS NOT NULL GROUP BY source ORDER BY count(*) DESC, source LIMIT 1)) AS source FROM cl),
+    gr AS (SELECT doc_id, x0, x1, lang, CASE WHEN source IN (SELECT source FROM im GROUP BY source HAVING count(*) >= 40) THEN source ELSE 'Other' END
+             AS source FROM im),
+    ml AS (SELECT favg(x0) AS m0, stddev_pop(x0) AS s0, favg(x1) AS m1, stddev_pop(x1) AS s1 FROM gr),
+    lg AS (SELECT lang AS v, row_number() OVER (ORDER BY lang) - 1 AS i FROM (SELECT DISTINCT lang FROM gr)),
+    so AS (SELECT source AS v, row_number() OVER (ORDER BY source) - 1 AS i FROM (SELECT DISTINCT source FROM gr))
+    SELECT doc_id, CAST(0 AS BIGINT) AS slot, ROUND((x0 - m0) / CASE WHEN s0 = 0 THEN 1 ELSE s0 END, 6) AS value FROM gr, ml
+    UNION ALL SELECT doc_id, 1, ROUND((x1 - m1) / CASE WHEN s1 = 0 THEN 1 ELSE s1 END, 6) FROM gr, ml
+    UNION ALL SELECT doc_id, CAST(2 + i AS BIGINT), CASE WHEN lang = v THEN 1.0 ELSE 0.0 END FROM gr, lg
+    UNION ALL SELECT doc_id, CAST(2 + (SELECT count(*) FROM lg) + i AS BIGINT), CASE WHEN source = v THEN 1.0 ELSE 0.0 END FROM gr, so""",
+    views=["v_doc"])
+
+
+@query("feature_matrix", _MATRIX_SQL)
 def q_feature_matrix(spark, d):
+    """The assembled matrix of every labelled document, one row per cell."""
     df = _doc_labelled(spark, d)
     pm = Pipeline(stages=build_pipeline(PrepConfig(**DOC_CFG)).getStages()).fit(df)
-    return feature_array(pm, df, keep=["doc_id", "label"])
+    cells = feature_array(pm, df, keep=["doc_id"]).select("doc_id", F.posexplode("features").alias("slot", "value"))
+    return r6(cells.withColumn("slot", F.col("slot").cast("bigint")))
+
+
+AUDIT_GRID = {"outlier": ["clip", "none"], "scaling": ["standard", "robust"], "grouping.source": [0, 60]}
 
 
-@query("nan_audit")
+@query("nan_audit", "SELECT CAST(range AS INTEGER) AS combination, CAST(0 AS BIGINT) AS n_missing, CAST(NULL AS VARCHAR) AS error "
+                    f"FROM range({1 + len(S.expand_grid(AUDIT_GRID))})")
 def q_nan_audit(spark, d):
-    train = _doc_split(spark, d).where(F.col("side") == "train")
-    grid = {"outlier": ["clip", "none"], "scaling": ["standard", "robust"], "grouping.source": [0, 60]}
-    return S.nan_audit(train, PrepConfig(**DOC_CFG), grid)
+    """No combination may leave a missing cell."""
+    return S.nan_audit(_sides(spark, d)[0], PrepConfig(**DOC_CFG), AUDIT_GRID).select("combination", "n_missing", "error")
 
 
-@query("grid_search")
+@query("grid_search", """
+    SELECT CAST(i AS INTEGER) AS candidate, c AS "C", scaling, CAST(f.range AS INTEGER) AS fold, split, TRUE AS scored, CAST(NULL AS VARCHAR) AS error
+    FROM (VALUES (0, '0.1', '"standard"'), (1, '0.1', '"minmax"'), (2, '1.0', '"standard"'), (3, '1.0', '"minmax"')) t(i, c, scaling),
+         range(3) f, (VALUES ('train'), ('test')) s(split)""")
 def q_grid_search(spark, d):
-    sp = _doc_split(spark, d).where(F.col("side") == "train")
-    folds = SP.stratified_folds(sp, "label", "doc_id", k=3, seed=42)
+    folds = _sides(spark, d)[0].withColumn("fold", (F.col("doc_id") % 3).cast("int"))
     grid = {"C": [0.1, 1.0], "scaling": ["standard", "minmax"]}
     cv, _, _ = S.grid_search(folds, PrepConfig(**DOC_CFG), grid, model="LogisticRegression", refit=False,
                              experiment="log_regression")
-    return cv
+    return cv.select("candidate", F.col("params")["C"].alias("C"), F.col("params")["scaling"].alias("scaling"), "fold", "split",
+                     F.col("score").between(0, 1).alias("scored"), "error")
 
 
 def _threshold_cv(spark, d):
@@ -252,39 +331,52 @@ _CV_SQL = """
                    stddev_pop(score) FILTER (WHERE split = 'train') AS std_train_score
             FROM cvl GROUP BY experiment, candidate),
     ranked AS (SELECT *, CAST(rank() OVER (PARTITION BY experiment ORDER BY mean_test_score DESC) AS INTEGER)
-                 AS rank_test_score FROM res)"""
-_CV_COLS = """experiment, candidate, ROUND(mean_test_score, 6) AS mean_test_score,
+                 AS rank_test_score, [0.3, 0.5, 0.7][candidate + 1]::DOUBLE AS threshold FROM res)"""
+_FOLDS = "".join(f""", ROUND((SELECT max(score) FROM cvl v WHERE v.experiment = ranked.experiment AND v.candidate = ranked.candidate
+    AND split = 'test' AND fold = {i}), 6) AS split{i}_test_score""" for i in range(5))
+_CV_COLS = """experiment, candidate, threshold, ROUND(mean_test_score, 6) AS mean_test_score,
     ROUND(std_test_score, 6) AS std_test_score, ROUND(mean_train_score, 6) AS mean_train_score,
     ROUND(std_train_score, 6) AS std_train_score, rank_test_score"""
 
 
 def _cv_cols(df):
-    return r6(df.select("experiment", "candidate", "mean_test_score", "std_test_score", "mean_train_score",
-                        "std_train_score", "rank_test_score"))
+    return r6(df.select("experiment", "candidate", F.col("params")["threshold"].cast("double").alias("threshold"), "mean_test_score",
+                        "std_test_score", "mean_train_score", "std_train_score", "rank_test_score",
+                        *[F.get("fold_scores", F.lit(i)).alias(f"split{i}_test_score") for i in range(5)]))
 
 
-@query("cv_results", sql_with(_CV_SQL + f"\nSELECT {_CV_COLS} FROM ranked", views=["v_scores"]))
+@query("cv_results", sql_with(_CV_SQL + f"\nSELECT {_CV_COLS}{_FOLDS} FROM ranked", views=["v_scores"]))
 def q_cv_results(spark, d):
     return _cv_cols(S.cv_results(_threshold_cv(spark, d)))
 
 
 @query("leaderboard", sql_with(_CV_SQL + f"""
-    SELECT {_CV_COLS} FROM (SELECT *, row_number() OVER (PARTITION BY experiment ORDER BY rank_test_score, candidate) AS r
-                            FROM ranked) WHERE r = 1""", views=["v_scores"]))
+    SELECT {_CV_COLS}{_FOLDS} FROM (SELECT *, row_number() OVER (PARTITION BY experiment ORDER BY rank_test_score, candidate) AS r
+                            FROM ranked) ranked WHERE r = 1""", views=["v_scores"]))
 def q_leaderboard(spark, d):
-    return _cv_cols(S.leaderboard(S.cv_results(_threshold_cv(spark, d))))
+    """The leaderboard of a CV table that was written and read again."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/cv-{uuid.uuid4().hex}"
+    P.save_cv(_threshold_cv(spark, d), path)
+    return _cv_cols(S.leaderboard(S.cv_results(P.load_cv_results(spark, path))))
 
 
-# ---------------------------------------------------------------- end-to-end run (rows-only check)
+# ---------------------------------------------------------------- end-to-end run
 ORD_RUN = RunConfig(path="", target="status", target_mapping={"F": 0, "O": 1},
                     expected_columns=["o_orderkey", "o_totalprice", "c_acctbal", "o_orderpriority", "c_mktsegment",
                                       "n_name", "status"],
-                    drop_features=[], grouping={"n_name": 600}, model="LogisticRegression",
-                    model_params={"C": 1.0}, folds=3, key="o_orderkey", null_tokens=("?", "4-NOT SPECIFIED"),
-                    experiment="orders")
+                    drop_features=[], numeric_columns=("o_totalprice", "c_acctbal"), grouping={"n_name": 600},
+                    model="LogisticRegression", model_params={"C": 1.0}, folds=3, key="o_orderkey",
+                    null_tokens=("?", "4-NOT SPECIFIED"), experiment="orders")
+RUN_METRICS = ("accuracy", "precision", "recall", "f1", "roc_auc", "average_precision")
 
 
-@query("workflow_orders")
+@query("workflow_orders", sql_with(f"""
+    SELECT 'orders' AS run, CAST(ceil(0.2 * count(*)) AS BIGINT) AS n_test, {', '.join(f'TRUE AS {m}' for m in RUN_METRICS)},
+           CAST(0 AS BIGINT) AS n_dropped
+    FROM (SELECT DISTINCT * FROM ord_clean) WHERE status IS NOT NULL""", ctes=["ord_clean"]))
 def q_workflow_orders(spark, d):
-    """The whole batch run on the order frame; returns the test metrics of the refit model."""
-    return W.run(V.v_ord(spark, d), ORD_RUN)["test_metrics"]
+    """The whole batch run on the order frame: the test rows of the refit model and whether
+    each of its metrics is a share."""
+    out = W.run(V.v_ord(spark, d), ORD_RUN)
+    return out["test_metrics"].select("run", F.lit(out["scored"].count()).cast("bigint").alias("n_test"),
+                                      *[F.col(m).between(0, 1).alias(m) for m in RUN_METRICS], "n_dropped")

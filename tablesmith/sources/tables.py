@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablesmith.functions.columns import nulls_for_nan, q
+from tablesmith.functions.columns import nulls_for_nan, numeric_or_null, q, trim_ws
 
 # Text that counts as missing when a CSV is read leniently; the strict
 # default is the single token "?" (the census file's marker).
@@ -50,19 +50,37 @@ def null_tokens(df: DataFrame, tokens=STRICT_NULL_TOKENS, subset: list[str] | No
     return df.select(*out)
 
 
+def numeric_text(df: DataFrame) -> DataFrame:
+    """Cast the text columns all of whose values are numbers (whole numbers to bigint, others
+    to double), decided by one aggregate over the rows; columns without a value stay text."""
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    if not texts:
+        return df
+    aggs = []
+    for i, c in enumerate(texts):
+        x = F.col(q(c))
+        whole = trim_ws(x).rlike(r"^[+-]?[0-9]{1,18}$")
+        aggs += [F.count(x).alias(f"n{i}"), F.count(numeric_or_null(x)).alias(f"num{i}"), F.count_if(whole).alias(f"int{i}")]
+    row = df.agg(*aggs).first()
+    kind = {c: "bigint" if row[f"int{i}"] == row[f"n{i}"] else "double" for i, c in enumerate(texts)
+            if row[f"n{i}"] and row[f"num{i}"] == row[f"n{i}"]}
+    return df.select(*[(trim_ws(F.col(q(f.name))).cast("bigint") if kind.get(f.name) == "bigint" else numeric_or_null(F.col(q(f.name)))
+                        ).alias(f.name, metadata=f.metadata) if f.name in kind else F.col(q(f.name)) for f in df.schema.fields])
+
+
 def read_csv(spark: SparkSession, path: str, *, sep: str = ",", encoding: str = "utf-8",
              schema: T.StructType | str | None = None, tokens=STRICT_NULL_TOKENS,
              infer: bool = True) -> DataFrame:
     """Headered CSV: optional explicit schema (preferred at scale: no inference pass),
-    dots in names replaced, marker tokens and NaN turned into NULL."""
+    dots in names replaced, marker tokens and NaN turned into NULL. Without a schema the file
+    is read as text, the markers become NULL, and columns that then hold numbers only become
+    numeric (``infer=False`` keeps text), so a marker never decides a column's type."""
     reader = spark.read.option("header", True).option("sep", sep).option("encoding", encoding)
     reader = reader.option("mode", "PERMISSIVE")
     if schema is not None:
-        reader = reader.schema(schema)
-    else:
-        reader = reader.option("inferSchema", infer)
-    df = nulls_for_nan(null_tokens(reader.csv(path), tokens))
-    return rename_safe(df)
+        return rename_safe(nulls_for_nan(null_tokens(reader.schema(schema).csv(path), tokens)))
+    df = rename_safe(null_tokens(reader.csv(path), tokens))
+    return numeric_text(df) if infer else df
 
 
 def write_table(df: DataFrame, path: str, *, fmt: str = "parquet", mode: str = "overwrite",

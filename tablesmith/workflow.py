@@ -32,9 +32,10 @@ def load(spark: SparkSession, cfg: RunConfig) -> DataFrame:
     return read_csv(spark, cfg.path, tokens=list(cfg.null_tokens))
 
 
-def run(df: DataFrame, cfg: RunConfig, grid=None, *, run_table: str | None = None,
-        cv_table: str | None = None) -> dict:
-    """Run every stage on ``df`` and return the reports, the model and the test metrics."""
+def run(df: DataFrame, cfg: RunConfig, grid=None, *, run_table: str | None = None, cv_table: str | None = None,
+        roles_path: str | None = None, splits_path: str | None = None) -> dict:
+    """Run every stage on ``df`` and return the reports, the model and the test metrics. The
+    paths name where the roles, the splits, the run record and the CV table are kept."""
     out = {}
     df = null_tokens(df, list(cfg.null_tokens))
     # load and check
@@ -50,7 +51,7 @@ def run(df: DataFrame, cfg: RunConfig, grid=None, *, run_table: str | None = Non
     # clean: de-duplicate first, then trim and coerce (the reference's order)
     df, out["removed"] = CL.drop_duplicates(df)
     out["missing"] = PR.missing_summary(df, cfg.target)
-    df = CL.trim_strings(df)
+    df = CL.coerce_numeric(CL.trim_strings(df), list(cfg.numeric_columns))
     nums = numeric_columns(df, exclude=[cfg.target])
     out["gross_outliers"] = CL.gross_outliers(df, nums)
     # features
@@ -58,7 +59,7 @@ def run(df: DataFrame, cfg: RunConfig, grid=None, *, run_table: str | None = Non
     out["roles"] = roles
     out["issues"] = FE.feature_issues(df, roles)
     lists = FE.role_lists(roles)
-    # split: rows are unique after de-duplication, so the whole row is a valid key
+    # split: the whole row is the key (trimming can make rows equal again; the split allows it)
     key = [cfg.key] if cfg.key else list(df.columns)
     frame = df.select(*dict.fromkeys(key + lists["final_features"] + [cfg.target]))
     # every later stage (split boundaries, folds, each fit and score) re-reads this frame:
@@ -68,6 +69,10 @@ def run(df: DataFrame, cfg: RunConfig, grid=None, *, run_table: str | None = Non
     split, report = SP.stratified_split(frame, cfg.target, key, cfg.test_size, cfg.seed)
     out["split_quality"] = SP.split_quality(split, cfg.target)
     out["split_report"] = report
+    if roles_path:
+        P.save_roles(roles, roles_path)
+    if splits_path:
+        SP.save_splits(split, splits_path)
     train = split.where(F.col("side") == "train")
     test = split.where(F.col("side") == "test")
     folds = SP.stratified_folds(train, cfg.target, key, k=cfg.folds, seed=cfg.seed)

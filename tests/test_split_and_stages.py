@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 from tablesmith.ml.assembly import PrepConfig, build_pipeline, missing_cells, score_frame
 from tablesmith.ml.search import cv_results, expand_grid, grid_search, leaderboard
-from tablesmith.ml.stages import CategoryGrouper, NumericScaler, Winsorizer
+from tablesmith.ml.stages import CategoryGrouper, ClassWeights, NumericScaler, Winsorizer
 from tablesmith.operators import metrics as M
-from tablesmith.operators.split import approximate_mode, fold_allocation, stratified_folds, stratified_split
+from tablesmith.operators.split import approximate_mode, fold_allocation, save_splits, stratified_folds, stratified_split
 from tablesmith.sources import persist as P
-from tablesmith.sources.tables import read_csv
+from tablesmith.sources.tables import read_csv, write_table
 
 from conftest import MEDIUM
 
@@ -146,12 +146,118 @@ def test_run_table_and_roles(spark, tmpdir_path):
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, roles.collect()))
 
 
-def test_grouper_large_kept_set_uses_table(spark, monkeypatch):
-    from tablesmith.ml import stages
-    monkeypatch.setattr(stages, "MAX_MODEL_VALUES", 3)
-    df = spark.createDataFrame([(f"v{i % 6}",) for i in range(60)] + [("rare",)], "v string")
+def test_grouper_of_any_size_is_saved_with_its_model(spark, tmpdir_path):
+    """A kept set beyond any list loads from the model's own folder, nothing else."""
+    df = spark.range(120_000).select(F.concat(F.lit("v"), (F.col("id") % 60_000)).alias("v")).union(
+        spark.createDataFrame([("rare",), (None,)], "v string"))
     m = CategoryGrouper(inputCols=["v"], minFreq=2).fit(df)
-    assert m.getOrDefault(m.keptPath) is not None
-    got = sorted({r.v for r in m.transform(df).collect()})
-    assert got == ["Other", "v0", "v1", "v2", "v3", "v4", "v5"]
-    assert m.transform(df).count() == 61
+    path = os.path.join(tmpdir_path, "grouper")
+    PipelineModel([m]).write().save(path)
+    m.kept = None                                        # the table in the checkpoint folder is out of reach
+    got = PipelineModel.load(path).transform(df).groupBy("v").count()
+    assert got.count() == 60_001
+    assert {r.v: r["count"] for r in got.where("v in ('Other', 'v0')").collect()} == {"Other": 2, "v0": 2}
+
+
+def test_class_weights_compare_as_numbers(spark):
+    df = spark.createDataFrame([(0.0,), (1.0,), (1.0,), (None,)], "label double")
+    for mode in ({0: 1, 1: 3}, {"0": 1, "1": 3}, {0.0: 1, 1.0: 3}):
+        out = ClassWeights(mode=mode).fit(df).transform(df)
+        assert sorted(((r.label, r.weight) for r in out.collect()), key=str) == sorted(
+            [(0.0, 1.0), (1.0, 3.0), (1.0, 3.0), (None, 1.0)], key=str)
+    texts = spark.createDataFrame([("a",), ("b",)], "label string")
+    assert {r.label: r.weight for r in ClassWeights(mode={"a": 2, "b": 5}).fit(texts).transform(texts).collect()} == {"a": 2.0, "b": 5.0}
+    with pytest.raises(ValueError):
+        ClassWeights(mode={0: 1}).fit(df)
+
+
+def test_tree_depth_beyond_the_library_raises():
+    with pytest.raises(ValueError):
+        build_pipeline(PrepConfig(num_cols=["x"], cat_cols=[]), "DecisionTreeClassifier", {"max_depth": 31})
+
+
+def test_csv_marker_does_not_decide_a_type(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "t.csv")
+    with open(path, "w") as f:
+        f.write("capital.gain,rate,code,empty\n0,1.5,a1,?\n?, 2 ,?,?\n7,?,12,?\n")
+    df = read_csv(spark, path)
+    assert dict(df.dtypes) == {"capital_gain": "bigint", "rate": "double", "code": "string", "empty": "string"}
+    assert [tuple(r) for r in df.collect()] == [(0, 1.5, "a1", None), (None, 2.0, None, None), (7, None, "12", None)]
+
+
+@pytest.mark.parametrize("distinct", [1, 3, 50])
+def test_split_and_folds_of_repeated_keys_are_exact(spark, distinct):
+    df = spark.range(200).select((F.col("id") % distinct).alias("k"), (F.col("id") % 2).cast("int").alias("y"), "id")
+    out, rep = stratified_split(df, "y", "k", test_size=0.25, seed=1)
+    got = {(r.side, r.y): r["count"] for r in out.groupBy("side", "y").count().collect()}
+    assert got == {("test", 0): 25, ("test", 1): 25, ("train", 0): 75, ("train", 1): 75}
+    f = stratified_folds(df, "y", "k", k=5, seed=1)
+    assert {r["count"] for r in f.groupBy("fold", "y").count().collect()} == {20} and f.select("id").distinct().count() == 200
+    assert set(out.columns) == {"k", "y", "id", "side"}
+
+
+def test_confusion_and_report_take_the_classes_from_the_data(spark):
+    rows = [(0, 0), (1, 2), (2, 2), (2, 0), (1, 1), (None, 1), (2, None)]
+    df = spark.createDataFrame(rows, "label long, prediction long")
+    cm = M.confusion_matrix(df, by=()).collect()
+    assert sum(r.n for r in cm) == len(rows) and {r.actual for r in cm} == {0, 1, 2, None}
+    rep = {r["class"]: r for r in M.classification_report(df, by=()).collect()}
+    assert sum(rep[c].support for c in "012") == rep["accuracy"].support == 5 and rep["missing"].support == 2
+    words = spark.createDataFrame([("a", "a"), ("b", "a")], "label string, prediction string")
+    assert {r["class"] for r in M.classification_report(words, by=()).collect()} >= {"a", "b"}
+
+
+def test_metrics_without_groups_count_what_they_drop(spark):
+    rows = [(1, 0.9, 1), (0, 0.1, 0), (1, 0.4, 0), (0, None, 1), (None, 0.3, 0)]
+    df = spark.createDataFrame(rows, "label long, score double, prediction long")
+    r = M.compare_runs(df, by=()).first()
+    assert r.n_dropped == 2 and r.roc_auc == 1.0 and abs(r.accuracy - 0.5) < 1e-12
+    sweep = M.threshold_sweep(df, [0.3, 0.5], by=()).collect()
+    assert [(x.threshold, x.recall, x.n_dropped) for x in sorted(sweep)] == [(0.3, 1.0, 2), (0.5, 0.5, 2)] or len(sweep) == 2
+    assert M.best_threshold(M.threshold_sweep(df, by=()), by=()).count() == 1
+
+
+def test_round_trips(spark, tmpdir_path):
+    df = spark.createDataFrame([(1, "a", 2.5), (2, None, None)], "k long, s string, x double")
+    path = os.path.join(tmpdir_path, "csv")
+    write_table(df, path, fmt="csv")
+    assert sorted(map(tuple, spark.read.option("header", True).schema(df.schema).csv(path).collect())) == sorted(map(tuple, df.collect()))
+    split, _ = stratified_split(_labelled(spark, 100), "y", "k")
+    save_splits(split, os.path.join(tmpdir_path, "splits"))
+    back = spark.read.parquet(os.path.join(tmpdir_path, "splits"))
+    assert sorted((r.k, r.side) for r in back.collect()) == sorted((r.k, r.side) for r in split.collect())
+    folds = stratified_folds(_labelled(spark, 120).withColumn("label", F.col("y").cast("double")), "label", "k", k=2)
+    cv, best, model = grid_search(folds, PrepConfig(num_cols=["x"], cat_cols=[], label="label"), {"C": [1.0], "max_iter": [5]}, experiment="e")
+    P.save_cv(cv, os.path.join(tmpdir_path, "cv"))
+    again = cv_results(P.load_cv_results(spark, os.path.join(tmpdir_path, "cv"), ["e"])).first()
+    assert again.params == {"C": "1.0", "max_iter": "5"} and len(again.fold_scores) == 2
+    P.save_model(model, os.path.join(tmpdir_path, "model"))
+    assert len(P.load_model(os.path.join(tmpdir_path, "model")).stages) == len(model.stages)
+
+
+def test_search_records_bad_parameters_and_raises_the_rest(spark, monkeypatch):
+    from tablesmith.ml import search
+    folds = stratified_folds(_labelled(spark, 120).withColumn("label", F.col("y").cast("double")), "label", "k", k=2)
+    cfg = PrepConfig(num_cols=["x"], cat_cols=[], label="label")
+    cv, best, _ = grid_search(folds, cfg, {"penalty": ["l2", "nonsense"]}, refit=False)
+    errors = {r.params["penalty"]: r.error for r in cv.where("error is not null").collect()}
+    assert "nonsense" in errors['"nonsense"'] and best["penalty"] == "l2"
+    monkeypatch.setattr(search, "_score", lambda *a: (_ for _ in ()).throw(RuntimeError("executor lost")))
+    with pytest.raises(RuntimeError):
+        grid_search(folds, cfg, {"C": [1.0]}, refit=False)
+
+
+def test_workflow_coerces_and_keeps_roles_and_splits(spark, tmpdir_path):
+    from tablesmith import workflow
+    from tablesmith.config import RunConfig
+    rows = [(f"{i % 17}" if i % 9 else "?", "u" if i % 3 else " v ", ">50K." if i % 4 == 0 else "<=50K", i) for i in range(300)]
+    df = spark.createDataFrame(rows, "age string, work string, income string, id long")
+    cfg = RunConfig(path="", target="income", target_mapping={"<=50K": 0, ">50K": 1}, expected_columns=["age", "work", "income", "id"],
+                    drop_features=[], numeric_columns=("age",), model="LogisticRegression", folds=2, key="id")
+    out = workflow.run(df, cfg, roles_path=tmpdir_path + "/roles", splits_path=tmpdir_path + "/splits", cv_table=tmpdir_path + "/cv",
+                       run_table=tmpdir_path + "/runs")
+    kinds = {r.column: r.kind for r in P.load_roles(spark, tmpdir_path + "/roles").collect()}
+    assert kinds["age"] == "numeric" and kinds["work"] == "categorical"
+    assert spark.read.parquet(tmpdir_path + "/splits").count() == 300
+    assert P.load_runs(spark, tmpdir_path + "/runs").count() == 1 and leaderboard(cv_results(P.load_cv_results(spark, tmpdir_path + "/cv"))).count() == 1
+    assert out["scored"].count() == 60
