@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablesmith.functions.columns import numeric_or_null, q, trim_ws
-from tablesmith.operators.profile import _long_from_row, duplicate_count, missing_summary
+from tablesmith.operators.profile import _long_from_row, duplicate_count
 
 
 def drop_duplicates(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -62,21 +62,13 @@ def gross_outliers(df: DataFrame, cols: list[str]) -> DataFrame:
     return _long_from_row(df.agg(*aggs), cols, ["min", "max", "n_negative"], {"n_negative": "bigint"})
 
 
-def clean_status(df: DataFrame, removed: DataFrame, target: str) -> DataFrame:
-    """One record after cleaning: (n_rows, n_cols, n_removed, total_nulls, nulls_in_target)."""
-    ms = missing_summary(df, target)
-    tot = ms.agg(F.max("total_nulls").alias("t"), F.max("nulls_in_target").alias("nt"))
-    shape = df.agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"))
-    return shape.select("n_rows", F.lit(len(df.columns)).cast("bigint").alias("n_cols"),
-                        removed.select("n_removed").scalar().cast("bigint").alias("n_removed"),
-                        F.coalesce(tot.select("t").scalar(), F.lit(0)).cast("bigint").alias("total_nulls"),
-                        F.coalesce(tot.select("nt").scalar(), F.lit(0)).cast("bigint").alias("nulls_in_target"))
-
-
-def select_columns(df: DataFrame, keep: list[str] | None = None, drop: list[str] | None = None) -> DataFrame:
-    """Projection on a feature list (#25); Catalyst prunes the rest at the scan."""
-    if keep is not None:
-        df = df.select(*[q(c) for c in keep])
-    if drop:
-        df = df.drop(*drop)
-    return df
+def clean_status(df: DataFrame, target: str) -> DataFrame:
+    """One record of de-duplicating ``df``: (n_rows left, n_cols, n_removed, total_nulls and
+    nulls_in_target in what is left), from one pass: the group-by that de-duplicates counts
+    the copies."""
+    rows = df.groupBy(*[q(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("__c"))
+    nulls = lambda cols: F.coalesce(F.sum(sum((F.col(q(c)).isNull().cast("long") for c in cols), F.lit(0))), F.lit(0))
+    return rows.agg(
+        F.count(F.lit(1)).cast("bigint").alias("n_rows"), F.lit(len(df.columns)).cast("bigint").alias("n_cols"),
+        F.coalesce(F.sum(F.col("__c") - 1), F.lit(0)).cast("bigint").alias("n_removed"),
+        nulls(df.columns).cast("bigint").alias("total_nulls"), nulls([target]).cast("bigint").alias("nulls_in_target"))

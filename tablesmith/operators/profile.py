@@ -8,11 +8,11 @@ selection kernel in :mod:`tablesmith.functions.ranking`.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablesmith.functions.columns import categorical_columns, is_numeric, numeric_columns, q
+from tablesmith.functions.columns import categorical_columns, numeric_columns, q
 from tablesmith.functions.ranking import quantile_values, quantiles_long, to_long_numeric
 from tablesmith.operators.frequency import freq_table
 
@@ -59,21 +59,25 @@ def numeric_profile(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 
 
 def schema_diff(df: DataFrame, expected: list[str], strict: bool = False) -> DataFrame:
-    """Names present on both sides ('ok'), expected but absent ('missing') or present
-    but not expected ('extra'). Order is ignored. ``strict`` raises on a mismatch."""
+    """(column, status, n_present): names present on both sides ('ok'), expected but absent
+    ('missing') or present but not expected ('extra'), and the rows with a value (NULL for a
+    missing column). Order is ignored. ``strict`` raises on a mismatch."""
     have, want = set(df.columns), set(expected)
     rows = [(c, "ok") for c in sorted(have & want)] + [(c, "missing") for c in sorted(want - have)] + [
         (c, "extra") for c in sorted(have - want)]
     if strict and (want - have or have - want):
         raise ValueError(f"schema mismatch: missing={sorted(want - have)} extra={sorted(have - want)}")
-    return df.sparkSession.createDataFrame(rows, "column string, status string")
+    status = df.sparkSession.createDataFrame(rows, "column string, status string")
+    return status.join(present_counts(df), "column", "left")
 
 
 def data_dictionary(df: DataFrame, target: str) -> DataFrame:
-    """(name, type, role, notes): one row per column, role 'target' or 'feature'."""
+    """(name, type, role, notes, n_present): one row per column, role 'target' or 'feature',
+    and the rows with a value."""
     rows = [(f.name, f.dataType.simpleString(), "target" if f.name == target else "feature", "")
             for f in df.schema.fields]
-    return df.sparkSession.createDataFrame(rows, "name string, type string, role string, notes string")
+    names = df.sparkSession.createDataFrame(rows, "name string, type string, role string, notes string")
+    return names.join(present_counts(df).withColumnRenamed("column", "name"), "name")
 
 
 def table_shape(df: DataFrame) -> DataFrame:
@@ -88,43 +92,43 @@ def null_counts(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     return _long_from_row(wide, cols, ["n_null"], {"n_null": "bigint"})
 
 
+def typed_frequencies(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(column, b, d, s, n): how often each value of each column occurs, NULL included. A
+    value stands in the field of its type family (integral as bigint, fractional as double,
+    everything else as text; decimals as text and double), so numbers are hashed as numbers.
+    One scan and one shuffle whatever the number of columns and types."""
+    def parts(c):
+        x, dt = F.col(q(c)), df.schema[c].dataType
+        whole, frac = isinstance(dt, T.IntegralType), isinstance(dt, (T.FloatType, T.DoubleType, T.DecimalType))
+        text = not whole and (not frac or isinstance(dt, T.DecimalType))
+        no = lambda t: F.lit(None).cast(t)
+        return F.struct(F.lit(c).alias("column"), (x.cast("bigint") if whole else no("bigint")).alias("b"),
+                        (x.cast("double") if frac else no("double")).alias("d"), (x.cast("string") if text else no("string")).alias("s"))
+
+    return df.select(F.inline(F.array(*[parts(c) for c in cols]))).groupBy("column", "b", "d", "s").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+_PRESENT = "b IS NOT NULL OR d IS NOT NULL OR s IS NOT NULL"
+
+
+def present_counts(df: DataFrame) -> DataFrame:
+    """(column, n_present): rows with a value, for every column in one aggregate."""
+    wide = df.agg(*[F.count(F.col(q(c))).alias(f"{c}__n_present") for c in df.columns])
+    return _long_from_row(wide, df.columns, ["n_present"], {"n_present": "bigint"})
+
+
 def unique_counts(df: DataFrame, cols: list[str] | None = None, rsd: float | None = None) -> DataFrame:
-    """(column, n_unique): distinct non-NULL values per column.
-
-    Exact by default: columns are unpivoted by type family (integral as bigint,
-    fractional as double, everything else as string) and counted with one group-by per
-    family, so numbers are hashed as numbers rather than formatted as text, and partial
-    aggregation shrinks each shuffle to the distinct values per task. With ``rsd`` the
-    count is HyperLogLog (``approx_count_distinct``) in a single aggregate, no shuffle of
-    values at all."""
+    """(column, n_unique): distinct non-NULL values per column, exact by default; with
+    ``rsd`` the count is HyperLogLog (``approx_count_distinct``) in a single aggregate, no
+    shuffle of values at all."""
     cols = cols or df.columns
-    spark = df.sparkSession
-    names = _columns_frame(spark, df, cols).select("column")
     if rsd is not None:
         wide = df.agg(*[F.approx_count_distinct(F.col(q(c)), rsd).alias(f"{c}__n_unique") for c in cols])
         return _long_from_row(wide, cols, ["n_unique"], {"n_unique": "bigint"})
-    families = {"bigint": [], "double": [], "string": []}
-    for c in cols:
-        dt = df.schema[c].dataType
-        if isinstance(dt, T.IntegralType):
-            families["bigint"].append(c)
-        elif isinstance(dt, (T.FloatType, T.DoubleType, T.DecimalType)):
-            families["double" if not isinstance(dt, T.DecimalType) else "string"].append(c)
-        else:
-            families["string"].append(c)
-    parts = []
-    for typ, members in families.items():
-        if not members:
-            continue
-        base = df.select(*[F.col(q(c)).cast(typ).alias(c) for c in members])
-        long_df = base.unpivot([], [q(c) for c in members], "column", "value").where(F.col("value").isNotNull())
-        per = long_df.distinct().groupBy("column").agg(F.count(F.lit(1)).alias("n_unique"))
-        parts.append(per)
-    per = parts[0]
-    for p in parts[1:]:
-        per = per.unionByName(p)
-    return names.join(per, "column", "left").select("column", F.coalesce("n_unique", F.lit(0)).cast("bigint")
-                                                    .alias("n_unique"))
+    names = _columns_frame(df.sparkSession, df, cols).select("column")
+    per = typed_frequencies(df, cols).groupBy("column").agg(F.count_if(F.expr(_PRESENT)).alias("n_unique"))
+    return names.join(per, "column", "left").select("column", F.coalesce("n_unique", F.lit(0)).cast("bigint").alias("n_unique"))
 
 
 def min_max(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
@@ -158,12 +162,6 @@ def describe_numerical(df: DataFrame, cols: list[str], probs=(0.25, 0.5, 0.75),
     range the quantile kernel starts from, so the kernel adds only its refinement passes.
     ``accuracy`` trades exactness for a single ``percentile_approx`` pass."""
     prof = numeric_profile(df, cols).select("column", "n", "mean", "std", "min", "max").collect()
-    # second-pass correction of the mean (m + avg(x - m)): the residual sum is tiny, so the
-    # result is the mean of the doubles to about an ulp whatever the summation order
-    have = [r for r in prof if r["mean"] is not None]
-    fix = df.agg(*[F.avg(F.col(q(r["column"])).cast("double") - F.lit(r["mean"])).alias(f"c{i}")
-                   for i, r in enumerate(have)]).first() if have else None
-    means = {r["column"]: r["mean"] + (fix[f"c{i}"] or 0.0) for i, r in enumerate(have)}
     stats = [{"column": r["column"], "__n": r["n"], "__min": r["min"], "__max": r["max"]} for r in prof if r["n"]]
     if accuracy is not None:
         qrows = [r.asDict() for r in quantiles_long(df, cols, list(probs), accuracy=accuracy).collect()]
@@ -171,7 +169,7 @@ def describe_numerical(df: DataFrame, cols: list[str], probs=(0.25, 0.5, 0.75),
         qrows = quantile_values(to_long_numeric(df, cols), ["column"], "x", list(probs), stats=stats)
     names = {p: "p" + format(round(p * 100, 4), "g").replace(".", "_") for p in probs}
     qmap = {(r["column"], r["p"]): r["q"] for r in qrows}
-    rows = [(r["column"], r["n"], means.get(r["column"]), r["std"], r["min"],
+    rows = [(r["column"], r["n"], r["mean"], r["std"], r["min"],
              *[qmap.get((r["column"], float(p))) for p in probs], r["max"]) for r in prof]
     schema = ("column string, n bigint, mean double, std double, min double, " +
               ", ".join(f"{n} double" for n in names.values()) + ", max double")
@@ -201,30 +199,20 @@ def describe_categorical(df: DataFrame, cols: list[str], k: int = 10) -> DataFra
 
 
 def quick_profile(df: DataFrame) -> DataFrame:
-    """(column, dtype, n_rows, n_cols, n_null, n_unique, min, max): shape, NULLs,
-    distincts and numeric range per column. Two scans: one aggregate for counts and
-    ranges, one frequency shuffle for the distincts."""
-    spark = df.sparkSession
+    """(column, dtype, n_rows, n_cols, n_null, n_unique, min, max): shape, NULLs, distincts
+    and numeric range per column, all from the typed frequency table: one scan, one shuffle
+    of distinct values."""
     cols = df.columns
-    num = set(numeric_columns(df))
-    aggs = [F.count(F.lit(1)).alias("__rows")]
-    for c in cols:
-        aggs.append(F.count_if(F.col(q(c)).isNull()).alias(f"{c}__n_null"))
-        if c in num:
-            aggs += [F.min(F.col(q(c)).cast("double")).alias(f"{c}__min"),
-                     F.max(F.col(q(c)).cast("double")).alias(f"{c}__max")]
-        else:
-            aggs += [F.lit(None).cast("double").alias(f"{c}__min"), F.lit(None).cast("double").alias(f"{c}__max")]
-    wide = df.agg(*aggs)
-    structs = [F.struct(F.lit(c).alias("column"), F.col("__rows").cast("bigint").alias("n_rows"),
-                        F.col(q(f"{c}__n_null")).cast("bigint").alias("n_null"),
-                        F.col(q(f"{c}__min")).alias("min"), F.col(q(f"{c}__max")).alias("max")) for c in cols]
-    prof = wide.select(F.inline(F.array(*structs)))
-    uniq = unique_counts(df, cols)
-    types = _columns_frame(spark, df, cols).select("column", "dtype")
-    return (types.join(prof, "column").join(uniq, "column")
-            .select("column", "dtype", "n_rows", F.lit(len(cols)).cast("bigint").alias("n_cols"), "n_null",
-                    "n_unique", "min", "max"))
+    x = F.coalesce(F.col("b").cast("double"), F.col("d"))
+    present = F.expr(_PRESENT)
+    per = typed_frequencies(df, cols).groupBy("column").agg(
+        F.sum("n").alias("n_rows"), F.coalesce(F.sum(F.when(~present, F.col("n"))), F.lit(0)).alias("n_null"),
+        F.count_if(present).alias("n_unique"), F.min(x).alias("min"), F.max(x).alias("max"))
+    types = _columns_frame(df.sparkSession, df, cols).select("column", "dtype")
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast("bigint").alias(c)
+    return types.join(per, "column", "left").select(
+        "column", "dtype", zero("n_rows"), F.lit(len(cols)).cast("bigint").alias("n_cols"), zero("n_null"), zero("n_unique"),
+        "min", "max")
 
 
 def duplicate_count(df: DataFrame) -> DataFrame:
@@ -237,18 +225,8 @@ def duplicate_count(df: DataFrame) -> DataFrame:
 
 def missing_summary(df: DataFrame, target: str) -> DataFrame:
     """(column, n_null, total_nulls, nulls_in_target): per column, with the table total
-    and the target's count repeated on every row."""
-    nc = null_counts(df)
-    return nc.select("column", "n_null",
-                     nc.agg(F.sum("n_null")).scalar().cast("bigint").alias("total_nulls"),
-                     nc.where(F.col("column") == target).agg(F.coalesce(F.sum("n_null"), F.lit(0))).scalar()
-                     .cast("bigint").alias("nulls_in_target"))
-
-
-def split_by_type(df: DataFrame, exclude=()) -> tuple[list[str], list[str]]:
-    """(numeric, categorical) column names from the schema (#18)."""
-    return numeric_columns(df, exclude), categorical_columns(df, exclude)
-
-
-def dtype_name(dt: T.DataType) -> str:
-    return "numeric" if is_numeric(dt) else "categorical"
+    and the target's count repeated on every row (a window over one row per column)."""
+    every = Window.partitionBy(F.lit(0))
+    of_target = F.sum(F.when(F.col("column") == target, F.col("n_null"))).over(every)
+    return null_counts(df).select("column", "n_null", F.sum("n_null").over(every).cast("bigint").alias("total_nulls"),
+                                  F.coalesce(of_target, F.lit(0)).cast("bigint").alias("nulls_in_target"))

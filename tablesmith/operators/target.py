@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablesmith.functions.columns import lookup, q, trim_ws
@@ -40,7 +40,7 @@ def target_distribution(df: DataFrame, col: str) -> DataFrame:
 def target_status(df: DataFrame, col: str) -> DataFrame:
     """Encoded value counts including NULL, with the row total and the affected
     (NULL-target) rows: (value, n, n_rows, n_affected)."""
-    vc = value_counts(df, col, normalize=False, dropna=False)
-    tot = df.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col(q(col)).isNull()).alias("n_affected"))
-    return vc.select("value", "n", tot.select("n_rows").scalar().cast("bigint").alias("n_rows"),
-                     tot.select("n_affected").scalar().cast("bigint").alias("n_affected"))
+    every = Window.partitionBy(F.lit(0))      # over one row per class
+    null = F.when(F.col("value").isNull(), F.col("n")).otherwise(0)
+    return value_counts(df, col, normalize=False, dropna=False).select(
+        "value", "n", F.sum("n").over(every).cast("bigint").alias("n_rows"), F.sum(null).over(every).cast("bigint").alias("n_affected"))

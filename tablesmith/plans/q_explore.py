@@ -4,16 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tablesmith.functions.ranking import to_long_numeric
 from tablesmith.operators import explore as EX
 from tablesmith.operators.frequency import value_counts
 from tablesmith.plans.frames import ord_clean, sql_with
 from tablesmith.plans.q_profile import CLEAN_CAT
 from tablesmith.plans.registry import query
-from tablesmith.plans.sqlgen import r6, union_cols
+from tablesmith.plans.sqlgen import MEAN_SQL, r6, settled_mean, union_cols
 from tablesmith.sources import views as V
 
 HIST_COLS = ["l_quantity", "l_extendedprice", "l_discount", "const_one"]
-KDE_COLS = ["l_quantity", "l_discount", "l_tax"]
+KDE_COLS = ["l_quantity", "l_discount", "l_tax", "heavy"]
+AUTO_COLS = ["l_quantity", "l_extendedprice", "heavy", "const_one"]
 CAT_MIN_FREQ = 50
 
 
@@ -36,13 +38,13 @@ def freq_sql(view: str, cols: list[str], by: list[str] | None = None) -> str:
 
 
 @query("describe_numerical", sql_with(union_cols(
-    """SELECT '{c}' AS "column", CAST(count({c}) AS BIGINT) AS n, ROUND(favg({c}), 6) AS mean,
+    """SELECT '{c}' AS "column", CAST(count({c}) AS BIGINT) AS n, """ + MEAN_SQL.replace("{x}", "favg({c})") + """ AS mean,
        ROUND(stddev_samp({c}), 6) AS std, ROUND(CAST(min({c}) AS DOUBLE), 6) AS min,
        ROUND(quantile_cont({c}, 0.25), 6) AS p25, ROUND(quantile_cont({c}, 0.5), 6) AS p50,
        ROUND(quantile_cont({c}, 0.75), 6) AS p75, ROUND(CAST(max({c}) AS DOUBLE), 6) AS max FROM v_li""",
     V.LI_NUMERIC), views=["v_li"]))
 def q_describe_numerical(spark, d):
-    return r6(EX.describe_numerical(V.v_li(spark, d), V.LI_NUMERIC))
+    return r6(settled_mean(EX.describe_numerical(V.v_li(spark, d), V.LI_NUMERIC)))
 
 
 @query("describe_categorical", sql_with(f"""
@@ -93,25 +95,50 @@ def q_histogram(spark, d):
     return r6(EX.histogram(V.v_li(spark, d), HIST_COLS, bins=10))
 
 
-@query("kde", sql_with(f"""
-    , lng AS ({long_sql('v_li', KDE_COLS)}),
+_HEAVY_SQL = """
+    , hv AS (SELECT *, CASE WHEN l_orderkey % 500 = 0 THEN l_extendedprice * 1000 ELSE l_extendedprice END AS heavy FROM v_li)"""
+
+
+def _heavy(spark, d):
+    """v_li with a heavy-tailed column: a few values lie a thousand times further out."""
+    far = F.when(F.col("l_orderkey") % 500 == 0, F.col("l_extendedprice") * 1000).otherwise(F.col("l_extendedprice"))
+    return V.v_li(spark, d).withColumn("heavy", far)
+
+
+# The density from the rows themselves (equal values counted once).
+@query("kde", sql_with(_HEAVY_SQL + f"""
+    , lng AS ({long_sql('hv', KDE_COLS)}),
     st AS (SELECT "column", min(x) AS lo, max(x) AS hi, count(*) AS n_obs, stddev_samp(x) AS sd FROM lng
            GROUP BY "column"),
     st2 AS (SELECT *, sd * pow(CAST(n_obs AS DOUBLE), -0.2) AS bw FROM st WHERE sd * pow(CAST(n_obs AS DOUBLE), -0.2) > 0),
-    cells AS (SELECT l."column", CASE WHEN hi > lo THEN LEAST(FLOOR((x - lo) / (hi - lo) * 1024), 1023) ELSE 0 END AS cell,
-                     count(*) AS c FROM lng l JOIN st2 s ON l."column" = s."column" GROUP BY 1, 2),
-    centres AS (SELECT c."column", c.c, s.bw, s.n_obs, s.lo + (c.cell + 0.5) * ((s.hi - s.lo) / 1024) AS centre
-                FROM cells c JOIN st2 s ON c."column" = s."column"),
-    pts AS (SELECT "column", t.range AS point, (lo - 3.0 * bw) + t.range * ((hi - lo + 6.0 * bw) / 199) AS x
-            FROM st2, range(0, 200) t)
-    SELECT p."column", CAST(p.point AS BIGINT) AS point, ROUND(p.x, 6) AS x,
-           ROUND(sum(c.c * exp(-0.5 * ((p.x - c.centre) / c.bw) * ((p.x - c.centre) / c.bw)))
-                 / (max(c.n_obs) * max(c.bw) * sqrt(2 * pi())), 6) AS density
-    FROM pts p JOIN centres c ON p."column" = c."column" GROUP BY p."column", p.point, p.x""",
+    vals AS (SELECT "column", x AS v, count(*) AS c FROM lng GROUP BY 1, 2),
+    pts AS (SELECT "column", n_obs, bw, t.range AS point, lo + t.range * ((hi - lo) / 199) AS x FROM st2, range(0, 200) t)
+    SELECT p."column", CAST(p.point AS BIGINT) AS point, ROUND(p.x, 3) AS x,
+           ROUND(bw * sum(c * exp(-0.5 * ((p.x - v) / bw) * ((p.x - v) / bw))) / (n_obs * bw * sqrt(2 * pi())), 6) AS density
+    FROM pts p JOIN vals c ON p."column" = c."column" GROUP BY p."column", p.point, p.x, n_obs, bw""",
     views=["v_li"]))
 def q_kde(spark, d):
-    out = EX.kde(V.v_li(spark, d), KDE_COLS, grid=200)
-    return r6(out.withColumn("point", F.col("point").cast("bigint")))
+    """Densities in units of 1 / bandwidth, so that every column shows six digits."""
+    out = EX.kde(_heavy(spark, d), KDE_COLS, grid=200)
+    long_df = to_long_numeric(_heavy(spark, d), KDE_COLS)
+    bw = long_df.groupBy("column").agg((F.stddev_samp("x") * F.pow(F.count("x").cast("double"), F.lit(-0.2))).alias("bw"))
+    return r6(out.join(bw, "column").select("column", F.col("point").cast("bigint").alias("point"), F.round("x", 3).alias("x"),
+                                            (F.col("bw") * F.col("density")).alias("density")))
+
+
+@query("histogram_auto", sql_with(_HEAVY_SQL + f"""
+    , lng AS ({long_sql('hv', AUTO_COLS)}),
+    st AS (SELECT "column", min(x) AS lo, max(x) AS hi, count(*) AS n, quantile_cont(x, 0.75) - quantile_cont(x, 0.25) AS iqr
+           FROM lng GROUP BY "column"),
+    w AS (SELECT *, (hi - lo) / (log2(n) + 1.0) AS sturges, 2.0 * iqr * pow(n, -1.0 / 3.0) AS fd FROM st),
+    nb AS (SELECT *, CASE WHEN hi > lo THEN greatest(1, ceil((hi - lo) / CASE WHEN fd > 0 THEN least(fd, sturges) ELSE sturges END)) ELSE 1 END
+             AS nbins FROM w)
+    SELECT "column", CAST(bin AS BIGINT) AS bin, ROUND(lo + bin * ((hi - lo) / nbins), 6) AS bin_lo,
+           ROUND(lo + (bin + 1) * ((hi - lo) / nbins), 6) AS bin_hi, CAST(count(*) AS BIGINT) AS n
+    FROM (SELECT nb.*, CASE WHEN hi > lo THEN least(floor((x - lo) / (hi - lo) * nbins), nbins - 1) ELSE 0 END AS bin
+          FROM lng JOIN nb ON lng."column" = nb."column") GROUP BY "column", bin, lo, hi, nbins""", views=["v_li"]))
+def q_histogram_auto(spark, d):
+    return r6(EX.histogram(_heavy(spark, d), AUTO_COLS, bins="auto"))
 
 
 _BOX_SQL = """

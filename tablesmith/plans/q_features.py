@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from tablesmith.operators import features as FE
+from tablesmith.operators import profile as PR
 from tablesmith.plans.frames import ord_clean, sql_with
 from tablesmith.plans.q_explore import freq_sql
-from tablesmith.plans.q_profile import CLEAN_CAT
+from tablesmith.plans.q_profile import CLEAN_ALL, CLEAN_CAT
 from tablesmith.plans.registry import query
 from tablesmith.sources import views as V
 
@@ -29,17 +30,28 @@ def _roles(spark, d):
     return FE.feature_roles(ord_clean(spark, d), DROP, V.ORD_TARGET)
 
 
-@query("feature_roles", sql_with(_ROLES_SQL + "\nSELECT * FROM roles", ctes=["ord_clean"]))
+_COUNTS_SQL = ", pres AS (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS c, CAST(count({c}) AS BIGINT) AS n_present FROM ord_clean" for c in CLEAN_ALL) + ")"
+
+
+def _counted(spark, d, table):
+    """A table of columns with the rows in which each has a value."""
+    return table.join(PR.present_counts(ord_clean(spark, d)), "column")
+
+
+@query("feature_roles", sql_with(_ROLES_SQL + _COUNTS_SQL + """
+    SELECT roles.*, n_present FROM roles JOIN pres ON roles."column" = pres.c""", ctes=["ord_clean"]))
 def q_feature_roles(spark, d):
-    return _roles(spark, d)
+    return _counted(spark, d, _roles(spark, d))
 
 
-@query("feature_flags", sql_with(_ROLES_SQL + """
+@query("feature_flags", sql_with(_ROLES_SQL + _COUNTS_SQL + """
     SELECT "column", role, kind, CASE WHEN "column" = 'o_totalprice' THEN 'redundant'
-                                      WHEN "column" = 'o_orderkey' THEN 'irrelevant' END AS flag FROM roles""",
+                                      WHEN "column" = 'o_orderkey' THEN 'irrelevant' END AS flag, n_present
+    FROM roles JOIN pres ON roles."column" = pres.c""",
     ctes=["ord_clean"]))
 def q_feature_flags(spark, d):
-    return FE.feature_flags(_roles(spark, d), REDUNDANT, IRRELEVANT)
+    return _counted(spark, d, FE.feature_flags(_roles(spark, d), REDUNDANT, IRRELEVANT))
 
 
 @query("propose_groupings", sql_with(f"""

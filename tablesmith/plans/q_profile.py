@@ -6,7 +6,7 @@ from tablesmith.operators import clean as CL
 from tablesmith.operators import profile as PR
 from tablesmith.plans.frames import ord_clean, ord_tokens, sql_with
 from tablesmith.plans.registry import query
-from tablesmith.plans.sqlgen import DUCK_TYPE, lit_list, r6, union_cols
+from tablesmith.plans.sqlgen import DUCK_TYPE, MEAN_SQL, lit_list, r6, settled_mean, union_cols
 from tablesmith.sources import views as V
 
 # The expected column list used by the schema check (one name absent
@@ -21,18 +21,21 @@ EVT_STRINGS = ["event_type", "event_pad", "props", "value_txt"]
 
 @query("schema_diff", sql_with(f"""
     , cols AS (SELECT column_name AS c FROM (DESCRIBE v_ord)),
-    exp AS (SELECT unnest({lit_list(ORD_EXPECTED)}) AS c)
-    SELECT c AS "column", 'ok' AS status FROM cols WHERE c IN (SELECT c FROM exp)
+    exp AS (SELECT unnest({lit_list(ORD_EXPECTED)}) AS c),
+    pres AS ({union_cols("SELECT '{c}' AS p, CAST(count({c}) AS BIGINT) AS n_present FROM v_ord", CLEAN_ALL)}),
+    st AS (SELECT c AS "column", 'ok' AS status FROM cols WHERE c IN (SELECT c FROM exp)
     UNION ALL SELECT c, 'missing' FROM exp WHERE c NOT IN (SELECT c FROM cols)
-    UNION ALL SELECT c, 'extra' FROM cols WHERE c NOT IN (SELECT c FROM exp)""", views=["v_ord"]))
+    UNION ALL SELECT c, 'extra' FROM cols WHERE c NOT IN (SELECT c FROM exp))
+    SELECT st.*, n_present FROM st LEFT JOIN pres ON st."column" = pres.p""", views=["v_ord"]))
 def q_schema_diff(spark, d):
     return PR.schema_diff(V.v_ord(spark, d), ORD_EXPECTED)
 
 
 @query("data_dictionary", sql_with(f"""
     SELECT column_name AS name, {DUCK_TYPE} AS type,
-           CASE WHEN column_name = 'status' THEN 'target' ELSE 'feature' END AS role, '' AS notes
-    FROM (DESCRIBE ord_clean)""", ctes=["ord_clean"]))
+           CASE WHEN column_name = 'status' THEN 'target' ELSE 'feature' END AS role, '' AS notes, n_present
+    FROM (DESCRIBE ord_clean) JOIN ({union_cols("SELECT '{c}' AS p, CAST(count({c}) AS BIGINT) AS n_present FROM ord_clean", CLEAN_ALL)})
+      ON column_name = p""", ctes=["ord_clean"]))
 def q_data_dictionary(spark, d):
     return PR.data_dictionary(ord_clean(spark, d), V.ORD_TARGET)
 
@@ -67,7 +70,7 @@ def q_numeric_min_max(spark, d):
 
 _DESC_NUM = """SELECT '{c}' AS "column", CAST(count({c}) AS BIGINT) AS count,
     CAST(NULL AS BIGINT) AS "unique", CAST(NULL AS VARCHAR) AS top, CAST(NULL AS BIGINT) AS freq,
-    ROUND(favg({c}), 6) AS mean, ROUND(stddev_samp({c}), 6) AS std, ROUND(CAST(min({c}) AS DOUBLE), 6) AS min,
+    """ + MEAN_SQL.replace("{x}", "favg({c})") + """ AS mean, ROUND(stddev_samp({c}), 6) AS std, ROUND(CAST(min({c}) AS DOUBLE), 6) AS min,
     ROUND(quantile_cont({c}, 0.25), 6) AS p25, ROUND(quantile_cont({c}, 0.5), 6) AS p50,
     ROUND(quantile_cont({c}, 0.75), 6) AS p75, ROUND(CAST(max({c}) AS DOUBLE), 6) AS max FROM ord_clean"""
 _DESC_CAT = """SELECT '{c}' AS "column", CAST(count({c}) AS BIGINT) AS count,
@@ -82,7 +85,7 @@ _DESC_CAT = """SELECT '{c}' AS "column", CAST(count({c}) AS BIGINT) AS count,
 @query("describe_all", sql_with(union_cols(_DESC_NUM, CLEAN_NUM) + "\nUNION ALL\n" + union_cols(_DESC_CAT, CLEAN_CAT),
                                 ctes=["ord_clean"]))
 def q_describe_all(spark, d):
-    return r6(PR.describe_all(ord_clean(spark, d)))
+    return r6(settled_mean(PR.describe_all(ord_clean(spark, d))))
 
 
 @query("quick_profile", sql_with(
@@ -173,8 +176,6 @@ def q_gross_outliers(spark, d):
            CAST((SELECT n FROM nc WHERE c = 'status') AS BIGINT) AS nulls_in_target""",
     ctes=["ord_clean"]))
 def q_clean_status(spark, d):
-    df = ord_clean(spark, d)
-    dedup, removed = CL.drop_duplicates(df)
-    return CL.clean_status(dedup, removed, V.ORD_TARGET)
+    return CL.clean_status(ord_clean(spark, d), V.ORD_TARGET)
 
 

@@ -14,6 +14,15 @@ def r6(df: DataFrame, digits: int = 6) -> DataFrame:
                        for f in df.schema.fields])
 
 
+# A mean of decimal data can lie exactly between two roundings, where the last bit of the sum
+# decides. Both sides take nine digits first, as a decimal, and round that half up.
+MEAN_SQL = "CAST(ROUND(CAST(ROUND({x}, 9) AS DECIMAL(38, 9)), 6) AS DOUBLE)"
+
+
+def settled_mean(df: DataFrame, name: str = "mean") -> DataFrame:
+    return df.withColumn(name, F.round(F.round(F.col(name), 9).cast("decimal(38,9)"), 6).cast("double"))
+
+
 def union_cols(template: str, cols: list[str]) -> str:
     """``template`` formatted once per column (``{c}``), joined by UNION ALL."""
     return "\nUNION ALL\n".join(template.format(c=c) for c in cols)
