@@ -5,10 +5,9 @@ task, and a window without ``partitionBy`` moves every row into one partition. N
 survives a column with billions of distinct values. The kernels here only ever sort a
 bounded slice of the data:
 
-* :func:`rank_select` finds exact order statistics by refining equal-width histograms
-  inside a shrinking bracket, one pass per round, until the bracket holds at most
-  ``max_window`` rows; only that slice is sorted (20k rows by default: one histogram
-  round and a tiny sort is faster than sorting a whole column even at 600k rows).
+* :func:`rank_select` finds exact order statistics in two passes: a quantile sketch
+  brackets every rank, then the values in the brackets are counted. Brackets of more than
+  ``max_window`` rows are sketched again first.
 * :func:`running_totals` computes ordered prefix sums over ranges sampled from the data:
   range totals (small) give each range's base, and the window runs per range.
 * :func:`top_k` ranks inside (group, salt) partitions first, so a group with a huge
@@ -31,119 +30,119 @@ def _schema_of(df: DataFrame, names):
     return [df.schema[n] for n in names]
 
 
+# Parameters: how many equal-depth edges a sketch gives, and its rank error (1 / ACCURACY of
+# the rows). The margin of one edge on either side of a bracket is 39 times that error.
+EDGES, ACCURACY = 256, 10_000
+
+
+def _sketch(x):
+    return F.percentile_approx(x, [i / EDGES for i in range(EDGES + 1)], ACCURACY)
+
+
 def key_stats(data: DataFrame, keys: list[str], x: str) -> list[dict]:
-    """n, min and max of the non-null ``x`` per key group (one aggregate, collected)."""
+    """n, min, max and equal-depth edges of the non-null ``x`` per key group (one aggregate,
+    one row per group)."""
     rows = (data.where(F.col(q(x)).isNotNull())
             .groupBy(*[q(k) for k in keys])
-            .agg(F.count(F.lit(1)).alias("__n"), F.min(q(x)).alias("__min"), F.max(q(x)).alias("__max"))
+            .agg(F.count(F.lit(1)).alias("__n"), F.min(q(x)).alias("__min"), F.max(q(x)).alias("__max"),
+                 _sketch(F.col(q(x))).alias("__edges"))
             .collect())
     return [r.asDict() for r in rows]
 
 
 def rank_select(data: DataFrame, keys: list[str], x: str, stats: list[dict], targets: list[tuple],
-                *, bins: int = 1024, max_window: int = 20_000, max_rounds: int = 64) -> dict:
+                *, max_window: int = 20_000, max_rounds: int = 64) -> dict:
     """Exact order statistics per key group.
 
-    ``stats`` is the output of :func:`key_stats`. ``targets`` is a list of
-    ``(key_tuple, k)`` with ``k`` a 0-based rank among the non-null ``x`` of the group.
+    ``stats`` is the output of :func:`key_stats` (or has its n, min and max). ``targets`` is a
+    list of ``(key_tuple, k)`` with ``k`` a 0-based rank among the non-null ``x`` of the group.
     Returns ``{(key_tuple, k): (value, n_less)}`` where ``n_less`` counts the rows of the
     group with ``x < value``.
+
+    A sketch's edges bracket each rank by about 4 / EDGES of the rows, whatever the shape of
+    the values; brackets of more than ``max_window`` rows are sketched again (one pass), the
+    others are counted value by value, together with the rows below them (one pass). So up to
+    a million rows take one pass after the sketch, and 64 times more rows one pass more.
     """
     spark = data.sparkSession
     data = data.where(F.col(q(x)).isNotNull())
     by_key = {tuple(s[k] for k in keys): s for s in stats}
-    # bracket: key, lo, hi (inclusive), size; targets refer to a bracket with a relative rank
     state = {}
     for key, k in targets:
         s = by_key[key]
         if not 0 <= k < s["__n"]:
             raise ValueError(f"rank {k} outside 0..{s['__n'] - 1} for {key}")
-        state[(key, k)] = {"lo": s["__min"], "hi": s["__max"], "below": 0, "size": s["__n"]}
-    result = {}
+        state[(key, k)] = _narrowed({"lo": s["__min"], "hi": s["__max"], "below": 0, "size": s["__n"], "edges": s.get("__edges")}, k)
     key_fields = _schema_of(data, keys)
     x_field = data.schema[x]
+    schema = T.StructType([T.StructField("__bid", T.LongType())] + list(key_fields) + [
+        T.StructField("__lo", x_field.dataType), T.StructField("__hi", x_field.dataType)])
 
-    def bracket_frame(brackets):
-        schema = T.StructType([T.StructField("__bid", T.LongType())] + list(key_fields) + [
-            T.StructField("__lo", x_field.dataType), T.StructField("__hi", x_field.dataType)])
-        rows = [(bid, *key, lo, hi) for (key, lo, hi), bid in brackets.items()]
-        return spark.createDataFrame(rows, schema)
+    def upto(brackets):
+        """Rows at or below the end of each bracket of their group."""
+        b = spark.createDataFrame([(bid, *key, lo, hi) for (key, lo, hi), bid in brackets.items()], schema)
+        return data.join(b, on=keys, how="inner").where(F.col(q(x)) <= F.col("__hi"))
 
-    def window_rows(brackets):
-        b = bracket_frame(brackets)
-        xv = F.col(q(x))
-        return (data.join(b, on=keys, how="inner")
-                .where((xv >= F.col("__lo")) & (xv <= F.col("__hi"))))
+    def numbered(some):
+        out = {}
+        for (key, _), s in some.items():
+            out.setdefault((key, s["lo"], s["hi"]), len(out))
+        return out
 
+    result = {}
     for _ in range(max_rounds):
         pending = {t: s for t, s in state.items() if t not in result}
-        if not pending:
+        wide = {t: s for t, s in pending.items() if s["size"] > max_window and s["lo"] != s["hi"] and not s["stuck"]}
+        ready = {t: s for t, s in pending.items() if t not in wide}
+        if ready:
+            _count_values(ready, result, upto, numbered(ready), x)
+            for t in ready:
+                if t not in result:      # the sketch missed the rank: count the whole group
+                    s = by_key[t[0]]
+                    state[t] = {"lo": s["__min"], "hi": s["__max"], "below": 0, "size": s["__n"], "edges": None, "stuck": True}
+        if wide:
+            brackets = numbered(wide)
+            inside = F.when(F.col(q(x)) >= F.col("__lo"), F.col(q(x)))
+            rows = {r["__bid"]: r for r in upto(brackets).groupBy("__bid").agg(
+                F.count_if(inside.isNull()).alias("below"), F.count(inside).alias("size"), _sketch(inside).alias("edges")).collect()}
+            for (key, k), s in wide.items():
+                r = rows.get(brackets[(key, s["lo"], s["hi"])])
+                if r is None or not r["below"] <= k < r["below"] + r["size"]:
+                    state[(key, k)] = {**s, "lo": by_key[key]["__min"], "hi": by_key[key]["__max"], "stuck": True}
+                    continue
+                state[(key, k)] = _narrowed({"lo": s["lo"], "hi": s["hi"], "below": r["below"], "size": r["size"], "edges": r["edges"]}, k)
+        if not ready and not wide:
             break
-        for t, s in list(pending.items()):
-            if s["lo"] == s["hi"]:
-                result[t] = (s["lo"], s["below"])
-                del pending[t]
-        big = {t: s for t, s in pending.items() if s["size"] > max_window}
-        small = {t: s for t, s in pending.items() if s["size"] <= max_window}
-        if small:
-            _exact_finish(small, result, window_rows, x)
-        if big:
-            brackets = {}
-            for (key, k), s in big.items():
-                brackets.setdefault((key, s["lo"], s["hi"]), len(brackets))
-            w = window_rows(brackets)
-            xd = F.col(q(x)).cast("double")
-            lo_d, hi_d = F.col("__lo").cast("double"), F.col("__hi").cast("double")
-            # try_divide: two distinct 64-bit keys can round to the same double
-            b = F.coalesce(F.least(F.floor(F.try_divide(xd - lo_d, hi_d - lo_d) * F.lit(float(bins))),
-                                   F.lit(bins - 1)), F.lit(0))
-            hist = (w.groupBy("__bid", b.alias("__bin"))
-                    .agg(F.count(F.lit(1)).alias("__c"), F.min(q(x)).alias("__bmin"), F.max(q(x)).alias("__bmax")))
-            # pick each target's bin in Spark (a running count over at most ``bins`` rows per
-            # bracket), so the driver receives one row per target, not the histograms
-            wb = Window.partitionBy("__bid").orderBy("__bin").rowsBetween(Window.unboundedPreceding,
-                                                                          Window.currentRow)
-            hist = hist.withColumn("__cum", F.sum("__c").over(wb))
-            items = list(big.items())
-            tdf = spark.createDataFrame(
-                [(brackets[(key, st["lo"], st["hi"])], k - st["below"], i) for i, ((key, k), st) in enumerate(items)],
-                "__bid long, __rel long, __tid long")
-            picked = (hist.join(tdf, "__bid")
-                      .where((F.col("__cum") - F.col("__c") <= F.col("__rel")) & (F.col("__rel") < F.col("__cum")))
-                      .select("__tid", "__c", "__bmin", "__bmax", (F.col("__cum") - F.col("__c")).alias("__acc"))
-                      .collect())
-            for r in picked:
-                (t, st) = items[r["__tid"]]
-                shrunk = r["__c"] < st["size"]
-                st.update(lo=r["__bmin"], hi=r["__bmax"], below=st["below"] + r["__acc"], size=r["__c"])
-                if not shrunk:  # floating point cannot split the bracket further
-                    st["size"] = min(r["__c"], max_window)
-    else:
-        pending = {t: s for t, s in state.items() if t not in result}
-        if pending:
-            _exact_finish(pending, result, window_rows, x)
     return result
 
 
-def _exact_finish(pending, result, window_rows, x):
-    brackets = {}
-    for (key, k), s in pending.items():
-        brackets.setdefault((key, s["lo"], s["hi"]), len(brackets))
-    w = window_rows(brackets)
-    dist = w.groupBy("__bid", q(x)).agg(F.count(F.lit(1)).alias("__c"))
-    win = Window.partitionBy("__bid").orderBy(q(x)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+def _narrowed(s: dict, k: int) -> dict:
+    """The bracket of rank ``k`` by the edges of a sketch of its rows; ``stuck`` if that is no
+    smaller, as for a value that many rows share (counting values then costs little)."""
+    if not s["edges"]:
+        return {**s, "stuck": False}
+    share, e = (k - s["below"]) / s["size"], s["edges"]
+    first, last = max(0, math.floor(share * EDGES) - 1), min(EDGES, math.floor(share * EDGES) + 2)
+    lo, hi = (e[first] if first else s["lo"]), (e[last] if last < EDGES else s["hi"])
+    equal = sum(1 for a, b in zip(e, e[1:]) if lo <= a and b <= hi)
+    return {**s, "lo": lo, "hi": hi, "size": math.ceil(s["size"] * (equal + 1) / EDGES), "stuck": equal > EDGES // 2}
+
+
+def _count_values(pending, result, upto, brackets, x):
+    """Each target's value by counting the values of its bracket; what lies below the bracket
+    is one count (a NULL value, which sorts first)."""
+    v = F.when(F.col(q(x)) >= F.col("__lo"), F.col(q(x)))
+    dist = upto(brackets).groupBy("__bid", v.alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
+    win = Window.partitionBy("__bid").orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     dist = dist.withColumn("__cum", F.sum("__c").over(win))
-    spark = dist.sparkSession
-    trows = [(brackets[(key, s["lo"], s["hi"])], k - s["below"], i) for i, ((key, k), s) in enumerate(pending.items())]
-    tdf = spark.createDataFrame(trows, "__bid long, __rel long, __tid long")
-    hit = (dist.join(tdf, on="__bid")
-           .where((F.col("__cum") - F.col("__c") <= F.col("__rel")) & (F.col("__rel") < F.col("__cum")))
-           .select("__tid", F.col(q(x)).alias("__v"), (F.col("__cum") - F.col("__c")).alias("__less"))
-           .collect())
     items = list(pending.items())
+    tdf = dist.sparkSession.createDataFrame([(brackets[(key, s["lo"], s["hi"])], k, i) for i, ((key, k), s) in enumerate(items)],
+                                            "__bid long, __rel long, __tid long")
+    hit = (dist.join(tdf, on="__bid").where(F.col("__v").isNotNull())
+           .where((F.col("__cum") - F.col("__c") <= F.col("__rel")) & (F.col("__rel") < F.col("__cum")))
+           .select("__tid", "__v", (F.col("__cum") - F.col("__c")).alias("__less")).collect())
     for r in hit:
-        (t, s) = items[r["__tid"]]
-        result[t] = (r["__v"], s["below"] + r["__less"])
+        result[items[r["__tid"]][0]] = (r["__v"], r["__less"])
 
 
 def quantile_values(long_df: DataFrame, keys: list[str], x: str, probs: list[float], stats: list[dict] | None = None,

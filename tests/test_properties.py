@@ -22,7 +22,7 @@ values = st.lists(st.one_of(st.integers(-3, 3).map(float), st.floats(-1e6, 1e6,
 def test_rank_select_is_sorting(spark, xs, data):
     df = spark.createDataFrame([(1, x) for x in xs], "g int, x double")
     ks = sorted(set(data.draw(st.lists(st.integers(0, len(xs) - 1), min_size=1, max_size=4))))
-    got = rank_select(df, ["g"], "x", key_stats(df, ["g"], "x"), [((1,), k) for k in ks], bins=3, max_window=4)
+    got = rank_select(df, ["g"], "x", key_stats(df, ["g"], "x"), [((1,), k) for k in ks], max_window=4)
     srt = np.sort(np.array(xs))
     for k in ks:
         v, n_less = got[((1,), k)]
