@@ -245,13 +245,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     signed = docs.select("doc_id", row_key(F.col("doc_id"), F.col("text")).alias("row_key"), signature(F.col("text")).alias("s"))
     signed = saved(signed.select("doc_id", "row_key", "s.*"), "neardup-signatures")
     classes = saved(signed.where("content is not null").groupBy("content").agg(
-        F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.first("half").alias("half"))
-        .select("content", F.xxhash64("content").alias("node"), "doc_id", "copies", "half"), "neardup-classes")
+        F.min("doc_id").alias("doc_id"), F.min("row_key").alias("row_key"), F.count("*").alias("copies"), F.first("half").alias("half"))
+        .select("content", F.xxhash64("content").alias("node"), "doc_id", "row_key", "copies", "half"), "neardup-classes")
     found = saved(survivors(classes), "neardup-survivors")
-    # one text of each survivor; rows of one id can have several texts, so the set is compared
-    ids = found.select("node").join(classes.select("node", "content", F.col("doc_id").alias("_id")), "node")
-    texts = docs.select(F.col("doc_id").alias("_doc"), "text").join(ids, F.col("_doc").eqNullSafe(F.col("_id")))
-    texts = texts.withColumn("same", signature(F.col("text"))["content"]).where("same = content").select("node", "text")
+    # one text of each survivor, found again by its row's key
+    ids = found.select("node").join(classes.select("node", "row_key"), "node")
+    texts = docs.select(row_key(F.col("doc_id"), F.col("text")).alias("row_key"), "text").join(ids, "row_key").select("node", "text")
     texts = saved(texts.dropDuplicates(["node"]), "neardup-texts")
     alive = saved(found.join(with_shared_shingles(texts), "node"), "neardup-alive")
     live_texts = saved(texts.join(alive.select("node"), "node"), "neardup-live-texts")
