@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -34,8 +35,6 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     conf = dict(DEFAULT_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    if master and master.startswith("local"):
-        conf.setdefault("spark.driver.memory", "16g")
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -47,9 +46,10 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins. Only when it is unset on a local master (local
-    runs and tests) a fresh scratch folder is created; on a cluster an unset setting is
-    an error, since a machine-local folder would not survive an executor loss.
+    The session's setting always wins. Only when it is unset on a single-process master
+    (``local``, ``local[n]``: tests and small runs) a fresh scratch folder is created; on a
+    cluster, ``local-cluster`` included, an unset setting is an error, since executors would
+    not share a machine-local folder.
     """
     current = spark.sparkContext.getCheckpointDir()
     if current:
@@ -57,7 +57,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         master = spark.sparkContext.master or ""
-        if not master.startswith("local"):
+        if not re.match(r"local(\[|$)", master):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/DBFS...) for cluster runs")
         configured = tempfile.mkdtemp(prefix="tablesmith-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(configured)

@@ -14,7 +14,7 @@ MEDIUM = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from tablesmith.session import checkpoint_dir, get_session
-    s = get_session("local[*]", 8)
+    s = get_session("local[*]", 8, extra={"spark.driver.memory": "8g", "spark.checkpoint.dir": tempfile.mkdtemp(prefix="tablesmith-ckpt-")})
     checkpoint_dir(s)
     yield s
 
