@@ -165,6 +165,10 @@ def crosstab_wide(df: DataFrame, col: str, target: str, classes: list) -> DataFr
             .fillna(0.0))
 
 
+# Parameter: sums that one aggregate computes.
+AGGREGATES = 400
+
+
 def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     """(col_a, col_b, r): Pearson on pairwise-complete rows, full symmetric matrix.
 
@@ -195,9 +199,12 @@ def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
             aggs += [F.count(am).cast("double").alias(f"c{i}_{j}"), F.sum(am).alias(f"sa{i}_{j}"),
                      F.sum(bm).alias(f"sb{i}_{j}"), F.sum(am * am).alias(f"saa{i}_{j}"),
                      F.sum(bm * bm).alias(f"sbb{i}_{j}")]
-    # one row of k*(k+1)/2 sums: the formula is evaluated on the driver (a few numbers per
-    # pair), so no large expression tree is built, analysed or compiled for the reshape
-    row = df.agg(*aggs).first()
+    # one row of sums for every AGGREGATES of them (one pass each: generated code has a size
+    # limit, which the k*(k+1)/2 pairs of a wide table would exceed in one aggregate); the
+    # formula is evaluated on the driver from a few numbers per pair
+    row = {}
+    for at in range(0, len(aggs), AGGREGATES):
+        row |= df.agg(*aggs[at:at + AGGREGATES]).first().asDict()
 
     def r_of(i, j):
         if (i, j) in masked:
