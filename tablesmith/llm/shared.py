@@ -14,9 +14,14 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 
 
+# Parameter: rows that go to a Python worker at a time; a batch of long texts stays small.
+BATCH_ROWS = 1000
+
+
 def importable(spark: SparkSession) -> None:
     """Let Python workers on the driver's machine import this package wherever it was loaded
-    from (clusters get it by ``--py-files`` or their image)."""
+    from (clusters get it by ``--py-files`` or their image), and bound their batches."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
