@@ -236,3 +236,44 @@ def op1_license(docs: DataFrame) -> DataFrame:
         F.array_max(F.transform("base", lambda b: b["start"])).alias("last_word"),
         labels(base).alias("base_labels"), labels(base, own).alias("labels"),
         F.greatest(best, F.when(F.size("base") > 0, CONFIDENCE[2]).otherwise(0.0)).alias("score"))
+
+
+def _spaced(words: str) -> str:
+    """The rule for a text whose words stand as " 17:mit ", each with spaces of its own (the
+    oracle's regular expressions can't look around)."""
+    parts = words.split()
+    if len(parts) == 1:
+        return rf" ((\d+)):(?:{parts[0]}) "
+    out = rf" (\d+):(?:{parts[0]}) "
+    for w in parts[1:-1]:
+        out += rf"(?: \d+:(?:{w[:-1]}) )?" if w.endswith("?") else rf" \d+:(?:{w}) "
+    return out + rf" (\d+):(?:{parts[-1]}) "
+
+
+def oracle() -> str:
+    """The same rows in DuckDB SQL: rules as a table, met by keyword, suppressed by NOT EXISTS."""
+    rows = [(p, k, _spaced(" ".join(x for x in (before, name, after) if x)), label)
+            for label, k, name in FAMILIES for p, before, after in FORMS]
+    rows += [(1, k, _spaced(words), label) for label, k, words in PHRASES]
+    rule_rows = ", ".join(f"({i}, {p}, '{k}', '{r}', '{label}')" for i, (p, k, r, label) in enumerate(rows))
+    base_rows = ", ".join(f"('{_spaced(phrase)}', '{label}')" for phrase, label in BASE)
+    score = " ".join(f"WHEN {p} THEN {c}" for p, c in enumerate(CONFIDENCE))
+    return rf"""
+WITH rules AS (SELECT * FROM (VALUES {rule_rows}) t(rule, priority, keyword, regex, label)),
+bases AS (SELECT * FROM (VALUES {base_rows}) t(regex, label)),
+d AS (SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+t AS (SELECT k, w, array_to_string(list_transform(w, lambda x, i: ' ' || (i - 1) || ':' || x || ' '), '') AS t
+  FROM d WHERE list_has_any(w, [{', '.join(f"'{k}'" for k in sorted({r[1] for r in rows} | {'license'}))}])),
+b AS (SELECT k, label, unnest(regexp_extract_all(t, regex, 1))::BIGINT AS place FROM t, bases),
+f AS (SELECT k, rule, priority, label, unnest(regexp_extract_all(t, regex, 1))::BIGINT AS s, unnest(regexp_extract_all(t, regex, 2))::BIGINT AS e
+  FROM t JOIN rules ON list_contains(w, keyword)),
+kept AS (SELECT * FROM f WHERE NOT EXISTS (SELECT 1 FROM f g WHERE g.k = f.k AND g.s <= f.s AND g.e >= f.e AND g.priority <= f.priority
+    AND (g.s < f.s OR g.e > f.e OR g.priority < f.priority OR g.rule < f.rule))),
+pb AS (SELECT k, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels
+  FROM b GROUP BY k),
+pl AS (SELECT k, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT k, label FROM b UNION ALL SELECT k, label FROM kept) GROUP BY k),
+ps AS (SELECT k, max(CASE priority {score} END) AS score FROM (SELECT k, priority FROM kept UNION ALL SELECT k, 2 FROM b) GROUP BY k)
+SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels,
+  coalesce(labels, '') AS labels, coalesce(score, 0)::DOUBLE AS score
+FROM d LEFT JOIN pb USING (k) LEFT JOIN pl USING (k) LEFT JOIN ps USING (k)"""

@@ -287,3 +287,19 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("row_key").alias("key")).distinct()
     rows = docs.select(row_key(F.col("doc_id"), F.col("text")).alias("key"), F.struct("*").alias("row"))
     return rows.join(kept, "key", "left_semi").dropDuplicates(["key"]).select("row.*")
+
+
+# Exact in SQL for small tables: shared shingles counted per pair, then everything reachable.
+ORACLE = r"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT k, array_to_string(w[i:i + least(len(w), 5) - 1], ' ') AS g
+  FROM (SELECT k, w, unnest(range(1, greatest(len(w) - 5, 0) + 2)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT k, count(*) AS n FROM s GROUP BY k),
+p AS (SELECT x.k AS a, y.k AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.k < y.k GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON x.k = a JOIN n y ON y.k = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(k, m) AS (SELECT k, k FROM d UNION SELECT e.b, r.m FROM r JOIN e ON r.k = e.a),
+c AS (SELECT r.k, min(o.doc_id) AS component_id FROM r JOIN d o ON o.k = r.m GROUP BY r.k)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id IS NOT DISTINCT FROM component_id AS kept
+FROM d JOIN c USING (k) LEFT JOIN n USING (k)"""

@@ -27,8 +27,8 @@ from pyspark.sql.functions import pandas_udf
 
 from tablesmith.llm.shared import importable
 
-# Parameters: where the vocabulary comes from; words that a worker remembers.
-VOCABULARY = "piece_bpe_32k.model"
+# Parameters: the vocabulary's file (read by the driver); words that a worker remembers.
+VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 REMEMBERED = 400_000
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0      # fixed value
@@ -43,12 +43,6 @@ def load_vocabulary(path: str) -> list[tuple[str, float]]:
             if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i))]
 
 
-def public_vocabulary() -> list[tuple[str, float]]:
-    import public_tokenizers
-
-    return load_vocabulary(public_tokenizers.path(VOCABULARY))
-
-
 class Counter(dict):
     """Tokens of a word (a piece of text without inner spaces), remembered."""
 
@@ -121,7 +115,7 @@ def token_counter(spark, pieces: list[tuple[str, float]]):
     return count
 
 
-def op7_tokens(docs: DataFrame) -> DataFrame:
-    count = token_counter(docs.sparkSession, public_vocabulary())
+def op7_tokens(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
+    count = token_counter(docs.sparkSession, load_vocabulary(vocabulary))
     out = docs.select("doc_id", F.length(F.coalesce("text", F.lit(""))).cast("bigint").alias("n_chars"), count("text").alias("n_tokens"))
     return out.select("doc_id", "n_chars", "n_tokens")

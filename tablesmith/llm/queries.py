@@ -26,6 +26,8 @@ QUERIES = {
     "pipeline": corpus_pipeline.run,
 }
 ORACLES = {
+    "op1_license": op1_license.oracle(),
+    "op4_neardup": op4_neardup.ORACLE,
     "op2_chat": op2_chat.ORACLE,
     "op3_decontaminate": op3_decontaminate.ORACLE,
     "op8_secrets": op8_secrets.oracle(),
