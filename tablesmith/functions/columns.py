@@ -1,5 +1,4 @@
-"""Column expressions shared by the operators. All of them are built-in Spark
-expressions, so they stay inside whole-stage codegen."""
+"""Column expressions shared by the operators, all of built-in Spark functions."""
 
 from __future__ import annotations
 
@@ -79,10 +78,6 @@ def numeric_columns(df: DataFrame, exclude=()) -> list[str]:
     return [f.name for f in df.schema.fields if is_numeric(f.dataType) and f.name not in exclude]
 
 
-def string_columns(df: DataFrame, exclude=()) -> list[str]:
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType) and f.name not in exclude]
-
-
 def categorical_columns(df: DataFrame, exclude=()) -> list[str]:
     """Every non-numeric column (the reference treats all non-number dtypes as categorical)."""
     return [f.name for f in df.schema.fields if not is_numeric(f.dataType) and f.name not in exclude]
