@@ -230,7 +230,9 @@ def rest_links(texts: DataFrame, clusters: DataFrame, linked_roots: DataFrame) -
                                              block(F.col("left_blocks"), 1).alias("lb"), upto(F.col("right_blocks")).alias("rb")))
     right = rows.select("cluster", "node", "root", "text", F.lit(1).alias("side"), upto(F.col("left_blocks")).alias("lb"),
                         block(F.col("right_blocks"), 2).alias("rb"))
-    return left.unionByName(right).groupBy("cluster", "lb", "rb").applyInPandas(_block_links, "a bigint, b bigint")
+    # one key for a block pair: the rows of a cluster would otherwise stay together in one task
+    pair = F.concat_ws(":", "cluster", "lb", "rb")
+    return left.unionByName(right).withColumn("pair", pair).groupBy("pair").applyInPandas(_block_links, "a bigint, b bigint")
 
 
 def row_key(doc_id: Column, text: Column) -> Column:
