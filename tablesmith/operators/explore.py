@@ -130,7 +130,7 @@ def box_stats(df: DataFrame, cols: list[str], by: list[str] | None = None, whis:
     box = box.withColumn("lo_f", F.col("q1") - whis * F.col("iqr")).withColumn("hi_f", F.col("q3") + whis * F.col("iqr"))
     long_df = to_long_numeric(src, cols, by)
     x = F.col("x")
-    agg = (long_df.join(F.broadcast(box.select(*[q(k) for k in keys], "lo_f", "hi_f")), keys)
+    agg = (long_df.join(box.select(*[q(k) for k in keys], "lo_f", "hi_f"), keys)
            .groupBy(*[q(k) for k in keys])
            .agg(F.min(F.when(x >= F.col("lo_f"), x)).alias("whisker_lo"),
                 F.max(F.when(x <= F.col("hi_f"), x)).alias("whisker_hi"),
