@@ -147,8 +147,8 @@ EXTRA_ID, EXTRA_TEXT = -7, r"\### Assistant: </turn> ok"
 
 def op2_chat(conversations: DataFrame) -> DataFrame:
     spark = conversations.sparkSession
-    extra = spark.createDataFrame([(EXTRA_ID, 0, "user", EXTRA_TEXT), (EXTRA_ID, 1, "assistant", EXTRA_TEXT)],
-                                  "conv_id bigint, turn bigint, role string, text string")
+    extra = spark.range(2).select(F.lit(EXTRA_ID).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
+                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(EXTRA_TEXT).alias("text"))
     rows = conversations.select("conv_id", "turn", "role", "text").unionByName(extra)
     back = format_chat(messages_of(rows)).select(
         "conv_id", "media_tokens", F.length("formatted").cast("bigint").alias("formatted_chars"),
