@@ -127,7 +127,8 @@ class BlobLedger:
     def findings(self, versions: DataFrame) -> DataFrame:
         """(path, spans) of every version: the ledger joined back to all paths."""
         packs = [p.version for p in self.packs]
-        hits = (self.read().where((F.size("spans") > 0) & F.col("pack").isin(packs))
+        # a pair that two scans entered at the same time counts once
+        hits = (self.read().where((F.size("spans") > 0) & F.col("pack").isin(packs)).dropDuplicates(["blob", "pack"])
                 .groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans")))
         out = versions.select("path", "blob").join(hits, "blob", "left")
         return out.select("path", F.coalesce("spans", F.expr("array()").cast(SPANS)).alias("spans"))

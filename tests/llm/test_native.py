@@ -110,9 +110,11 @@ def test_ledger_scans_only_unseen_pairs(spark, tmpdir_path):
     assert ledger.read().count() == 3                 # one new blob
     found = {r.path: len(r.spans) for r in ledger.findings(ledger.address(more)).collect()}
     assert found == {1: 1, 2: 0, 3: 1, 4: 1}          # joined back to all paths
+    ledger.read().where("size(spans) > 0").limit(1).write.mode("append").parquet(ledger.path)   # a pair entered twice
+    assert {r.path: len(r.spans) for r in ledger.findings(ledger.address(more)).collect()} == found
     both = sec.BlobLedger(spark, ledger.path)         # another pack: its pairs only
     both.scan(both.address(more))
-    assert both.read().groupBy("pack").count().count() == 2 and both.read().count() == 6
+    assert both.read().groupBy("pack").count().count() == 2 and both.read().count() == 7
 
 
 def digest(pairs):
