@@ -48,6 +48,7 @@ ROWS = 3                  # minhashes of a half key
 SHARED = 5                # half keys (of both collections) that a partner shares at least
 # Parameters of the rest: classes, and bytes of text, of a block.
 BLOCK_CLASSES, BLOCK_BYTES = 256, 4 << 20
+REMEMBERED = 1 << 16      # words whose hash a worker keeps
 
 _FOLD = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
@@ -56,7 +57,7 @@ class _Words(dict):
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) > 300_000:
+        if len(self) >= REMEMBERED:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
