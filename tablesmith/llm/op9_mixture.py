@@ -30,7 +30,7 @@ from tablesmith.llm.shared import id_text, saved
 WEIGHTS, SHARE, REPEATS = (5, 2, 1), 1.5, 2
 WORD = r"[^\x20\x09-\x0D]+"
 BLOCK = 128             # parameter: words of a block
-CHUNK = 1 << 16         # slots or points that are ranked together
+CHUNK = 1 << 14         # slots or points that are ranked together
 PREFIX = 3              # hexadecimal digits of the digest whose totals are added up first
 SEED = "mix-1"          # parameter: another seed shuffles anew
 
