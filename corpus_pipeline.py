@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tablesmith.llm.op3_decontaminate import with_hits
 from tablesmith.llm.op4_neardup import one_of_each
-from tablesmith.llm.op6_toxicity import THRESHOLD, ToxicityScorer
+from tablesmith.llm.op6_toxicity import THRESHOLD, ToxicityScorer, text_key
 from tablesmith.llm.op8_secrets import without_secrets
 from tablesmith.llm.op9_mixture import mixture
 from tablesmith.llm.shared import saved, table
@@ -22,7 +22,8 @@ from tablesmith.llm.shared import saved, table
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the class-conditional models don't call toxic."""
     scorer = ToxicityScorer(docs, table(spark, sf_dir, "labels"))
-    return docs.where(scorer.score(F.col("text")) < THRESHOLD)
+    rows = docs.select(text_key(F.col("text")).alias("text_key"), F.struct("*").alias("row"))
+    return scorer.scored(rows).where(F.col("score") < THRESHOLD).select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

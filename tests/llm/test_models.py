@@ -192,6 +192,72 @@ def test_toxicity_ranks_held_out_texts(spark):
     assert {r.doc_id: r.score for r in tox.op6_toxicity(docs, flipped).collect()} == {r.doc_id: r.score for r in got}
 
 
+def brute_toxicity(rows, marks):
+    """Scores by dictionaries of letters, none sharing a place."""
+    import math
+    from collections import Counter, defaultdict
+
+    def grams(word):
+        line = b" " + word + b" "
+        return [line[max(0, i - 7):i + 1] for i in range(1, len(line))]
+
+    toxic, part = {i: t for i, _, t in marks}, {i: zlib.crc32(str(i).encode()) % 4 for i, _ in rows}
+    texts = {i: [w.encode() for w in folded(t)] for i, t in rows}
+
+    def model(parts):
+        n = [Counter(), Counter()]
+        for i, words in texts.items():
+            if part[i] in parts:
+                n[toxic[i]].update(g for w in words for g in grams(w))
+        two, before = Counter(), Counter()
+        for g in set(n[0]) | set(n[1]):
+            two[g[-2:]] += 1
+            before[g[-2]] += 1
+        total, kinds, cut = [Counter(), Counter()], [Counter(), Counter()], []
+        for c in (0, 1):
+            for g, k in n[c].items():
+                total[c][ctx(g)] += k
+                kinds[c][ctx(g)] += 1
+            once, twice = (sum(k == x for k in n[c].values()) for x in (1, 2))
+            cut.append(once / (once + 2 * twice))
+
+        def ratio(g):
+            h = ctx(g)
+            if not (total[0][h] and total[1][h]):
+                return 0.0
+            shared = (two[g[-2:]] + 0.01) / (before[g[-2]] + 2.56)
+            p = [max(n[c][g] - cut[c], 0) / total[c][h] + cut[c] * kinds[c][h] / total[c][h] * shared + 1e-12 for c in (0, 1)]
+            return math.log(p[1] / p[0])
+
+        memo = defaultdict(float)
+        for words in texts.values():
+            for w in words:
+                if w not in memo:
+                    memo[w] = sum(map(ratio, grams(w)))
+        return lambda words: sum(sorted((memo[w] for w in words), reverse=True)[:3]) / min(3, len(words))
+
+    def ctx(g):                              # an eight-gram's first letter is part of its context
+        return g[:-1] if len(g) == 8 else b"^" + g[:-1]
+
+    fit, every = model((0, 1)), model((0, 1, 3))
+    bins = Counter((min(max(math.floor((fit(texts[i]) + 32) * 64), 0), 4095), toxic[i]) for i in texts if part[i] == 3)
+    a, b = tox._curve([((k + 0.5) / 64 - 32, y, m) for (k, y), m in bins.items()])
+    return {i: 1 / (1 + math.exp(-(a * every(w) + b))) for i, w in texts.items()}
+
+
+@pytest.mark.parametrize("hot", [tox.HOT if hasattr(tox, "HOT") else 0, 60])
+def test_toxicity_counts_are_exact_however_many(spark, hot, monkeypatch):
+    """Hundreds of thousands of distinct events, each with its own counts."""
+    monkeypatch.setattr(tox, "HOT", hot, raising=False)
+    rows, marks = toxic_corpus(400)
+    rng = random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = [(i, t + " " + " ".join("".join(rng.choices(letters, k=rng.choice([4, 7, 9, 30]))) for _ in range(60))) for i, t in rows]
+    got = {r.doc_id: r.score for r in tox.op6_toxicity(
+        spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(marks, "doc_id bigint, quality int, toxic int")).collect()}
+    assert got == pytest.approx(brute_toxicity(rows, marks), abs=1e-9)
+
+
 def test_toxicity_of_odd_tables(spark, odd, labels):
     rows = tox.op6_toxicity(odd, labels).collect()
     assert len(rows) == odd.count() and all(0 <= r.score <= 1 for r in rows)
