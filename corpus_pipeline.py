@@ -18,6 +18,8 @@ from tablesmith.llm.op8_secrets import without_secrets
 from tablesmith.llm.op9_mixture import mixture
 from tablesmith.llm.shared import saved, table
 
+SIMILARITY = 80     # fixed value: near-duplicates, in hundredths
+
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the class-conditional models don't call toxic."""
@@ -28,7 +30,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
-    return one_of_each(docs)
+    return one_of_each(docs, SIMILARITY)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

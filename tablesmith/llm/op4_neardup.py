@@ -4,7 +4,8 @@ Each document is the set of its distinct five-word shingles (64-bit hashes). Two
 collections of HALVES half keys, each made of ROWS minhashes, are paired into HALVES^2 table
 keys, so that 144 tables of six minhashes cost 72 minhashes. Two documents meet if they share
 a half key of each collection: a pair at a similarity of 0.85 does so but for a chance of
-2e-5, and every link is confirmed on the full sets.
+2e-5, and every link is confirmed on the full sets. The least similarity is a parameter (85 or
+80 hundredths; 85 is described here): at 0.80, 256 tables of 96 minhashes miss as few.
 
 1. Documents with equal sets are one class; only classes go on.
 2. A class whose half keys nobody shares has no partner; the others are the survivors.
@@ -29,6 +30,7 @@ equal texts are one class; null ids never name a component unless all ids of it
 from __future__ import annotations
 
 import hashlib
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -43,7 +45,7 @@ from tablesmith.llm.shared import dropped, importable, saved
 SHINGLE = 5               # words
 LEAST, OF = 85, 100       # linked: OF * intersection >= LEAST * union
 # Parameters of the banding.
-HALVES = 12               # half keys in each of the two collections
+HALVES = {85: 12, 80: 16}   # half keys in each of the two collections, by the least similarity
 ROWS = 3                  # minhashes of a half key
 SHARED = 5                # half keys (of both collections) that a partner shares at least
 # Parameters of the rest: classes, and bytes of text, of a block.
@@ -90,54 +92,63 @@ def shingles(text: str) -> np.ndarray:
     return np.unique(_mix(acc + np.uint64(width)))
 
 
-_RNG = np.random.Generator(np.random.PCG64(4))
-_A = _RNG.integers(0, 1 << 63, 2 * HALVES * ROWS, dtype=np.uint64) << np.uint64(1) | np.uint64(1)
-_B = _RNG.integers(0, 1 << 63, 2 * HALVES * ROWS, dtype=np.uint64)
+@cache
+def _factors(halves: int) -> tuple[np.ndarray, np.ndarray]:
+    rng = np.random.Generator(np.random.PCG64(4))
+    a = rng.integers(0, 1 << 63, 2 * halves * ROWS, dtype=np.uint64) << np.uint64(1) | np.uint64(1)
+    return a, rng.integers(0, 1 << 63, 2 * halves * ROWS, dtype=np.uint64)
 
 
-def minhashes(s: np.ndarray) -> np.ndarray:
-    best = np.full(len(_A), np.iinfo(np.uint64).max, np.uint64)
+def minhashes(s: np.ndarray, halves: int) -> np.ndarray:
+    a, b = _factors(halves)
+    best = np.full(len(a), np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(s), 2048):
-        best = np.minimum(best, (s[at:at + 2048] * _A[:, None] + _B[:, None]).min(axis=1))
+        best = np.minimum(best, (s[at:at + 2048] * a[:, None] + b[:, None]).min(axis=1))
     return best
 
 
-def half_keys(s: np.ndarray) -> np.ndarray:
+def half_keys(s: np.ndarray, halves: int) -> np.ndarray:
     """The half keys of both collections: hashes of ROWS minhashes each."""
-    m = minhashes(s).reshape(2 * HALVES, ROWS)
-    acc = np.arange(2 * HALVES, dtype=np.uint64)
+    m = minhashes(s, halves).reshape(2 * halves, ROWS)
+    acc = np.arange(2 * halves, dtype=np.uint64)
     for k in range(ROWS):
         acc = _mix(acc) + m[:, k]
     return _mix(acc).view(np.int64)
 
 
-def _signature(texts: pd.Series) -> pd.DataFrame:
-    out = []
-    for t in texts:
-        s = shingles(t or "")
-        if len(s):
-            out.append((len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest(), half_keys(s).tolist()))
-        else:
-            out.append((0, None, None))
-    return pd.DataFrame(out, columns=["n", "content", "half"])
-
-
-def _linked(a: pd.Series, b: pd.Series) -> pd.Series:
-    out, last, sa = [], None, None
-    for x, y in zip(a, b, strict=True):
-        if x is not last:
-            last, sa = x, shingles(x)
-        sb = shingles(y)
-        both = len(np.intersect1d(sa, sb, assume_unique=True))
-        out.append(OF * both >= LEAST * (len(sa) + len(sb) - both))
-    return pd.Series(out, dtype=bool)
+def _signature(halves: int):
+    def signed(texts: pd.Series) -> pd.DataFrame:
+        out = []
+        for t in texts:
+            s = shingles(t or "")
+            if len(s):
+                out.append((len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest(), half_keys(s, halves).tolist()))
+            else:
+                out.append((0, None, None))
+        return pd.DataFrame(out, columns=["n", "content", "half"])
+
+    return signed
+
+
+def _linked(least: int):
+    def compared(a: pd.Series, b: pd.Series) -> pd.Series:
+        out, last, sa = [], None, None
+        for x, y in zip(a, b, strict=True):
+            if x is not last:
+                last, sa = x, shingles(x)
+            sb = shingles(y)
+            both = len(np.intersect1d(sa, sb, assume_unique=True))
+            out.append(OF * both >= least * (len(sa) + len(sb) - both))
+        return pd.Series(out, dtype=bool)
+
+    return compared
 
 
 def _shingle_lists(texts: pd.Series) -> pd.Series:
     return pd.Series([shingles(t).view(np.int64).tolist() for t in texts])
 
 
-def _block_links(group: pd.DataFrame) -> pd.DataFrame:
+def _block_links(group: pd.DataFrame, least: int) -> pd.DataFrame:
     """Links between the left and the right classes of a block pair that join components."""
     left, right = group[group["side"] == 0], group[group["side"] == 1]
     sets = [shingles(t) for t in left["text"]]
@@ -162,7 +173,7 @@ def _block_links(group: pd.DataFrame) -> pd.DataFrame:
             n = hi - lo
             at = np.repeat(lo - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
             both = np.bincount(owner[at], minlength=len(sets))
-            for i in np.flatnonzero(OF * both >= LEAST * (sizes + len(s) - both)):
+            for i in np.flatnonzero(OF * both >= least * (sizes + len(s) - both)):
                 a, b = root(int(roots[i])), root(int(own))
                 if a != b:
                     parent[a] = b
@@ -170,34 +181,34 @@ def _block_links(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
 
-def signature(text: Column) -> Column:
+def signature(text: Column, halves: int) -> Column:
     """n (shingles), content (a digest of the set; null without shingles) and half keys."""
-    return pandas_udf(_signature, "struct<n:bigint,content:binary,half:array<bigint>>")(text)
+    return pandas_udf(_signature(halves), "struct<n:bigint,content:binary,half:array<bigint>>")(text)
 
 
-def linked(a: Column, b: Column) -> Column:
+def linked(a: Column, b: Column, least: int) -> Column:
     """Whether two texts' full shingle sets are similar enough."""
-    return pandas_udf(_linked, "boolean")(a, b)
+    return pandas_udf(_linked(least), "boolean")(a, b)
 
 
-def survivors(classes: DataFrame) -> DataFrame:
+def survivors(classes: DataFrame, halves: int) -> DataFrame:
     """(node, doc_id, a, b, popularity): classes that share SHARED half keys, some of each
     collection, with others; a and b are the shared ones."""
     keys = classes.select("node", F.posexplode("half").alias("pos", "key"))
     shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    mine = lambda which: F.collect_list(F.when(which, F.col("key")))  # noqa: E731  (24 at most)
+    mine = lambda which: F.collect_list(F.when(which, F.col("key")))  # noqa: E731  (2 * halves at most)
     hits = keys.join(shared, "key").groupBy("node").agg(
-        mine(F.col("pos") < HALVES).alias("a"), mine(F.col("pos") >= HALVES).alias("b"), F.sum("n").alias("popularity"))
+        mine(F.col("pos") < halves).alias("a"), mine(F.col("pos") >= halves).alias("b"), F.sum("n").alias("popularity"))
     return hits.where((F.size("a") > 0) & (F.size("b") > 0) & (F.size("a") + F.size("b") >= SHARED))
 
 
-def with_shared_shingles(texts: DataFrame) -> DataFrame:
-    """Nodes of ``texts`` of whose shingles LEAST in OF or more occur in another of them."""
+def with_shared_shingles(texts: DataFrame, least: int) -> DataFrame:
+    """Nodes of ``texts`` of whose shingles ``least`` in OF or more occur in another of them."""
     each = texts.select("node", F.explode(pandas_udf(_shingle_lists, "array<bigint>")("text")).alias("shingle"))
     common = each.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1").select("shingle")
     shared = each.join(common, "shingle").groupBy("node").agg(F.count("*").alias("shared"))
     total = each.groupBy("node").agg(F.count("*").alias("total"))
-    return shared.join(total, "node").where(OF * F.col("shared") >= LEAST * F.col("total")).select("node")
+    return shared.join(total, "node").where(OF * F.col("shared") >= least * F.col("total")).select("node")
 
 
 def star_pairs(nodes: DataFrame) -> DataFrame:
@@ -210,7 +221,7 @@ def star_pairs(nodes: DataFrame) -> DataFrame:
     return rows.join(pivots, "key").where("node <> pivot").select("node", "pivot").distinct()
 
 
-def rest_links(texts: DataFrame, clusters: DataFrame, linked_roots: DataFrame) -> DataFrame:
+def rest_links(texts: DataFrame, clusters: DataFrame, linked_roots: DataFrame, least: int) -> DataFrame:
     """Links that the stars missed: in clusters of several components, every class outside the
     largest component against the cluster's classes, in blocks."""
     place = (clusters.select("node", F.col("root").alias("cluster")).join(linked_roots, "node", "left")
@@ -233,7 +244,7 @@ def rest_links(texts: DataFrame, clusters: DataFrame, linked_roots: DataFrame) -
                         block(F.col("right_blocks"), 2).alias("rb"))
     # one key for a block pair: the rows of a cluster would otherwise stay together in one task
     pair = F.concat_ws(":", "cluster", "lb", "rb")
-    return left.unionByName(right).withColumn("pair", pair).groupBy("pair").applyInPandas(_block_links, "a bigint, b bigint")
+    return left.unionByName(right).withColumn("pair", pair).groupBy("pair").applyInPandas(lambda group: _block_links(group, least), "a bigint, b bigint")
 
 
 def row_key(doc_id: Column, text: Column) -> Column:
@@ -242,33 +253,35 @@ def row_key(doc_id: Column, text: Column) -> Column:
     return F.md5(F.concat(part(doc_id), F.lit(":"), part(text)))
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id and row_key of every row of ``docs`` (doc_id, text)."""
+def near_duplicates(docs: DataFrame, least: int = LEAST) -> DataFrame:
+    """doc_id, n_shingles, component_id and row_key of every row of ``docs`` (doc_id, text), linked
+    at a similarity of ``least`` in OF."""
+    halves = HALVES[least]
     importable(docs.sparkSession)
-    signed = docs.select("doc_id", row_key(F.col("doc_id"), F.col("text")).alias("row_key"), signature(F.col("text")).alias("s"))
+    signed = docs.select("doc_id", row_key(F.col("doc_id"), F.col("text")).alias("row_key"), signature(F.col("text"), halves).alias("s"))
     signed = saved(signed.select("doc_id", "row_key", "s.*"), "neardup-signatures")
     classes = saved(signed.where("content is not null").groupBy("content").agg(
         F.min("doc_id").alias("doc_id"), F.min("row_key").alias("row_key"), F.count("*").alias("copies"), F.first("half").alias("half"))
         .select("content", F.xxhash64("content").alias("node"), "doc_id", "row_key", "copies", "half"), "neardup-classes")
-    found = saved(survivors(classes), "neardup-survivors")
+    found = saved(survivors(classes, halves), "neardup-survivors")
     # one text of each survivor, found again by its row's key
     ids = found.select("node").join(classes.select("node", "row_key"), "node")
     texts = docs.select(row_key(F.col("doc_id"), F.col("text")).alias("row_key"), "text").join(ids, "row_key").select("node", "text")
     texts = saved(texts.dropDuplicates(["node"]), "neardup-texts")
-    alive = saved(found.join(with_shared_shingles(texts), "node"), "neardup-alive")
+    alive = saved(found.join(with_shared_shingles(texts, least), "node"), "neardup-alive")
     live_texts = saved(texts.join(alive.select("node"), "node"), "neardup-live-texts")
     pairs = saved(star_pairs(alive), "neardup-pairs")
     compared = (pairs.join(live_texts, "node").select("pivot", F.col("node").alias("a"), F.col("text").alias("a_text"))
                 .join(live_texts.select(F.col("node").alias("pivot"), F.col("text").alias("pivot_text")), "pivot"))
-    links = saved(compared.where(linked(F.col("pivot_text"), F.col("a_text"))).select("a", F.col("pivot").alias("b")), "neardup-links")
+    links = saved(compared.where(linked(F.col("pivot_text"), F.col("a_text"), least)).select("a", F.col("pivot").alias("b")), "neardup-links")
     stars = saved(components(links), "neardup-stars")
     clusters = components(pairs.select(F.col("node").alias("a"), F.col("pivot").alias("b")))
-    more = saved(rest_links(live_texts, clusters, stars), "neardup-more")
+    more = saved(rest_links(live_texts, clusters, stars, least), "neardup-more")
     roots = saved(components(links.unionByName(more)), "neardup-roots")
     # classes of several rows or in a component; every other row is its own component
     named = classes.join(roots, "node", "left").select("content", "copies", "doc_id", "root")
-    least = named.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"))
-    named = named.where("copies > 1 or root is not null").join(least, "root", "left")
+    names = named.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"))
+    named = named.where("copies > 1 or root is not null").join(names, "root", "left")
     named = named.select("content", F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component"),
                          F.lit(True).alias("shared"))
     dropped(found, texts, alive, live_texts, pairs, links, stars, more)
@@ -282,11 +295,11 @@ def op4_neardup(docs: DataFrame) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
+def one_of_each(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """Rows of ``docs`` that name their component, repeated rows once, with all their columns.
     Documents without an id can't be named by one: a group of such documents alone stays, each
     text once."""
-    found = near_duplicates(docs.select("doc_id", "text"))
+    found = near_duplicates(docs.select("doc_id", "text"), least)
     kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("row_key").alias("key")).distinct()
     rows = docs.select(row_key(F.col("doc_id"), F.col("text")).alias("key"), F.struct("*").alias("row"))
     return rows.join(kept, "key", "left_semi").dropDuplicates(["key"]).select("row.*")

@@ -70,6 +70,16 @@ def test_stages_match_brute_force(spark, tmpdir_path):
     assert all(r["size"] == len((dict(rows)[r.doc_id] or "").split()) for r in last)
 
 
+def test_near_duplicates_stage_links_from_80_hundredths(spark):
+    """A changed word of n + 4 leaves n - 5 of n + 5 shingles."""
+    rows = []
+    for group, n in enumerate([56, 45, 44]):                 # 0.836, 0.80 and 0.796
+        words = [f"w{group}x{i}" for i in range(n + 4)]
+        rows += [(2 * group, " ".join(words)), (2 * group + 1, " ".join([*words[:20], "other", *words[21:]]))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert sorted(r.doc_id for r in cp.near_duplicates(spark, docs, "").collect()) == [0, 2, 4, 5]
+
+
 def test_odd_and_empty_tables(spark, odd, labels, benchmark, tmpdir_path):
     folder = write(spark, tmpdir_path + "/a", documents=odd, labels=labels, benchmark=benchmark)
     assert len(cp.run(spark, folder).collect()) > 0
