@@ -98,6 +98,60 @@ FORMS = (
     (2, "", "license|licence"),
     (3, "", "licensed"),
 )
+# Licenses with a version as (label, keyword, name, version). "license" may stand
+# before the version or after it ("Apache License, Version 2.0", "Apache 2.0 License").
+VERSIONED = (
+    ("agpl-3.0", "affero", "affero general public", "3"),
+    ("agpl-3.0", "agpl", "agpl", "3"),
+    ("apache-1.1", "apache", "apache software?", "1 1"),
+    ("apache-2.0", "apache", "apache software?", "2"),
+    ("artistic-2.0", "artistic", "artistic", "2"),
+    ("boost", "boost", "boost software", "1"),
+    ("cddl-1.0", "cddl", "cddl", "1"),
+    ("cddl-1.0", "distribution", "common development and distribution", "1"),
+    ("epl-1.0", "eclipse", "eclipse public", "1"),
+    ("epl-1.0", "epl", "epl", "1"),
+    ("epl-2.0", "eclipse", "eclipse public", "2"),
+    ("epl-2.0", "epl", "epl", "2"),
+    ("eupl-1.2", "eupl", "eupl", "1 2"),
+    ("gpl-2.0", "general", "general public", "2"),
+    ("gpl-2.0", "gpl", "gpl", "2"),
+    ("gpl-3.0", "general", "general public", "3"),
+    ("gpl-3.0", "gpl", "gpl", "3"),
+    ("lgpl-2.1", "general", "lesser|library general public", "2 1"),
+    ("lgpl-2.1", "lgpl", "lgpl", "2 1"),
+    ("lgpl-2.0", "general", "lesser|library general public", "2"),
+    ("lgpl-2.0", "lgpl", "lgpl", "2"),
+    ("lgpl-3.0", "general", "lesser|library general public", "3"),
+    ("lgpl-3.0", "lgpl", "lgpl", "3"),
+    ("mpl-1.1", "mozilla", "mozilla public", "1 1"),
+    ("mpl-1.1", "mpl", "mpl", "1 1"),
+    ("mpl-2.0", "mozilla", "mozilla public", "2"),
+    ("mpl-2.0", "mpl", "mpl", "2"),
+)
+# How texts speak of a version, as (priority, words before the name, after the version).
+VERSION_FORMS = (
+    (0, "spdx license identifier", ""),
+    (1, "licensed|licenced under the|an|a? gnu?", ""),
+    (1, "released|distributed|available|published|provided under the|an|a? terms? of? the? gnu?", ""),
+    (1, "subject to the? terms of the? gnu?", ""),
+    (2, "", "0? or? later? license|licence"),
+)
+# SPDX identifiers and short names as words.
+IDS = (
+    ("agpl-3.0", "agpl", "agpl 3 0"), ("agpl-3.0", "agplv3", "agplv3"),
+    ("apache-2.0", "apache", "apache 2 0"), ("artistic-2.0", "artistic", "artistic 2 0"),
+    ("boost", "bsl", "bsl 1 0"),
+    ("bsd-2-clause", "bsd", "bsd 2 clause"), ("bsd-3-clause", "bsd", "bsd 3 clause"), ("bsd-4-clause", "bsd", "bsd 4 clause"),
+    ("cc-by", "cc", "cc by 1|2|3|4"), ("cc-by-sa", "cc", "cc by sa"), ("cc-by-nc", "cc", "cc by nc"), ("cc-by-nd", "cc", "cc by nd"),
+    ("cc0", "cc0", "cc0 1 0"), ("cddl-1.0", "cddl", "cddl 1 0"), ("epl-1.0", "epl", "epl 1 0"), ("epl-2.0", "epl", "epl 2 0"),
+    ("eupl-1.2", "eupl", "eupl 1 2"),
+    ("gpl-2.0", "gpl", "gpl 2 0"), ("gpl-2.0", "gplv2", "gplv2"), ("gpl-3.0", "gpl", "gpl 3 0"), ("gpl-3.0", "gplv3", "gplv3"),
+    ("lgpl-2.0", "lgpl", "lgpl 2 0"), ("lgpl-2.1", "lgpl", "lgpl 2 1"), ("lgpl-3.0", "lgpl", "lgpl 3 0"), ("lgpl-3.0", "lgplv3", "lgplv3"),
+    ("mpl-1.1", "mpl", "mpl 1 1"), ("mpl-2.0", "mpl", "mpl 2 0"), ("ms-pl", "ms", "ms pl"), ("ms-rl", "ms", "ms rl"),
+    ("ofl", "ofl", "ofl 1 1"), ("psf", "psf", "psf 2 0"), ("unlicense", "unlicense", "unlicense"),
+)
+ID_FORMS = ((0, "spdx license identifier"), (1, "licensed|licenced under the|an|a?"), (2, "license|licence"), (3, ""))
 # Phrases of the license texts themselves, as (label, keyword, words).
 PHRASES = (
     ("mit", "permission", "permission is hereby granted free of charge to any person obtaining a copy"),
@@ -117,6 +171,11 @@ PHRASES = (
     ("proprietary", "confidential", "proprietary and confidential"),
     ("warranty-disclaimer", "warranty", "without warranty of any kind"),
 )
+PHRASES += tuple((f"cc-by{end}", "creative", f"creative commons attribution{words} 1|2|3|4 0|5? international|unported|generic? public? license|licence")
+                 for end, words in (("", ""), ("-sa", " share|sharealike alike?"), ("-nc", " non|noncommercial commercial?"),
+                                    ("-nd", " no|noderivatives|noderivs derivatives|derivs?"),
+                                    ("-nc-sa", " non|noncommercial commercial? share|sharealike alike?"),
+                                    ("-nc-nd", " non|noncommercial commercial? no|noderivatives|noderivs derivatives|derivs?")))
 PRIORITIES = 4
 CONFIDENCE = (1.0, 0.9, 0.8, 0.5)      # parameter: by priority
 DETECTIONS = "array<struct<start:int,neg_end:int,priority:int,rule:int,label:string>>"
@@ -133,11 +192,28 @@ def numbered(words: str) -> str:
     return out + rf" (\d+):(?:{parts[-1]})(?![^ ])"
 
 
+def _versioned(name: str, version: str) -> str:
+    first, *rest = version.split()
+    return " ".join([name, "license|licence?", "version|v?", f"{first}|v{first}", *rest])
+
+
+def signatures() -> list[tuple[int, str, str, str]]:
+    """(priority, keyword, words, label) of every rule, in order."""
+    joined = lambda *parts: " ".join(x for x in parts if x)
+    out = [(priority, keyword, joined(before, name, after), label)
+           for label, keyword, name in FAMILIES for priority, before, after in FORMS]
+    out += [(priority, keyword, joined(before, _versioned(name, version), after), label)
+            for label, keyword, name, version in VERSIONED for priority, before, after in VERSION_FORMS]
+    # the license named before its version, without any other word around
+    out += [(2, keyword, _versioned(name, version).replace("license|licence?", "license|licence"), label)
+            for label, keyword, name, version in VERSIONED]
+    out += [(priority, keyword, joined(before, words), label) for label, keyword, words in IDS for priority, before in ID_FORMS]
+    return out + [(1, keyword, words, label) for label, keyword, words in PHRASES]
+
+
 def rules() -> list[tuple[int, str, str, str]]:
     """(priority, keyword, regex, label) of every rule, in order."""
-    out = [(priority, keyword, numbered(" ".join(x for x in (before, name, after) if x)), label)
-           for label, keyword, name in FAMILIES for priority, before, after in FORMS]
-    return out + [(1, keyword, numbered(words), label) for label, keyword, words in PHRASES]
+    return [(priority, keyword, numbered(words), label) for priority, keyword, words, label in signatures()]
 
 
 def words_of(text: Column) -> Column:
@@ -208,10 +284,10 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         return F.transform(starts, lambda s: F.struct(s.cast("bigint").alias("start"), F.lit(label).alias("label")))
 
     base = F.flatten(F.array(*[places(phrase, label) for phrase, label in BASE]))
-    signatures = F.array(*[F.struct(F.lit(p).alias("priority"), F.lit(k).alias("keyword"), F.lit(r).alias("regex"),
+    table_of_rules = F.array(*[F.struct(F.lit(p).alias("priority"), F.lit(k).alias("keyword"), F.lit(r).alias("regex"),
                                     F.lit(label).alias("label"), F.lit(i).alias("rule"))
                            for i, (p, k, r, label) in enumerate(table)])
-    active = F.filter(signatures, lambda r: F.array_contains(F.col("_keys"), r["keyword"]))
+    active = F.filter(table_of_rules, lambda r: F.array_contains(F.col("_keys"), r["keyword"]))
     found = F.flatten(F.transform(active, lambda r: F.transform(
         _intervals(text, r["regex"]),
         lambda m: F.struct(m["first"].cast("int").alias("start"), (-m["last"].cast("int") - 1).alias("neg_end"),
@@ -252,9 +328,7 @@ def _spaced(words: str) -> str:
 
 def oracle() -> str:
     """The same rows in DuckDB SQL: rules as a table, met by keyword, suppressed by NOT EXISTS."""
-    rows = [(p, k, _spaced(" ".join(x for x in (before, name, after) if x)), label)
-            for label, k, name in FAMILIES for p, before, after in FORMS]
-    rows += [(1, k, _spaced(words), label) for label, k, words in PHRASES]
+    rows = [(p, k, _spaced(words), label) for p, k, words, label in signatures()]
     rule_rows = ", ".join(f"({i}, {p}, '{k}', '{r}', '{label}')" for i, (p, k, r, label) in enumerate(rows))
     base_rows = ", ".join(f"('{_spaced(phrase)}', '{label}')" for phrase, label in BASE)
     score = " ".join(f"WHEN {p} THEN {c}" for p, c in enumerate(CONFIDENCE))

@@ -53,6 +53,34 @@ def test_license_rules_are_many_and_hold_their_keyword():
     assert all(re.compile(r[2]).groups >= 2 for r in table)
 
 
+NOTICES = [
+    ("Licensed under the Apache License, Version 2.0 (the \"License\");", "apache-2.0"),
+    ("This project is released under the Apache 2.0 License.", "apache-2.0"),
+    ("SPDX-License-Identifier: Apache-2.0", "apache-2.0"),
+    ("subject to the terms of the Mozilla Public License, v. 2.0.", "mpl-2.0"),
+    ("Mozilla Public License Version 2.0", "mpl-2.0"),
+    ("the terms of the GNU General Public License version 3", "gpl-3.0"),
+    ("under the terms of the GNU General Public License v2.0", "gpl-2.0"),
+    ("GNU Lesser General Public License, version 2.1", "lgpl-2.1"),
+    ("GNU Affero General Public License version 3", "agpl-3.0"),
+    ("Eclipse Public License - v 2.0", "epl-2.0"),
+    ("SPDX-License-Identifier: BSD-3-Clause", "bsd-3-clause"),
+    ("license = BSD-2-Clause", "bsd-2-clause"),
+    ("SPDX-License-Identifier: MPL-2.0", "mpl-2.0"),
+    ("SPDX-License-Identifier: EPL-2.0", "epl-2.0"),
+    ("SPDX-License-Identifier: AGPL-3.0-or-later", "agpl-3.0"),
+    ("licensed under GPLv3", "gpl-3.0"),
+    ("Creative Commons Attribution-ShareAlike 4.0 International License", "cc-by-sa"),
+]
+
+
+def test_license_of_real_notices(spark):
+    rows = [(i, t) for i, (t, _) in enumerate(NOTICES)] + [(100, "GNU Lesser General Public License version 3")]
+    got = {r.doc_id: r.labels.split(",") for r in lic.op1_license(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert [t for i, (t, label) in enumerate(NOTICES) if label not in got[i]] == []
+    assert "lgpl-3.0" in got[100] and "gpl-3.0" not in got[100]       # the longer name suppresses the inner one
+
+
 VOCABULARY = ["mit", "license", "Apache", "GENERAL", "public", "gpl", "2", "version", "licensed", "under", "the", "x"]
 
 
