@@ -58,7 +58,7 @@ FAMILIES = (
     ("ijg", "jpeg", "independent jpeg group"),
     ("intel", "intel", "intel open source"),
     ("isc", "isc", "isc"),
-    ("lgpl", "lesser", "lesser|library general public"),
+    ("lgpl", "general", "lesser|library general public"),
     ("lgpl", "lgpl", "lgpl"),
     ("libpng", "libpng", "libpng"),
     ("lppl", "latex", "latex project public"),

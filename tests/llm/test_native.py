@@ -81,6 +81,13 @@ def test_license_of_real_notices(spark):
     assert "lgpl-3.0" in got[100] and "gpl-3.0" not in got[100]       # the longer name suppresses the inner one
 
 
+def test_license_keywords_stand_in_every_match(spark):
+    for _, keyword, words, label in lic.signatures():
+        assert any(set(w.split("|")) == {keyword} for w in words.split() if not w.endswith("?")), (label, words)
+    row = lic.op1_license(spark.createDataFrame([(1, "GNU Library General Public License")], "doc_id bigint, text string")).first()
+    assert "lgpl" in row.labels.split(",")
+
+
 VOCABULARY = ["mit", "license", "Apache", "GENERAL", "public", "gpl", "2", "version", "licensed", "under", "the", "x"]
 
 
