@@ -6,8 +6,8 @@ enumerates the vocabulary matches that end at each place, and dynamic programmin
 the best score and its piece count, so no segmentation is kept.
 
 Rules of the tokenizers that use such vocabularies: spaces become U+2581, a text starts with
-one, and a piece holds it only at its start, so each word is searched alone. A character
-that no piece matches costs the lowest score less 10 and becomes one token per UTF-8 byte
+one. Pieces may hold runs of it, so a word is searched with all the spaces before it; where
+some piece spans the end of a word, the whole text is searched at once. A character that no piece matches costs the lowest score less 10 and becomes one token per UTF-8 byte
 (byte fallback). Of equal scores the candidate of the earliest start (the longest last
 piece) stands.
 
@@ -18,6 +18,7 @@ whole; a worker keeps counts of words it has met in a table of bounded size.
 
 from __future__ import annotations
 
+import re
 import uuid
 
 import pandas as pd
@@ -43,16 +44,23 @@ def load_vocabulary(path: str) -> list[tuple[str, float]]:
             if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i))]
 
 
+RUNS = re.compile(f"{SPACE}+[^{SPACE}]*")
+
+
 class Counter(dict):
-    """Tokens of a word (a piece of text without inner spaces), remembered."""
+    """Tokens of a word (its inner spaces, if any, stand before it), remembered. With ``split``
+    each space starts a new search, as in tokenizers that split there first."""
 
-    def __init__(self, pieces: list[tuple[str, float]]):
+    def __init__(self, pieces: list[tuple[str, float]], split: bool = True):
         import ahocorasick
 
         super().__init__()
+        self.split = split
+        # a piece that spans the end of a word
+        self.whole = not split and any(SPACE in piece.lstrip(SPACE) for piece, _ in pieces)
         self.automaton = ahocorasick.Automaton()
         for piece, score in pieces:
-            if piece and SPACE not in piece[1:]:
+            if piece and not (split and SPACE in piece[1:]):
                 self.automaton.add_word(piece, (len(piece), score))
         self.automaton.make_automaton()
         self.unknown = min(s for _, s in pieces) - UNKNOWN_PENALTY
@@ -89,9 +97,15 @@ class Counter(dict):
     def count(self, text: str) -> int:
         if not text:
             return 0
-        words = text.replace(SPACE, " ").split(" ")
-        if words[0] == "":               # the text brings its own first space
-            words = words[1:]
+        text = text.replace(SPACE, " ")
+        if text[0] == " ":               # the text brings its own first space
+            text = text[1:]
+        if self.whole:
+            return self.search(SPACE + text.replace(" ", SPACE))
+        if self.split or "  " not in text and text[:1] != " ":
+            words = text.split(" ")
+        else:
+            words = [run[1:] for run in RUNS.findall(SPACE + text.replace(" ", SPACE))]
         return sum(map(self.__getitem__, words))
 
 
@@ -108,7 +122,7 @@ def token_counter(spark, pieces: list[tuple[str, float]]):
     def count(texts: pd.Series) -> pd.Series:
         if key not in _BUILT:
             _BUILT.clear()
-            _BUILT[key] = Counter(sent.value)
+            _BUILT[key] = Counter(sent.value, split=False)
         counter = _BUILT[key]
         return pd.Series([counter.count(t or "") for t in texts], dtype="int64")
 

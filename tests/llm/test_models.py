@@ -292,6 +292,24 @@ def test_tokens_match_a_public_implementation(spark):
     assert [counter.count(t) for t in texts] == [len(reference.encode(t, add_special_tokens=False).ids) for t in texts]
 
 
+def test_tokens_of_runs_of_spaces(spark):
+    """Against a Unigram model that searches the whole text."""
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    pieces = tok.load_vocabulary(tok.VOCABULARY)
+    low = min(s for _, s in pieces)
+    reference = Tokenizer(models.Unigram([("<unk>", 0.0)] + [(f"<0x{b:02X}>", low) for b in range(256)] + pieces, 0, True))
+    reference.pre_tokenizer = pre_tokenizers.Metaspace(replacement=tok.SPACE, prepend_scheme="always", split=False)
+    texts = ["a  b   c", "def f():\n" + " " * 16 + "return 1", "x" + " " * 40, " " * 7 + "x", " ", "  ", "one two", "a" + " " * 15 + "b  "]
+    rng = random.Random(8)
+    texts += ["".join(rng.choices(["the", "x", "1", "é", " ", "  ", " " * 16, "\n"], k=30)) for _ in range(100)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = {r.doc_id: r.n_tokens for r in tok.op7_tokens(docs).collect()}
+    assert [got[i] for i in range(len(texts))] == [len(reference.encode(t, add_special_tokens=False).ids) for t in texts]
+    spanning = tok.Counter([("▁", -1.0), ("a", -1.0), ("b", -1.0), ("a▁b", -1.0)], split=False)
+    assert spanning.count("a b") == 2 and spanning.count("a  b") == 5
+
+
 def test_tokens_ties_take_the_earliest_start():
     counter = tok.Counter([("a", -1.0), ("b", -1.0), ("ab", -2.0), ("▁", 0.0), ("c", -1.0), ("bc", -2.0), ("abc", -3.0)])
     assert counter.search("▁ab") == 2 and counter.search("▁abc") == 2     # one piece, though a+b scores the same
