@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as E
 from tablesmith.plans import oracle_check as OC
 
-from conftest import SMALL
+from sf_paths import SMALL
 
 # the optional training-data queries have tests of their own
 QUERIES = {k: v for k, v in E.queries().items() if not re.match(r"op[0-9]+_|pipeline$", k)}

@@ -13,7 +13,7 @@ from tablesmith.operators import profile as PR
 from tablesmith.operators import target as TG
 from tablesmith.sources import views as V
 
-from conftest import SMALL
+from sf_paths import SMALL
 
 
 def _plan(df):

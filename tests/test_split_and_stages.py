@@ -15,7 +15,7 @@ from tablesmith.operators.split import approximate_mode, fold_allocation, save_s
 from tablesmith.sources import persist as P
 from tablesmith.sources.tables import read_csv, write_table
 
-from conftest import MEDIUM
+from sf_paths import MEDIUM
 
 
 def _labelled(spark, n=2000):
