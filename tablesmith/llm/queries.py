@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 from tablesmith.llm import (op1_license, op2_chat, op3_decontaminate, op4_neardup, op5_fingerprint, op6_toxicity, op7_tokens, op8_secrets,
-                            op9_mixture, op10_language)
+                            op9_mixture, op10_language, op11_centroids, op12_repair, op13_linededup)
 from tablesmith.llm.shared import table
 
 
@@ -23,6 +23,9 @@ QUERIES = {
     "op8_secrets": _over(op8_secrets.op8_secrets, "documents"),
     "op9_mixture": _over(op9_mixture.op9_mixture, "documents"),
     "op10_language": _over(op10_language.op10_language, "documents"),
+    "op11_centroids": _over(op11_centroids.op11_centroids, "embeddings"),
+    "op12_repair": _over(op12_repair.op12_repair, "conversations"),
+    "op13_linededup": _over(op13_linededup.op13_linededup, "documents"),
     "pipeline": corpus_pipeline.run,
 }
 ORACLES = {
@@ -32,4 +35,7 @@ ORACLES = {
     "op3_decontaminate": op3_decontaminate.ORACLE,
     "op8_secrets": op8_secrets.oracle(),
     "op9_mixture": op9_mixture.ORACLE,
+    "op11_centroids": op11_centroids.oracle(),
+    "op12_repair": op12_repair.oracle(),
+    "op13_linededup": op13_linededup.ORACLE,
 }
