@@ -5,9 +5,10 @@ task, and a window without ``partitionBy`` moves every row into one partition. N
 survives a column with billions of distinct values. The kernels here only ever sort a
 bounded slice of the data:
 
-* :func:`rank_select` finds exact order statistics in two passes: a quantile sketch
-  brackets every rank, then the values in the brackets are counted. Brackets of more than
-  ``max_window`` rows are sketched again first.
+* :func:`select_ranks` finds exact order statistics of any number of groups in two passes: a
+  quantile sketch brackets every rank, then each row finds its interval among the bracket ends
+  and the values inside the brackets are counted. Brackets of more than ``max_window`` rows are
+  sketched again first. All of its state is tables.
 * :func:`running_totals` computes ordered prefix sums over ranges sampled from the data:
   range totals (small) give each range's base, and the window runs per range.
 * :func:`top_k` ranks inside (group, salt) partitions first, so a group with a huge
@@ -16,192 +17,280 @@ bounded slice of the data:
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablesmith.functions.columns import q
-from tablesmith.session import checkpoint_dir
-
-
-def _schema_of(df: DataFrame, names):
-    return [df.schema[n] for n in names]
+from tablesmith.session import checkpoint_dir, discarded, stored
 
 
 # Parameters: how many equal-depth edges a sketch gives, and its rank error (1 / ACCURACY of
 # the rows). The margin of one edge on either side of a bracket is 39 times that error.
 EDGES, ACCURACY = 256, 10_000
+# Parameter: rows of a bracket whose values are counted in one window.
+MAX_WINDOW = 20_000
+# What a pass does with the values of an interval: only count them, count each value, or sketch.
+COUNTED, VALUES, SKETCH = 0, 1, 2
+WITHOUT = "__without"
 
 
-def _sketch(x):
+def sketch(x):
     return F.percentile_approx(x, [i / EDGES for i in range(EDGES + 1)], ACCURACY)
 
 
-def key_stats(data: DataFrame, keys: list[str], x: str) -> list[dict]:
-    """n, min, max and equal-depth edges of the non-null ``x`` per key group (one aggregate,
-    one row per group)."""
-    rows = (data.where(F.col(q(x)).isNotNull())
-            .groupBy(*[q(k) for k in keys])
-            .agg(F.count(F.lit(1)).alias("__n"), F.min(q(x)).alias("__min"), F.max(q(x)).alias("__max"),
-                 _sketch(F.col(q(x))).alias("__edges"))
-            .collect())
-    return [r.asDict() for r in rows]
-
-
-def rank_select(data: DataFrame, keys: list[str], x: str, stats: list[dict], targets: list[tuple],
-                *, max_window: int = 20_000, max_rounds: int = 64) -> dict:
-    """Exact order statistics per key group.
-
-    ``stats`` is the output of :func:`key_stats` (or has its n, min and max). ``targets`` is a
-    list of ``(key_tuple, k)`` with ``k`` a 0-based rank among the non-null ``x`` of the group.
-    Returns ``{(key_tuple, k): (value, n_less)}`` where ``n_less`` counts the rows of the
-    group with ``x < value``.
-
-    A sketch's edges bracket each rank by about 4 / EDGES of the rows, whatever the shape of
-    the values; brackets of more than ``max_window`` rows are sketched again (one pass), the
-    others are counted value by value, together with the rows below them (one pass). So up to
-    a million rows take one pass after the sketch, and 64 times more rows one pass more.
-    """
-    spark = data.sparkSession
+def _same(left: str, right: str, keys: list[str]):
+    """The null-safe join condition of two aliased frames."""
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(f"{left}.{q(k)}").eqNullSafe(F.col(f"{right}.{q(k)}"))
+    return cond
+
+
+def key_stats(data: DataFrame, keys: list[str], x: str) -> DataFrame:
+    """(keys, __n, __min, __max, __edges) of the non-null ``x`` per key group, a stored table of
+    one row a group: the count, the range and equal-depth edges (one aggregate)."""
+    return stored(data.where(F.col(q(x)).isNotNull()).groupBy(*[q(k) for k in keys]).agg(
+        F.count(F.lit(1)).alias("__n"), F.min(q(x)).alias("__min"), F.max(q(x)).alias("__max"),
+        sketch(F.col(q(x))).alias("__edges")), "sketches")
+
+
+def _brackets(state: DataFrame, keys: list[str], max_window: int) -> DataFrame:
+    """Per group the sorted ends of its targets' brackets (``bounds``) and what to do in each of
+    the open intervals between them (``modes``).
+
+    A target's rank lies inside the open interval (lo, hi) of ``size`` rows after ``below``
+    others. If these are more than ``max_window``, edges of a sketch of that interval narrow it to
+    about 4 / EDGES of its rows: from the edge before the one before the rank to the edge after
+    the one after it, taking different edges, so that neither ties nor the rounding of 64-bit
+    numbers in a sketch leave the rank outside. The edges in between are bounds too: a value that
+    most rows share is an interval of its own. Without an edge inside, the interval has few
+    different values, and they are counted."""
+    share = (F.col("k") - F.col("below")) / F.col("size")
+    first = F.greatest(F.floor(share * EDGES) - 1, F.lit(0))
+    last = F.least(F.floor(share * EDGES) + 2, F.lit(EDGES))
+    edge = lambda i: F.element_at("edges", (i + 1).cast("int"))
+    sketched = F.col("edges").isNotNull() & (F.col("size") > max_window)
+    inside = lambda e: (F.col("lo").isNull() | (e > F.col("lo"))) & (F.col("hi").isNull() | (e < F.col("hi")))
+    t = state.select(*[q(k) for k in keys], "lo", "hi", "size", "edges", F.when(sketched, edge(first)).alias("a"), F.when(sketched, edge(last)).alias("b"))
+    near = F.array_max(F.filter("edges", lambda e: (e < F.col("a")) & inside(e)))
+    far = F.array_min(F.filter("edges", lambda e: (e > F.col("b")) & inside(e)))
+    t = t.withColumn("from", F.coalesce(F.when(F.col("a").isNotNull(), near), "lo")).withColumn("to", F.coalesce(F.when(F.col("a").isNotNull(), far), "hi"))
+    between = lambda e: (F.col("from").isNull() | (e >= F.col("from"))) & (F.col("to").isNull() | (e <= F.col("to"))) & inside(e)
+    steps = F.size(F.array_distinct(F.filter("edges", between)))
+    some = F.when(F.col("a").isNotNull() & (steps > 0), F.ceil(F.col("size") * (steps + 1) / EDGES)).when(
+        F.col("a").isNotNull(), F.lit(0)).otherwise(F.col("size"))
+    mids = F.filter(F.array("a", "b"), lambda e: e.isNotNull() & inside(e))
+    t = t.select(*[q(k) for k in keys], F.struct(F.col("from").alias("lo"), F.col("to").alias("hi"), mids.alias("mids"),
+                                                 F.when(some <= max_window, VALUES).otherwise(SKETCH).alias("mode")).alias("t"))
+    g = t.groupBy(*[q(k) for k in keys]).agg(F.collect_set("t").alias("ts"))
+    ends = F.flatten(F.transform("ts", lambda t: F.concat(t["mids"], F.array(t["lo"], t["hi"]))))
+    g = g.withColumn("bounds", F.array_sort(F.array_distinct(F.filter(ends, lambda e: e.isNotNull()))))
+    n = F.size("bounds")
+
+    def mode(i):
+        """The most that a target's bracket over the interval before bound ``i`` asks for."""
+        covers = lambda t: ((i == 0) & t["lo"].isNull() | (i > 0) & (t["lo"].isNull() | (t["lo"] <= F.get("bounds", i - 1)))) & (
+            (i == n) & t["hi"].isNull() | (i < n) & (t["hi"].isNull() | (t["hi"] >= F.get("bounds", i))))
+        return F.coalesce(F.array_max(F.transform(F.filter("ts", covers), lambda t: t["mode"])), F.lit(COUNTED))
+
+    return g.select(*[q(k) for k in keys], "bounds", F.transform(F.sequence(F.lit(0), n), mode).alias("modes"))
+
+
+def _classified(data: DataFrame, groups: DataFrame, keys: list[str], x: str, longest: int, extra: list[str]) -> DataFrame:
+    """(keys, extra, code, mode, x): each row with the interval it lies in, once.
+
+    ``code`` is 2 p for the open interval after p bounds and 2 p + 1 for the bound after them;
+    p comes by binary search, so a row costs the logarithm of the number of bounds."""
+    rows = (data.alias("d").join(groups.alias("g"), _same("d", "g", keys))
+            .select(*[F.col(f"d.{q(k)}").alias(k) for k in keys], *[F.col(f"d.{q(e)}").alias(e) for e in extra],
+                    F.col(f"d.{q(x)}").alias("x"), "bounds", "modes", F.lit(0).alias("p")))
+    for step in (1 << i for i in reversed(range(max(1, longest).bit_length()))):
+        # places after the last bound are NULL, and so not below
+        rows = rows.withColumn("p", F.when(F.get("bounds", F.col("p") + (step - 1)) < F.col("x"), F.col("p") + step).otherwise(F.col("p")))
+    on_bound = F.coalesce(F.get("bounds", F.col("p")) == F.col("x"), F.lit(False))
+    return rows.select(*[q(k) for k in keys], *[q(e) for e in extra], (2 * F.col("p") + on_bound.cast("int")).alias("code"),
+                       F.when(on_bound, F.lit(COUNTED)).otherwise(F.get("modes", F.col("p"))).alias("mode"), "x")
+
+
+def _count_values(data, groups, keys, x, longest, extra):
+    """(keys, extra, code, v, c): rows per interval, by value in the intervals that ask for it."""
+    rows = _classified(data, groups, keys, x, longest, extra)
+    return rows.groupBy(*[q(k) for k in keys], *[q(e) for e in extra], "code", F.when(F.col("mode") == VALUES, F.col("x")).alias("v")).agg(
+        F.count(F.lit(1)).alias("c"))
+
+
+def _count_sketches(data, groups, keys, x, longest, extra):
+    """(keys, extra, code, c, edges): rows per interval and a sketch of those that ask for it."""
+    rows = _classified(data, groups, keys, x, longest, extra)
+    per = rows.groupBy(*[q(k) for k in keys], *[q(e) for e in extra], "code").agg(F.count(F.lit(1)).alias("c"))
+    edges = rows.where(F.col("mode") == SKETCH).groupBy(*[q(k) for k in keys], "code").agg(sketch(F.col("x")).alias("edges"))
+    return per.alias("d").join(edges.alias("e"), _same("d", "e", [*keys, "code"]), "left").select("d.*", "e.edges")
+
+
+def select_ranks(data: DataFrame, keys: list[str], x: str, stats: DataFrame, targets: DataFrame, *, part: str | None = None,
+                 max_window: int | None = None) -> DataFrame:
+    """Exact order statistics of any number of groups: (keys, k, value, less).
+
+    ``stats`` is the output of :func:`key_stats`; ``targets`` holds (keys, k) with ``k`` a
+    0-based rank among the non-null ``x`` of its group; ``less`` counts the group's rows below
+    the value. With ``part``, targets have the columns ``__without`` and ``n`` too: they rank the
+    ``n`` rows of the group outside of that part (all rows where it is NULL), and all parts are
+    answered by the same passes over the data.
+
+    A sketch's edges bracket each rank by about 4 / EDGES of the rows, whatever the shape of the
+    values. One pass then finds each row's interval by binary search over its group's bracket
+    ends (every row counts once) and counts values inside the brackets only; the ends are
+    intervals of their own, so a value that most rows share is one count. Brackets of more than
+    ``max_window`` rows are sketched again first. So up to a million rows take one pass after
+    the sketch and 64 times more rows one pass more; a rank that a sketch misses goes on in the
+    interval that the counts show it to be in. Statistics, targets and brackets stay tables; only
+    counts of them come to the driver."""
+    window = MAX_WINDOW if max_window is None else max_window
     data = data.where(F.col(q(x)).isNotNull())
-    by_key = {tuple(s[k] for k in keys): s for s in stats}
-    state = {}
-    for key, k in targets:
-        s = by_key[key]
-        if not 0 <= k < s["__n"]:
-            raise ValueError(f"rank {k} outside 0..{s['__n'] - 1} for {key}")
-        state[(key, k)] = _narrowed({"lo": s["__min"], "hi": s["__max"], "below": 0, "size": s["__n"], "edges": s.get("__edges")}, k)
-    key_fields = _schema_of(data, keys)
-    x_field = data.schema[x]
-    schema = T.StructType([T.StructField("__bid", T.LongType())] + list(key_fields) + [
-        T.StructField("__lo", x_field.dataType), T.StructField("__hi", x_field.dataType)])
-
-    def upto(brackets):
-        """Rows at or below the end of each bracket of their group."""
-        b = spark.createDataFrame([(bid, *key, lo, hi) for (key, lo, hi), bid in brackets.items()], schema)
-        return data.join(b, on=keys, how="inner").where(F.col(q(x)) <= F.col("__hi"))
-
-    def numbered(some):
-        out = {}
-        for (key, _), s in some.items():
-            out.setdefault((key, s["lo"], s["hi"]), len(out))
-        return out
-
-    result = {}
-    for _ in range(max_rounds):
-        pending = {t: s for t, s in state.items() if t not in result}
-        wide = {t: s for t, s in pending.items() if s["size"] > max_window and s["lo"] != s["hi"] and not s["stuck"]}
-        ready = {t: s for t, s in pending.items() if t not in wide}
-        if ready:
-            _count_values(ready, result, upto, numbered(ready), x)
-            for t in ready:
-                if t not in result:      # the sketch missed the rank: count the whole group
-                    s = by_key[t[0]]
-                    state[t] = {"lo": s["__min"], "hi": s["__max"], "below": 0, "size": s["__n"], "edges": None, "stuck": True}
-        if wide:
-            brackets = numbered(wide)
-            inside = F.when(F.col(q(x)) >= F.col("__lo"), F.col(q(x)))
-            rows = {r["__bid"]: r for r in upto(brackets).groupBy("__bid").agg(
-                F.count_if(inside.isNull()).alias("below"), F.count(inside).alias("size"), _sketch(inside).alias("edges")).collect()}
-            for (key, k), s in wide.items():
-                r = rows.get(brackets[(key, s["lo"], s["hi"])])
-                if r is None or not r["below"] <= k < r["below"] + r["size"]:
-                    state[(key, k)] = {**s, "lo": by_key[key]["__min"], "hi": by_key[key]["__max"], "stuck": True}
-                    continue
-                state[(key, k)] = _narrowed({"lo": s["lo"], "hi": s["hi"], "below": r["below"], "size": r["size"], "edges": r["edges"]}, k)
-        if not ready and not wide:
+    tkeys = [*keys, WITHOUT] if part else list(keys)
+    extra = [part] if part else []
+    cols = [q(k) for k in keys]
+    tcols = [q(k) for k in tkeys]
+    x_type = data.schema[x].dataType
+    none = F.lit(None).cast(x_type)
+    state = stored(targets.alias("t").join(stats.alias("s"), _same("t", "s", keys)).select(
+        *[F.col(f"t.{k}") for k in tcols], F.col("t.k").cast("bigint").alias("k"), none.alias("lo"), none.alias("hi"),
+        F.lit(0).cast("bigint").alias("below"), F.col("t.n" if part else "s.__n").alias("size"), F.col("s.__edges").alias("edges"))
+        .dropDuplicates([*tkeys, "k"]), "ranks")
+    if not state.limit(1).count():
+        return _no_ranks(data, tkeys, x_type)
+    found = []
+    while True:
+        groups = stored(_brackets(state, keys, window), "brackets")
+        asks = groups.agg(F.max(F.size("bounds")), F.count_if(F.array_max("modes") == SKETCH), F.count(F.lit(1))).first()
+        wide = F.array_max("modes") == SKETCH
+        made, counts = [], []
+        for n, kind, those in ((asks[2] - asks[1], VALUES, groups.where(~wide)), (asks[1], SKETCH, groups.where(wide))):
+            if not n:
+                continue
+            count = _count_values if kind == VALUES else _count_sketches
+            counted = stored(count(data, those, keys, x, asks[0], extra), "counts")
+            counts.append(counted)
+            made.append(_located(state, those, counted, keys, tkeys, part, kind, x_type))
+        out = made[0] if len(made) == 1 else made[0].unionByName(made[1])
+        out = stored(out, "located")
+        discarded(groups, *counts)
+        found.append(out.where("resolved").select(*tcols, "k", "value", "less"))
+        state = out.where("NOT resolved").select(*tcols, "k", "lo", "hi", "below", "size", "edges")
+        if not state.limit(1).count():
             break
+    result = found[0]
+    for more in found[1:]:
+        result = result.unionByName(more)
     return result
 
 
-def _narrowed(s: dict, k: int) -> dict:
-    """The bracket of rank ``k`` by the edges of a sketch of its rows; ``stuck`` if that is no
-    smaller, as for a value that many rows share (counting values then costs little)."""
-    if not s["edges"]:
-        return {**s, "stuck": False}
-    share, e = (k - s["below"]) / s["size"], s["edges"]
-    first, last = max(0, math.floor(share * EDGES) - 1), min(EDGES, math.floor(share * EDGES) + 2)
-    lo, hi = (e[first] if first else s["lo"]), (e[last] if last < EDGES else s["hi"])
-    equal = sum(1 for a, b in zip(e, e[1:]) if lo <= a and b <= hi)
-    return {**s, "lo": lo, "hi": hi, "size": math.ceil(s["size"] * (equal + 1) / EDGES), "stuck": equal > EDGES // 2}
-
-
-def _count_values(pending, result, upto, brackets, x):
-    """Each target's value by counting the values of its bracket; what lies below the bracket
-    is one count (a NULL value, which sorts first)."""
-    v = F.when(F.col(q(x)) >= F.col("__lo"), F.col(q(x)))
-    dist = upto(brackets).groupBy("__bid", v.alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
-    win = Window.partitionBy("__bid").orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    dist = dist.withColumn("__cum", F.sum("__c").over(win))
-    items = list(pending.items())
-    tdf = dist.sparkSession.createDataFrame([(brackets[(key, s["lo"], s["hi"])], k, i) for i, ((key, k), s) in enumerate(items)],
-                                            "__bid long, __rel long, __tid long")
-    hit = (dist.join(tdf, on="__bid").where(F.col("__v").isNotNull())
-           .where((F.col("__cum") - F.col("__c") <= F.col("__rel")) & (F.col("__rel") < F.col("__cum")))
-           .select("__tid", "__v", (F.col("__cum") - F.col("__c")).alias("__less")).collect())
-    for r in hit:
-        result[items[r["__tid"]][0]] = (r["__v"], r["__less"])
-
-
-def quantile_values(long_df: DataFrame, keys: list[str], x: str, probs: list[float], stats: list[dict] | None = None,
-                    **kw) -> list[dict]:
-    """Exact linearly interpolated quantiles (the pandas/Spark ``percentile`` definition)
-    of ``x`` per key group: position ``(n-1)*p`` between the two neighbouring order
-    statistics. Returns dict rows with the keys, ``p``, ``q`` and ``n``. ``stats`` (as
-    from :func:`key_stats`) can be passed when a profile already computed them."""
-    stats = stats if stats is not None else key_stats(long_df, keys, x)
-    targets = set()
-    plan = []
-    for s in stats:
-        key = tuple(s[k] for k in keys)
-        for p in probs:
-            pos = (s["__n"] - 1) * p
-            lo, hi = math.floor(pos), math.ceil(pos)
-            targets.update({(key, lo), (key, hi)})
-            plan.append((s, key, p, pos, lo, hi))
-    got = rank_select(long_df, keys, x, stats, sorted(targets, key=repr), **kw)
-    out = []
-    for s, key, p, pos, lo, hi in plan:
-        vlo = float(got[(key, lo)][0])
-        vhi = float(got[(key, hi)][0])
-        if hi == lo or vlo == vhi:
-            val = vlo
-        else:
-            val = vlo + (vhi - vlo) * (pos - lo)
-        row = {k: s[k] for k in keys}
-        row.update(p=float(p), q=val, n=s["__n"])
-        out.append(row)
-    return out
-
-
-def quantile_frame(spark: SparkSession, rows: list[dict], key_fields: list[T.StructField]) -> DataFrame:
-    schema = T.StructType(list(key_fields) + [T.StructField("p", T.DoubleType()),
-                                              T.StructField("q", T.DoubleType()),
-                                              T.StructField("n", T.LongType())])
-    return spark.createDataFrame([tuple(r[f.name] for f in key_fields) + (r["p"], r["q"], r["n"]) for r in rows], schema)
+def _no_ranks(data: DataFrame, tkeys: list[str], x_type) -> DataFrame:
+    cols = [data[q(k)] if k in data.columns else F.lit(None).cast("string").alias(k) for k in tkeys]
+    return data.limit(0).select(*cols, F.lit(0).cast("bigint").alias("k"), F.lit(None).cast(x_type).alias("value"),
+                                F.lit(0).cast("bigint").alias("less"))
+
+
+def _located(state, groups, counted, keys, tkeys, part, kind, x_type):
+    """Each target of the groups with its value, or with the interval in which its rank lies."""
+    cols, tcols = [q(k) for k in keys], [q(k) for k in tkeys]
+    per = counted.groupBy(*cols, *([q(part)] if part else []), "code").agg(
+        F.sum("c").alias("c"), *([F.max("edges").alias("edges")] if kind == SKETCH else []))
+    values = counted.where(F.col("v").isNotNull()) if kind == VALUES else None
+    mine = state.alias("t").join(groups.alias("g"), _same("t", "g", keys)).select("t.*", "g.bounds", "g.modes")
+    if part:
+        # the counts of everything but one part, for each part that a target leaves out
+        asked = mine.select(*tcols).distinct()
+
+        def outside(rows, by, fold):
+            kept = F.col(f"a.{WITHOUT}").isNull() | ~F.col(f"r.{q(part)}").eqNullSafe(F.col(f"a.{WITHOUT}"))
+            return (rows.alias("r").join(asked.alias("a"), _same("r", "a", keys)).where(kept)
+                    .groupBy(*[F.col(f"a.{k}") for k in tcols], *[f"r.{b}" for b in by]).agg(*fold))
+
+        per = outside(per, ["code"], [F.sum("r.c").alias("c"), *([F.max("r.edges").alias("edges")] if kind == SKETCH else [])])
+        values = outside(values, ["code", "v"], [F.sum("r.c").alias("c")]) if kind == VALUES else None
+    before = Window.partitionBy(*tcols).orderBy("code").rowsBetween(Window.unboundedPreceding, -1)
+    per = per.withColumn("before", F.coalesce(F.sum("c").over(before), F.lit(0)))
+    rank = lambda r, b, c: (F.col(b) <= F.col(r)) & (F.col(r) < F.col(b) + F.col(c))
+    at = (mine.drop("edges").alias("t").join(per.alias("p"), _same("t", "p", tkeys) & rank("t.k", "p.before", "p.c"))
+          .select("t.*", "p.code", "p.before", "p.c", *(["p.edges"] if kind == SKETCH else [])))
+    p = (F.col("code") / 2).cast("int")
+    on_bound = F.col("code") % 2 == 1
+    at = at.select(
+        *tcols, "k", "code", F.when(on_bound, F.get("bounds", p)).alias("value"), F.when(on_bound, F.col("before")).alias("less"),
+        F.when(p > 0, F.get("bounds", p - 1)).alias("lo"), F.get("bounds", p).alias("hi"), F.col("before").alias("below"), F.col("c").alias("size"),
+        (F.col("edges") if kind == SKETCH else F.lit(None).cast(f"array<{x_type.simpleString()}>")).alias("edges"))
+    if kind == VALUES:
+        upto = Window.partitionBy(*tcols, "code").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        cum = values.withColumn("cum", F.sum("c").over(upto))
+        inside = (F.col("v.cum") - F.col("v.c") <= F.col("a.k") - F.col("a.below")) & (F.col("a.k") - F.col("a.below") < F.col("v.cum"))
+        at = (at.alias("a").join(cum.alias("v"), _same("a", "v", [*tkeys, "code"]) & inside, "left")
+              .select(*[F.col(f"a.{k}") for k in tcols], "a.k", F.coalesce("a.value", "v.v").alias("value"),
+                      F.coalesce("a.less", F.col("a.below") + F.col("v.cum") - F.col("v.c")).alias("less"),
+                      "a.lo", "a.hi", "a.below", "a.size", "a.edges"))
+    else:
+        at = at.drop("code")
+    return at.withColumn("resolved", F.col("value").isNotNull())
+
+
+def rank_select(data: DataFrame, keys: list[str], x: str, stats, targets: list[tuple], *, max_window: int | None = None) -> dict:
+    """:func:`select_ranks` for a few targets ``(key_tuple, k)``: ``{(key_tuple, k): (value, less)}``.
+    ``stats`` is the output of :func:`key_stats`, or a list of its rows as dicts."""
+    spark = data.sparkSession
+    fields = [data.schema[k] for k in keys]
+    x_type = data.schema[x].dataType
+    if not isinstance(stats, DataFrame):
+        schema = T.StructType([*fields, T.StructField("__n", T.LongType()), T.StructField("__edges", T.ArrayType(x_type))])
+        stats = spark.createDataFrame([(*[s[k] for k in keys], s["__n"], s.get("__edges")) for s in stats], schema)
+    asked = spark.createDataFrame([(*key, int(k)) for key, k in targets], T.StructType([*fields, T.StructField("k", T.LongType())]))
+    wrong = asked.alias("t").join(stats.alias("s"), _same("t", "s", keys), "left").where("s.__n IS NULL OR k < 0 OR k >= s.__n").first()
+    if wrong:
+        raise ValueError(f"rank {wrong['k']} outside of its group")
+    got = select_ranks(data, keys, x, stats, asked, max_window=max_window).collect()
+    return {(tuple(r[k] for k in keys), r["k"]): (r["value"], r["less"]) for r in got}
+
+
+def quantile_table(data: DataFrame, keys: list[str], x: str, probs: list[float], stats: DataFrame | None = None, **kw) -> DataFrame:
+    """Exact linearly interpolated quantiles (the pandas/Spark ``percentile`` definition) of ``x``
+    per key group: position ``(n-1)*p`` between the two neighbouring order statistics.
+    (keys, n, p, q), a row for each group and probability. ``stats`` (as from :func:`key_stats`)
+    can be passed when a profile has already computed them."""
+    stats = stats if stats is not None else key_stats(data, keys, x)
+    cols = [q(k) for k in keys]
+    ps = F.array(*[F.lit(float(p)) for p in probs])
+    place = lambda p: (F.col("__n") - 1) * p
+    ends = F.flatten(F.transform(ps, lambda p: F.array(F.floor(place(p)), F.ceil(place(p)))))
+    targets = stats.where("__n > 0").select(*cols, F.explode(F.array_distinct(ends)).alias("k"))
+    got = select_ranks(data, keys, x, stats, targets, **kw)
+    values = got.groupBy(*cols).agg(F.map_from_entries(F.collect_list(F.struct("k", F.col("value").cast("double")))).alias("m"))
+
+    def value(p):
+        lo, hi = (F.element_at("m", f(place(p))) for f in (F.floor, F.ceil))
+        return F.when(lo == hi, lo).otherwise(lo + (hi - lo) * (place(p) - F.floor(place(p))))
+
+    rows = values.alias("v").join(stats.select(*cols, "__n").alias("s"), _same("v", "s", keys)).select("v.*", "s.__n")
+    return rows.select(*cols, F.col("__n").alias("n"), F.inline(F.transform(ps, lambda p: F.struct(p.alias("p"), value(p).alias("q")))))
 
 
 def quantiles_long(df: DataFrame, cols: list[str], probs: list[float], by: list[str] | None = None,
                    accuracy: int | None = None, **kw) -> DataFrame:
     """Quantiles of several numeric columns at once: (by..., column, p, q, n).
 
-    Exact by default. With ``accuracy`` the values come from one ``percentile_approx``
-    pass instead (rank error about n / accuracy, no refinement passes), lazily."""
+    Exact by default, in passes that start at once (their result is a table). With ``accuracy``
+    the values come from one ``percentile_approx`` pass instead (rank error about
+    n / accuracy, no refinement passes), lazily."""
     by = list(by or [])
     long_df = to_long_numeric(df, cols, by)
+    keys = [q(k) for k in by] + ["column"]
+    ps = [float(p) for p in probs]
     if accuracy is not None:
-        keys = [q(k) for k in by] + ["column"]
-        ps = [float(p) for p in probs]
         agg = long_df.groupBy(*keys).agg(F.percentile_approx("x", ps, accuracy).alias("__qs"),
                                          F.count(F.lit(1)).alias("n"))
         return agg.select(*keys, F.inline(F.arrays_zip(F.array(*[F.lit(p) for p in ps]).alias("p"),
                                                        F.col("__qs").alias("q"))), "n").select(
             *keys, "p", F.col("q").cast("double").alias("q"), "n")
-    rows = quantile_values(long_df, by + ["column"], "x", probs, **kw)
-    fields = [df.schema[b] for b in by] + [T.StructField("column", T.StringType())]
-    return quantile_frame(df.sparkSession, rows, fields)
+    return quantile_table(long_df, by + ["column"], "x", ps, **kw).select(*keys, "p", "q", "n")
 
 
 def to_long_numeric(df: DataFrame, cols: list[str], by: list[str] | None = None) -> DataFrame:

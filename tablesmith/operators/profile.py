@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablesmith.functions.columns import categorical_columns, numeric_columns, q
-from tablesmith.functions.ranking import quantile_values, quantiles_long, to_long_numeric
+from tablesmith.functions.ranking import quantile_table, quantiles_long, sketch, to_long_numeric
 from tablesmith.operators.frequency import freq_table
+from tablesmith.session import stored
 
 NUMERIC_STATS = ["n", "n_null", "n_negative", "min", "max", "mean", "std", "std_pop"]
 
@@ -35,27 +36,29 @@ def _long_from_row(wide: DataFrame, cols: list[str], stats: list[str], types: di
     return wide.select(F.inline(F.array(*structs)))
 
 
-def numeric_profile(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+def numeric_profile(df: DataFrame, cols: list[str] | None = None, edges: bool = False) -> DataFrame:
     """One pass over the numeric columns: (column, n, n_null, n_negative, min, max, mean,
-    std, std_pop). ``std`` is the sample deviation (ddof=1) as pandas reports it."""
+    std, std_pop). ``std`` is the sample deviation (ddof=1) as pandas reports it. ``edges`` adds
+    a quantile sketch of each column (``functions.ranking.sketch``)."""
     cols = cols if cols is not None else numeric_columns(df)
     if not cols:
         return df.sparkSession.createDataFrame([], "column string, " + ", ".join(
-            f"{s} {'bigint' if s.startswith('n') else 'double'}" for s in NUMERIC_STATS))
+            f"{s} {'bigint' if s.startswith('n') else 'double'}" for s in NUMERIC_STATS) + (", edges array<double>" if edges else ""))
     aggs = []
     for c in cols:
         x = F.col(q(c)).cast("double")
         aggs += [F.count(x).alias(f"{c}__n"), F.count_if(x.isNull()).alias(f"{c}__n_null"),
                  F.count_if(x < 0).alias(f"{c}__n_negative"), F.min(x).alias(f"{c}__min"),
                  F.max(x).alias(f"{c}__max"), F.avg(x).alias(f"{c}__mean"),
-                 F.stddev_samp(x).alias(f"{c}__std")]
+                 F.stddev_samp(x).alias(f"{c}__std"), *([sketch(x).alias(f"{c}__edges")] if edges else [])]
     wide = df.agg(*aggs)
     # one central-moment aggregate per column: the population deviation follows from the
     # sample one (std_pop = std * sqrt((n - 1) / n); n = 1 gives 0)
     wide = wide.select("*", *[F.when(F.col(f"{c}__n") == 1, F.lit(0.0)).otherwise(
         F.col(f"{c}__std") * F.sqrt((F.col(f"{c}__n") - 1) / F.col(f"{c}__n"))).alias(f"{c}__std_pop")
         for c in cols])
-    return _long_from_row(wide, cols, NUMERIC_STATS, {"n": "bigint", "n_null": "bigint", "n_negative": "bigint"})
+    return _long_from_row(wide, cols, NUMERIC_STATS + (["edges"] if edges else []),
+                          {"n": "bigint", "n_null": "bigint", "n_negative": "bigint", "edges": "array<double>"})
 
 
 def schema_diff(df: DataFrame, expected: list[str], strict: bool = False) -> DataFrame:
@@ -158,22 +161,18 @@ def describe_numerical(df: DataFrame, cols: list[str], probs=(0.25, 0.5, 0.75),
                        accuracy: int | None = None) -> DataFrame:
     """(column, n, mean, std, min, p25, p50, p75, max): exact interpolated quartiles.
 
-    The one-pass profile (one row per column, collected) also supplies the count and
-    range the quantile kernel starts from, so the kernel adds only its refinement passes.
+    The one-pass profile also takes the sketches that the quantile kernel starts from, so the
+    kernel adds only its counting pass.
     ``accuracy`` trades exactness for a single ``percentile_approx`` pass."""
-    prof = numeric_profile(df, cols).select("column", "n", "mean", "std", "min", "max").collect()
-    stats = [{"column": r["column"], "__n": r["n"], "__min": r["min"], "__max": r["max"]} for r in prof if r["n"]]
+    names = {float(p): "p" + format(round(p * 100, 4), "g").replace(".", "_") for p in probs}
     if accuracy is not None:
-        qrows = [r.asDict() for r in quantiles_long(df, cols, list(probs), accuracy=accuracy).collect()]
+        prof, qs = numeric_profile(df, cols), quantiles_long(df, cols, list(names), accuracy=accuracy)
     else:
-        qrows = quantile_values(to_long_numeric(df, cols), ["column"], "x", list(probs), stats=stats)
-    names = {p: "p" + format(round(p * 100, 4), "g").replace(".", "_") for p in probs}
-    qmap = {(r["column"], r["p"]): r["q"] for r in qrows}
-    rows = [(r["column"], r["n"], r["mean"], r["std"], r["min"],
-             *[qmap.get((r["column"], float(p))) for p in probs], r["max"]) for r in prof]
-    schema = ("column string, n bigint, mean double, std double, min double, " +
-              ", ".join(f"{n} double" for n in names.values()) + ", max double")
-    return df.sparkSession.createDataFrame(rows, schema)
+        prof = stored(numeric_profile(df, cols, edges=True), "profile")
+        stats = prof.where("n > 0").select("column", F.col("n").alias("__n"), F.col("edges").alias("__edges"))
+        qs = quantile_table(to_long_numeric(df, cols), ["column"], "x", list(names), stats=stats)
+    wide = qs.groupBy("column").agg(*[F.max(F.when(F.col("p") == p, F.col("q"))).alias(n) for p, n in names.items()])
+    return prof.join(wide, "column", "left").select("column", "n", "mean", "std", "min", *names.values(), "max")
 
 
 def describe_categorical(df: DataFrame, cols: list[str], k: int = 10) -> DataFrame:

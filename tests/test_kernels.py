@@ -133,3 +133,47 @@ def test_rank_select_recovers_when_a_sketch_misses(spark):
     for window in (20_000, 10):
         got = rank_select(df, ["g"], "x", wrong, [(("a",), 700), (("a",), 3)], max_window=window)
         assert got == {(("a",), 700): (700.0, 700), (("a",), 3): (3.0, 3)}
+
+
+def test_a_value_of_most_rows_is_one_count(spark, monkeypatch):
+    """60 % zeros: rows enter a pass once, and no window holds more than ``max_window`` values."""
+    from tablesmith.functions import ranking
+    df = spark.range(40_000).select(F.lit("a").alias("g"), F.when(F.col("id") % 5 < 3, F.lit(0.0)).otherwise(F.hash("id") / 1e3).alias("x"))
+    xs = np.sort(df.toPandas().x.to_numpy())
+    entered, windows = [], []
+    for name in ("_count_values", "_count_sketches"):
+        def spy(data, groups, keys, x, longest, extra, real=getattr(ranking, name)):
+            entered.append(ranking._classified(data, groups, keys, x, longest, extra).count())
+            out = real(data, groups, keys, x, longest, extra)
+            if "v" in out.columns:
+                windows.extend(r["count"] for r in out.where("v IS NOT NULL").groupBy("code").count().collect())
+            return out
+        monkeypatch.setattr(ranking, name, spy)
+    first, last = int(np.searchsorted(xs, 0.0)), int(np.searchsorted(xs, 0.0, side="right")) - 1
+    ks = [0, first - 1, first, last, last + 1, 39_999]
+    got = rank_select(df, ["g"], "x", key_stats(df, ["g"], "x"), [(("a",), k) for k in ks], max_window=1000)
+    assert [got[("a",), k][0] for k in ks] == [xs[k] for k in ks]
+    assert set(entered) == {40_000} and max(windows) <= 1000
+
+
+def test_quantiles_of_many_groups_without_a_row_each_on_the_driver(spark, monkeypatch):
+    """Targets, brackets and results of 200,000 groups stay tables."""
+    from pyspark.sql.classic.dataframe import DataFrame as Classic
+    df = spark.range(600_000).select((F.col("id") % 200_000).alias("g"), F.col("id").cast("double").alias("x"))
+    sizes, real = [], Classic.collect
+    monkeypatch.setattr(Classic, "collect", lambda self: (lambda rows: sizes.append(len(rows)) or rows)(real(self)))
+    out = quantiles_long(df, ["x"], [0.5], by=["g"])
+    assert out.count() == 200_000 and out.where(F.col("q") != F.col("g") + 200_000).count() == 0
+    assert max(sizes, default=0) <= 10
+
+
+def test_ranks_outside_of_a_part(spark):
+    """The order statistics of all rows but one fold's, for all folds in the same passes."""
+    from tablesmith.functions.ranking import WITHOUT, select_ranks
+    pdf = pd.DataFrame({"g": "a", "f": [i % 3 for i in range(900)], "x": [float((i * 7919) % 1000 // 7) for i in range(900)]})
+    df = spark.createDataFrame(pdf)
+    for window in (20_000, 30):
+        rows = [("a", w, k, 900 if w is None else 600) for w in (None, 0, 1, 2) for k in (0, 17, 300, 599)]
+        targets = spark.createDataFrame(rows, f"g string, {WITHOUT} long, k long, n long")
+        got = {(r[WITHOUT], r.k): r["value"] for r in select_ranks(df, ["g"], "x", key_stats(df, ["g"], "x"), targets, part="f", max_window=window).collect()}
+        assert got == {(w, k): np.sort(pdf[pdf.f != w].x.to_numpy() if w is not None else pdf.x.to_numpy())[k] for _, w, k, _ in rows}
