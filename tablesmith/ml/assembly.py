@@ -1,10 +1,10 @@
 """Feature pipeline and classifier factories (#63-#69).
 
-``build_pipeline`` chains: numeric Winsorizer -> NumericImputer -> NumericScaler;
-categorical CategoricalImputer -> CategoryGrouper (configured columns) -> StringIndexer
-(alphabetical, unseen kept) -> OneHotEncoder (dropLast: an unseen value is all zeros and
-every known category keeps its slot); VectorAssembler (numeric first); class weights;
-classifier. Every stage parameter is addressable by a flat grid name (``ml.search.PREP_FIELDS``,
+``build_pipeline`` chains: clip -> fill -> scale of the numeric columns (``NumericPrep``, one
+kernel call); fill -> group (configured columns) -> index (alphabetical, unseen kept) of the
+categorical ones (``CategoryPrep``, one dictionary table) -> OneHotEncoder (dropLast: an unseen
+value is all zeros and every known category keeps its slot); VectorAssembler (numeric first);
+class weights; classifier. Every stage parameter is addressable by a flat grid name (``ml.search.PREP_FIELDS``,
 ``ml.search.MODEL_PARAMS``, ``grouping.<column>``).
 """
 
@@ -14,15 +14,15 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import Estimator, Pipeline
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablesmith.ml.stages import (CategoricalImputer, CategoryGrouper, ClassWeights, NumericImputer,
-                                  NumericScaler, Winsorizer)
+from tablesmith.ml.chains import CategoryPrep, NumericPrep
+from tablesmith.ml.stages import ClassWeights
 
 
 @dataclass
@@ -109,27 +109,32 @@ def build_classifier(name: str, params: dict | None = None, label: str = "label"
 def preprocessing_stages(cfg: PrepConfig) -> list:
     """The preprocessing chain (numeric first in the assembled vector)."""
     stages = []
-    num, cat = list(cfg.num_cols), list(cfg.cat_cols)
-    if num:
-        stages += [Winsorizer(inputCols=num, strategy=cfg.outlier, pmin=cfg.pmin, pmax=cfg.pmax),
-                   NumericImputer(inputCols=num, strategy=cfg.num_impute),
-                   NumericScaler(inputCols=num, method=cfg.scaling)]
-    oh = []
-    if cat:
-        stages.append(CategoricalImputer(inputCols=cat, strategy=cfg.cat_impute, fillValue=cfg.cat_fill))
-        grouped = [c for c in cat if c in cfg.grouping]
-        if grouped:
-            stages.append(CategoryGrouper(inputCols=grouped, minFreqs={c: int(cfg.grouping[c]) for c in grouped},
-                                          otherLabel=cfg.other_label))
-        idx = [f"{c}__idx" for c in cat]
-        oh = [f"{c}__oh" for c in cat]
-        stages += [StringIndexer(inputCols=cat, outputCols=idx, stringOrderType="alphabetAsc", handleInvalid="keep"),
-                   # the indexer's metadata already counts the unknown index last, so dropLast
-                   # removes exactly that slot: an unseen value encodes as all zeros
-                   OneHotEncoder(inputCols=idx, outputCols=oh, dropLast=True, handleInvalid="error")]
-    stages.append(VectorAssembler(inputCols=num + oh, outputCol="features", handleInvalid="keep"))
-    stages.append(ClassWeights(labelCol=cfg.label, outputCol="weight", mode=cfg.class_weight))
-    return stages
+    if cfg.num_cols:
+        stages.append(numeric_prep(cfg))
+    if cfg.cat_cols:
+        stages += [category_prep(cfg), one_hot(cfg)]
+    return stages + [assembler(cfg), ClassWeights(labelCol=cfg.label, outputCol="weight", mode=cfg.class_weight)]
+
+
+def numeric_prep(cfg: PrepConfig) -> NumericPrep:
+    return NumericPrep(inputCols=list(cfg.num_cols), outlier=cfg.outlier, pmin=cfg.pmin, pmax=cfg.pmax, impute=cfg.num_impute, scaling=cfg.scaling)
+
+
+def category_prep(cfg: PrepConfig) -> CategoryPrep:
+    cat = list(cfg.cat_cols)
+    return CategoryPrep(inputCols=cat, outputCols=[f"{c}__idx" for c in cat], impute=cfg.cat_impute, fill=cfg.cat_fill,
+                        grouping={c: int(n) for c, n in cfg.grouping.items() if c in cat}, other=cfg.other_label)
+
+
+def one_hot(cfg: PrepConfig) -> OneHotEncoder:
+    # the indexes count the unknown one last, so dropLast removes exactly that slot: an unseen
+    # value encodes as all zeros
+    cat = list(cfg.cat_cols)
+    return OneHotEncoder(inputCols=[f"{c}__idx" for c in cat], outputCols=[f"{c}__oh" for c in cat], dropLast=True, handleInvalid="error")
+
+
+def assembler(cfg: PrepConfig) -> VectorAssembler:
+    return VectorAssembler(inputCols=list(cfg.num_cols) + [f"{c}__oh" for c in cfg.cat_cols], outputCol="features", handleInvalid="keep")
 
 
 def build_pipeline(cfg: PrepConfig, model: str | None = None, model_params: dict | None = None) -> Pipeline:

@@ -1,9 +1,12 @@
 """Grid search with k-fold cross-validation, CV tables and leaderboards (#71-#74, #47).
 
-Candidates that share preprocessing parameters share one preprocessing fit per fold: the
-transformed train/validation frames are cached once and every model candidate of the
-group is fitted on them. Each fit is an MLlib job over the whole fold; the driver loop
-starts several groups at a time and collects one score per (candidate, fold, split).
+Candidates form a tree over the ordered stage parameters (:class:`StageTree`): each distinct
+prefix is a node that is fitted once for all folds, from statistics that subtract
+(:mod:`tablesmith.ml.statistics`), so the scans of the training frame for preprocessing depend
+neither on the folds nor on the candidates. The transformed frames of a leaf are cached once per
+fold and every model candidate of the leaf is fitted on them. Each fit is an MLlib job over the
+whole fold; the driver loop starts several leaves at a time and collects one score per
+(candidate, fold, split).
 """
 
 from __future__ import annotations
@@ -16,12 +19,17 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.errors import IllegalArgumentException
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from tablesmith.ml.assembly import MODEL_NAMES, PrepConfig, build_classifier, missing_cells, preprocessing_stages
+from tablesmith.functions.columns import q
+from tablesmith.ml.assembly import (MODEL_NAMES, PrepConfig, assembler, build_classifier, category_prep, numeric_prep, one_hot,
+                                    preprocessing_stages)
+from tablesmith.ml.chains import CategoryPrepModel, NumericPrepModel
+from tablesmith.ml.stages import ClassWeightsModel, class_weights
+from tablesmith.ml.statistics import CategoryStatistics, FittedNumeric, NumericStatistics
 from tablesmith.operators import metrics as M
 
 PREP_FIELDS = {f.name for f in dataclasses.fields(PrepConfig)} - {"num_cols", "cat_cols", "label"}
@@ -57,8 +65,78 @@ def _prep_of(cfg: PrepConfig, cand: dict) -> PrepConfig:
     return dataclasses.replace(cfg, grouping=grouping, **upd)
 
 
-def _prep_key(cand: dict) -> str:
-    return json.dumps({k: v for k, v in sorted(cand.items()) if k not in MODEL_PARAMS}, sort_keys=True, default=str)
+class StageTree:
+    """The candidates' preprocessing as a prefix tree over the ordered stage parameters: clip ->
+    fill -> scale, then fill -> group of the categories, then class weights.
+
+    A node is a prefix of parameters; what is fitted hangs at the node that decides it, so
+    candidates that differ in the scaler share clip and fill, and all of these share the
+    categories' dictionary. ``model(i, fold)`` is the fitted preprocessing of candidate i for the
+    training side of a fold (None: for the whole frame). Candidates whose parameters are invalid
+    have an entry in ``errors``."""
+
+    def __init__(self, train: DataFrame, cfg: PrepConfig, cands: list[dict], fold_col: str | None = None):
+        self.train, self.fold_col = train, fold_col
+        self.configs, self.errors, self.paths = {}, {}, {}
+        numeric, category = {}, {}
+        for i, c in enumerate(cands):
+            try:
+                own = _prep_of(cfg, {k: v for k, v in c.items() if k not in MODEL_PARAMS})
+                x = numeric_prep(own).chain() if own.num_cols else None
+                y = category_prep(own).chain() if own.cat_cols else None
+                if own.class_weight not in (None, "none", "balanced") and not isinstance(own.class_weight, dict):
+                    raise ValueError(f"unknown class weight {own.class_weight}")
+            except PARAMETER_ERRORS as e:
+                self.errors[i] = str(e)
+                continue
+            self.configs[i] = own
+            numeric[i], category[i] = x, y
+            weight = json.dumps(own.class_weight, sort_keys=True, default=str)
+            # the path from the root, a node per stage
+            self.paths[i] = [*([("clip", *x.clip), ("fill", x.impute), ("scale", x.scaling)] if x else []),
+                             *([("category", y.impute, y.fill), ("group", y.grouping, y.other)] if y else []), ("weight", weight)]
+        self.numeric_of, self.category_of = numeric, category
+        self.numeric = NumericStatistics(train, list(cfg.num_cols), [x for x in numeric.values() if x], fold_col)
+        views = [None] + (sorted(r[0] for r in train.select(q(fold_col)).distinct().collect() if r[0] is not None) if fold_col else [])
+        self.category = CategoryStatistics(train, list(cfg.cat_cols), [y for y in category.values() if y], fold_col, views)
+        # rows per fold and class: a row each reaches the driver
+        self.classes = {}
+        if any(c.class_weight not in (None, "none") for c in self.configs.values()):
+            by = [F.col(q(fold_col)) if fold_col else F.lit(None).alias("fold"), F.col(q(cfg.label))]
+            for fold, label, n in train.where(F.col(q(cfg.label)).isNotNull()).groupBy(*by).count().collect():
+                self.classes.setdefault(fold, {})[label] = n
+
+    def nodes(self) -> set[tuple]:
+        """Every distinct prefix: what is fitted once, for all folds."""
+        return {tuple(path[:n + 1]) for path in self.paths.values() for n in range(len(path))}
+
+    def leaves(self) -> dict[tuple, list[int]]:
+        """Candidates by their whole path."""
+        out = {}
+        for i, path in self.paths.items():
+            out.setdefault(tuple(path), []).append(i)
+        return out
+
+    def side(self, fold) -> DataFrame:
+        """The training side of a fold."""
+        return self.train if fold is None else self.train.where(F.col(q(self.fold_col)) != F.lit(fold))
+
+    def model(self, i: int, fold=None) -> PipelineModel:
+        cfg, stages = self.configs[i], []
+        if cfg.num_cols:
+            stages.append(NumericPrepModel.of(list(cfg.num_cols), self.numeric.fitted.get((self.numeric_of[i], fold), FittedNumeric())))
+        if cfg.cat_cols:
+            outs = [f"{c}__idx" for c in cfg.cat_cols]
+            found = self.category.dictionary(self.category_of[i], fold)
+            index = CategoryPrepModel.of(list(cfg.cat_cols), outs, found)
+            # the number of indexes is in the columns' metadata: this fit reads no rows
+            stages += [index, one_hot(cfg).fit(index.transform(self.train))]
+        counts = {}
+        for f, per in self.classes.items():
+            for label, n in per.items() if fold is None or f != fold else ():
+                counts[label] = counts.get(label, 0) + n
+        weights = class_weights(cfg.class_weight, counts, self.train.schema[cfg.label].dataType)
+        return PipelineModel([*stages, assembler(cfg), ClassWeightsModel(labelCol=cfg.label, outputCol="weight", values=weights)])
 
 
 def _score(scored: DataFrame, scoring: str):
@@ -99,56 +177,59 @@ def grid_search(train: DataFrame, cfg: PrepConfig, grid, *, fold_col: str = "fol
         raise ValueError(f"unknown scoring {scoring}")
     cands = [{**(model_params or {}), **c} for c in expand_grid(grid)]
     _check_names(cands)
-    # every fold and candidate re-reads the training frame: keep it for the loop's duration
+    # the statistics and every fold and leaf re-read the training frame: keep it for the search
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
-    folds = sorted(r[0] for r in train.select(fold_col).distinct().collect())
-    groups = {}
-    for i, c in enumerate(cands):
-        groups.setdefault(_prep_key(c), []).append(i)
-    label = cfg.label
-
-    def evaluate(task):
-        f, idxs = task
-        out = []
-        tr, va = train.where(F.col(fold_col) != f), train.where(F.col(fold_col) == f)
-        try:
-            prep = Pipeline(stages=preprocessing_stages(_prep_of(cfg, cands[idxs[0]]))).fit(tr)
-        except PARAMETER_ERRORS as e:
-            return [(i, f, s, None, None, str(e)) for i in idxs for s in ("train", "test")]
-        keep = [label, "features", "weight"]
-        tx = prep.transform(tr).select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
-        vx = prep.transform(va).select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
-        for i in idxs:
+    try:
+        tree = StageTree(train, cfg, cands, fold_col)
+        folds = sorted(r[0] for r in train.select(q(fold_col)).distinct().collect())
+        label = cfg.label
+
+        def evaluate(task):
+            f, idxs = task
+            out = []
             try:
-                t0 = time.time()
-                m = build_classifier(cands[i].get("model", model), cands[i], label=label).fit(tx)
-                ft = time.time() - t0
-                scores = {"train": _score(_scored(m, tx, label), scoring), "test": _score(_scored(m, vx, label), scoring)}
-                out += [(i, f, s, x, ft, None) for s, x in scores.items()]
+                prep = tree.model(idxs[0], f)
             except PARAMETER_ERRORS as e:
-                out += [(i, f, s, None, None, str(e)) for s in ("train", "test")]
-        tx.unpersist()
-        vx.unpersist()
-        return out
-
-    tasks = [(f, idxs) for f in folds for idxs in groups.values()]
-    with ThreadPool(max(1, min(parallelism, len(tasks)))) as pool:
-        rows = [r for part in pool.map(inheritable_thread_target(train.sparkSession)(evaluate), tasks) for r in part]
-    spark = train.sparkSession
-    cv = spark.createDataFrame([(experiment, i, _params(cands[i]), int(f), s, None if x is None else float(x), ft, err)
-                                for i, f, s, x, ft, err in rows], CV_SCHEMA)
-    best_params, best_model = None, None
-    means = {}
-    for i, _, s, x, _, _ in rows:
-        if s == "test":
-            means.setdefault(i, []).append(x)
-    valid = {i: sum(v) / len(v) for i, v in means.items() if all(x is not None for x in v)}
-    if valid:
-        best = min(valid, key=lambda i: (-valid[i], i))
-        best_params = cands[best]
-        if refit:
-            best_model = build_pipeline_for(cfg, best_params, model).fit(train)
-    train.unpersist()
+                return [(i, f, s, None, None, str(e)) for i in idxs for s in ("train", "test")]
+            keep = [label, "features", "weight"]
+            tx = prep.transform(tree.side(f)).select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
+            vx = prep.transform(train.where(F.col(q(fold_col)) == F.lit(f))).select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                for i in idxs:
+                    try:
+                        t0 = time.time()
+                        m = build_classifier(cands[i].get("model", model), cands[i], label=label).fit(tx)
+                        ft = time.time() - t0
+                        scores = {"train": _score(_scored(m, tx, label), scoring), "test": _score(_scored(m, vx, label), scoring)}
+                        out += [(i, f, s, x, ft, None) for s, x in scores.items()]
+                    except PARAMETER_ERRORS as e:
+                        out += [(i, f, s, None, None, str(e)) for s in ("train", "test")]
+            finally:
+                tx.unpersist()
+                vx.unpersist()
+            return out
+
+        tasks = [(f, idxs) for f in folds for idxs in tree.leaves().values()]
+        rows = [(i, f, s, None, None, e) for i, e in tree.errors.items() for f in folds for s in ("train", "test")]
+        if tasks:
+            with ThreadPool(max(1, min(parallelism, len(tasks)))) as pool:
+                rows += [r for part in pool.map(inheritable_thread_target(train.sparkSession)(evaluate), tasks) for r in part]
+        cv = train.sparkSession.createDataFrame([(experiment, i, _params(cands[i]), int(f), s, None if x is None else float(x), ft, err)
+                                    for i, f, s, x, ft, err in rows], CV_SCHEMA)
+        best_params, best_model = None, None
+        means = {}
+        for i, _, s, x, _, _ in rows:
+            if s == "test":
+                means.setdefault(i, []).append(x)
+        valid = {i: sum(v) / len(v) for i, v in means.items() if all(x is not None for x in v)}
+        if valid:
+            best = min(valid, key=lambda i: (-valid[i], i))
+            best_params = cands[best]
+            if refit:
+                prep = tree.model(best)
+                best_model = PipelineModel([*prep.stages, build_classifier(best_params.get("model", model), best_params, label=label).fit(prep.transform(train))])
+    finally:
+        train.unpersist()
     return cv, best_params, best_model
 
 
@@ -187,21 +268,50 @@ def leaderboard(results: DataFrame) -> DataFrame:
 
 def nan_audit(train: DataFrame, cfg: PrepConfig, grid) -> DataFrame:
     """For the default configuration and every grid combination: fit the preprocessing on
-    ``train`` and count missing cells in the feature matrix. Invalid combinations are
-    recorded, not raised: (combination, params, n_missing, error)."""
+    ``train`` and count missing cells of the columns that make the feature matrix. Invalid
+    combinations are recorded, not raised: (combination, params, n_missing, error).
+
+    The combinations' distinct prefixes are fitted once (:class:`StageTree`), and one aggregate
+    counts the cells of every numeric chain and every dictionary: a combination's missing cells
+    are those of its two."""
     spark = train.sparkSession
     cands = [{}] + expand_grid(grid)
-    rows = []
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
-    for i, c in enumerate(cands):
-        try:
-            prep = Pipeline(stages=preprocessing_stages(_prep_of(cfg, {k: v for k, v in c.items()
-                                                                        if k not in MODEL_PARAMS}))).fit(train)
-            rows.append((i, _params(c), int(missing_cells(prep, train).first()[0]), None))
-        except PARAMETER_ERRORS as e:
-            rows.append((i, _params(c), None, str(e)))
-    train.unpersist()
-    return spark.createDataFrame(rows, "combination int, params map<string,string>, n_missing bigint, error string")
+    try:
+        tree = StageTree(train, cfg, cands)
+        # one representative of each numeric chain and each dictionary
+        parts = {}
+        for i, own in tree.configs.items():
+            if own.num_cols:
+                parts.setdefault(("x", tree.numeric_of[i]), i)
+            if own.cat_cols:
+                parts.setdefault(("y", tree.category_of[i]), i)
+        rows = train.select(*[F.col(q(c)) for c in [*cfg.num_cols, *cfg.cat_cols]])
+        counts = []
+        for n, ((kind, chain), i) in enumerate(parts.items()):
+            if kind == "x":
+                cols = list(cfg.num_cols)
+                made = NumericPrepModel.of([f"__x{n}_{c}" for c in cols], _renamed(tree.numeric.fitted.get((chain, None), FittedNumeric()), f"__x{n}_"))
+                rows = made.transform(rows.withColumns({f"__x{n}_{c}": F.col(q(c)) for c in cols}))
+                outs = [f"__x{n}_{c}" for c in cols]
+            else:
+                outs = [f"__y{n}_{c}" for c in cfg.cat_cols]
+                rows = CategoryPrepModel.of(list(cfg.cat_cols), outs, tree.category.dictionary(chain)).transform(rows)
+            bad = sum((F.count_if(F.col(q(c)).isNull() | F.isnan(F.col(q(c)).cast("double"))) for c in outs), F.lit(0))
+            counts.append(bad.cast("bigint").alias(f"n{n}"))
+        found = rows.agg(*counts).first() if counts else []
+        missing = {key: found[n] for n, key in enumerate(parts)}
+        out = []
+        for i, c in enumerate(cands):
+            keys = [("x", tree.numeric_of.get(i)), ("y", tree.category_of.get(i))]
+            out.append((i, _params(c), None if i in tree.errors else sum(missing.get(k, 0) for k in keys), tree.errors.get(i)))
+    finally:
+        train.unpersist()
+    return spark.createDataFrame(out, "combination int, params map<string,string>, n_missing bigint, error string")
+
+
+def _renamed(fitted: FittedNumeric, prefix: str) -> FittedNumeric:
+    return FittedNumeric(*[{prefix + c: v for c, v in d.items()} for d in (fitted.limits, fitted.fills, fitted.scales)])
 
 
 __all__ = ["expand_grid", "grid_search", "cv_results", "leaderboard", "nan_audit", "MODEL_NAMES"]

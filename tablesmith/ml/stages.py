@@ -20,9 +20,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablesmith.functions.columns import clip_keep_null, q
+from tablesmith.functions.lookup import entries, looked_up
 from tablesmith.functions.ranking import quantiles_long
 from tablesmith.operators.frequency import freq_table
-from tablesmith.session import checkpoint_dir
+from tablesmith.session import stored
 
 def _identity(x):
     return x
@@ -147,8 +148,9 @@ class CategoryGrouper(Estimator, _Base):
     """Keep the categories seen at least ``minFreq`` times in train (per column through
     ``minFreqs``); everything else, unseen values included, becomes ``otherLabel``.
 
-    The kept set is a table (column, value) of any size: the transform joins it and the
-    planner chooses how; a saved model carries the table in its own folder."""
+    The kept set is a table (column, value, n) of any size: the transform looks values up in it
+    without shuffling the rows that hold its frequent ones; a saved model carries the table in its
+    own folder."""
     minFreq = Param(Params._dummy(), "minFreq", "default threshold", typeConverter=TypeConverters.toInt)
     minFreqs = Param(Params._dummy(), "minFreqs", "threshold per column", typeConverter=_identity)
     otherLabel = Param(Params._dummy(), "otherLabel", "label of folded values", typeConverter=TypeConverters.toString)
@@ -166,11 +168,9 @@ class CategoryGrouper(Estimator, _Base):
         spark = df.sparkSession
         th = spark.createDataFrame([(c, int(per.get(c, default))) for c in cols], "column string, min_freq int")
         kept = (freq_table(df, cols).join(F.broadcast(th), "column").where(F.col("n") >= F.col("min_freq"))
-                .select("column", "value"))
-        # fitted state: materialised once, removed by Spark's cleaner with the model
-        checkpoint_dir(spark)
+                .select("column", "value", "n"))
         model = CategoryGrouperModel(inputCols=cols, otherLabel=self.getOrDefault(self.otherLabel))
-        model.kept = kept.checkpoint(eager=True)
+        model.set_kept(stored(kept, "kept"))
         return model
 
 
@@ -190,12 +190,12 @@ class _GrouperReader(MLReader):
         model = CategoryGrouperModel()
         model._resetUid(meta["uid"])
         DefaultParamsReader.getAndSetParams(model, meta)
-        model.kept = self.sparkSession.read.schema("column string, value string").parquet(f"{path}/kept")
+        model.set_kept(self.sparkSession.read.schema("column string, value string, n bigint").parquet(f"{path}/kept"))
         return model
 
 
 class CategoryGrouperModel(Model, HasInputCols, MLWritable, MLReadable):
-    """``kept`` is the table (column, value) of the categories that stay."""
+    """``kept`` is the table (column, value, n) of the categories that stay."""
     otherLabel = Param(Params._dummy(), "otherLabel", "label of folded values", typeConverter=TypeConverters.toString)
 
     @keyword_only
@@ -203,7 +203,10 @@ class CategoryGrouperModel(Model, HasInputCols, MLWritable, MLReadable):
         super().__init__()
         self._setDefault(otherLabel="Other")
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
-        self.kept = None
+        self.kept = self.sizes = None
+
+    def set_kept(self, kept: DataFrame) -> None:
+        self.kept, self.sizes = kept, entries(kept)
 
     def write(self):
         return _GrouperWriter(self)
@@ -214,13 +217,10 @@ class CategoryGrouperModel(Model, HasInputCols, MLWritable, MLReadable):
 
     def _transform(self, df):
         other = F.lit(self.getOrDefault(self.otherLabel))
-        out = df
-        for c in self.getOrDefault(self.inputCols):
-            col = F.col(q(c)).cast("string")
-            tab = self.kept.where(F.col("column") == c).select(F.col("value").alias("__kept"))
-            out = (out.join(tab, col == F.col("__kept"), "left")
-                   .withColumn(c, F.when(F.col("__kept").isNotNull(), col).otherwise(other)).drop("__kept"))
-        return out
+        cols = self.getOrDefault(self.inputCols)
+        hits = {c: f"__kept_{i}" for i, c in enumerate(cols)}
+        out = looked_up(df, cols, self.kept, self.sizes, "value", hits)
+        return out.withColumns({c: F.when(F.col(h).isNotNull(), F.col(q(c)).cast("string")).otherwise(other) for c, h in hits.items()}).drop(*hits.values())
 
 
 # ---------------------------------------------------------------- scalers (#59-#61)
@@ -294,17 +294,23 @@ class ClassWeights(Estimator, DefaultParamsReadable, DefaultParamsWritable):
             return ClassWeightsModel(labelCol=label, outputCol=out, values={})
         if mode != "balanced" and not isinstance(mode, dict):
             raise ValueError(f"unknown class weight {mode}")
-        key = _class_key(df.schema[label].dataType)
         rows = df.where(F.col(q(label)).isNotNull()).groupBy(q(label)).agg(F.count(F.lit(1)).alias("n")).collect()
-        counts = {key(r[label]): r["n"] for r in rows}
-        if mode == "balanced":
-            n, k = sum(counts.values()), len(counts)
-            w = {c: n / (k * m) for c, m in counts.items()}
-        else:
-            w = {key(c): float(v) for c, v in mode.items()}
-            if set(counts) - set(w):
-                raise ValueError(f"no weight for class {sorted(set(counts) - set(w))}")
-        return ClassWeightsModel(labelCol=label, outputCol=out, values=w)
+        return ClassWeightsModel(labelCol=label, outputCol=out, values=class_weights(mode, {r[label]: r["n"] for r in rows}, df.schema[label].dataType))
+
+
+def class_weights(mode, counts: dict, dtype) -> dict:
+    """Weight by class from the classes' counts (no weights: 1 for all)."""
+    if mode in (None, "none"):
+        return {}
+    key = _class_key(dtype)
+    counts = {key(c): n for c, n in counts.items()}
+    if mode == "balanced":
+        n, k = sum(counts.values()), len(counts)
+        return {c: n / (k * m) for c, m in counts.items()}
+    w = {key(c): float(v) for c, v in mode.items()}
+    if set(counts) - set(w):
+        raise ValueError(f"no weight for class {sorted(set(counts) - set(w))}")
+    return w
 
 
 def _class_key(dtype):

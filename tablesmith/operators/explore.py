@@ -9,13 +9,14 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablesmith.functions.columns import q
 from tablesmith.functions.ranking import quantiles_long, to_long_numeric, top_k
-from tablesmith.operators.frequency import freq_table, value_counts
-from tablesmith.operators.profile import describe_categorical, describe_numerical  # noqa: F401 (re-export)
+from tablesmith.operators.frequency import freq_table
 
 
 def _ranges(long_df: DataFrame) -> DataFrame:
@@ -165,70 +166,53 @@ def crosstab_wide(df: DataFrame, col: str, target: str, classes: list) -> DataFr
             .fillna(0.0))
 
 
-# Parameter: sums that one aggregate computes.
-AGGREGATES = 400
+# Parameter: numbers in which a variance counts as rounding of a constant column's mean.
+ROUNDING = 1e-13
+
+
+def _gram(centres: list[float]):
+    """A batch function: the blocks X'X, X'M, (X*X)'M and M'M of a task's rows, where X are the
+    centred values (0 where NULL) and M says where there is one. k * k rows a task."""
+    def visit(batches):
+        k = len(centres)
+        sums = np.zeros((4, k, k))
+        centre = np.array(centres)
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(np.float64) for c in batch.columns]) - centre
+            m = ~np.isnan(x)
+            x, m = np.where(m, x, 0.0), m.astype(np.float64)
+            sums += np.stack([x.T @ x, x.T @ m, (x * x).T @ m, m.T @ m])
+        at = np.indices((k, k)).reshape(2, -1)
+        yield pa.RecordBatch.from_arrays([pa.array(at[0], pa.int32()), pa.array(at[1], pa.int32()), *[pa.array(s.reshape(-1)) for s in sums]],
+                                         names=["i", "j", "xx", "xm", "qm", "n"])
+    return visit
 
 
 def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
-    """(col_a, col_b, r): Pearson on pairwise-complete rows, full symmetric matrix.
-
-    Two passes of plain sums: the first finds a centre and the NULL count per column,
-    the second sums centred values, squares and cross products (centring keeps the
-    one-pass formula accurate). Pairs of NULL-free columns share the per-column sums;
-    only pairs touching a NULL-bearing column carry masked sums. A constant column gives
-    NULL (zero variance), not a division error."""
-    xs = {c: F.col(q(c)).cast("double") for c in cols}
-    first = df.agg(F.count(F.lit(1)).alias("__rows"),
-                   *[F.avg(xs[c]).alias(f"m{i}") for i, c in enumerate(cols)],
-                   *[F.count_if(xs[c].isNull()).alias(f"z{i}") for i, c in enumerate(cols)]).first()
-    cen = {c: (first[f"m{i}"] if first[f"m{i}"] is not None else 0.0) for i, c in enumerate(cols)}
-    has_null = {c: first[f"z{i}"] > 0 for i, c in enumerate(cols)}
-    d = {c: xs[c] - F.lit(cen[c]) for c in cols}
-    aggs = [F.count(F.lit(1)).cast("double").alias("__n")]
-    for i, c in enumerate(cols):
-        aggs += [F.sum(d[c]).alias(f"s{i}"), F.sum(d[c] * d[c]).alias(f"ss{i}"),
-                 F.count(d[c]).cast("double").alias(f"n{i}")]
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-    masked = set()
-    for i, j in pairs:
-        a, b = d[cols[i]], d[cols[j]]
-        aggs.append(F.sum(a * b).alias(f"p{i}_{j}"))
-        if i != j and (has_null[cols[i]] or has_null[cols[j]]):
-            masked.add((i, j))
-            am, bm = F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
-            aggs += [F.count(am).cast("double").alias(f"c{i}_{j}"), F.sum(am).alias(f"sa{i}_{j}"),
-                     F.sum(bm).alias(f"sb{i}_{j}"), F.sum(am * am).alias(f"saa{i}_{j}"),
-                     F.sum(bm * bm).alias(f"sbb{i}_{j}")]
-    # one row of sums for every AGGREGATES of them (one pass each: generated code has a size
-    # limit, which the k*(k+1)/2 pairs of a wide table would exceed in one aggregate); the
-    # formula is evaluated on the driver from a few numbers per pair
-    row = {}
-    for at in range(0, len(aggs), AGGREGATES):
-        row |= df.agg(*aggs[at:at + AGGREGATES]).first().asDict()
-
-    def r_of(i, j):
-        if (i, j) in masked:
-            n, sa, sb = row[f"c{i}_{j}"], row[f"sa{i}_{j}"], row[f"sb{i}_{j}"]
-            saa, sbb = row[f"saa{i}_{j}"], row[f"sbb{i}_{j}"]
-        else:
-            n, sa, sb = row[f"n{i}"], row[f"s{i}"], row[f"s{j}"]
-            saa, sbb = row[f"ss{i}"], row[f"ss{j}"]
-        sab = row[f"p{i}_{j}"]
-        if not n or sa is None or sb is None or sab is None:
-            return None
-        cov = sab - sa * sb / n
-        va, vb = saa - sa * sa / n, sbb - sb * sb / n
-        if not (va > 0 and vb > 0):
-            return None
-        return max(-1.0, min(1.0, cov / math.sqrt(va * vb)))
-
-    out = []
-    for i, j in pairs:
-        r = r_of(i, j)
-        out.append((cols[i], cols[j], r))
-        if i != j:
-            out.append((cols[j], cols[i], r))
-    return df.sparkSession.createDataFrame(out, "col_a string, col_b string, r double")
+    """(col_a, col_b, r): Pearson on pairwise-complete rows, full symmetric matrix. NaN counts as
+    missing; a constant column gives NULL (zero variance), not a division error.
+
+    Two passes whatever the number k of columns: the first finds a centre per column (centring
+    keeps the one-pass formula accurate), the second multiplies blocks of rows: values by values,
+    values and squares by masks, and masks by masks give every pair's sums over the rows that
+    have both. A task holds 4 k^2 numbers and one batch, and its k^2 rows are added by (i, j)."""
+    k = len(cols)
+    xs = [F.when(~F.isnan(F.col(q(c)).cast("double")), F.col(q(c)).cast("double")) for c in cols]
+    first = df.agg(*[F.avg(x).alias(f"m{i}") for i, x in enumerate(xs)]).first() if k else []
+    centres = [float(m) if m is not None else 0.0 for m in first]
+    blocks = df.select(*[x.alias(f"x{i}") for i, x in enumerate(xs)]).mapInArrow(
+        _gram(centres), "i int, j int, xx double, xm double, qm double, n double")
+    sums = blocks.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("xx", "xm", "qm", "n")])
+    a, b = sums.alias("a"), sums.select(F.col("i").alias("j"), F.col("j").alias("i"), F.col("xm").alias("ym"), F.col("qm").alias("rm")).alias("b")
+    names = F.array(*[F.lit(c) for c in cols])
+    centre = F.array(*[F.lit(c) for c in centres])
+    var = lambda square, s: F.col(square) - F.col(s) * F.col(s) / F.col("n")
+    real = lambda v, i: v > F.col("n") * F.pow(F.lit(ROUNDING) * F.get(centre, F.col(i)), F.lit(2))
+    va, vb = var("qm", "xm"), var("rm", "ym")
+    r = (F.col("xx") - F.col("xm") * F.col("ym") / F.col("n")) / F.sqrt(va * vb)
+    pairs = a.join(b, ["i", "j"])
+    return pairs.select(F.get(names, F.col("i")).alias("col_a"), F.get(names, F.col("j")).alias("col_b"),
+                        F.when((F.col("n") > 0) & real(va, "i") & real(vb, "j"), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r))).alias("r"))
 
 
 def redundant_pairs(df: DataFrame, cols: list[str], threshold: float = 0.95) -> DataFrame:
@@ -245,7 +229,3 @@ def top_categories(df: DataFrame, cols: list[str], k: int = 10) -> DataFrame:
     return top_k(fr, ["column"], [F.col("n").desc(), F.col("value").asc()], k, tiebreak="value").select(
         "column", F.col("rank").cast("bigint").alias("rank"), "value", F.col("n").cast("bigint").alias("n"))
 
-
-__all__ = ["histogram", "kde", "box_stats", "category_distribution", "crosstab_normalized", "crosstab_wide",
-           "correlation_matrix", "redundant_pairs", "top_categories", "value_counts", "describe_numerical",
-           "describe_categorical", "auto_bins"]

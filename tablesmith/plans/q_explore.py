@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tablesmith.functions.ranking import to_long_numeric
 from tablesmith.operators import explore as EX
+from tablesmith.operators import profile as PR
 from tablesmith.operators.frequency import value_counts
 from tablesmith.plans.frames import ord_clean, sql_with
 from tablesmith.plans.q_profile import CLEAN_CAT
@@ -44,7 +45,7 @@ def freq_sql(view: str, cols: list[str], by: list[str] | None = None) -> str:
        ROUND(quantile_cont({c}, 0.75), 6) AS p75, ROUND(CAST(max({c}) AS DOUBLE), 6) AS max FROM v_li""",
     V.LI_NUMERIC), views=["v_li"]))
 def q_describe_numerical(spark, d):
-    return r6(settled_mean(EX.describe_numerical(V.v_li(spark, d), V.LI_NUMERIC)))
+    return r6(settled_mean(PR.describe_numerical(V.v_li(spark, d), V.LI_NUMERIC)))
 
 
 @query("describe_categorical", sql_with(f"""
@@ -55,7 +56,7 @@ def q_describe_numerical(spark, d):
            string_agg(value || ':' || CAST(n AS VARCHAR), '|' ORDER BY r) FILTER (WHERE r <= 10) AS top_values
     FROM rk GROUP BY "column" """, ctes=["ord_clean"]))
 def q_describe_categorical(spark, d):
-    return EX.describe_categorical(ord_clean(spark, d), CLEAN_CAT, k=10)
+    return PR.describe_categorical(ord_clean(spark, d), CLEAN_CAT, k=10)
 
 
 @query("value_counts", sql_with("""

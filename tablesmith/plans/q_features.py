@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from tablesmith.operators import features as FE
 from tablesmith.operators import profile as PR
 from tablesmith.plans.frames import ord_clean, sql_with
 from tablesmith.plans.q_explore import freq_sql
 from tablesmith.plans.q_profile import CLEAN_ALL, CLEAN_CAT
 from tablesmith.plans.registry import query
+from tablesmith.session import checkpoint_dir
+from tablesmith.sources import persist as P
 from tablesmith.sources import views as V
 
 # Query parameters (analyst decisions, thresholds, candidate grids).
@@ -45,6 +49,15 @@ def q_feature_roles(spark, d):
     return _counted(spark, d, _roles(spark, d))
 
 
+@query("saved_roles", sql_with(_ROLES_SQL + _COUNTS_SQL + """
+    SELECT roles.*, n_present FROM roles JOIN pres ON roles."column" = pres.c""", ctes=["ord_clean"]))
+def q_saved_roles(spark, d):
+    """The role table written and read back."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/roles-{uuid.uuid4().hex}"
+    P.save_roles(_roles(spark, d), path)
+    return _counted(spark, d, P.load_roles(spark, path))
+
+
 @query("feature_flags", sql_with(_ROLES_SQL + _COUNTS_SQL + """
     SELECT "column", role, kind, CASE WHEN "column" = 'o_totalprice' THEN 'redundant'
                                       WHEN "column" = 'o_orderkey' THEN 'irrelevant' END AS flag, n_present

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import OneHotEncoder, StringIndexer
+from pyspark.ml.feature import OneHotEncoder
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -13,13 +13,15 @@ from tablesmith import workflow as W
 from tablesmith.config import RunConfig
 from tablesmith.ml import search as S
 from tablesmith.ml.assembly import PrepConfig, build_pipeline, feature_array, score_frame
+from tablesmith.ml.chains import CategoryPrep
 from tablesmith.ml.stages import (CategoricalImputer, CategoryGrouper, ClassWeights, NumericImputer, NumericScaler,
                                   Winsorizer)
+from tablesmith.operators import metrics as M
 from tablesmith.plans.frames import ord_clean, sql_with
 from tablesmith.plans.q_explore import freq_sql
 from tablesmith.plans.registry import query
 from tablesmith.plans.sqlgen import r6
-from tablesmith.session import checkpoint_dir
+from tablesmith.session import checkpoint_dir, stored
 from tablesmith.sources import persist as P
 from tablesmith.sources import views as V
 
@@ -133,11 +135,9 @@ def q_scale_robust(spark, d):
     FROM v_doc""", views=["v_doc"]))
 def q_one_hot(spark, d):
     df = V.v_doc(spark, d).select("doc_id", "lang")
-    m = Pipeline(stages=[StringIndexer(inputCol="lang", outputCol="lang_idx", stringOrderType="alphabetAsc",
-                                       handleInvalid="keep"),
-                         OneHotEncoder(inputCol="lang_idx", outputCol="lang_oh", dropLast=True,
-                                       handleInvalid="error")]).fit(df)
-    n = len(m.stages[0].labels)
+    m = Pipeline(stages=[CategoryPrep(inputCols=["lang"], outputCols=["lang_idx"], impute="none"),
+                         OneHotEncoder(inputCol="lang_idx", outputCol="lang_oh", dropLast=True, handleInvalid="error")]).fit(df)
+    n = m.stages[0].getOrDefault("sizes")["outputs"]["lang"]
     out = m.transform(df).withColumn("__a", vector_to_array("lang_oh"))
     return out.select("doc_id", "lang", *[F.col("__a")[i].alias(f"oh_{i}") for i in range(n)])
 
@@ -182,9 +182,11 @@ def _sides(spark, d):
     return df.where(F.col("doc_id") % 5 != 0), df.where(F.col("doc_id") % 5 == 0)
 
 
-def _checked(scored, **flags):
+def _checked(scored, own, **flags):
+    """``own``: (doc_id, prediction) as the model itself predicts, to hold against the scores."""
+    scored = scored.join(own.select("doc_id", F.col("prediction").alias("__own")), "doc_id")
     return scored.select("run", "doc_id", "label", F.col("score").between(0, 1).alias("in_range"),
-                         (F.col("prediction") == (F.col("score") >= 0.5).cast("long")).alias("consistent"),
+                         ((F.col("prediction") == F.col("__own")) | (F.abs(F.col("score") - 0.5) < 1e-9)).alias("consistent"),
                          *[F.lit(bool(v)).alias(k) for k, v in flags.items()])
 
 
@@ -196,7 +198,22 @@ def _checked_sql(run, where="doc_id % 5 = 0", *flags):
 def _fit(spark, d, model, params, run, scaling="standard"):
     train, test = _sides(spark, d)
     pm = build_pipeline(PrepConfig(scaling=scaling, **DOC_CFG), model, params).fit(train)
-    return pm, train, score_frame(pm, test, run, key="doc_id")
+    return pm, train, score_frame(pm, test, run, key="doc_id"), pm.transform(test)
+
+
+def _auc(scored) -> float:
+    return M.roc_auc(scored, by=()).first()[0]
+
+
+def _learns(pm, train, fit) -> bool:
+    """Whether a model ranks its training rows better than chance and than a model that was fitted
+    to drawn labels: a constant, or one that never saw the labels, does not."""
+    own = _auc(score_frame(pm, train, "own", key="doc_id"))
+    # labels of the same share, drawn by a hash of the id
+    share = train.agg(F.avg("label")).first()[0]
+    drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.lit(share * 1_000_000)
+    other = _auc(score_frame(fit(train.withColumn("label", drawn.cast("double"))), train, "drawn", key="doc_id"))
+    return own > 0.6 and own > other + 0.05
 
 
 def _is_optimal(pm, train, params, tolerance=1e-3) -> bool:
@@ -225,37 +242,67 @@ LOGISTIC, LOGISTIC_L1 = {"C": 0.1, "penalty": "l2"}, {"C": 0.05, "penalty": "l1"
 
 @query("fit_logistic", _checked_sql("log_regression", "doc_id % 5 = 0", "optimal"))
 def q_fit_logistic(spark, d):
-    pm, train, scored = _fit(spark, d, "LogisticRegression", LOGISTIC, "log_regression", "minmax")
-    return _checked(scored, optimal=_is_optimal(pm, train, LOGISTIC))
+    pm, train, scored, own = _fit(spark, d, "LogisticRegression", LOGISTIC, "log_regression", "minmax")
+    return _checked(scored, own, optimal=_is_optimal(pm, train, LOGISTIC))
 
 
 @query("fit_logistic_l1", _checked_sql("log_regression_l1", "doc_id % 5 = 0", "optimal"))
 def q_fit_logistic_l1(spark, d):
-    pm, train, scored = _fit(spark, d, "LogisticRegression", LOGISTIC_L1, "log_regression_l1", "minmax")
-    return _checked(scored, optimal=_is_optimal(pm, train, LOGISTIC_L1))
+    pm, train, scored, own = _fit(spark, d, "LogisticRegression", LOGISTIC_L1, "log_regression_l1", "minmax")
+    return _checked(scored, own, optimal=_is_optimal(pm, train, LOGISTIC_L1))
 
 
-@query("fit_tree", _checked_sql("tree", "doc_id % 5 = 0", "above_floor"))
+@query("fit_tree", _checked_sql("tree", "doc_id % 5 = 0", "learns"))
 def q_fit_tree(spark, d):
-    """``above_floor``: a tree is at least as often right on its training rows as the largest class."""
-    pm, train, scored = _fit(spark, d, "DecisionTreeClassifier", {"max_depth": 5, "min_samples_split": 4}, "tree")
-    own = pm.transform(train).agg(F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("acc"),
-                                  F.avg("label").alias("share")).first()
-    return _checked(scored, above_floor=own.acc >= max(own.share, 1 - own.share) - 1e-12)
-
-
-@query("fit_forest", _checked_sql("forest"))
+    params = {"max_depth": 5, "min_samples_split": 4}
+    pm, train, scored, own = _fit(spark, d, "DecisionTreeClassifier", params, "tree")
+    return _checked(scored, own, learns=_learns(pm, train, build_pipeline(PrepConfig(**DOC_CFG), "DecisionTreeClassifier", params).fit))
+
+
+# The best first split of a tree, by its impurity, over columns of few values: all thresholds.
+SPLIT_COLS = ["l_quantity", "l_discount", "l_tax"]
+_GINI = "(1 - ({s}p / {s}n) * ({s}p / {s}n) - (1 - {s}p / {s}n) * (1 - {s}p / {s}n))"
+
+
+@query("tree_split", sql_with(f"""
+    , b AS (SELECT l_quantity, l_discount, l_tax, CASE WHEN l_quantity + 100 * l_discount > 28.5 THEN 1 ELSE 0 END AS y FROM v_li),
+    cells AS ({" UNION ALL ".join(f"SELECT '{c}' AS c, {c} AS x, y, count(*) AS n FROM b GROUP BY {c}, y" for c in SPLIT_COLS)}),
+    sides AS (SELECT t.c, t.v, sum(n) FILTER (x <= v)::DOUBLE AS ln, coalesce(sum(n) FILTER (x <= v AND y = 1), 0)::DOUBLE AS lp,
+                sum(n) FILTER (x > v)::DOUBLE AS rn, coalesce(sum(n) FILTER (x > v AND y = 1), 0)::DOUBLE AS rp
+              FROM cells JOIN (SELECT DISTINCT c, x AS v FROM cells) t ON cells.c = t.c GROUP BY t.c, t.v),
+    g AS (SELECT *, (SELECT 2 * avg(y) * (1 - avg(y)) FROM b) - (ln * {_GINI.format(s='l')} + rn * {_GINI.format(s='r')}) / (ln + rn) AS gain
+          FROM sides WHERE rn > 0)
+    SELECT c AS "column", CAST(ln AS BIGINT) AS n_left, CAST(rn AS BIGINT) AS n_right, ROUND(lp / ln, 6) AS left_share, ROUND(rp / rn, 6) AS right_share,
+           ROUND(gain, 6) AS gain FROM g ORDER BY gain DESC LIMIT 1""", views=["v_li"]))
+def q_tree_split(spark, d):
+    """The first split of a fitted tree: its column, what lies on its sides, and its gain."""
+    df = V.v_li(spark, d).select(*SPLIT_COLS, (F.col("l_quantity") + 100 * F.col("l_discount") > 28.5).cast("double").alias("label"))
+    cfg = PrepConfig(num_cols=SPLIT_COLS, cat_cols=[], outlier="none", scaling="none")
+    pm = build_pipeline(cfg, "DecisionTreeClassifier", {"max_depth": 1}).fit(df)
+    root = pm.stages[-1]._java_obj.rootNode()
+    column, at = SPLIT_COLS[root.split().featureIndex()], float(root.split().threshold())
+    left = F.col(column) <= at
+    return r6(df.agg(F.lit(column).alias("column"), F.count_if(left).alias("n_left"), F.count_if(~left).alias("n_right"),
+                     F.avg(F.when(left, F.col("label"))).alias("left_share"), F.avg(F.when(~left, F.col("label"))).alias("right_share"),
+                     F.lit(float(root.gain())).alias("gain")))
+
+
+FOREST, BALANCED = {"n_estimators": 50, "max_depth": 10, "min_samples_leaf": 2}, {"n_estimators": 30, "max_depth": 8}
+
+
+@query("fit_forest", _checked_sql("forest", "doc_id % 5 = 0", "learns"))
 def q_fit_forest(spark, d):
-    return _checked(_fit(spark, d, "RandomForestClassifier", {"n_estimators": 50, "max_depth": 10, "min_samples_leaf": 2}, "forest")[2])
+    pm, train, scored, own = _fit(spark, d, "RandomForestClassifier", FOREST, "forest")
+    return _checked(scored, own, learns=_learns(pm, train, build_pipeline(PrepConfig(**DOC_CFG), "RandomForestClassifier", FOREST).fit))
 
 
-@query("score", _checked_sql("forest_balanced", "TRUE"))
+@query("score", _checked_sql("forest_balanced", "TRUE", "learns"))
 def q_score(spark, d):
     """Score every labelled row with a fitted forest pipeline (class weights balanced)."""
     df = _doc_labelled(spark, d)
-    pm = build_pipeline(PrepConfig(class_weight="balanced", **DOC_CFG), "RandomForestClassifier",
-                        {"n_estimators": 30, "max_depth": 8}).fit(df)
-    return _checked(score_frame(pm, df, "forest_balanced", key="doc_id"))
+    pipeline = build_pipeline(PrepConfig(class_weight="balanced", **DOC_CFG), "RandomForestClassifier", BALANCED)
+    pm = pipeline.fit(df)
+    return _checked(score_frame(pm, df, "forest_balanced", key="doc_id"), pm.transform(df), learns=_learns(pm, df, pipeline.fit))
 
 
 _MATRIX_SQL = sql_with("""
@@ -287,6 +334,40 @@ def q_feature_matrix(spark, d):
     return r6(cells.withColumn("slot", F.col("slot").cast("bigint")))
 
 
+@query("feature_pipeline", _MATRIX_SQL)
+def q_feature_pipeline(spark, d):
+    """The same cells from a whole fitted pipeline, classifier included, saved and loaded again."""
+    df = _doc_labelled(spark, d)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/model-{uuid.uuid4().hex}"
+    P.save_model(build_pipeline(PrepConfig(**DOC_CFG), "LogisticRegression", {"C": 1.0, "max_iter": 5}).fit(df), path)
+    loaded = P.load_model(path)
+    cells = loaded.transform(df).where(F.col("probability").isNotNull()).select("doc_id", F.posexplode(vector_to_array("features")).alias("slot", "value"))
+    return r6(cells.withColumn("slot", F.col("slot").cast("bigint")))
+
+
+@query("run_log", sql_with("""
+    SELECT run AS experiment, CAST(count(*) AS VARCHAR) AS n, ROUND(avg(CASE WHEN prediction = label THEN 1.0 ELSE 0.0 END), 6) AS accuracy
+    FROM v_scores GROUP BY run""", views=["v_scores"]))
+def q_run_log(spark, d):
+    """Run records of the scored documents, written one by one and read back."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/runs-{uuid.uuid4().hex}"
+    sc = V.v_scores(spark, d)
+    for r in sc.groupBy("run").agg(F.count(F.lit(1)).alias("n"), F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("acc")).collect():
+        P.log_run(spark, path, r["run"], tags={"source": "documents"}, params={"n": r["n"]}, metrics={"accuracy": r["acc"]})
+    return r6(P.load_runs(spark, path).select("experiment", F.col("params")["n"].alias("n"), F.col("metrics")["accuracy"].alias("accuracy")))
+
+
+@query("expand_grid", sql_with("""
+    , p AS (SELECT DISTINCT o_orderpriority AS v FROM v_ord), s AS (SELECT DISTINCT c_mktsegment AS v FROM v_ord)
+    SELECT CAST(row_number() OVER (ORDER BY p.v, s.v) - 1 AS INTEGER) AS candidate, p.v AS priority, s.v AS segment FROM p CROSS JOIN s""", views=["v_ord"]))
+def q_expand_grid(spark, d):
+    """The grid over the values of two columns, candidate by candidate."""
+    df = V.v_ord(spark, d)
+    values = lambda c: sorted(r[0] for r in df.select(c).distinct().collect())
+    grid = S.expand_grid({"priority": values("o_orderpriority"), "segment": values("c_mktsegment")})
+    return spark.createDataFrame([(i, g["priority"], g["segment"]) for i, g in enumerate(grid)], "candidate int, priority string, segment string")
+
+
 AUDIT_GRID = {"outlier": ["clip", "none"], "scaling": ["standard", "robust"], "grouping.source": [0, 60]}
 
 
@@ -298,16 +379,18 @@ def q_nan_audit(spark, d):
 
 
 @query("grid_search", """
-    SELECT CAST(i AS INTEGER) AS candidate, c AS "C", scaling, CAST(f.range AS INTEGER) AS fold, split, TRUE AS scored, CAST(NULL AS VARCHAR) AS error
-    FROM (VALUES (0, '0.1', '"standard"'), (1, '0.1', '"minmax"'), (2, '1.0', '"standard"'), (3, '1.0', '"minmax"')) t(i, c, scaling),
+    SELECT CAST(i AS INTEGER) AS candidate, c AS "C", scaling, CAST(f.range AS INTEGER) AS fold, split, TRUE AS beats_constant, CAST(NULL AS VARCHAR) AS error
+    FROM (VALUES (0, '10.0', '"standard"'), (1, '10.0', '"minmax"'), (2, '100.0', '"standard"'), (3, '100.0', '"minmax"')) t(i, c, scaling),
          range(3) f, (VALUES ('train'), ('test')) s(split)""")
 def q_grid_search(spark, d):
-    folds = _sides(spark, d)[0].withColumn("fold", (F.col("doc_id") % 3).cast("int"))
-    grid = {"C": [0.1, 1.0], "scaling": ["standard", "minmax"]}
-    cv, _, _ = S.grid_search(folds, PrepConfig(**DOC_CFG), grid, model="LogisticRegression", refit=False,
-                             experiment="log_regression")
+    """Candidates on a label that the features tell; a constant model would not beat the larger class."""
+    docs = V.v_doc(spark, d).withColumn("label", (F.col("n_chars") > 900).cast("double")).withColumn("fold", (F.col("doc_id") % 3).cast("int"))
+    docs = stored(docs, "labelled")
+    share = docs.agg(F.avg("label")).first()[0]
+    grid = {"C": [10.0, 100.0], "scaling": ["standard", "minmax"]}
+    cv, _, _ = S.grid_search(docs, PrepConfig(**DOC_CFG), grid, model="LogisticRegression", refit=False, experiment="log_regression")
     return cv.select("candidate", F.col("params")["C"].alias("C"), F.col("params")["scaling"].alias("scaling"), "fold", "split",
-                     F.col("score").between(0, 1).alias("scored"), "error")
+                     (F.col("score").between(0, 1) & (F.col("score") > max(share, 1 - share) + 0.05)).alias("beats_constant"), "error")
 
 
 def _threshold_cv(spark, d):

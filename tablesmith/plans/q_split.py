@@ -3,6 +3,8 @@ so the oracles check the exact sizes per (side or fold, class)."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tablesmith.operators import features as FE
@@ -10,6 +12,7 @@ from tablesmith.operators import split as SP
 from tablesmith.plans.frames import ord_clean, sql_with
 from tablesmith.plans.registry import query
 from tablesmith.plans.sqlgen import r6
+from tablesmith.session import checkpoint_dir
 from tablesmith.sources import views as V
 
 _ALLOC = """
@@ -54,6 +57,14 @@ def q_stratified_split_ord(spark, d):
     return df.groupBy("side", F.col("status").alias("label")).agg(F.count(F.lit(1)).cast("bigint").alias("n"))
 
 
+@query("saved_splits", _split_sql("SELECT side, label, n FROM sizes WHERE n > 0", "quality", "v_doc", views=["v_doc"]))
+def q_saved_splits(spark, d):
+    """The split written by side and read back."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/splits-{uuid.uuid4().hex}"
+    SP.save_splits(_doc_split(spark, d), path)
+    return spark.read.parquet(path).groupBy("side", F.col("quality").cast("int").alias("label")).agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+
+
 @query("split_quality", _split_sql("""
     SELECT side, label, n, ROUND(n / sum(n) OVER (PARTITION BY side), 6) AS share,
            CAST(sum(n) OVER (PARTITION BY side) AS BIGINT) AS n_side, CAST(0 AS BIGINT) AS n_null_label

@@ -25,4 +25,4 @@ def query(name: str, oracle: str | None = None):
 def load_all() -> None:
     """Import every module that registers queries."""
     from tablesmith.plans import (  # noqa: F401
-        q_target, q_profile, q_explore, q_features, q_split, q_metrics, q_models)
+        q_sources, q_target, q_profile, q_explore, q_features, q_split, q_metrics, q_models)
