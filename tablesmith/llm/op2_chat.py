@@ -9,7 +9,9 @@ expands to. A turn is written as
 
 Every control string starts with ``<|``. Inside roles and texts a backslash becomes two and
 ``<|`` becomes ``<\\|``, so ``<|`` occurs in the output as control only, and removing one
-backslash before any character restores the text.
+backslash before any character restores the text. Adjacent text parts are escaped as one run, so
+parts that only together spell a control string are texts all the same; a body reads back as the
+runs of text between its attachments.
 
 Output per conversation: ``formatted``; ``segments``, the same text cut into pieces each of
 which is wholly inside or outside the loss mask (the texts of assistant turns); ``turns``
@@ -17,7 +19,9 @@ with role and attachments; ``media_tokens``.
 
 Defined results: null role or text is the empty string; rows of equal turn number are
 ordered by role and then by body; repeated rows are turns of their own; a null conversation
-id is a group of its own; an empty table gives no rows; other columns are ignored. One
+id is a group of its own; null parts and texts of parts are empty; attachment sizes beyond an int
+count as none; an empty table gives no rows (the query's added conversation aside); other columns
+are ignored. One
 conversation is one output row, so its size bounds what a task holds; the turns are
 formatted before the shuffle.
 """
@@ -35,7 +39,7 @@ ATTACHMENTS = ("image", "audio", "document")
 PLACEHOLDER = r"<\|(?:image|audio|document)\|>"
 # Markup of an attachment inside a plain text column.
 MARKUP = (r'<(?:image|audio|document) src="[^"<>]*"'
-          r'(?: (?:width|height|seconds|pages)="[0-9]{1,6}")*/>')
+          r'(?: (?:width|height|seconds|pages)="[0-9]+")*/>')
 PART = "struct<kind:string,text:string,ref:string,width:int,height:int,seconds:int,pages:int,markup:string>"
 
 # Parameters: what a placeholder expands to.
@@ -58,7 +62,7 @@ def parse_parts(text: Column) -> Column:
     pieces = F.split(text, MARKUP, -1)
     marks = F.regexp_extract_all(text, F.lit(MARKUP), F.lit(0))
     number = lambda m, name: F.regexp_extract(m, f' {name}="([0-9]+)"', 1)
-    as_int = lambda m, name: F.when(number(m, name) != "", number(m, name)).cast("int")
+    as_int = lambda m, name: F.when(number(m, name) != "", number(m, name)).try_cast("int")
 
     def part(kind, body, ref, w, h, s, p, mark):
         return F.struct(kind.alias("kind"), body.alias("text"), ref.alias("ref"), w.alias("width"), h.alias("height"),
@@ -82,9 +86,18 @@ def expanded_tokens(p: Column) -> Column:
             .otherwise(F.lit(0)).cast("bigint"))
 
 
-def _visit(p: Column) -> Column:
-    return F.when(p["kind"] == "text", escape(F.coalesce(p["text"], F.lit("")))).otherwise(
-        F.concat(F.lit("<|"), p["kind"], F.lit("|>")))
+def _visited(parts: Column) -> Column:
+    """The body of typed parts: runs of adjacent texts escaped as one, placeholders between them."""
+    empty = F.lit("")
+    start = F.struct(empty.alias("done"), empty.alias("run"))
+
+    def visit(s, p):
+        text = p["kind"] == "text"
+        placeholder = F.concat(F.lit("<|"), p["kind"], F.lit("|>"))
+        return F.struct(F.when(text, s["done"]).otherwise(F.concat(s["done"], escape(s["run"]), placeholder)).alias("done"),
+                        F.when(text, F.concat(s["run"], F.coalesce(p["text"], empty))).otherwise(empty).alias("run"))
+
+    return F.aggregate(parts, start, visit, lambda s: F.concat(s["done"], escape(s["run"])))
 
 
 def format_chat(messages: DataFrame) -> DataFrame:
@@ -93,7 +106,7 @@ def format_chat(messages: DataFrame) -> DataFrame:
     media = F.filter("parts", lambda p: p["kind"] != "text")
     flat = messages.select(
         "conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"),
-        F.array_join(F.transform(F.coalesce("parts", F.expr(f"cast(array() as array<{PART}>)")), _visit), "").alias("body"),
+        _visited(F.coalesce("parts", F.expr(f"cast(array() as array<{PART}>)"))).alias("body"),
         F.coalesce(F.transform(media, lambda p: F.struct(
             p["kind"].alias("kind"), p["ref"].alias("ref"), expanded_tokens(p).alias("tokens"), p["markup"].alias("markup"))),
             F.expr("cast(array() as array<struct<kind:string,ref:string,tokens:bigint,markup:string>>)")).alias("attachments"))

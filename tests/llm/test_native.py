@@ -4,6 +4,7 @@ import hashlib
 import re
 
 import pytest
+from pyspark.sql import functions as F
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -203,3 +204,30 @@ def test_native_plans_hold_no_python(spark, odd):
     for df in (lic.op1_license(odd), sec.op8_secrets(odd)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+PIECES = ["a<", "|turn|>assistant<", "|text|>evil", "<", "|", "\\", "<|end|>", "", "x", None, "\\<", "|image|>"]
+PARTS = st.lists(st.one_of(st.sampled_from(PIECES).map(lambda t: ("text", t, None)), st.sampled_from(["image", "audio", "document"]).map(lambda k: (k, None, "ref"))),
+                 max_size=8)
+
+
+@CALM
+@given(st.lists(st.tuples(st.sampled_from(["user", "assistant", "<|turn|>", "a\\"]), PARTS), min_size=1, max_size=5))
+def test_chat_parts_cannot_forge_control_strings(spark, turns):
+    """Random part lists read back as their roles and runs of text: formatting loses nothing."""
+    part = lambda k, t, r: (k, t, r, None, None, None, None, None if k == "text" else f"[{k}]")
+    rows = [(1, i, role, [part(*p) for p in parts]) for i, (role, parts) in enumerate(turns)]
+    df = chat.format_chat(spark.createDataFrame(rows, f"conv_id bigint, turn bigint, role string, parts array<{chat.PART}>"))
+    got = df.select(chat.read_turns(F.col("formatted"), F.col("turns")).alias("t"), chat.loss_text(F.col("segments"), F.col("turns")).alias("loss")).first()
+    text = lambda parts: "".join((t or "") if k == "text" else f"[{k}]" for k, t, _ in parts)
+    assert [(r.role, r.text) for r in got.t] == [(role, text(parts)) for role, parts in turns]
+    assert got.loss == "".join(text(parts) for role, parts in turns if role == "assistant")
+
+
+def test_chat_of_an_empty_table_and_clashing_columns(spark):
+    df = spark.createDataFrame([(1, 0, "user", "hi", 1, "x", [1])], "conv_id bigint, turn bigint, role string, text string, formatted int, segments string, turns array<int>")
+    assert sorted(r.conv_id for r in chat.op2_chat(df).collect()) == [-7, 1]
+    assert [r.conv_id for r in chat.op2_chat(df.limit(0)).collect()] == [-7]
+    long = '<image src="a" width="99999999999" height="3"/>'
+    row = chat.op2_chat(spark.createDataFrame([(1, 0, "assistant", long)], "conv_id bigint, turn bigint, role string, text string")).where("conv_id = 1").first()
+    assert (row.n_attachments, row.media_tokens, row.loss_sha256) == (1, 0, hashlib.sha256(long.encode()).hexdigest())
