@@ -102,7 +102,8 @@ def neighbours(docs: DataFrame, visit: Callable, schema: str, ranges: int | None
     next in descending id (after the last the first), where ``make`` is run once per text."""
     importable(docs.sparkSession)
     ranges = ranges or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = (_ranges(docs, ranges).repartition(ranges, "part")
+    # by range of the part's number: hashing the numbers would leave tasks empty and give others several
+    placed = (_ranges(docs, ranges).repartitionByRange(ranges, "part")
               .sortWithinPartitions("part", "borrowed", F.desc_nulls_last("doc_id"), "text"))
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
