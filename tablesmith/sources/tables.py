@@ -110,7 +110,10 @@ def csv_report(spark: SparkSession, path: str, *, sep: str = ",", encoding: str
     schema's type does not take (lines of a wrong width aside); no rows for a clean file."""
     texts = _csv_texts(spark, path, sep, encoding, tokens)
     line = F.col(BAD_LINE)
-    parts = [F.struct(F.lit("width").alias("kind"), F.lit(None).cast("string").alias("column"), line.alias("example"), line.isNotNull().alias("bad"))]
+    # the reader refuses a query of the bad lines alone: name a column beside them
+    first = F.col(q(texts.columns[0]))
+    parts = [F.struct(F.lit("width").alias("kind"), F.lit(None).cast("string").alias("column"), F.coalesce(line, first).alias("example"),
+                      line.isNotNull().alias("bad"))]
     for f, x, value in _typed(texts, _as_schema(schema)) if schema is not None else ():
         parts.append(F.struct(F.lit("cast").alias("kind"), F.lit(f.name).alias("column"), x.alias("example"),
                               (line.isNull() & x.isNotNull() & value.isNull()).alias("bad")))
