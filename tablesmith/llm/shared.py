@@ -42,18 +42,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
+def saved(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared checkpoint folder and read it back.
 
     This cuts the lineage: a lost executor costs only the tasks it was running, and later
-    jobs read columns of the table instead of repeating the work above it."""
+    jobs read columns of the table instead of repeating the work above it. ``by`` names a column
+    of few values, each of which gets a folder of its own."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.saved_path = path
     return out
 
 
+def part_of_saved(table: DataFrame, folder: str) -> DataFrame:
+    """One folder of a table made by :func:`saved` with ``by``, for :func:`dropped`."""
+    part = table.limit(0)
+    part.saved_path = f"{table.saved_path}/{folder}"
+    return part
+
+
 def dropped(*tables: DataFrame) -> None:
     """Delete tables made by :func:`saved` that no later step reads."""
     for t in tables:
