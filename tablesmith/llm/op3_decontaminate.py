@@ -8,8 +8,8 @@ the original text.
 
 The benchmark is the query set and the corpus is the other side. Items go to the executors
 in blocks of at most about ``block_bytes`` of text, each block as one broadcast automaton
-and one column of the same scan, so what is broadcast at once has a set bound whatever the
-size of the benchmark.
+and GROUP blocks in one scan, so what is collected, broadcast and held by a worker at once has
+a set bound whatever the size of the benchmark.
 
 Defined results: a null or empty text has no words and no hits; an item without words has
 no windows; a null item id hits but is not listed; repeated items count once, repeated rows
@@ -19,6 +19,7 @@ they are (the operator works on one column and returns one).
 
 from __future__ import annotations
 
+import functools
 import re
 import uuid
 from collections import defaultdict
@@ -28,13 +29,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from tablesmith.llm.shared import importable
+from tablesmith.llm.shared import dropped, importable, saved
 
 # Ten words a window; what separates words.
 WINDOW = 10
 SEPARATOR = [c for c in range(128) if not (48 <= c <= 57 or 97 <= c <= 122)]
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 BLOCK_BYTES = 1 << 20     # parameter: benchmark text in one automaton
+GROUP = 4                 # parameter: automata that a scan broadcasts and a worker holds at once
 HITS = "struct<n_words:bigint,hits:array<struct<first:int,last:int,start:int,end:int>>,items:array<string>>"
 
 _FOLD = bytearray(range(256))
@@ -99,18 +101,18 @@ class Matcher:
         return len(words), hits, sorted(items)
 
 
-_BUILT: dict[str, Matcher] = {}       # the automaton that this worker used last
+_BUILT: dict[str, Matcher] = {}       # the automata of this worker's scan
 
 
 def _matcher(key: str, items) -> Matcher:
     if key not in _BUILT:
-        if len(_BUILT) >= 4:
+        if len(_BUILT) >= GROUP:
             _BUILT.clear()
         _BUILT[key] = Matcher(items.value)
     return _BUILT[key]
 
 
-def _scanner(spark, items: list) -> callable:
+def _scanner(spark, items: list) -> tuple:
     importable(spark)
     key, sent = uuid.uuid4().hex, spark.sparkContext.broadcast(items)
 
@@ -120,39 +122,60 @@ def _scanner(spark, items: list) -> callable:
         rows = [matcher.scan(t or "") for t in texts]
         return pd.DataFrame({"n_words": [r[0] for r in rows], "hits": [r[1] for r in rows], "items": [r[2] for r in rows]})
 
-    return scan
+    return scan, sent
 
 
 def benchmark_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES):
-    """The items as lists of (id, text), each of about ``block_bytes`` of text."""
+    """Groups of GROUP blocks, each a list of (id, text) items of about ``block_bytes`` of text;
+    a group is collected when it is asked for."""
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").where(F.col("text").isNotNull()).distinct()
     total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     n = max(1, -(-total // block_bytes))
-    for i in range(n):
-        block = items if n == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == i)
-        yield [(r[0], r[1]) for r in block.collect()]
-
-
-def contamination(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES):
-    """A function of a text column that gives its hits by the benchmark: struct of n_words,
-    n_hit, hits (word interval and code point interval, ends exclusive) and items."""
-    spark = benchmark.sparkSession
-    scanners = [_scanner(spark, block) for block in benchmark_blocks(benchmark, block_bytes)]
-
-    def of(text: Column) -> Column:
-        return F.array(*[s(text) for s in scanners])
-
-    return of
+    if n > GROUP:
+        items = saved(items, "benchmark-items")
+    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(n))
+    for first in range(0, n, GROUP):
+        own = [[] for _ in range(min(GROUP, n - first))]
+        for at, item_id, text in items.select(block.alias("b"), "item_id", "text").where(block.between(first, first + len(own) - 1)).toLocalIterator():
+            own[at - first].append((item_id, text))
+        yield own
+    if n > GROUP:
+        dropped(items)
+
+
+def _found(texts: DataFrame, blocks: list[list], text_col: Column, *others: str) -> tuple[DataFrame, list]:
+    """``others`` of ``texts`` with n_words, hits and items by the blocks, and what was broadcast."""
+    scanners = [_scanner(texts.sparkSession, b) for b in blocks]
+    step = texts.select(*others, F.array(*[scan(text_col) for scan, _ in scanners]).alias("found"))
+    return step.select(*others, F.get("found", F.lit(0))["n_words"].alias("n_words"), F.flatten(F.transform("found", lambda b: b["hits"])).alias("hits"),
+                       F.flatten(F.transform("found", lambda b: b["items"])).alias("items")), [sent for _, sent in scanners]
 
 
 def with_hits(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` as (row, n_words, n_hit, hits, items): the whole row in a struct, so that no
-    column of it can clash."""
-    blocks = contamination(benchmark, block_bytes)
-    step = docs.select(F.struct("*").alias("row"), blocks(F.col(text_col)).alias("found"))
-    hits = F.array_sort(F.flatten(F.transform("found", lambda b: b["hits"])))
-    step = step.select("row", F.get("found", F.lit(0))["n_words"].alias("n_words"), hits.alias("hits"),
-                       F.array_sort(F.array_distinct(F.flatten(F.transform("found", lambda b: b["items"])))).alias("items"))
+    column of it can clash.
+
+    The corpus is scanned once per group of blocks. All groups but the last leave a table of the
+    texts that they hit, which the last scan joins by the text's digest."""
+    rows = docs.select(F.struct("*").alias("row"))
+    text = F.col(f"row.{text_col}")
+    key = F.md5(F.coalesce(text, F.lit("")))
+    groups = benchmark_blocks(benchmark, block_bytes)
+    now, tables = next(groups), []
+    for after in groups:
+        found, sent = _found(rows.select(key.alias("key"), text.alias("text")), now, F.col("text"), "key")
+        tables.append(saved(found.where(F.size("hits") > 0).select("key", "hits", "items").dropDuplicates(["key"]), "benchmark-hits"))
+        for s in sent:
+            s.destroy()
+        now = after
+    step, _ = _found(rows, now, text, "row")
+    if tables:
+        earlier = functools.reduce(DataFrame.unionByName, tables).groupBy("key").agg(
+            F.flatten(F.collect_list("hits")).alias("h"), F.flatten(F.collect_list("items")).alias("i"))
+        none = lambda c, like: F.concat(like, F.coalesce(c, F.slice(like, 1, 0)))
+        step = step.join(earlier, key == F.col("key"), "left").select(
+            "row", "n_words", none(F.col("h"), F.col("hits")).alias("hits"), none(F.col("i"), F.col("items")).alias("items"))
+    step = step.select("row", "n_words", F.array_sort("hits").alias("hits"), F.array_sort(F.array_distinct("items")).alias("items"))
     covered = F.aggregate(
         "hits", F.struct(F.lit(0).alias("to"), F.lit(0).cast("bigint").alias("n")),
         lambda s, h: F.struct(F.greatest(s["to"], h["last"]).alias("to"),

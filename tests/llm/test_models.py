@@ -5,6 +5,7 @@ import random
 import re
 import zlib
 
+import numpy as np
 import pytest
 
 from tablesmith.llm import op3_decontaminate as dec
@@ -49,12 +50,70 @@ def test_decontamination_matches_brute_force(spark, odd, benchmark, block_bytes,
     assert not any(r.contaminated for r in dec.op3_decontaminate(odd, benchmark.limit(0)).collect())
 
 
+def test_ten_blocks_are_built_once_each(spark, tmpdir_path):
+    """Groups of blocks are scanned in turn: no automaton is built once more for every batch."""
+    items = [(i, " ".join(f"w{i}x{j}" for j in range(12))) for i in range(60)]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    rows = [(i, "lead " + items[i % 60][1] + " tail " + items[(i * 7 + 1) % 60][1] if i % 3 else "plain text") for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    size = sum(len(t) for _, t in items) // 10
+    assert sum(len(g) for g in dec.benchmark_blocks(bench, size)) >= 10
+    got = sorted((r.row.doc_id, r.n_words, r.n_hit, tuple(r.items)) for r in dec.with_hits(docs, bench, block_bytes=size).collect())
+    few = sorted((r.row.doc_id, r.n_words, r.n_hit, tuple(r.items)) for r in dec.with_hits(docs, bench).collect())
+    assert got == few and sum(g[2] > 0 for g in got) > 2000
+
+
+def test_a_worker_builds_a_block_once(monkeypatch):
+    built = []
+    monkeypatch.setattr(dec, "Matcher", lambda items: built.append(1) or items)
+    dec._BUILT.clear()
+    for _ in range(10):
+        for key in range(dec.GROUP):
+            dec._matcher(str(key), type("B", (), {"value": key}))
+    assert len(built) == dec.GROUP
+    dec._BUILT.clear()
+
+
 def test_hits_map_to_the_original_text(spark, benchmark):
     text = "É first — ONE two,\nthree four; five six (seven) eight nine TEN and mixed."
     row = dec.with_hits(spark.createDataFrame([(1, text)], "doc_id int, text string"), benchmark).first()
     assert [text[h.start:h.end] for h in row.hits] == ["ONE two,\nthree four; five six (seven) eight nine TEN", "mixed"]
 
 
+# --- fingerprints in plain Python
+
+def plain_digest(data):
+    """The digest from triplet counts, without the operator's code."""
+    counts = [0] * 128
+    for a, b, c in zip(data, data[1:], data[2:]):
+        h = (a * 0x9E3779B1 + b * 0x85EBCA6B + c * 0xC2B2AE35) & 0xFFFFFFFF
+        h ^= h >> 15
+        counts[(h * 0x2C1B3C6D & 0xFFFFFFFF) >> 25] += 1
+    q1, q2, q3 = (sorted(counts)[i] for i in (31, 63, 95))
+    codes = [(c > q1) + (c > q2) + (c > q3) for c in counts]
+    length = min(255, int(np.log(len(data) + 1.0) / np.log(1.25)))
+    return codes, length, (q1 * 15 // q3, q2 * 15 // q3) if q3 else (0, 0)
+
+
+def plain_text(d):
+    codes, length, ratios = d
+    packed = bytes(codes[i] << 6 | codes[i + 1] << 4 | codes[i + 2] << 2 | codes[i + 3] for i in range(0, 128, 4))
+    return f"{length:02x}{ratios[0]:x}{ratios[1]:x}{packed.hex()}"
+
+
+def plain_likeness(x, y):
+    steps = [abs(a - b) for a, b in zip(x[0], y[0])]
+    total = sum(steps) + 3 * steps.count(3) + 4 * abs(x[1] - y[1]) + 2 * sum(abs(a - b) for a, b in zip(x[2], y[2]))
+    return 1 - min(total, 400) / 400
+
+
+@pytest.mark.parametrize("pair", [("", "ab"), ("some plain words here", "some plain words there"), ("Äpfel " * 300, "Apfel " * 280), ("x" * 5000, "xy" * 2500)])
+def test_digest_in_plain_python(pair):
+    (a, b), (x, y) = [fp.Digest(t.encode()) for t in pair], [plain_digest(t.encode()) for t in pair]
+    assert [str(a), str(b)] == [plain_text(x), plain_text(y)]
+    assert abs(fp.likeness(a, b) - plain_likeness(x, y)) < 1e-12
+
+
 # --- near-duplicates
 
 def brute_components(rows):
