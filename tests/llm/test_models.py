@@ -394,6 +394,39 @@ def test_language_of_held_out_texts(spark):
     assert all(0 <= r.score <= 1 for r in got.values())
 
 
+def plain_vector(text):
+    """A text's profile: each trigram's letter vectors, rolled by their place and multiplied, added
+    by how often the trigram stands there."""
+    letter = lambda code: np.random.Generator(np.random.PCG64(code)).integers(0, 2, lang.DIMENSION, dtype=np.int8) * 2.0 - 1
+    keys, counts = lang.trigrams(text)
+    out = [n * np.roll(letter(k >> 42), 2) * np.roll(letter(k >> 21 & 0x1FFFFF), 1) * letter(k & 0x1FFFFF) for k, n in zip(keys.tolist(), counts.tolist())]
+    return np.sum(out, axis=0) if out else None
+
+
+def test_language_matches_cosines_in_plain_python(spark):
+    """Prototypes as sums over texts, and predictions as the first of the largest cosines."""
+    rng = random.Random(4)
+    words = {"en": "the and of to in that with was for".split(), "de": "der und die das nicht ein ist auf mit".split(), "xx": "der the und and".split()}
+    rows = [(i, " ".join(rng.choices(words[k], k=rng.randrange(0, 12))), k) for i in range(60) for k in [rng.choice(list(words))]]
+    rows += [(100, "der und", "en"), (101, None, "en"), (102, "12 34", "de"), (103, "the the the", None)]
+    sums = {}
+    for i, text, k in rows:
+        v = None if text is None or k is None or zlib.crc32(str(i).encode()) % 4 == 2 else plain_vector(text)
+        if v is not None:
+            sums[k] = sums.get(k, 0) + v
+    names = sorted(sums)
+    unit = [sums[k] / np.linalg.norm(sums[k]) for k in names]
+    got = {r.doc_id: (r.lang_pred, r.score) for r in lang.op10_language(spark.createDataFrame(rows, "doc_id bigint, text string, lang string")).collect()}
+    for i, text, _ in rows:
+        v = plain_vector(text or "")
+        if v is None:
+            assert got[i] == ("und", 0.0)
+            continue
+        cosines = [float(u @ v / np.linalg.norm(v)) for u in unit]
+        best = max(range(len(names)), key=lambda j: (round(cosines[j], 12), -j))
+        assert got[i][0] == names[best] and abs(got[i][1] - min(1.0, max(0.0, cosines[best]))) < 1e-9
+
+
 def test_language_of_odd_tables(spark, odd):
     rows = lang.op10_language(odd).collect()
     assert len(rows) == odd.count() and {r.lang_pred for r in rows if r.doc_id in (2, 3, 7)} == {"und"}
@@ -456,6 +489,27 @@ def test_schedule_is_a_low_discrepancy_order(spark):
         assert mine == [(j // blocks[k], j % blocks[k]) for j in range(share[k])]
 
 
+def test_scheduled_mix_is_what_the_mixture_counts(spark, monkeypatch):
+    """Words and first slots of the mixture come from the schedule joined to blocks; another
+    order of the slots gives other first slots."""
+    rng = random.Random(9)
+    rows = [(i, "w " * rng.choice([0, 1, 5, 50, 300]), rng.choice("abc")) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    slots = mix.scheduled_mix(docs, 16).collect()
+    words, first, block = {}, {}, {}
+    for r in slots:
+        words[r.doc_id] = words.get(r.doc_id, 0) + r.words
+        first[r.doc_id] = min(first.get(r.doc_id, r.slot), r.slot)
+        block.setdefault(r.slot, []).append((r["at"], r.words))
+    got = {r.doc_id: (r.taken, r.first_slot) for r in mix.mixture(docs, 16).collect()}
+    assert got == {i: (words.get(i, 0), first.get(i)) for i, _, _ in rows}
+    for pieces in block.values():                                        # each slot's words stand end to end
+        pieces.sort()
+        assert all(a + n == b for (a, n), (b, _) in zip(pieces, pieces[1:])) and sum(n for _, n in pieces) <= 16
+    monkeypatch.setattr(mix, "golden_step", lambda n: 1)
+    assert {r.doc_id: r.first_slot for r in mix.mixture(docs, 16).collect()} != {i: f for i, (_, f) in got.items()}
+
+
 def test_mixture_of_odd_tables(spark, odd):
     rows = mix.op9_mixture(odd).collect()
     assert len(rows) == odd.count() and all(r.taken == 0 for r in rows if r.size == 0)
