@@ -114,11 +114,11 @@ class BlobLedger:
         # one row for each blob; the text travels only where some pack's keyword occurs
         blobs = (versions.select("blob", F.when(gated, F.col("text")).alias("text"))
                  .groupBy("blob").agg(F.max("text").alias("text")))
-        # the patterns' work is many times that of reading the texts: as many tasks as the session
-        # has partitions, which adaptive execution would else fold into a few by their bytes
-        blobs = blobs.repartition(int(self.spark.conf.get("spark.sql.shuffle.partitions")), "blob")
         wanted = blobs.select("blob", "text", F.explode(F.array(*[F.lit(p.version) for p in self.packs])).alias("pack"))
         unseen = wanted.join(self.read().select("blob", "pack"), ["blob", "pack"], "left_anti")
+        # the patterns' work is many times that of reading the texts: as many tasks as the session
+        # has partitions, where adaptive execution would fold the rows into a few by their bytes
+        unseen = unseen.repartition(int(self.spark.conf.get("spark.sql.shuffle.partitions")))
         spans, rank = F.lit(None).cast(SPANS), 0
         for p in self.packs:
             spans = F.when((F.col("pack") == p.version) & F.col("text").rlike(p.gate),
