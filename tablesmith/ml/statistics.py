@@ -187,11 +187,11 @@ class NumericStatistics:
             rows = rows.where(F.col("t.view").isNull() | ~F.col(f"d.{q(self.fold_col)}").eqNullSafe(F.col("t.view")))
         return rows
 
-    def _limits_table(self, rows: list[tuple], more: str) -> DataFrame:
+    def _limits_table(self, rows: list[tuple]) -> DataFrame:
         fold = self.fold_col
         kind = self.df.schema[fold].dataType.simpleString() if fold else "int"
         # a row per column, view and distinct clip
-        return self.df.sparkSession.createDataFrame(rows, f"id int, column string, view {kind}, lo double, hi double, {more}")
+        return self.df.sparkSession.createDataFrame(rows, f"id int, column string, view {kind}, lo double, hi double, fill double")
 
     def _moments(self, limits: dict) -> dict:
         """Mean and population variance of the clipped values, where a chain asks for them."""
@@ -199,7 +199,7 @@ class NumericStatistics:
         keys = [(clip, key) for clip, key in limits if clip in need]
         if not keys:
             return {}
-        table = self._limits_table([(i, key[0], key[1], *limits[clip, key], 0.0) for i, (clip, key) in enumerate(keys)], "_ double")
+        table = self._limits_table([(i, key[0], key[1], *limits[clip, key], None) for i, (clip, key) in enumerate(keys)])
         x = F.when(F.col("t.lo").isNull(), F.col("d.x")).otherwise(F.least(F.greatest("d.x", "t.lo"), F.col("t.hi")))
         rows = self._outside(table).groupBy("t.id").agg(F.avg(x).alias("m"), F.var_pop(x).alias("v")).collect()
         return {keys[r["id"]]: (r["m"], r["v"]) for r in rows}
@@ -210,7 +210,7 @@ class NumericStatistics:
         keys = [(clip, key) for clip, key in limits if clip in need and self.z[key]]
         if not keys:
             return {}
-        table = self._limits_table([(i, key[0], key[1], *limits[clip, key], fills[clip, "mean", key]) for i, (clip, key) in enumerate(keys)], "fill double")
+        table = self._limits_table([(i, key[0], key[1], *limits[clip, key], fills[clip, "mean", key]) for i, (clip, key) in enumerate(keys)])
         x = F.when(F.col("t.lo").isNull(), F.col("d.x")).otherwise(F.least(F.greatest("d.x", "t.lo"), F.col("t.hi")))
         rows = self._outside(table).groupBy("t.id").agg(F.count_if(x < F.col("t.fill")).alias("c")).collect()
         return {keys[r["id"]]: r["c"] for r in rows}
@@ -273,10 +273,9 @@ class CategoryStatistics:
         self.freq = stored(freq, "frequencies")
         views = views if views is not None else [None]
         kind = df.schema[fold_col].dataType if fold_col else T.IntegerType()
-        view_rows = self.spark.createDataFrame([(v,) for v in views], T.StructType([T.StructField("view", kind)]))
         # a row per view and value: a view counts what lies outside its fold
-        outside = F.col("view").isNull() | ~F.col("fold").eqNullSafe(F.col("view"))
-        self.counts = stored(self.freq.join(F.broadcast(view_rows), outside).groupBy("view", "column", "value").agg(F.sum("n").alias("n")), "view-counts")
+        outside = F.filter(F.array(*[F.lit(v).cast(kind) for v in views]), lambda v: v.isNull() | ~v.eqNullSafe(F.col("fold")))
+        self.counts = stored(self.freq.withColumn("view", F.explode(outside)).groupBy("view", "column", "value").agg(F.sum("n").alias("n")), "view-counts")
         self._fit(kind, views)
 
     def _fit(self, kind, views) -> None:

@@ -218,3 +218,21 @@ def test_splits_and_folds_of_many_classes(spark, monkeypatch):
         ("test", 1): 20_000, ("train", 3): 20_000}
     assert [r["count"] for r in folds.groupBy("fold").count().orderBy("fold").collect()] == [26_667, 26_667, 26_666]
     assert report["per_class"][5] == {"n": 4, "train": 3, "test": 1}
+
+
+def test_a_constant_model_turns_the_model_queries_red(spark, monkeypatch):
+    """The flags that the oracles ask for are false for a model that knows nothing."""
+    from pyspark.ml.classification import DecisionTreeClassifier
+    from sf_paths import SMALL
+    from tablesmith.ml import assembly
+    from tablesmith.plans import q_models as Q
+
+    def constant(name, params=None, label="label", weight="weight"):
+        return DecisionTreeClassifier(labelCol=label, featuresCol="features", weightCol=weight, maxDepth=0)
+
+    monkeypatch.setattr(assembly, "build_classifier", constant)
+    monkeypatch.setattr(S, "build_classifier", constant)
+    for query, flag in ((Q.q_fit_tree, "learns"), (Q.q_fit_forest, "learns"), (Q.q_score, "learns"), (Q.q_grid_search, "beats_constant")):
+        assert not all(r[flag] for r in query(spark, SMALL).collect()), flag
+    with pytest.raises(Exception, match="split"):
+        Q.q_tree_split(spark, SMALL)
