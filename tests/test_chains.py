@@ -52,11 +52,10 @@ def close(a, b):
 def test_chain_statistics_equal_the_stages_for_every_fold(spark):
     df = frame(spark)
     made = ST.NumericStatistics(df, ["x", "y"], CHAINS, "fold").fitted
-    for chain in CHAINS:
-        for view in (None, 2):
-            want = by_stages(df if view is None else df.where(F.col("fold") != view), chain, ["x", "y"])
-            got = made[chain, view]
-            assert close(got.limits, want[0] or {}) and close(got.fills, want[1]) and close(got.scales, want[2]), (chain, view)
+    for chain, view in zip(CHAINS, (None, 2, 1, None)):
+        want = by_stages(df if view is None else df.where(F.col("fold") != view), chain, ["x", "y"])
+        got = made[chain, view]
+        assert close(got.limits, want[0] or {}) and close(got.fills, want[1]) and close(got.scales, want[2]), (chain, view)
 
 
 def test_chain_of_an_empty_column_and_one_value(spark):
