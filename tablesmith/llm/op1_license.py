@@ -8,8 +8,9 @@ words; one is suppressed when another that is at least as strong contains it (of
 intervals and priorities the first rule stays).
 
 The words are numbered in the searched text ("17:mit 18:license"), so that a regex match
-gives its interval by its first and last captured number, at any count of matches in one
-pass. All of it is one projection of DataFrame functions: no shuffle, no Python.
+gives its interval by the numbers of its first and last word, at any count of matches in one
+pass. Only words as near to a keyword as the longest rule is long are searched, since every
+match holds its keyword; a mark stands where words between are left out. All of it is one projection of DataFrame functions: no shuffle, no Python.
 
 Defined results: a null text has no words; empty texts get zero counts, null positions and
 empty labels; ties and repeated rows are scored row by row; an empty table gives no rows;
@@ -18,6 +19,8 @@ other columns are ignored.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -181,15 +184,18 @@ CONFIDENCE = (1.0, 0.9, 0.8, 0.5)      # parameter: by priority
 DETECTIONS = "array<struct<start:int,neg_end:int,priority:int,rule:int,label:string>>"
 
 
+def _after_number(words: str) -> str:
+    """Words as a regex over numbered words, from after the first word's number."""
+    first, *rest = words.split()
+    return f"(?:{first})" + "".join(rf"(?: \d+:(?:{w[:-1]}))?" if w.endswith("?") else rf" \d+:(?:{w})" for w in rest)
+
+
 def numbered(words: str) -> str:
     """Words as a regex over numbered words; group 1 is the first word's number, group 2 the last's."""
     parts = words.split()
     if len(parts) == 1:
         return rf"(?<![^ ])((\d+)):(?:{parts[0]})(?![^ ])"
-    out = rf"(?<![^ ])(\d+):(?:{parts[0]})"
-    for w in parts[1:-1]:
-        out += rf"(?: \d+:(?:{w[:-1]}))?" if w.endswith("?") else rf" \d+:(?:{w})"
-    return out + rf" (\d+):(?:{parts[-1]})(?![^ ])"
+    return rf"(?<![^ ])(\d+):{_after_number(' '.join(parts[:-1]))} (\d+):(?:{parts[-1]})(?![^ ])"
 
 
 def _versioned(name: str, version: str) -> str:
@@ -216,14 +222,44 @@ def rules() -> list[tuple[int, str, str, str]]:
     return [(priority, keyword, numbered(words), label) for priority, keyword, words, label in signatures()]
 
 
+def _near(places: str, n_words: Column) -> Column:
+    """The numbers, ascending, of all words that a match can hold: those at most as far from a
+    keyword as the longest rule reaches. Windows begin where the one before ends, so the array is
+    never longer than the text."""
+    reach = max(len(words.split()) for _, _, words, _ in signatures()) - 1
+
+    def window(i, j):
+        before = F.when(j > 0, F.get(places, j - 1) + reach + 1)
+        first, last = F.greatest(i - reach, F.lit(0), before), F.least(i + reach, n_words - 1)
+        return F.when(first <= last, F.sequence(first, last)).otherwise(F.expr("cast(array() as array<int>)"))
+
+    return F.flatten(F.transform(places, window))
+
+
+def _any_of(words: list[str]) -> str:
+    """A regex for any of the words, by first letters: an alternation tries its branches one by one
+    at every word of every text."""
+    return "|".join(f"{first}(?:{'|'.join(w[1:] for w in words if w[0] == first)})" for first in sorted({w[0] for w in words}))
+
+
 def words_of(text: Column) -> Column:
     """The text's words with single spaces between (letters as they were)."""
     return F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), SEPARATORS, " "))
 
 
+def _rule_table() -> Column:
+    """The rules as one constant array of structs, parsed from one text (a literal a field would
+    take some thousand calls to the JVM and as many nodes of the plan)."""
+    rows = [{"priority": p, "keyword": k, "regex": r, "label": label, "rule": i} for i, (p, k, r, label) in enumerate(rules())]
+    return F.from_json(F.lit(json.dumps(rows)), "array<struct<priority:int,keyword:string,regex:string,label:string,rule:int>>")
+
+
 def _intervals(numbered_text: Column, regex: Column) -> Column:
-    return F.arrays_zip(F.regexp_extract_all(numbered_text, regex, F.lit(1)).alias("first"),
-                        F.regexp_extract_all(numbered_text, regex, F.lit(2)).alias("last"))
+    """Whole matches, whose first and last word carry their numbers: a pattern that comes from an
+    array is compiled anew for every text, so each is asked once."""
+    return F.transform(F.regexp_extract_all(numbered_text, regex, F.lit(0)), lambda m: F.struct(
+        F.substring_index(m, ":", 1).cast("int").alias("first"),
+        F.substring_index(F.substring_index(m, " ", -1), ":", 1).cast("int").alias("last")))
 
 
 def _unsuppressed(found: Column) -> Column:
@@ -266,17 +302,20 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     words = F.col("_words")
     step = docs.select(F.col(id_col).alias("doc_id"), words_of(F.col(text_col)).alias("_words"))
     # the prefilter: some keyword as a whole word, in any case
-    gate = words.rlike("(?i)(?<![^ ])(?:" + "|".join(keywords) + ")(?![^ ])")
+    gate = words.rlike(f"(?i)(?<![^ ])(?:{_any_of(keywords)})(?![^ ])")
     # functions of the marked texts only: their words in lower case, then numbered
     step = step.select(
         "doc_id",
         F.when(words == "", 0).otherwise(F.length(words) - F.length(F.replace(words, F.lit(" "), F.lit(""))) + 1)
         .cast("bigint").alias("n_words"),
         F.when(gate, F.split(ascii_lower(words), " ", -1)).alias("_list"))
-    step = step.select(
-        "doc_id", "n_words",
-        F.array_join(F.transform("_list", lambda w, i: F.concat(i.cast("string"), F.lit(":"), w)), " ").alias("_numbered"),
-        F.array_intersect("_list", F.array(*[F.lit(k) for k in keywords])).alias("_keys"))
+    places_of_keys = F.filter(F.transform("_list", lambda w, i: F.when(w.isin(keywords), i)), lambda i: i.isNotNull())
+    step = step.select("doc_id", "n_words", "_list", places_of_keys.alias("_places"))
+    step = step.select("doc_id", "n_words", "_list", _near("_places", F.size("_list")).alias("_near"),
+                       F.array_distinct(F.transform("_places", lambda i: F.get("_list", i))).alias("_keys"))
+    step = step.select("doc_id", "n_words", "_keys", F.array_join(F.transform("_near", lambda i, j: F.concat(
+        F.when(F.get("_near", j - 1) < i - 1, F.lit("| ")).otherwise(F.lit("")), i.cast("string"), F.lit(":"), F.get("_list", i))), " ")
+        .alias("_numbered"))
     text = F.col("_numbered")
 
     def places(phrase, label):
@@ -284,13 +323,18 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         return F.transform(starts, lambda s: F.struct(s.cast("bigint").alias("start"), F.lit(label).alias("label")))
 
     base = F.flatten(F.array(*[places(phrase, label) for phrase, label in BASE]))
-    table_of_rules = F.array(*[F.struct(F.lit(p).alias("priority"), F.lit(k).alias("keyword"), F.lit(r).alias("regex"),
-                                    F.lit(label).alias("label"), F.lit(i).alias("rule"))
-                           for i, (p, k, r, label) in enumerate(table)])
-    active = F.filter(table_of_rules, lambda r: F.array_contains(F.col("_keys"), r["keyword"]))
+    # patterns that stand in the plan are compiled once a task, those of the rules anew for every
+    # text: so first ask each keyword of the text whether any of its rules matches
+    tails = {}
+    for _, keyword, signature, _ in signatures():
+        tails.setdefault(keyword, []).append(_after_number(signature))
+    some = [F.when(F.array_contains("_keys", k) & text.rlike(rf"(?<![^ ])\d+:(?:{'|'.join(t)})(?![^ ])"), F.lit(k)) for k, t in tails.items()]
+    step = step.select("doc_id", "n_words", "_numbered", F.array(*some).alias("_matching"))
+    # bound by a lambda: a column named inside the filter would be computed anew for every rule
+    active = F.get(F.transform(F.array("_matching"), lambda keys: F.filter(_rule_table(), lambda r: F.array_contains(keys, r["keyword"]))), F.lit(0))
     found = F.flatten(F.transform(active, lambda r: F.transform(
         _intervals(text, r["regex"]),
-        lambda m: F.struct(m["first"].cast("int").alias("start"), (-m["last"].cast("int") - 1).alias("neg_end"),
+        lambda m: F.struct(m["first"].alias("start"), (-m["last"] - 1).alias("neg_end"),
                            r["priority"].alias("priority"), r["rule"].alias("rule"), r["label"].alias("label")))))
     step = step.select("doc_id", "n_words", F.when(text.isNotNull(), base).alias("base"),
                        F.when(text.isNotNull(), F.array_sort(found)).cast(DETECTIONS).alias("found"))
