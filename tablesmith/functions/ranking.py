@@ -26,8 +26,8 @@ from tablesmith.session import checkpoint_dir, discarded, stored
 
 
 # Parameters: how many equal-depth edges a sketch gives, and its rank error (1 / ACCURACY of
-# the rows). The margin of one edge on either side of a bracket is 39 times that error.
-EDGES, ACCURACY = 256, 10_000
+# the rows). The margin of one edge on either side of a bracket is about 10 times that error.
+EDGES, ACCURACY = 256, 2_500
 # Parameter: rows of a bracket whose values are counted in one window.
 MAX_WINDOW = 20_000
 # What a pass does with the values of an interval: only count them, count each value, or sketch.
@@ -36,7 +36,10 @@ WITHOUT = "__without"
 
 
 def sketch(x):
-    return F.percentile_approx(x, [i / EDGES for i in range(EDGES + 1)], ACCURACY)
+    """Equal-depth edges of a column's values. The array of shares is parsed from one text, since
+    a literal built from Python costs calls to the JVM."""
+    shares = F.expr("array(" + ", ".join(f"{i / EDGES}D" for i in range(EDGES + 1)) + ")")
+    return F.percentile_approx(x, shares, ACCURACY)
 
 
 def _same(left: str, right: str, keys: list[str]):
@@ -158,12 +161,12 @@ def select_ranks(data: DataFrame, keys: list[str], x: str, stats: DataFrame, tar
         *[F.col(f"t.{k}") for k in tcols], F.col("t.k").cast("bigint").alias("k"), none.alias("lo"), none.alias("hi"),
         F.lit(0).cast("bigint").alias("below"), F.col("t.n" if part else "s.__n").alias("size"), F.col("s.__edges").alias("edges"))
         .dropDuplicates([*tkeys, "k"]), "ranks")
-    if not state.limit(1).count():
-        return _no_ranks(data, tkeys, x_type)
     found = []
     while True:
         groups = stored(_brackets(state, keys, window), "brackets")
         asks = groups.agg(F.max(F.size("bounds")), F.count_if(F.array_max("modes") == SKETCH), F.count(F.lit(1))).first()
+        if not asks[2]:
+            return _no_ranks(data, tkeys, x_type)
         wide = F.array_max("modes") == SKETCH
         made, counts = [], []
         for n, kind, those in ((asks[2] - asks[1], VALUES, groups.where(~wide)), (asks[1], SKETCH, groups.where(wide))):
@@ -178,7 +181,7 @@ def select_ranks(data: DataFrame, keys: list[str], x: str, stats: DataFrame, tar
         discarded(groups, *counts)
         found.append(out.where("resolved").select(*tcols, "k", "value", "less"))
         state = out.where("NOT resolved").select(*tcols, "k", "lo", "hi", "below", "size", "edges")
-        if not state.limit(1).count():
+        if state.isEmpty():
             break
     result = found[0]
     for more in found[1:]:

@@ -18,6 +18,8 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # no Python call site with every expression: it takes several calls to the JVM each
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # reliable checkpoints of intermediate tables are removed once nothing references them
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
