@@ -48,6 +48,21 @@ def test_license_matches_brute_force(spark):
     assert got == {i: brute_license(t) for i, t in rows}
 
 
+def test_license_windows_lose_no_match(spark):
+    """Words far from any keyword are left out of the search: at each gap between keywords, around
+    the longest rule's length and beyond, results equal those of whole texts."""
+    phrases = ["released under the terms of the mozilla public license", "to use copy modify merge publish distribute sublicense and or sell copies",
+               "MIT License", "licensed under the apache license version 2.0"]
+    reach = max(len(words.split()) for _, _, words, _ in lic.signatures())
+    texts = [f"{'x ' * gap}{a}{' x' * gap} {b} {'y ' * gap}license" for gap in (0, 1, reach - 2, reach - 1, reach, 2 * reach, 2 * reach + 1, 300)
+             for a in phrases for b in phrases]
+    # a phrase cut in two by left out words is no match
+    texts += [f"mit {'x ' * gap}license" for gap in (0, 1, 2 * reach, 100)]
+    rows = list(enumerate(texts))
+    got = {r[0]: tuple(r[1:]) for r in lic.op1_license(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == {i: brute_license(t) for i, t in rows}
+
+
 def test_license_rules_are_many_and_hold_their_keyword():
     table = lic.rules()
     assert len(table) > 300 and all(len(r) == 4 and 0 <= r[0] < lic.PRIORITIES for r in table)
