@@ -28,8 +28,9 @@ from tablesmith.session import checkpoint_dir, discarded, stored
 # Parameters: how many equal-depth edges a sketch gives, and its rank error (1 / ACCURACY of
 # the rows). The margin of one edge on either side of a bracket is about 10 times that error.
 EDGES, ACCURACY = 256, 2_500
-# Parameter: rows of a bracket whose values are counted in one window.
-MAX_WINDOW = 20_000
+# Parameter: rows of a bracket whose values are counted in one window. A bracket has about
+# 4 / EDGES of the rows, so 67 million rows of a group are counted without a second sketch.
+MAX_WINDOW = 1 << 20
 # What a pass does with the values of an interval: only count them, count each value, or sketch.
 COUNTED, VALUES, SKETCH = 0, 1, 2
 WITHOUT = "__without"
@@ -126,6 +127,10 @@ def _count_values(data, groups, keys, x, longest, extra):
 def _count_sketches(data, groups, keys, x, longest, extra):
     """(keys, extra, code, c, edges): rows per interval and a sketch of those that ask for it."""
     rows = _classified(data, groups, keys, x, longest, extra)
+    if not extra:
+        # both from one pass over the data
+        return rows.groupBy(*[q(k) for k in keys], "code").agg(
+            F.count(F.lit(1)).alias("c"), sketch(F.when(F.col("mode") == SKETCH, F.col("x"))).alias("edges"))
     per = rows.groupBy(*[q(k) for k in keys], *[q(e) for e in extra], "code").agg(F.count(F.lit(1)).alias("c"))
     edges = rows.where(F.col("mode") == SKETCH).groupBy(*[q(k) for k in keys], "code").agg(sketch(F.col("x")).alias("edges"))
     return per.alias("d").join(edges.alias("e"), _same("d", "e", [*keys, "code"]), "left").select("d.*", "e.edges")
@@ -145,7 +150,7 @@ def select_ranks(data: DataFrame, keys: list[str], x: str, stats: DataFrame, tar
     values. One pass then finds each row's interval by binary search over its group's bracket
     ends (every row counts once) and counts values inside the brackets only; the ends are
     intervals of their own, so a value that most rows share is one count. Brackets of more than
-    ``max_window`` rows are sketched again first. So up to a million rows take one pass after
+    ``max_window`` rows are sketched again first. So up to 67 million rows take one pass after
     the sketch and 64 times more rows one pass more; a rank that a sketch misses goes on in the
     interval that the counts show it to be in. Statistics, targets and brackets stay tables; only
     counts of them come to the driver."""

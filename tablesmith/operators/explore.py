@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tablesmith.functions.columns import q
 from tablesmith.functions.ranking import quantiles_long, to_long_numeric, top_k
 from tablesmith.operators.frequency import freq_table
+from tablesmith.session import stored
 
 
 def _ranges(long_df: DataFrame) -> DataFrame:
@@ -30,10 +31,15 @@ def _bin_index(x, lo, hi, nbins):
     return F.when(hi > lo, F.least(F.floor((x - lo) / (hi - lo) * nbins), nbins - 1)).otherwise(F.lit(0)).cast("long")
 
 
-def auto_bins(df: DataFrame, cols: list[str]) -> dict:
+def _auto_quantiles(df: DataFrame, cols: list[str]) -> dict:
+    """{(column, p): (quantile, n)} of the range and the quartiles of each column with values."""
+    return {(r["column"], r["p"]): (r["q"], r["n"]) for r in quantiles_long(df, cols, [0.0, 0.25, 0.75, 1.0]).collect()}
+
+
+def auto_bins(df: DataFrame, cols: list[str], qs: dict | None = None) -> dict:
     """numpy's 'auto' rule per column: the smaller of the Sturges and Freedman-Diaconis
     widths (Sturges alone when the IQR is 0), as a number of bins."""
-    qs = {(r["column"], r["p"]): (r["q"], r["n"]) for r in quantiles_long(df, cols, [0.0, 0.25, 0.75, 1.0]).collect()}
+    qs = _auto_quantiles(df, cols) if qs is None else qs
     out = {}
     for c in cols:
         if (c, 0.0) not in qs:
@@ -59,10 +65,17 @@ def histogram(df: DataFrame, cols: list[str], bins: int | str | dict = 10) -> Da
     heavy-tailed column, and then only occupied bins are rows (at most one per value)."""
     spark = df.sparkSession
     auto = bins == "auto"
-    per_col = auto_bins(df, cols) if auto else bins if isinstance(bins, dict) else {c: int(bins) for c in cols}
-    nb = spark.createDataFrame([(c, int(per_col[c])) for c in cols], "column string, nbins long")
     long_df = to_long_numeric(df, cols)
-    rng = _ranges(long_df).join(F.broadcast(nb), "column")
+    if auto:
+        # the quantiles have read the range already
+        qs = _auto_quantiles(df, cols)
+        per_col = auto_bins(df, cols, qs)
+        rng = spark.createDataFrame([(c, qs[(c, 0.0)][0], qs[(c, 1.0)][0], int(per_col[c])) for c in cols if (c, 0.0) in qs],
+                                    "column string, lo double, hi double, nbins long")
+    else:
+        per_col = bins if isinstance(bins, dict) else {c: int(bins) for c in cols}
+        nb = spark.createDataFrame([(c, int(per_col[c])) for c in cols], "column string, nbins long")
+        rng = _ranges(long_df).join(F.broadcast(nb), "column")
     binned = long_df.join(F.broadcast(rng), "column").withColumn(
         "bin", _bin_index(F.col("x"), F.col("lo"), F.col("hi"), F.col("nbins")))
     counts = binned.groupBy("column", "bin").agg(F.count(F.lit(1)).alias("n"))
@@ -129,6 +142,8 @@ def box_stats(df: DataFrame, cols: list[str], by: list[str] | None = None, whis:
         F.max(F.when(F.col("p") == 0.75, F.col("q"))).alias("q3"))
     box = box.withColumn("iqr", F.col("q3") - F.col("q1"))
     box = box.withColumn("lo_f", F.col("q1") - whis * F.col("iqr")).withColumn("hi_f", F.col("q3") + whis * F.col("iqr"))
+    # stored, so that the planner knows its size and doesn't shuffle every value to join a few fences
+    box = stored(box, "boxes")
     long_df = to_long_numeric(src, cols, by)
     x = F.col("x")
     agg = (long_df.join(box.select(*[q(k) for k in keys], "lo_f", "hi_f"), keys)

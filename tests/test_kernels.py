@@ -177,3 +177,49 @@ def test_ranks_outside_of_a_part(spark):
         targets = spark.createDataFrame(rows, f"g string, {WITHOUT} long, k long, n long")
         got = {(r[WITHOUT], r.k): r["value"] for r in select_ranks(df, ["g"], "x", key_stats(df, ["g"], "x"), targets, part="f", max_window=window).collect()}
         assert got == {(w, k): np.sort(pdf[pdf.f != w].x.to_numpy() if w is not None else pdf.x.to_numpy())[k] for _, w, k, _ in rows}
+
+
+def test_three_million_rows_need_no_second_sketch(spark, monkeypatch):
+    from tablesmith.functions import ranking
+
+    def unwanted(*args):
+        raise AssertionError("a second sketch")
+
+    monkeypatch.setattr(ranking, "_count_sketches", unwanted)
+    df = spark.range(3_000_001).select(F.lit("x").alias("column"), ((F.col("id") * 1_000_003) % 3_000_001).cast("double").alias("x"))
+    got = {r["p"]: r["q"] for r in ranking.quantile_table(df, ["column"], "x", [0.0, 0.25, 0.5, 1.0]).collect()}
+    assert got == {0.0: 0.0, 0.25: 750_000.0, 0.5: 1_500_000.0, 1.0: 3_000_000.0}
+
+
+def test_a_sketching_pass_reads_the_rows_once(spark):
+    from tablesmith.functions.ranking import SKETCH, _count_sketches
+    df = spark.range(1000).select(F.lit("x").alias("column"), F.col("id").cast("double").alias("x"))
+    groups = spark.createDataFrame([("x", [100.0, 900.0], [0, SKETCH, 0])], "column string, bounds array<double>, modes array<int>")
+    out = _count_sketches(df, groups, ["column"], "x", 2, [])
+    assert out._jdf.queryExecution().sparkPlan().toString().count("Range (0, 1000") == 1
+    rows = {r["code"]: (r["c"], r["edges"]) for r in out.collect()}
+    assert {k: v[0] for k, v in rows.items()} == {0: 100, 1: 1, 2: 799, 3: 1, 4: 99}
+    assert (rows[2][1][0], rows[2][1][-1]) == (101.0, 899.0) and rows[0][1] is None
+
+
+def test_fences_are_joined_without_shuffling_the_values(spark):
+    from tablesmith.operators.explore import box_stats
+    df = spark.range(5000).select((F.col("id") % 100).cast("double").alias("a"), F.when(F.col("id") == 7, 1e6).otherwise(F.col("id") % 10).alias("b"))
+    out = box_stats(df, ["a", "b"])
+    assert "SortMergeJoin" not in out._jdf.queryExecution().sparkPlan().toString()
+    assert {r["column"]: (r["median"], r["whisker_hi"], r["n_outliers"]) for r in out.collect()} == {"a": (49.5, 99.0, 0), "b": (4.5, 9.0, 1)}
+
+
+def test_auto_histogram_takes_its_range_from_the_quantiles(spark, monkeypatch):
+    from tablesmith.operators import explore
+
+    def unwanted(*args):
+        raise AssertionError("the range is known")
+
+    monkeypatch.setattr(explore, "_ranges", unwanted)
+    df = spark.range(64).select(F.col("id").cast("double").alias("a"), F.lit(2.0).alias("b"), F.lit(None).cast("double").alias("c"))
+    rows = explore.histogram(df, ["a", "b", "c"], bins="auto").collect()
+    assert {(r["column"], r["n"]) for r in rows if r["column"] != "a"} == {("b", 64)}
+    mine = sorted((r["bin_lo"], r["n"]) for r in rows if r["column"] == "a")
+    counts, edges = np.histogram(np.arange(64.0), bins="auto")
+    assert [n for _, n in mine] == counts.tolist() and np.allclose([lo for lo, _ in mine], edges[:-1])
