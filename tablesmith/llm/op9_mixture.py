@@ -140,8 +140,9 @@ def mixture(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     that takes words of it; null if none does) of every row of ``docs``."""
     sized = saved(document_sizes(docs), "mix-sizes")
     targets = saved(source_targets(sized, block), "mix-targets")
-    uses = schedule(targets).groupBy("rank", "block").agg(F.count("*").alias("uses"), F.min("slot").alias("slot"))
-    pieces = block_pieces(offsets(sized, targets), block)
+    # tables of their own: as one plan with what follows they cost the driver far more memory
+    uses = saved(schedule(targets).groupBy("rank", "block").agg(F.count("*").alias("uses"), F.min("slot").alias("slot")), "mix-uses")
+    pieces = block_pieces(saved(offsets(sized, targets), "mix-offsets"), block)
     taken = (pieces.join(uses, ["rank", "block"], "left").groupBy("rank", "at", "size", "doc_id")
              .agg(F.sum(F.col("words") * F.coalesce("uses", F.lit(0))).alias("taken"), F.min("slot").alias("first_slot"))
              .select("rank", "doc_id", "size", "taken", "first_slot"))
