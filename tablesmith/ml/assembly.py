@@ -21,8 +21,10 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablesmith.functions.columns import q
 from tablesmith.ml.chains import CategoryPrep, NumericPrep
 from tablesmith.ml.stages import ClassWeights
+from tablesmith.session import discarded, stored
 
 
 @dataclass
@@ -74,6 +76,27 @@ class CLogisticRegression(Estimator, DefaultParamsReadable, DefaultParamsWritabl
         return lr.fit(df)
 
 
+class CountedTree(DecisionTreeClassifier):
+    """MLlib's decision tree, fitted to a table of its different rows with their weights added up.
+
+    Impurities are sums of weights, so the tree is the same, but the table is as long as the
+    rows differ: MLlib's passes over rows of vectors and its copy of all of them in the executors'
+    storage are left to one aggregate. MLlib counts rows for ``minInstancesPerNode``, so a least
+    count above one fits the rows themselves. Rows are sorted, so that reruns sample alike."""
+
+    def _fit(self, df):
+        if self.getMinInstancesPerNode() > 1:
+            return super()._fit(df)
+        by = [self.getFeaturesCol(), self.getLabelCol(), self.getWeightCol()]
+        rows = df.groupBy(*[q(c) for c in by]).agg(F.count(F.lit(1)).alias("__n"))
+        rows = rows.select(*[q(c) for c in by[:2]], (F.col(q(by[2])) * F.col("__n")).alias(by[2]))
+        table = stored(rows.sortWithinPartitions(*[q(c) for c in by]), "tree-rows")
+        try:
+            return super()._fit(table)
+        finally:
+            discarded(table)
+
+
 # Classifier names accepted by the factory.
 MODEL_NAMES = ["LogisticRegression", "DecisionTreeClassifier", "RandomForestClassifier"]
 
@@ -99,7 +122,7 @@ def build_classifier(name: str, params: dict | None = None, label: str = "label"
     common = dict(labelCol=label, featuresCol="features", maxDepth=depth, minInstancesPerNode=leaf,
                   maxBins=int(p.get("max_bins", 64)), seed=int(p.get("random_state", 42)), weightCol=weight)
     if name == "DecisionTreeClassifier":
-        return DecisionTreeClassifier(impurity="gini", **common)
+        return CountedTree(impurity="gini", **common)
     if name == "RandomForestClassifier":
         return RandomForestClassifier(numTrees=int(p.get("n_estimators", 100)), featureSubsetStrategy="sqrt",
                                       impurity="gini", **common)
