@@ -23,7 +23,7 @@ from tablesmith.operators import profile as PR
 from tablesmith.operators import split as SP
 from tablesmith.operators import target as TG
 from tablesmith.sources import persist as P
-from tablesmith.session import checkpoint_dir
+from tablesmith.session import stored
 from tablesmith.sources.tables import null_tokens, read_csv
 
 
@@ -62,11 +62,11 @@ def run(df: DataFrame, cfg: RunConfig, grid=None, *, run_table: str | None = Non
     # split: the whole row is the key (trimming can make rows equal again; the split allows it)
     key = [cfg.key] if cfg.key else list(df.columns)
     frame = df.select(*dict.fromkeys(key + lists["final_features"] + [cfg.target]))
-    # every later stage (split boundaries, folds, each fit and score) re-reads this frame:
-    # write it once to the shared checkpoint folder, which also cuts the lineage
-    checkpoint_dir(df.sparkSession)
-    frame = frame.checkpoint(eager=True)
+    # every later stage (split boundaries, folds, each fit and score) re-reads this frame, most of
+    # them a few columns: write it once as a table, which also cuts the lineage, and its sides too
+    frame = stored(frame, "frame")
     split, report = SP.stratified_split(frame, cfg.target, key, cfg.test_size, cfg.seed)
+    split = stored(split, "split")
     out["split_quality"] = SP.split_quality(split, cfg.target)
     out["split_report"] = report
     if roles_path:
