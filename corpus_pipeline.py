@@ -8,6 +8,9 @@ toxic labels; repeated rows stay once; empty tables pass through every stage.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,10 +20,21 @@ from tablesmith.llm.op6_toxicity import THRESHOLD, ToxicityScorer, text_key
 from tablesmith.llm.op8_secrets import without_secrets
 from tablesmith.llm.op9_mixture import mixture
 from tablesmith.llm.shared import saved, table
+from tablesmith.session import garbage_collected
 
 SIMILARITY = 80     # fixed value: near-duplicates, in hundredths
 
 
+def stage(build: Callable) -> Callable:
+    """A stage that begins with what the one before it left on the driver collected."""
+    @wraps(build)
+    def collected(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        garbage_collected(spark)
+        return build(spark, docs, sf_dir)
+    return collected
+
+
+@stage
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the class-conditional models don't call toxic."""
     scorer = ToxicityScorer(docs, table(spark, sf_dir, "labels"))
@@ -28,21 +42,25 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scorer.scored(rows).where(F.col("score") < THRESHOLD).select("row.*")
 
 
+@stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
     return one_of_each(docs, SIMILARITY)
 
 
+@stage
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no window of a benchmark item."""
     return with_hits(docs, table(spark, sf_dir, "benchmark")).where("n_hit = 0").select("row.*")
 
 
+@stage
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without secrets."""
     return without_secrets(docs)
 
 
+@stage
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix: doc_id, source, size, source_size, target and the words taken of each document."""
     return mixture(docs)
@@ -62,6 +80,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = saved(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    for name, build in STAGES:
+        docs = saved(build(spark, docs, sf_dir), f"pipeline-{name}")
     return docs
