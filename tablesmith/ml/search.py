@@ -3,9 +3,10 @@
 Candidates form a tree over the ordered stage parameters (:class:`StageTree`): each distinct
 prefix is a node that is fitted once for all folds, from statistics that subtract
 (:mod:`tablesmith.ml.statistics`), so the scans of the training frame for preprocessing depend
-neither on the folds nor on the candidates. The transformed frames of a leaf are cached once per
-fold and every model candidate of the leaf is fitted on them. Each fit is an MLlib job over the
-whole fold; the driver loop starts several leaves at a time and collects one score per
+neither on the folds nor on the candidates. The transformed frame of a leaf is written once per
+fold, both sides together, and every model candidate of the leaf is fitted and scored on that
+table: the plans of these jobs, which stay on the driver, are a scan. Each fit is an MLlib job over
+the whole fold; the driver loop starts several leaves at a time and collects one score per
 (candidate, fold, split).
 """
 
@@ -31,11 +32,15 @@ from tablesmith.ml.chains import CategoryPrepModel, NumericPrepModel
 from tablesmith.ml.stages import ClassWeightsModel, class_weights
 from tablesmith.ml.statistics import CategoryStatistics, FittedNumeric, NumericStatistics
 from tablesmith.operators import metrics as M
+from tablesmith.session import discarded, garbage_collected, stored
 
 PREP_FIELDS = {f.name for f in dataclasses.fields(PrepConfig)} - {"num_cols", "cat_cols", "label"}
 MODEL_PARAMS = {"model", "C", "penalty", "max_iter", "max_depth", "n_estimators", "min_samples_leaf",
                 "min_samples_split", "max_bins", "random_state"}
 SCORERS = ["accuracy", "precision", "recall", "f1", "roc_auc"]
+# Parameter: rows of a fold's table that a task of a fit reads. Fits make a job for every iteration,
+# and what a job costs the driver grows with its stages and tasks.
+FIT_ROWS = 1 << 18
 
 
 def expand_grid(grid) -> list[dict]:
@@ -97,7 +102,9 @@ class StageTree:
                              *([("category", y.impute, y.fill), ("group", y.grouping, y.other)] if y else []), ("weight", weight)]
         self.numeric_of, self.category_of = numeric, category
         self.numeric = NumericStatistics(train, list(cfg.num_cols), [x for x in numeric.values() if x], fold_col)
-        views = [None] + (sorted(r[0] for r in train.select(q(fold_col)).distinct().collect() if r[0] is not None) if fold_col else [])
+        # rows per fold: a row each reaches the driver
+        self.sizes = {r[0]: r[1] for r in train.groupBy(q(fold_col)).count().collect()} if fold_col else {}
+        views = [None] + sorted(f for f in self.sizes if f is not None)
         self.category = CategoryStatistics(train, list(cfg.cat_cols), [y for y in category.values() if y], fold_col, views)
         # rows per fold and class: a row each reaches the driver
         self.classes = {}
@@ -139,17 +146,16 @@ class StageTree:
         return PipelineModel([*stages, assembler(cfg), ClassWeightsModel(labelCol=cfg.label, outputCol="weight", values=weights)])
 
 
-def _score(scored: DataFrame, scoring: str):
-    if scoring == "roc_auc":
-        return M.roc_auc(scored, by=()).first()[0]
-    row = M.binary_metrics(scored, by=()).first()
-    return row[scoring]
+def _score(scored: DataFrame, scoring: str) -> dict:
+    """The score of each split."""
+    made = M.roc_auc(scored, by=["split"]) if scoring == "roc_auc" else M.binary_metrics(scored, by=["split"])
+    return {r["split"]: r[scoring] for r in made.collect()}
 
 
 def _scored(model, df, label):
     from pyspark.ml.functions import vector_to_array
     out = model.transform(df)
-    return out.select(F.col(label).cast("long").alias("label"), vector_to_array("probability")[1].alias("score"),
+    return out.select("split", F.col(label).cast("long").alias("label"), vector_to_array("probability")[1].alias("score"),
                       F.col("prediction").cast("long").alias("prediction"))
 
 
@@ -181,7 +187,8 @@ def grid_search(train: DataFrame, cfg: PrepConfig, grid, *, fold_col: str = "fol
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         tree = StageTree(train, cfg, cands, fold_col)
-        folds = sorted(r[0] for r in train.select(q(fold_col)).distinct().collect())
+        folds = sorted(tree.sizes)
+        fit_tasks = -(-sum(tree.sizes.values()) // FIT_ROWS)
         label = cfg.label
 
         def evaluate(task):
@@ -191,26 +198,29 @@ def grid_search(train: DataFrame, cfg: PrepConfig, grid, *, fold_col: str = "fol
                 prep = tree.model(idxs[0], f)
             except PARAMETER_ERRORS as e:
                 return [(i, f, s, None, None, str(e)) for i in idxs for s in ("train", "test")]
-            keep = [label, "features", "weight"]
-            tx = prep.transform(tree.side(f)).select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
-            vx = prep.transform(train.where(F.col(q(fold_col)) == F.lit(f))).select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
+            split = F.when(F.col(q(fold_col)) == F.lit(f), "test").otherwise("train").alias("split")
+            rows = prep.transform(train.where(F.col(q(fold_col)).isNotNull())).select(q(label), "features", "weight", split)
+            table = stored(rows, "fold-rows")
+            rows = table.coalesce(fit_tasks)
             try:
                 for i in idxs:
                     try:
                         t0 = time.time()
-                        m = build_classifier(cands[i].get("model", model), cands[i], label=label).fit(tx)
+                        m = build_classifier(cands[i].get("model", model), cands[i], label=label).fit(rows.where("split = 'train'").drop("split"))
                         ft = time.time() - t0
-                        scores = {"train": _score(_scored(m, tx, label), scoring), "test": _score(_scored(m, vx, label), scoring)}
-                        out += [(i, f, s, x, ft, None) for s, x in scores.items()]
+                        scores = _score(_scored(m, rows, label), scoring)
+                        out += [(i, f, s, scores.get(s), ft, None) for s in ("train", "test")]
                     except PARAMETER_ERRORS as e:
                         out += [(i, f, s, None, None, str(e)) for s in ("train", "test")]
+                    # a fit broadcasts in every iteration, each time through a buffer of 4 MB
+                    garbage_collected(train.sparkSession)
             finally:
-                tx.unpersist()
-                vx.unpersist()
+                discarded(table)
             return out
 
         tasks = [(f, idxs) for f in folds for idxs in tree.leaves().values()]
         rows = [(i, f, s, None, None, e) for i, e in tree.errors.items() for f in folds for s in ("train", "test")]
+        garbage_collected(train.sparkSession)
         if tasks:
             with ThreadPool(max(1, min(parallelism, len(tasks)))) as pool:
                 rows += [r for part in pool.map(inheritable_thread_target(train.sparkSession)(evaluate), tasks) for r in part]

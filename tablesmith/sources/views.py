@@ -68,8 +68,9 @@ def v_doc(spark: SparkSession, d: str) -> DataFrame:
     # (runs, not single characters: measured fastest among translate/regexp_count/this)
     n_lower = F.length(F.regexp_replace("text", "[^a-z]+", ""))
     lower = n_lower.cast("double") / F.length("text")
-    return docs.join(labels, "doc_id", "left").select(
-        "doc_id", "n_chars", lower.alias("lower_share"), "lang", "source", "quality")
+    # the share is taken before the join, which then has no texts to shuffle
+    docs = docs.select("doc_id", "n_chars", lower.alias("lower_share"), "lang", "source")
+    return docs.join(labels, "doc_id", "left").select("doc_id", "n_chars", "lower_share", "lang", "source", "quality")
 
 
 def v_score(spark: SparkSession, d: str) -> DataFrame:
